@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelworks import fixed
-from parcelworks.operators.quantiles import grouped_median
+from parcelworks.operators.quantiles import every_group_median, grouped_median
 
 MEASURES = {
     "measure_median_close_price": ("ClosePrice", "median", True),
@@ -105,8 +105,7 @@ def measure_series(
     if aggregation == "average":
         return months.agg(F.avg(measure).alias(measure))
     if aggregation == "median":
-        medians = grouped_median(by_month, measure, ["EventMonth"], measure)
-        return months.agg(F.count("*").alias("events")).join(medians, "EventMonth", "left").drop("events")
+        return every_group_median(by_month, measure, ["EventMonth"], measure)
     raise ValueError(f"unknown aggregation {aggregation!r}")
 
 
@@ -151,11 +150,14 @@ def publication_audit(
         low_months("ClosedSalesLowVolumeFlag").alias("low_closed_sales_months"),
     )
     sales = sales_rows.agg(F.count("*").alias("competitive_sales_rows"))
-    one_row = F.lit(1).alias("one")
-    joined = sources.select("*", one_row)
-    for other in (published, calendar, sales):
-        joined = joined.join(other.select("*", one_row), "one")
     lower, upper = (F.lit(bound).cast("double") for bound in ratio_bounds)
+    joined = sources.select(
+        "*",
+        *[
+            part.select(F.struct("*")).scalar().alias(name)
+            for name, part in {"published": published, "calendar": calendar, "sales": sales}.items()
+        ],
+    ).select("*", "published.*", "calendar.*", "sales.*")
     return joined.select(
         "sold_input_rows",
         "listing_input_rows",

@@ -88,6 +88,20 @@ def grouped_median(df: DataFrame, column: str, by: Sequence[str], name: str) ->
     return quantiles(value_frequencies(df, [column], by), {name: 0.5}, by).select(*by, name)
 
 
+def every_group_median(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
+    """``grouped_median`` that keeps groups without any value, with a null median.
+
+    The groups come from the same counted values, not from a second pass over ``df``.
+    """
+    frequencies = value_frequencies(df, [column], by)
+    medians = quantiles(frequencies, {name: 0.5}, by).select(
+        *[F.col(key).alias(f"{key} of") for key in by], name
+    )
+    groups = frequencies.groupBy(*by).agg(F.sum("rows").alias("rows in group"))
+    same = all_equal([F.col(key) for key in by], [F.col(f"{key} of") for key in by])
+    return groups.join(medians, same, "left").select(*by, name)
+
+
 def _holding_ranks(
     counted: DataFrame, keys: Sequence[str], within: Sequence[str], order: str
 ) -> DataFrame:

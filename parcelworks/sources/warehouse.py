@@ -22,6 +22,11 @@ def _days_after(date: Column, days: Column) -> Column:
     return F.date_add(date, days.cast("int"))
 
 
+def _file_month(date: Column) -> Column:
+    """``yyyyMM`` of a date 29 years on, so that months read like those of recent files."""
+    return F.date_format(F.add_months(date, 29 * 12), "yyyyMM")
+
+
 def _category() -> Column:
     return F.when(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"), "Land").otherwise("Residential")
 
@@ -57,7 +62,7 @@ def _sold_columns() -> dict[str, tuple[Column, set[str]]]:
     closed = F.when(part % 83 == 0, F.to_date("l_shipdate")).otherwise(
         _days_after(listed, F.col("l_quantity") + 10 + part % 40)
     )
-    month = F.date_format(closed, "yyyyMM")
+    month = _file_month(closed)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount") + F.col("l_tax"))
     price = F.when(part % 71 == 0, None).when(part % 73 == 0, 0.0).otherwise(net)
     size = F.col("p_size").cast("double")
@@ -145,7 +150,7 @@ def _listing_columns() -> dict[str, tuple[Column, set[str]]]:
     listed = F.to_date("o_orderdate")
     no_lookup, customer = set(), {"customer"}
     price = F.when(key % 71 == 0, None).when(key % 73 == 0, 0.0).otherwise(F.col("o_totalprice"))
-    month = F.date_format(listed, "yyyyMM")
+    month = _file_month(listed)
     price_text = F.col("o_totalprice").cast("bigint").cast("string")
     whole = F.col("o_totalprice").cast("bigint")
     return {
@@ -260,18 +265,11 @@ def file_paths(spark: SparkSession, folder: str) -> DataFrame:
     Even orders stand for filled files. April 2027 is withheld, and odd months of 2029 have no
     raw file.
     """
-    year = F.year("o_orderdate") + 29
-    month = F.month("o_orderdate")
+    month = _file_month(F.to_date("o_orderdate"))
     filled = F.col("o_orderkey") % 2 == 0
-    withheld = (year == 2027) & (month == 4)
-    raw_withheld = ~filled & (year == 2029) & (month % 2 == 1)
-    name = F.concat(
-        F.lit("/data/Sold"),
-        year.cast("string"),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.when(filled, "_filled").otherwise(""),
-        F.lit(".csv"),
-    )
+    withheld = month == "202704"
+    raw_withheld = ~filled & month.startswith("2029") & (F.substring(month, 6, 1).cast("int") % 2 == 1)
+    name = F.concat(F.lit("/data/Sold"), month, F.when(filled, "_filled").otherwise(""), F.lit(".csv"))
     return (
         table(spark, folder, "orders").filter(~withheld & ~raw_withheld).select(name.alias("path")).distinct()
     )
