@@ -1,78 +1,76 @@
-"""Lenient and strict casts. All are plain Column expressions, so they stay in codegen."""
+"""Lenient and strict casts, as SQL expressions that stay in generated code."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from parcelworks import fixed
+from parcelworks.functions.logic import in_list, literal, quoted, rows_of, with_exprs
 
+SPACES = "'" + "".join(f"\\u{ord(space):04x}" for space in fixed.WHITESPACE) + "'"
 
-def strip(column: Column) -> Column:
+
+def strip(text: str) -> str:
     """Trim every kind of white space, not only blanks."""
-    return F.btrim(column, F.lit(fixed.WHITESPACE))
+    return f"btrim({text}, {SPACES})"
 
 
-def clean_text(column: Column) -> Column:
+def clean_text(column: str) -> str:
     """Trim; text that is then empty becomes null."""
-    return F.nullif(strip(column.cast("string")), F.lit(""))
+    return f"nullif({strip(f'string({column})')}, '')"
 
 
-def drop_nan(column: Column) -> Column:
+def drop_nan(value: str) -> str:
     """A double with NaN turned into null, as every aggregate here expects."""
-    value = column.cast("double")
-    return F.when(~F.isnan(value), value)
+    return f"nullif(double({value}), double('NaN'))"
 
 
-def parse_number(column: Column) -> Column:
+def parse_number(text: str) -> str:
     """Text to double; text that is no plain number becomes null."""
-    text = strip(column)
-    return F.when(text.rlike(fixed.NUMBER_PATTERN), text.try_cast("double"))
+    trimmed = strip(text)
+    return f"CASE WHEN {trimmed} RLIKE r'{fixed.NUMBER_PATTERN}' THEN try_cast({trimmed} AS double) END"
 
 
-def parse_date(column: Column, formats=fixed.DATE_FORMATS) -> Column:
+def parse_date(text: str, formats=fixed.DATE_FORMATS) -> str:
     """Text to date by the declared formats; anything else becomes null."""
-    text = strip(column)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    tries = ", ".join(f"try_to_date({strip(text)}, {literal(fmt)})" for fmt in formats)
+    return f"coalesce({tries})"
 
 
-def null_tokens(column: Column, tokens=fixed.NULL_TOKENS) -> Column:
-    return F.when(~column.isin(*tokens), column)
+def null_tokens(column: str, tokens=fixed.NULL_TOKENS) -> str:
+    return f"CASE WHEN {column} NOT IN ({in_list(tokens)}) THEN {column} END"
 
 
-def number_of(df: DataFrame, name: str) -> Column:
+def number_of(df: DataFrame, name: str) -> str:
     """Column ``name`` of ``df`` as a double, parsed only if it is text."""
-    column = F.col(f"`{name}`")
     if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_number(column)
-    return drop_nan(column)
+        return parse_number(quoted(name))
+    return drop_nan(quoted(name))
 
 
-def date_of(df: DataFrame, name: str, formats=fixed.DATE_FORMATS) -> Column:
+def date_of(df: DataFrame, name: str, formats=fixed.DATE_FORMATS) -> str:
     """Column ``name`` of ``df`` as a date, or as it is when it already carries a time."""
-    column = F.col(f"`{name}`")
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        return parse_date(column, formats)
+        return parse_date(quoted(name), formats)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return column
-    return column.cast("date")
+        return quoted(name)
+    return f"date({quoted(name)})"
 
 
-def elapsed_days(df: DataFrame, start: str, end: str) -> Column:
+def elapsed_days(df: DataFrame, start: str, end: str) -> str:
     """Whole days from ``start`` to ``end``, rounded down; null if either is null."""
     kinds = {type(df.schema[name].dataType) for name in (start, end)}
     if kinds == {T.DateType}:
-        return F.datediff(F.col(end), F.col(start))
-    seconds = [
-        F.unix_micros(F.col(name).cast("timestamp")) for name in (start, end)
-    ]
-    return F.floor((seconds[1] - seconds[0]) / F.lit(86_400_000_000)).cast("int")
+        return f"datediff({quoted(end)}, {quoted(start)})"
+    times = [f"unix_micros(timestamp({quoted(name)}))" for name in (end, start)]
+    return f"int(floor(({times[0]} - {times[1]}) / 86400000000))"
 
 
 def coerce(df: DataFrame, numbers=(), dates=(), formats=fixed.DATE_FORMATS) -> DataFrame:
     """Replace the named columns by their lenient casts; absent columns are skipped."""
     casts = {name: number_of(df, name) for name in numbers if name in df.columns}
     casts |= {name: date_of(df, name, formats) for name in dates if name in df.columns}
-    return df.withColumns(casts)
+    return with_exprs(df, casts)
 
 
 def coercion_audit(
@@ -85,79 +83,66 @@ def coercion_audit(
     """Missing before and after a lenient cast, one row per present column, one pass."""
     present = [name for name in columns if name in df.columns]
     label = {"number": "new_invalid_numeric_values", "date": "new_invalid_dates"}[kind]
-    cast = (lambda n: number_of(df, n)) if kind == "number" else (lambda n: date_of(df, n, formats))
-    counts = df.agg(
-        *[F.count_if(missing(df, n)).alias(f"{n} before") for n in present],
-        *[F.count_if(cast(n).isNull()).alias(f"{n} after") for n in present],
-    )
-    return stacked(
-        counts,
-        [(F.lit(n), F.col(f"`{n} before`"), F.col(f"`{n} after`")) for n in present],
-        ["column", "missing_before", "missing_after"],
-    ).select(
-        F.lit(dataset).alias("dataset"),
-        "column",
-        "missing_before",
-        "missing_after",
-        (F.col("missing_after") - F.col("missing_before")).alias(label),
+
+    def cast(name: str) -> str:
+        return number_of(df, name) if kind == "number" else date_of(df, name, formats)
+
+    counts = df.selectExpr(
+        *[f"count_if({missing(df, name)}) AS {quoted(name + ' before')}" for name in present],
+        *[f"count_if(({cast(name)}) IS NULL) AS {quoted(name + ' after')}" for name in present],
     )
+    rows = []
+    for name in present:
+        before, after = quoted(f"{name} before"), quoted(f"{name} after")
+        rows.append((literal(dataset), literal(name), before, after, f"{after} - {before}"))
+    return rows_of(counts, rows, ["dataset", "column", "missing_before", "missing_after", label])
 
 
-def missing(df: DataFrame, name: str) -> Column:
+def missing(df: DataFrame, name: str) -> str:
     """Null, or NaN in a floating-point column."""
-    column = F.col(f"`{name}`")
+    column = quoted(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
+        return f"{column} IS NULL OR isnan({column})"
+    return f"{column} IS NULL"
 
 
-def stacked(one_row: DataFrame, rows, names) -> DataFrame:
-    """Turn a one-row aggregate into one row per tuple of expressions."""
-    structs = [
-        F.struct(*[value.alias(name) for name, value in zip(names, row)]) for row in rows
-    ]
-    return one_row.select(F.inline(F.array(*structs)))
+STRICT_TYPES = {
+    "string": "string",
+    "date": "date",
+    "integer": "bigint",
+    "real": "double",
+    "boolean": "boolean",
+}
 
 
-def strict(column: Column, kind: str) -> Column:
+def strict(column: str, kind: str) -> str:
     """Typed value of non-empty text; null for empty text; an error for anything else."""
-    text = F.nullif(column, F.lit(""))
-
-    def only_if(valid: Column, value: Column) -> Column:
-        complaint = F.concat(F.lit(f"not a valid {kind}: "), text)
-        return (
-            F.when(text.isNull(), F.lit(None).cast(value_types[kind]))
-            .when(valid, value)
-            .otherwise(F.raise_error(complaint).cast(value_types[kind]))
-        )
-
-    value_types = {
-        "string": "string",
-        "date": "date",
-        "integer": "bigint",
-        "real": "double",
-        "boolean": "boolean",
-    }
+    text = f"nullif({column}, '')"
     trimmed = strip(text)
+    word = f"lower({trimmed})"
     if kind == "string":
         return text
-    if kind == "date":
-        parsed = text.try_cast("date")
-        return only_if(text.rlike(fixed.ISO_DATE_PATTERN) & parsed.isNotNull(), parsed)
-    if kind == "integer":
-        parsed = trimmed.try_cast("bigint")
-        return only_if(trimmed.rlike(fixed.INTEGER_PATTERN) & parsed.isNotNull(), parsed)
-    if kind == "real":
-        parsed = parse_number(text)
-        return only_if(parsed.isNotNull(), parsed)
-    if kind == "boolean":
-        word = F.lower(trimmed)
-        return only_if(word.isin("true", "false"), word == "true")
-    raise ValueError(f"unknown kind {kind!r}")
-
-
-def whole_number(column: Column) -> Column:
+    # (text that qualifies, its value)
+    accepted = {
+        "date": (f"{text} RLIKE r'{fixed.ISO_DATE_PATTERN}'", f"try_cast({text} AS date)"),
+        "integer": (f"{trimmed} RLIKE r'{fixed.INTEGER_PATTERN}'", f"try_cast({trimmed} AS bigint)"),
+        "real": ("true", parse_number(text)),
+        "boolean": (f"{word} IN ('true', 'false')", f"{word} = 'true'"),
+    }
+    if kind not in accepted:
+        raise ValueError(f"unknown kind {kind!r}")
+    qualifies, value = accepted[kind]
+    complaint = f"raise_error(concat('not a valid {kind}: ', {text}))"
+    return (
+        f"CASE WHEN {text} IS NULL THEN NULL WHEN {qualifies} AND ({value}) IS NOT NULL THEN {value} "
+        f"ELSE CAST({complaint} AS {STRICT_TYPES[kind]}) END"
+    )
+
+
+def whole_number(column: str) -> str:
     """A double holding a whole number as bigint; a fraction is an error."""
-    return F.when(column.isNull() | (column == F.floor(column)), column.cast("bigint")).otherwise(
-        F.raise_error(F.concat(F.lit("not a whole number: "), column.cast("string"))).cast("bigint")
+    complaint = f"raise_error(concat('not a whole number: ', string({column})))"
+    return (
+        f"CASE WHEN {column} IS NULL OR {column} = floor({column}) THEN bigint({column}) "
+        f"ELSE CAST({complaint} AS bigint) END"
     )

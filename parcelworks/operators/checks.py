@@ -3,11 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from parcelworks import fixed
-from parcelworks.functions.casts import clean_text, stacked
-from parcelworks.functions.logic import any_of
+from parcelworks.functions.casts import clean_text
+from parcelworks.functions.logic import any_of, literal, quoted, rows_of
 
 CHECK_COLUMNS = ["check", "observed", "expected", "passed"]
 
@@ -16,33 +16,28 @@ class CheckFailed(ValueError):
     """At least one check row did not pass."""
 
 
-def check_rows(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
+def check_rows(df: DataFrame, checks: dict[str, tuple[str, str]]) -> DataFrame:
     """All checks ``name: (observed aggregate, expected aggregate)`` of one input, in one pass."""
-    totals = df.agg(
-        *[value.cast("bigint").alias(f"{name} observed") for name, (value, _) in checks.items()],
-        *[value.cast("bigint").alias(f"{name} expected") for name, (_, value) in checks.items()],
+    totals = df.selectExpr(
+        *[f"bigint({observed}) AS observed{place}" for place, (observed, _) in enumerate(checks.values())],
+        *[f"bigint({expected}) AS expected{place}" for place, (_, expected) in enumerate(checks.values())],
     )
-    rows = []
-    for name in checks:
-        observed, expected = F.col(f"`{name} observed`"), F.col(f"`{name} expected`")
-        rows.append((F.lit(name), observed, expected, observed.eqNullSafe(expected)))
-    return stacked(totals, rows, CHECK_COLUMNS)
+    rows = [
+        (literal(name), f"observed{place}", f"expected{place}", f"observed{place} <=> expected{place}")
+        for place, name in enumerate(checks)
+    ]
+    return rows_of(totals, rows, CHECK_COLUMNS)
 
 
 def enforce(*checks: DataFrame) -> None:
     """Raise with every check row that did not pass."""
-    failed = reduce(lambda a, b: a.unionByName(b), checks).filter(~F.col("passed")).collect()
+    failed = reduce(lambda a, b: a.unionByName(b), checks).filter("NOT passed").collect()
     if failed:
         raise CheckFailed(
             "; ".join(f"{row.check}: observed {row.observed}, expected {row.expected}" for row in failed)
         )
 
 
-def zero() -> Column:
-    """An expected count of none, as an aggregate."""
-    return F.count_if(F.lit(False))
-
-
 def only_category(
     df: DataFrame,
     dataset: str,
@@ -51,45 +46,38 @@ def only_category(
     trimmed: bool = False,
 ) -> DataFrame:
     """Every present value of the column is ``value``, and there is at least one."""
-    held = clean_text(F.col(column)) if trimmed else F.col(column)
+    held = clean_text(quoted(column)) if trimmed else quoted(column)
     return check_rows(
         df,
         {
-            f"{dataset} rows of another {column}": (F.count_if(held != value), zero()),
+            f"{dataset} rows of another {column}": (f"count_if({held} <> {literal(value)})", "0"),
             f"{dataset} has a {value} row": (
-                F.max(F.when(held == value, 1).otherwise(0)),
-                F.max(F.lit(1)),
+                f"coalesce(max(int({held} = {literal(value)})), 0)",
+                "1",
             ),
         },
     )
 
 
-def no_rule_broken(df: DataFrame, dataset: str, predicates: Sequence[Column]) -> DataFrame:
+def no_rule_broken(df: DataFrame, dataset: str, predicates: Sequence[str]) -> DataFrame:
     """No row of a cleaned table still breaks a removal rule."""
-    return check_rows(
-        df, {f"{dataset} rows breaking a rule": (F.count_if(any_of(predicates)), zero())}
-    )
+    return check_rows(df, {f"{dataset} rows breaking a rule": (f"count_if({any_of(predicates)})", "0")})
 
 
 def dates_present(df: DataFrame, dataset: str, column: str) -> DataFrame:
     """The date is never missing."""
-    return check_rows(
-        df, {f"{dataset} rows without {column}": (F.count_if(F.col(column).isNull()), zero())}
-    )
+    return check_rows(df, {f"{dataset} rows without {column}": (f"count_if({quoted(column)} IS NULL)", "0")})
 
 
 def same_row_count(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     """Two tables have equally many rows."""
-    sides = left.select(F.lit(1).alias("side")).unionByName(right.select(F.lit(2).alias("side")))
-    return check_rows(
-        sides, {name: (F.count_if(F.col("side") == 1), F.count_if(F.col("side") == 2))}
-    )
+    sides = left.selectExpr("1 AS side").unionByName(right.selectExpr("2 AS side"))
+    return check_rows(sides, {name: ("count_if(side = 1)", "count_if(side = 2)")})
 
 
 def unique_key(df: DataFrame, name: str, *key: str) -> DataFrame:
     """No key value occurs twice, so that a join on it keeps the number of left rows."""
-    repeated = df.groupBy(*key).count()
-    return check_rows(repeated, {name: (F.count_if(F.col("count") > 1), zero())})
+    return check_rows(df.groupBy(*key).count(), {name: ("count_if(count > 1)", "0")})
 
 
 def require_columns(df: DataFrame, names: Sequence[str], dataset: str) -> DataFrame:

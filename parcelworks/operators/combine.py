@@ -3,10 +3,10 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
-from parcelworks.functions.logic import percent
+from parcelworks.functions.logic import literal, percent, quoted
 from parcelworks.operators.checks import check_rows
 from parcelworks.sources.manifest import version_of
 
@@ -16,8 +16,8 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def of_category(column: str = fixed.CATEGORY_COLUMN, value: str = fixed.CATEGORY) -> Column:
-    return F.col(column) == value
+def of_category(column: str = fixed.CATEGORY_COLUMN, value: str = fixed.CATEGORY) -> str:
+    return f"{quoted(column)} = {literal(value)}"
 
 
 def keep_category(
@@ -31,50 +31,51 @@ def category_distribution(
     df: DataFrame, dataset: str, column: str = fixed.CATEGORY_COLUMN
 ) -> DataFrame:
     """Rows and percent per value; missing values count under a label of their own."""
-    counted = df.groupBy(
-        F.coalesce(F.col(column), F.lit(fixed.MISSING_LABEL)).alias(column)
-    ).agg(F.count("*").alias("row_count"))
-    total = counted.agg(F.sum("row_count")).scalar()
-    return counted.select(
-        F.lit(dataset).alias("dataset"),
-        column,
+    labelled = df.selectExpr(f"coalesce({quoted(column)}, {literal(fixed.MISSING_LABEL)}) AS {quoted(column)}")
+    counted = labelled.groupBy(column).count().withColumnRenamed("count", "row_count")
+    total = counted.groupBy().sum("row_count").scalar().alias("total")
+    return counted.select("*", total).selectExpr(
+        f"{literal(dataset)} AS dataset",
+        quoted(column),
         "row_count",
-        percent(F.col("row_count"), total, 4).alias("percent_of_dataset"),
+        f"{percent('row_count', 'total', 4)} AS percent_of_dataset",
     )
 
 
 def source_manifest(df: DataFrame, dataset: str) -> DataFrame:
     """Rows and category rows per source file."""
-    return df.groupBy(
-        F.lit(dataset).alias("dataset"),
-        F.col("SourceMonth").alias("source_month"),
-        F.col("SourceFile").alias("source_file"),
-    ).agg(
-        F.first(version_of(F.col("SourceFile"))).alias("source_version"),
-        F.count("*").alias("rows_read"),
-        F.count_if(of_category()).alias("residential_rows"),
+    counted = df.groupBy("SourceMonth", "SourceFile").agg(
+        F.expr("count(*) AS rows_read"), F.expr(f"count_if({of_category()}) AS residential_rows")
+    )
+    return counted.selectExpr(
+        f"{literal(dataset)} AS dataset",
+        "SourceMonth AS source_month",
+        "SourceFile AS source_file",
+        f"{version_of('SourceFile')} AS source_version",
+        "rows_read",
+        "residential_rows",
     )
 
 
 def aggregation_summary(manifest: DataFrame) -> DataFrame:
-    """Months, files and row totals of a dataset, from its manifest."""
-    return manifest.groupBy("dataset").agg(
-        F.min("source_month").alias("first_month"),
-        F.max("source_month").alias("last_month"),
-        F.count("*").alias("monthly_files_used"),
-        F.sum("rows_read").alias("rows_before_concat"),
-        F.sum("rows_read").alias("rows_after_concat"),
-        F.sum("rows_read").alias("rows_before_residential_filter"),
-        F.sum("residential_rows").alias("rows_after_residential_filter"),
-    )
+    """Months, files and row totals of each dataset, from its manifest."""
+    totals = [
+        "min(source_month) AS first_month",
+        "max(source_month) AS last_month",
+        "count(*) AS monthly_files_used",
+        "sum(rows_read) AS rows_before_concat",
+        "sum(rows_read) AS rows_after_concat",
+        "sum(rows_read) AS rows_before_residential_filter",
+        "sum(residential_rows) AS rows_after_residential_filter",
+    ]
+    return manifest.groupBy("dataset").agg(*[F.expr(text) for text in totals])
 
 
 def parts_reconcile(combined: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
     """The files' row counts add up to the rows of the combined table."""
-    sides = combined.select(F.lit(1).alias("rows"), F.lit(0).alias("parts")).unionByName(
-        manifest.select(F.lit(0).alias("rows"), F.col("rows_read").alias("parts"))
+    sides = combined.selectExpr("1L AS rows", "0L AS parts").unionByName(
+        manifest.selectExpr("0L AS rows", "rows_read AS parts")
     )
     return check_rows(
-        sides, {f"{dataset} combined rows equal the files' rows": (F.sum("rows"), F.sum("parts"))}
+        sides, {f"{dataset} combined rows equal the files' rows": ("sum(rows)", "sum(parts)")}
     )
-

@@ -6,11 +6,11 @@ schema work; the audit of all pairs is one aggregation.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import parse_number, strip
-from parcelworks.functions.logic import holds
+from parcelworks.functions.logic import holds, literal, quoted, rows_of
 from parcelworks.operators.checks import CheckFailed
 
 CLASSES = [
@@ -31,22 +31,19 @@ def copies(columns: Sequence[str]) -> list[tuple[str, str]]:
     return pairs
 
 
-def _named(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
-def _value_before(pairs: Sequence[tuple[str, str]], place: int) -> Column:
+def _value_before(pairs: Sequence[tuple[str, str]], place: int) -> str:
     """The column as it stands once the copies before this one have filled its gaps."""
     original = pairs[place][0]
     earlier = [copy for name, copy in pairs[:place] if name == original]
-    return F.coalesce(*[_named(name) for name in [original, *earlier]])
+    return f"coalesce({', '.join(quoted(name) for name in [original, *earlier])})"
 
 
-def _same(left: Column, right: Column, numeric: bool) -> Column:
-    equal = holds(strip(left.cast("string")) == strip(right.cast("string")))
+def _same(left: str, right: str, numeric: bool) -> str:
+    left, right = f"string({left})", f"string({right})"
+    equal = holds(f"{strip(left)} = {strip(right)}")
     if numeric:
-        equal |= holds(parse_number(left.cast("string")) == parse_number(right.cast("string")))
-    return equal
+        equal += " OR " + holds(f"{parse_number(left)} = {parse_number(right)}")
+    return f"({equal})"
 
 
 def audit(
@@ -60,40 +57,36 @@ def audit(
     pairs = copies(df.columns)
     if not pairs:
         raise ValueError(f"{dataset} has no repeated columns")
-    counts = [F.count("*").alias("rows_checked")]
+    counts, rows = ["count(*) AS rows_checked"], []
     for place, (original, copy) in enumerate(pairs):
-        left, right = _value_before(pairs, place), _named(copy)
+        left, right = _value_before(pairs, place), quoted(copy)
         equal = _same(left, right, original in numeric)
         classes = [
-            (left.isNull() & right.isNull()) | equal,
-            left.isNotNull() & right.isNull(),
-            left.isNull() & right.isNotNull(),
-            left.isNotNull() & right.isNotNull() & ~equal,
-        ]
-        counts += [F.count_if(rule).alias(f"{place} {name}") for rule, name in zip(classes, CLASSES)]
-    per_file = df.groupBy(F.col(month).alias("source_month"), F.col(file).alias("source_file")).agg(*counts)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(original).alias("original_column"),
-                F.lit(copy).alias("duplicate_column"),
-                "rows_checked",
-                *[F.col(f"{place} {name}").alias(name) for name in CLASSES],
-            )
-            for place, (original, copy) in enumerate(pairs)
+            f"({left} IS NULL AND {right} IS NULL) OR {equal}",
+            f"{left} IS NOT NULL AND {right} IS NULL",
+            f"{left} IS NULL AND {right} IS NOT NULL",
+            f"{left} IS NOT NULL AND {right} IS NOT NULL AND NOT {equal}",
         ]
-    )
-    return per_file.select(
-        F.lit(dataset).alias("dataset"), "source_month", "source_file", F.inline(rows)
+        named = [f"{name}_{place}" for name in CLASSES]
+        counts += [f"count_if({rule}) AS {name}" for rule, name in zip(classes, named)]
+        rows.append((literal(original), literal(copy), "rows_checked", *named))
+    per_file = df.groupBy(month, file).agg(*[F.expr(text) for text in counts])
+    return rows_of(
+        per_file,
+        rows,
+        ["original_column", "duplicate_column", "rows_checked", *CLASSES],
+        f"{literal(dataset)} AS dataset",
+        f"{quoted(month)} AS source_month",
+        f"{quoted(file)} AS source_file",
     )
 
 
 def audit_totals(audited: DataFrame) -> DataFrame:
     """Distinct pairs, conflicts kept and values recovered over all files."""
-    return audited.agg(
-        F.count_distinct("original_column", "duplicate_column").alias("duplicate_pairs"),
-        F.sum("conflicting_non_null_rows_kept_canonical").alias("conflicts_kept"),
-        F.sum("duplicate_only_rows_recovered").alias("values_recovered"),
+    return audited.selectExpr(
+        "count(DISTINCT original_column, duplicate_column) AS duplicate_pairs",
+        "sum(conflicting_non_null_rows_kept_canonical) AS conflicts_kept",
+        "sum(duplicate_only_rows_recovered) AS values_recovered",
     )
 
 
@@ -103,9 +96,13 @@ def merged(df: DataFrame) -> DataFrame:
     dropped = {copy for _, copy in pairs}
     fills = {}
     for place, (original, copy) in enumerate(pairs):
-        fills[original] = F.coalesce(_value_before(pairs, place), _named(copy))
-    result = df.select(
-        *[fills.get(name, _named(name)).alias(name) for name in df.columns if name not in dropped]
+        fills[original] = f"coalesce({_value_before(pairs, place)}, {quoted(copy)})"
+    result = df.selectExpr(
+        *[
+            f"{fills.get(name, quoted(name))} AS {quoted(name)}"
+            for name in df.columns
+            if name not in dropped
+        ]
     )
     left = copies(result.columns)
     if left:

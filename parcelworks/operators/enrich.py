@@ -4,33 +4,31 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import date_of
-from parcelworks.functions.logic import year_month
-from parcelworks.operators.checks import check_rows, unique_key, zero
+from parcelworks.functions.logic import literal, quoted, with_exprs, year_month
+from parcelworks.operators.checks import check_rows, unique_key
 
 MONTH = "year_month"
+RATE = fixed.RATE_COLUMN
 
 
 def monthly_rates(observed: DataFrame) -> DataFrame:
     """Mean rate and number of observations per calendar month."""
-    return observed.groupBy(year_month(F.col("date")).alias(MONTH)).agg(
-        F.avg(fixed.RATE_COLUMN).alias(fixed.RATE_COLUMN),
-        F.count("*").alias("weekly_observation_count"),
+    months = observed.selectExpr(f"{year_month('date')} AS {MONTH}", RATE)
+    return months.groupBy(MONTH).agg(
+        F.expr(f"avg({RATE}) AS {RATE}"), F.expr("count(*) AS weekly_observation_count")
     )
 
 
 def rate_series(monthly: DataFrame, last_month: str, first_month: str = fixed.FIRST_RATE_MONTH) -> DataFrame:
     """Months of the charted window with their first day, in order."""
-    return (
-        monthly.filter(F.col(MONTH).between(first_month, last_month))
-        .withColumn("date", F.to_date(F.concat(F.col(MONTH), F.lit("-01"))))
-        .orderBy(MONTH)
-    )
+    window = f"{MONTH} BETWEEN {literal(first_month)} AND {literal(last_month)}"
+    return monthly.filter(window).selectExpr("*", f"date(concat({MONTH}, '-01')) AS date").orderBy(MONTH)
 
 
 def dated(df: DataFrame, date_column: str) -> DataFrame:
     """Rows with a valid date, and their month as text."""
-    valid = df.withColumn(date_column, date_of(df, date_column)).dropna(subset=[date_column])
-    return valid.withColumn(MONTH, year_month(F.col(date_column)))
+    valid = with_exprs(df, {date_column: date_of(df, date_column)}).dropna(subset=[date_column])
+    return with_exprs(valid, {MONTH: year_month(quoted(date_column))})
 
 
 def with_rates(df: DataFrame, date_column: str, monthly: DataFrame) -> DataFrame:
@@ -44,33 +42,29 @@ def with_rates(df: DataFrame, date_column: str, monthly: DataFrame) -> DataFrame
 
 def rate_keys_unique(monthly: DataFrame) -> DataFrame:
     """Check that no month occurs twice, so the join cannot multiply rows."""
-    return unique_key(monthly, f"months repeated in the rate table", MONTH)
+    return unique_key(monthly, "months repeated in the rate table", MONTH)
 
 
 def unmatched_months(df: DataFrame, date_column: str, monthly: DataFrame) -> DataFrame:
-    """Months of the records that have no rate, with their rows."""
-    months = dated(df, date_column).groupBy(MONTH).agg(F.count("*").alias("rows"))
-    present = monthly.filter(F.col(fixed.RATE_COLUMN).isNotNull())
+    """Months of the records that have no rate, with their rows, in order."""
+    months = dated(df, date_column).groupBy(MONTH).count().withColumnRenamed("count", "rows")
+    present = monthly.filter(f"{RATE} IS NOT NULL")
     return months.join(F.broadcast(present), MONTH, "left_anti").orderBy(MONTH)
 
 
 def all_matched(enriched: DataFrame, dataset: str) -> DataFrame:
     """Check that every enriched row has a rate."""
-    return check_rows(
-        enriched,
-        {f"{dataset} rows without a rate": (F.count_if(F.col(fixed.RATE_COLUMN).isNull()), zero())},
-    )
+    return check_rows(enriched, {f"{dataset} rows without a rate": (f"count_if({RATE} IS NULL)", "0")})
 
 
 def join_quality(df: DataFrame, date_column: str, monthly: DataFrame, dataset: str) -> DataFrame:
     """Rows before and after the date check, and rows left without a rate, in one pass."""
-    keyed = df.select(date_of(df, date_column).alias(date_column))
-    keyed = keyed.withColumn(MONTH, year_month(F.col(date_column)))
-    joined = keyed.join(F.broadcast(monthly), MONTH, "left")
-    has_date = F.col(date_column).isNotNull()
-    return joined.agg(
-        F.count("*").alias("rows_before_date_validation"),
-        F.count_if(~has_date).alias("invalid_or_missing_date_rows_removed"),
-        F.count_if(has_date).alias("rows_after_date_validation"),
-        F.count_if(has_date & F.col(fixed.RATE_COLUMN).isNull()).alias("rows_without_mortgage_rate"),
-    ).select(F.lit(dataset).alias("dataset"), F.lit(date_column).alias("date_column"), "*")
+    keyed = df.selectExpr(f"{year_month(date_of(df, date_column))} AS {MONTH}")
+    return keyed.join(F.broadcast(monthly), MONTH, "left").selectExpr(
+        f"{literal(dataset)} AS dataset",
+        f"{literal(date_column)} AS date_column",
+        "count(*) AS rows_before_date_validation",
+        f"count_if({MONTH} IS NULL) AS invalid_or_missing_date_rows_removed",
+        f"count({MONTH}) AS rows_after_date_validation",
+        f"count_if({MONTH} IS NOT NULL AND {RATE} IS NULL) AS rows_without_mortgage_rate",
+    )

@@ -2,12 +2,13 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coerce
+from parcelworks.functions.logic import literal, quoted, with_exprs
 from parcelworks.operators.metrics import calendar_fields
-from parcelworks.operators.outliers import with_ratio_quality
+from parcelworks.operators.outliers import Pair, with_ratio_quality
 
 EVENT_COLUMNS = list(fixed.EVENT_SCHEMA)
 DEDUPE_KEY = ["SourceDataset", "EventId"]
@@ -15,114 +16,105 @@ DEDUPE_KEY = ["SourceDataset", "EventId"]
 
 def standardize_dimensions(df: DataFrame, columns: Sequence[str] = fixed.DIMENSION_COLUMNS) -> DataFrame:
     """Clean text in every dimension; a postal code loses a trailing ``.0``."""
-    cleaned = {name: clean_text(F.col(name)) for name in columns}
+    cleaned = {name: clean_text(quoted(name)) for name in columns}
     if "PostalCode" in cleaned:
-        cleaned["PostalCode"] = F.regexp_replace(cleaned["PostalCode"], r"\.0$", "")
-    return df.withColumns(cleaned)
+        cleaned["PostalCode"] = rf"regexp_replace({cleaned['PostalCode']}, r'\.0$', '')"
+    return with_exprs(df, cleaned)
 
 
-def event_id(event_type: str, key: Column, date: Column) -> Column:
+def event_id(event_type: str, key: str, date: str) -> str:
     """Type, key and day in one text; null when the key is missing."""
-    bar = F.lit(fixed.EVENT_ID_SEPARATOR)
-    return F.concat(F.lit(event_type), bar, clean_text(key), bar, F.date_format(date, "yyyy-MM-dd"))
+    bar = literal(fixed.EVENT_ID_SEPARATOR)
+    return f"concat({literal(event_type)}, {bar}, {clean_text(key)}, {bar}, date_format({date}, 'yyyy-MM-dd'))"
 
 
-def agent_name(full: Column, first: Column, last: Column) -> Column:
+def agent_name(full: str, first: str, last: str) -> str:
     """The full name, else first and last name, else null."""
-    either = F.concat_ws(" ", clean_text(first), clean_text(last))
-    return F.coalesce(clean_text(full), clean_text(either))
+    either = f"concat_ws(' ', {clean_text(first)}, {clean_text(last)})"
+    return f"coalesce({clean_text(full)}, {clean_text(either)})"
 
 
 def with_event_date(df: DataFrame, date_column: str) -> DataFrame:
     dated = coerce(df, dates=[date_column])
-    return calendar_fields(dated.withColumn("EventDate", F.col(date_column).cast("date")), "EventDate")
+    return calendar_fields(with_exprs(dated, {"EventDate": f"date({quoted(date_column)})"}), "EventDate")
 
 
 def _as_event(df: DataFrame, event_type: str, source: str, carry: Sequence[str]) -> DataFrame:
     is_sale = int(event_type == fixed.CLOSED_SALE)
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
-            "EventType": F.lit(event_type),
-            "EventId": event_id(event_type, F.col("ListingKey"), F.col("EventDate")),
-            "NewListings": F.lit(1 - is_sale),
-            "ClosedSales": F.lit(is_sale),
-            "RecordCount": F.lit(1),
-            "SourceDataset": F.lit(source),
-        }
+            "EventType": literal(event_type),
+            "EventId": event_id(event_type, "ListingKey", "EventDate"),
+            "NewListings": f"{1 - is_sale}",
+            "ClosedSales": f"{is_sale}",
+            "RecordCount": "1",
+            "SourceDataset": literal(source),
+        },
     ).select(*EVENT_COLUMNS, *carry)
 
 
+def _prepared_sales(sold: DataFrame, ratio_bounds: Pair) -> DataFrame:
+    return with_ratio_quality(with_event_date(standardize_dimensions(sold), "CloseDate"), ratio_bounds)
+
+
 def sale_events(
-    sold: DataFrame,
-    ratio_bounds: tuple[float | None, float | None],
-    carry: Sequence[str] = (),
-    source: str = fixed.SOLD_SOURCE,
+    sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = (), source: str = fixed.SOLD_SOURCE
 ) -> DataFrame:
     """A closed-sale event per sold row; ``carry`` keeps columns that order duplicates."""
-    prepared = with_ratio_quality(with_event_date(standardize_dimensions(sold), "CloseDate"), ratio_bounds)
-    return _as_event(prepared, fixed.CLOSED_SALE, source, carry)
+    return _as_event(_prepared_sales(sold, ratio_bounds), fixed.CLOSED_SALE, source, carry)
 
 
 def listing_events(
     listings: DataFrame, carry: Sequence[str] = (), source: str = fixed.LISTING_SOURCE
 ) -> DataFrame:
     """A new-listing event per listing row, without any sale measure."""
-    no_measure = F.lit(None).cast("double")
-    prepared = with_event_date(standardize_dimensions(listings), "ListingContractDate").withColumns(
-        {
-            "ClosePrice": no_measure,
-            "DaysOnMarket": no_measure,
-            "CloseToOriginalListRatio": no_measure,
-            "PricePerSqFt": no_measure,
-            "CloseToOriginalListRatioOutlierFlag": F.lit(False),
-            "CloseToOriginalListRatioEligible": F.lit(False),
-        }
+    measures = ["ClosePrice", "DaysOnMarket", "CloseToOriginalListRatio", "PricePerSqFt"]
+    flags = ["CloseToOriginalListRatioOutlierFlag", "CloseToOriginalListRatioEligible"]
+    prepared = with_exprs(
+        with_event_date(standardize_dimensions(listings), "ListingContractDate"),
+        {name: "double(NULL)" for name in measures} | {name: "false" for name in flags},
     )
     return _as_event(prepared, fixed.NEW_LISTING, source, carry)
 
 
-def sale_records(
-    sold: DataFrame,
-    ratio_bounds: tuple[float | None, float | None],
-    carry: Sequence[str] = (),
-) -> DataFrame:
+def sale_records(sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = ()) -> DataFrame:
     """Sales with seller names, volume and units, one per sold row."""
-    prepared = with_ratio_quality(with_event_date(standardize_dimensions(sold), "CloseDate"), ratio_bounds)
-    return prepared.withColumns(
+    return with_exprs(
+        _prepared_sales(sold, ratio_bounds),
         {
-            "EventId": event_id(fixed.CLOSED_SALE, F.col("ListingKey"), F.col("EventDate")),
-            "ListAgentFullName": agent_name(
-                F.col("ListAgentFullName"), F.col("ListAgentFirstName"), F.col("ListAgentLastName")
-            ),
-            "ListOfficeName": clean_text(F.col("ListOfficeName")),
-            "BuyerOfficeName": clean_text(F.col("BuyerOfficeName")),
-            "CloseDate": F.col("EventDate"),
-            "SalesVolume": F.col("ClosePrice"),
-            "UnitsSold": F.lit(1),
-        }
+            "EventId": event_id(fixed.CLOSED_SALE, "ListingKey", "EventDate"),
+            "ListAgentFullName": agent_name("ListAgentFullName", "ListAgentFirstName", "ListAgentLastName"),
+            "ListOfficeName": clean_text("ListOfficeName"),
+            "BuyerOfficeName": clean_text("BuyerOfficeName"),
+            "CloseDate": "EventDate",
+            "SalesVolume": "ClosePrice",
+            "UnitsSold": "1",
+        },
     ).select(*fixed.SALE_COLUMNS, *carry)
 
 
-def first_of_each(df: DataFrame, key: Sequence[str], order) -> DataFrame:
+def first_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key in the given total order; a missing key is one key.
 
     Spark keeps one row per key in each task before it shuffles (window group limit), so a key
     that repeats very often sends one row per task.
     """
-    place = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("place", F.row_number().over(place)).filter("place = 1").drop("place")
+    keys, by = ", ".join(map(quoted, key)), ", ".join(map(quoted, order))
+    placed = df.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS place")
+    return placed.filter("place = 1").drop("place")
 
 
 def dedupe_counts(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:
     """Rows in, kept and removed per source, and rows whose identity is missing."""
-    per_key = events.groupBy(*key).agg(F.count("*").alias("rows"))
-    no_id = F.when(F.col(key[-1]).isNull(), F.col("rows")).otherwise(0)
-    return per_key.groupBy(*key[:-1]).agg(
-        F.sum("rows").alias("rows_in"),
-        F.count("*").alias("rows_kept"),
-        (F.sum("rows") - F.count("*")).alias("rows_removed"),
-        F.sum(no_id).alias("rows_without_id"),
-    )
+    per_key = events.groupBy(*key).count()
+    totals = [
+        "sum(count) AS rows_in",
+        "count(*) AS rows_kept",
+        "sum(count) - count(*) AS rows_removed",
+        f"sum(CASE WHEN {quoted(key[-1])} IS NULL THEN count ELSE 0 END) AS rows_without_id",
+    ]
+    return per_key.groupBy(*key[:-1]).agg(*[F.expr(text) for text in totals])
 
 
 def not_yet_published(events: DataFrame, published: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:

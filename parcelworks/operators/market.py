@@ -2,11 +2,14 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
+from parcelworks.functions.logic import in_list, literal, number, quoted
+from parcelworks.operators.outliers import Pair
 from parcelworks.operators.quantiles import every_group_median, grouped_median
 
+# name: (column, aggregation, closed sales only)
 MEASURES = {
     "measure_median_close_price": ("ClosePrice", "median", True),
     "measure_average_days_on_market": ("DaysOnMarket", "average", True),
@@ -16,38 +19,36 @@ MEASURES = {
 }
 
 
-def sum_or_zero(column: str) -> Column:
+def sum_or_zero(column: str) -> str:
     """A sum that is zero, not null, over no values."""
-    return F.coalesce(F.sum(column), F.lit(0))
+    return f"coalesce(sum({column}), 0)"
+
+
+VOLUMES = [f"{sum_or_zero(name)} AS {name}" for name in ("NewListings", "ClosedSales")]
 
 
 def monthly_summary(events: DataFrame) -> DataFrame:
     """Counts, exact median price, mean days and mean ratio per month, in order."""
-    totals = events.groupBy("YrMo").agg(
-        sum_or_zero("NewListings").alias("NewListings"),
-        sum_or_zero("ClosedSales").alias("ClosedSales"),
-        F.avg("DaysOnMarket").alias("AverageDaysOnMarket"),
-        F.avg("CloseToOriginalListRatio").alias("AverageCloseToOriginalListRatio"),
-    )
+    means = [
+        "avg(DaysOnMarket) AS AverageDaysOnMarket",
+        "avg(CloseToOriginalListRatio) AS AverageCloseToOriginalListRatio",
+    ]
+    totals = events.groupBy("YrMo").agg(*[F.expr(text) for text in [*VOLUMES, *means]])
     medians = grouped_median(events, "ClosePrice", ["YrMo"], "MedianClosePrice")
-    return with_low_volume(totals.join(medians, "YrMo", "left")).select(
+    summary = totals.join(medians, "YrMo", "left").select(
         "YrMo",
         "NewListings",
         "ClosedSales",
         "MedianClosePrice",
         "AverageDaysOnMarket",
         "AverageCloseToOriginalListRatio",
-        "NewListingsLowVolumeFlag",
-        "ClosedSalesLowVolumeFlag",
-    ).orderBy("YrMo")
+    )
+    return with_low_volume(summary).orderBy("YrMo")
 
 
 def monthly_volumes(events: DataFrame) -> DataFrame:
     """New listings and closed sales per month."""
-    return events.groupBy("YrMo").agg(
-        sum_or_zero("NewListings").alias("NewListings"),
-        sum_or_zero("ClosedSales").alias("ClosedSales"),
-    )
+    return events.groupBy("YrMo").agg(*[F.expr(text) for text in VOLUMES])
 
 
 def with_low_volume(monthly: DataFrame, share: float = fixed.LOW_VOLUME_SHARE) -> DataFrame:
@@ -55,26 +56,22 @@ def with_low_volume(monthly: DataFrame, share: float = fixed.LOW_VOLUME_SHARE) -
 
     The input has one row per calendar month, so one window over all of them stays small.
     """
-    every_month = Window.partitionBy()
-
-    def low(column: str) -> Column:
-        typical = F.percentile(column, 0.5).over(every_month)
-        return F.col(column) < typical * share
-
-    return monthly.withColumns(
-        {
-            "NewListingsLowVolumeFlag": low("NewListings"),
-            "ClosedSalesLowVolumeFlag": low("ClosedSales"),
-        }
+    return monthly.selectExpr(
+        "*",
+        *[
+            f"{name} < percentile({name}, 0.5) OVER () * {share}D AS {name}LowVolumeFlag"
+            for name in ("NewListings", "ClosedSales")
+        ],
     )
 
 
 def top_sellers(sales: DataFrame, by: str, top: int = fixed.TOP_SELLERS) -> DataFrame:
     """Names with the largest sales volume, then units, then name; missing names are left out."""
+    sums = [f"sum({name}) AS {name}" for name in ("SalesVolume", "UnitsSold")]
     return (
-        sales.filter(F.col(by).isNotNull())
+        sales.filter(f"{quoted(by)} IS NOT NULL")
         .groupBy(by)
-        .agg(F.sum("SalesVolume").alias("SalesVolume"), F.sum("UnitsSold").alias("UnitsSold"))
+        .agg(*[F.expr(text) for text in sums])
         .orderBy(F.desc("SalesVolume"), F.desc("UnitsSold"), by)
         .limit(top)
     )
@@ -83,7 +80,7 @@ def top_sellers(sales: DataFrame, by: str, top: int = fixed.TOP_SELLERS) -> Data
 def sliced(events: DataFrame, slicers: Mapping[str, Sequence[str]]) -> DataFrame:
     """Events whose columns take one of the chosen values; a column not named is not restricted."""
     for column, values in slicers.items():
-        events = events.filter(F.col(column).isin(*values))
+        events = events.filter(f"{quoted(column)} IN ({in_list(values)})")
     return events
 
 
@@ -97,83 +94,76 @@ def measure_series(
     """One measure per month of the event date: median, average or sum."""
     chosen = sliced(events, slicers)
     if closed_only:
-        chosen = chosen.filter(F.col("EventType") == fixed.CLOSED_SALE)
-    by_month = chosen.select(F.trunc("EventDate", "month").alias("EventMonth"), measure)
-    months = by_month.groupBy("EventMonth")
-    if aggregation == "sum":
-        return months.agg(sum_or_zero(measure).alias(measure))
-    if aggregation == "average":
-        return months.agg(F.avg(measure).alias(measure))
+        chosen = chosen.filter(f"EventType = {literal(fixed.CLOSED_SALE)}")
+    by_month = chosen.selectExpr("trunc(EventDate, 'month') AS EventMonth", measure)
     if aggregation == "median":
         return every_group_median(by_month, measure, ["EventMonth"], measure)
-    raise ValueError(f"unknown aggregation {aggregation!r}")
+    uses = {"sum": sum_or_zero(measure), "average": f"avg({measure})"}
+    return by_month.groupBy("EventMonth").agg(F.expr(f"{uses[aggregation]} AS {measure}"))
 
 
 def publication_audit(
     counts: DataFrame,
     events: DataFrame,
     monthly: DataFrame,
-    sales_rows: DataFrame,
-    ratio_bounds: tuple[float | None, float | None],
+    sales: DataFrame,
+    ratio_bounds: Pair,
 ) -> DataFrame:
     """One row that reconciles inputs, removed duplicates, published events and months.
 
     ``counts`` is the result of ``dedupe_counts`` over both sources, ``events`` the published
-    events, ``monthly`` their summary and ``sales_rows`` the published sales.
+    events, ``monthly`` their volumes with low-volume flags and ``sales`` the published sales.
+    The four one-row results meet as scalar subqueries.
     """
 
-    def of(source: str, column: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("SourceDataset") == source, F.col(column))), F.lit(0))
-
-    sources = counts.agg(
-        of(fixed.SOLD_SOURCE, "rows_in").alias("sold_input_rows"),
-        of(fixed.LISTING_SOURCE, "rows_in").alias("listing_input_rows"),
-        of(fixed.SOLD_SOURCE, "rows_removed").alias("sold_exact_duplicates_removed"),
-        of(fixed.LISTING_SOURCE, "rows_removed").alias("listing_exact_duplicates_removed"),
-    )
-    published = events.agg(
-        F.count_if(F.col("EventType") == fixed.CLOSED_SALE).alias("closed_sale_events"),
-        F.count_if(F.col("EventType") == fixed.NEW_LISTING).alias("new_listing_events"),
-        F.count_if("CloseToOriginalListRatioOutlierFlag").alias("ratio_outlier_rows"),
-        F.count_if("CloseToOriginalListRatioEligible").alias("ratio_eligible_rows"),
-        F.count("*").alias("market_event_rows"),
-    )
+    def of(source: str, column: str) -> str:
+        return f"coalesce(sum(CASE WHEN SourceDataset = {literal(source)} THEN {column} END), 0)"
 
-    def low_months(flag: str) -> Column:
-        return F.array_join(F.array_sort(F.collect_list(F.when(F.col(flag), F.col("YrMo")))), ";")
+    def low_months(flag: str) -> str:
+        return f"array_join(array_sort(collect_list(CASE WHEN {flag} THEN YrMo END)), ';')"
 
-    calendar = monthly.agg(
-        F.count("*").alias("calendar_months"),
-        F.min("YrMo").alias("first_month"),
-        F.max("YrMo").alias("latest_month"),
-        low_months("NewListingsLowVolumeFlag").alias("low_new_listing_months"),
-        low_months("ClosedSalesLowVolumeFlag").alias("low_closed_sales_months"),
+    inputs = counts.selectExpr(
+        f"{of(fixed.SOLD_SOURCE, 'rows_in')} AS sold_input_rows",
+        f"{of(fixed.LISTING_SOURCE, 'rows_in')} AS listing_input_rows",
+        f"{of(fixed.SOLD_SOURCE, 'rows_removed')} AS sold_exact_duplicates_removed",
+        f"{of(fixed.LISTING_SOURCE, 'rows_removed')} AS listing_exact_duplicates_removed",
     )
-    sales = sales_rows.agg(F.count("*").alias("competitive_sales_rows"))
-    lower, upper = (F.lit(bound).cast("double") for bound in ratio_bounds)
-    joined = sources.select(
-        "*",
-        *[
-            part.select(F.struct("*")).scalar().alias(name)
-            for name, part in {"published": published, "calendar": calendar, "sales": sales}.items()
-        ],
-    ).select("*", "published.*", "calendar.*", "sales.*")
-    return joined.select(
+    parts = {
+        "published": events.selectExpr(
+            f"count_if(EventType = {literal(fixed.CLOSED_SALE)}) AS closed_sale_events",
+            f"count_if(EventType = {literal(fixed.NEW_LISTING)}) AS new_listing_events",
+            "count_if(CloseToOriginalListRatioOutlierFlag) AS ratio_outlier_rows",
+            "count_if(CloseToOriginalListRatioEligible) AS ratio_eligible_rows",
+            "count(*) AS market_event_rows",
+        ),
+        "calendar": monthly.selectExpr(
+            "count(*) AS calendar_months",
+            "min(YrMo) AS first_month",
+            "max(YrMo) AS latest_month",
+            f"{low_months('NewListingsLowVolumeFlag')} AS low_new_listing_months",
+            f"{low_months('ClosedSalesLowVolumeFlag')} AS low_closed_sales_months",
+        ),
+        "sold": sales.selectExpr("count(*) AS competitive_sales_rows"),
+    }
+    joined = inputs.select(
+        "*", *[part.select(F.struct("*")).scalar().alias(name) for name, part in parts.items()]
+    )
+    return joined.selectExpr(
         "sold_input_rows",
         "listing_input_rows",
-        "closed_sale_events",
-        "new_listing_events",
+        "published.closed_sale_events",
+        "published.new_listing_events",
         "sold_exact_duplicates_removed",
         "listing_exact_duplicates_removed",
-        "competitive_sales_rows",
-        "ratio_outlier_rows",
-        "ratio_eligible_rows",
-        "market_event_rows",
-        "calendar_months",
-        "first_month",
-        "latest_month",
-        lower.alias("ratio_iqr_lower_bound"),
-        upper.alias("ratio_iqr_upper_bound"),
-        "low_new_listing_months",
-        "low_closed_sales_months",
+        "sold.competitive_sales_rows",
+        "published.ratio_outlier_rows",
+        "published.ratio_eligible_rows",
+        "published.market_event_rows",
+        "calendar.calendar_months",
+        "calendar.first_month",
+        "calendar.latest_month",
+        f"{number(ratio_bounds[0])} AS ratio_iqr_lower_bound",
+        f"{number(ratio_bounds[1])} AS ratio_iqr_upper_bound",
+        "calendar.low_new_listing_months",
+        "calendar.low_closed_sales_months",
     )

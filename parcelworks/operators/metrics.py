@@ -1,10 +1,12 @@
 """Price and timeline metrics of sold records."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
-from parcelworks.functions.casts import elapsed_days, stacked
-from parcelworks.functions.logic import guarded_ratio, year_month
+from parcelworks.functions.casts import elapsed_days
+from parcelworks.functions.logic import guarded_ratio, literal, quoted, rows_of, with_exprs, year_month
 from parcelworks.operators.quantiles import grouped_median
 
 # eligibility flag of each metric
@@ -24,88 +26,73 @@ COVERAGE_LABELS = {
 
 def price_metrics(sold: DataFrame) -> DataFrame:
     """Sale price over original list price and per square foot, where the divisor is positive."""
-    ratio = guarded_ratio(F.col("ClosePrice"), F.col("OriginalListPrice"))
-    return sold.withColumns(
+    ratio = guarded_ratio("ClosePrice", "OriginalListPrice")
+    return with_exprs(
+        sold,
         {
             "PriceRatio": ratio,
             "CloseToOriginalListRatio": ratio,
-            "PricePerSqFt": guarded_ratio(F.col("ClosePrice"), F.col("LivingArea")),
-        }
+            "PricePerSqFt": guarded_ratio("ClosePrice", "LivingArea"),
+        },
     )
 
 
 def calendar_fields(df: DataFrame, date_column: str) -> DataFrame:
     """Year, month and ``yyyy-MM`` of a date."""
-    date = F.col(date_column)
-    return df.withColumns({"Year": F.year(date), "Month": F.month(date), "YrMo": year_month(date)})
+    date = quoted(date_column)
+    return with_exprs(df, {"Year": f"year({date})", "Month": f"month({date})", "YrMo": year_month(date)})
 
 
 def timeline_days(sold: DataFrame) -> DataFrame:
     """Days from listing to contract and from contract to close; may be negative."""
-    return sold.withColumns(
+    return with_exprs(
+        sold,
         {
             "ListingToContractDays": elapsed_days(sold, "ListingContractDate", "PurchaseContractDate"),
             "ContractToCloseDays": elapsed_days(sold, "PurchaseContractDate", "CloseDate"),
-        }
+        },
     )
 
 
 def eligibility_flags(sold: DataFrame) -> DataFrame:
     """Whether each metric is present."""
-    return sold.withColumns({flag: F.col(metric).isNotNull() for metric, flag in ELIGIBLE.items()})
+    return with_exprs(sold, {flag: f"{metric} IS NOT NULL" for metric, flag in ELIGIBLE.items()})
 
 
 def engineer(sold: DataFrame) -> DataFrame:
     """All metrics of a clean sold table."""
-    with_prices = calendar_fields(price_metrics(sold), "CloseDate")
-    return eligibility_flags(timeline_days(with_prices))
+    return eligibility_flags(timeline_days(calendar_fields(price_metrics(sold), "CloseDate")))
 
 
 def metric_coverage(engineered: DataFrame) -> DataFrame:
     """Populated and missing rows per metric, in one pass."""
-    counts = engineered.agg(
-        *[F.count(metric).alias(metric) for metric in ELIGIBLE], F.count("*").alias("rows in all")
-    )
-    return stacked(
-        counts,
-        [
-            (F.lit(label), F.col(metric), F.col("rows in all") - F.col(metric))
-            for metric, label in COVERAGE_LABELS.items()
-        ],
-        ["metric", "rows_populated", "rows_missing"],
-    )
+    counts = engineered.selectExpr("count(*) AS total", *[f"count({metric}) AS {metric}" for metric in ELIGIBLE])
+    rows = [(literal(label), metric, f"total - {metric}") for metric, label in COVERAGE_LABELS.items()]
+    return rows_of(counts, rows, ["metric", "rows_populated", "rows_missing"])
 
 
 def county_summary(engineered: DataFrame, by: str = "CountyOrParish") -> DataFrame:
     """Size, median price and mean metrics per county, largest first; a missing county is a group."""
-    means = engineered.groupBy(by).agg(
-        F.count("*").alias("Transactions"),
-        F.avg("PricePerSqFt").alias("AveragePricePerSqFt"),
-        F.avg("PriceRatio").alias("AveragePriceRatio"),
-        F.avg("DaysOnMarket").alias("AverageDaysOnMarket"),
-        F.avg("ListingToContractDays").alias("AverageListingToContractDays"),
-        F.avg("ContractToCloseDays").alias("AverageContractToCloseDays"),
-    )
-    medians = grouped_median(engineered, "ClosePrice", [by], "MedianClosePrice").withColumnRenamed(
-        by, "median of"
+    means = {
+        "AveragePricePerSqFt": "PricePerSqFt",
+        "AveragePriceRatio": "PriceRatio",
+        "AverageDaysOnMarket": "DaysOnMarket",
+        "AverageListingToContractDays": "ListingToContractDays",
+        "AverageContractToCloseDays": "ContractToCloseDays",
+    }
+    groups = engineered.groupBy(by).agg(
+        F.expr("count(*) AS Transactions"),
+        *[F.expr(f"avg({column}) AS {name}") for name, column in means.items()],
     )
+    medians = grouped_median(engineered, "ClosePrice", [by], "MedianClosePrice")
     return (
-        means.join(medians, F.col(by).eqNullSafe(F.col("median of")), "left")
-        .select(
-            by,
-            "Transactions",
-            "MedianClosePrice",
-            "AveragePricePerSqFt",
-            "AveragePriceRatio",
-            "AverageDaysOnMarket",
-            "AverageListingToContractDays",
-            "AverageContractToCloseDays",
-        )
+        groups.join(medians, groups[by].eqNullSafe(medians[by]), "left")
+        .select(groups[by], "Transactions", "MedianClosePrice", *means)
         .orderBy(F.desc("Transactions"), by)
     )
 
 
-def complete_sample(engineered: DataFrame, order, rows: int = fixed.SAMPLE_ROWS) -> DataFrame:
+def complete_sample(engineered: DataFrame, order: Sequence[str], rows: int = fixed.SAMPLE_ROWS) -> DataFrame:
     """The first rows, in the given order, that have every metric."""
     return (
         engineered.dropna(subset=list(ELIGIBLE)).orderBy(*order).limit(rows).select(*fixed.SAMPLE_COLUMNS)

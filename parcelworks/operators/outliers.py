@@ -6,23 +6,23 @@ numbers per field, used as literals by the passes that flag rows, in batch or on
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import number_of
-from parcelworks.functions.logic import any_of, holds
+from parcelworks.functions.logic import any_of, holds, in_list, number, quoted, with_exprs
 from parcelworks.operators.profile import iqr_bounds, iqr_counts, outside
 from parcelworks.operators.quantiles import quantiles, value_frequencies
 from parcelworks.sources.staging import staged
 
-Bounds = Mapping[str, tuple[float | None, float | None]]
+Pair = tuple[float | None, float | None]
+Bounds = Mapping[str, Pair]
 
 
 def iqr_summary(df: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> DataFrame:
     """Quartiles, bounds and outliers per field; percent of all rows, unrounded."""
     frequencies = staged(value_frequencies(df, fields), "outliers")
-    counts = iqr_counts(frequencies, iqr_bounds(frequencies))
-    return counts.select(
+    return iqr_counts(frequencies, iqr_bounds(frequencies)).selectExpr(
         "field",
         "rows_total",
         "rows_non_null",
@@ -33,7 +33,7 @@ def iqr_summary(df: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) ->
         "lower_bound",
         "upper_bound",
         "outlier_count",
-        (F.col("outlier_count") / F.col("rows_total") * 100).alias("outlier_pct"),
+        "outlier_count / rows_total * 100 AS outlier_pct",
     )
 
 
@@ -43,17 +43,13 @@ def bounds_table(
     multiplier: float = fixed.IQR_MULTIPLIER,
 ) -> DataFrame:
     """(field, lower_bound, upper_bound), one row per field."""
-    return iqr_bounds(value_frequencies(df, fields), multiplier).select(
-        "field", "lower_bound", "upper_bound"
-    )
+    return iqr_bounds(value_frequencies(df, fields), multiplier).select("field", "lower_bound", "upper_bound")
 
 
 def as_bounds(bounds: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> Bounds:
     """A bounds table as a mapping; as many rows as fields come to the driver."""
-    found = {
-        row.field: (row.lower_bound, row.upper_bound)
-        for row in bounds.filter(F.col("field").isin(*fields)).collect()
-    }
+    rows = bounds.filter(f"field IN ({in_list(fields)})").collect()
+    found = {row.field: (row.lower_bound, row.upper_bound) for row in rows}
     return {name: found.get(name, (None, None)) for name in fields}
 
 
@@ -69,34 +65,33 @@ def stored_bounds(spark: SparkSession, path: str, fields: Sequence[str] = fixed.
     return as_bounds(spark.read.parquet(path), fields)
 
 
-def _outlier(value: Column, bounds: tuple[float | None, float | None]) -> Column:
-    lower, upper = (F.lit(bound).cast("double") for bound in bounds)
-    return outside(value, lower, upper)
+def _outlier(value: str, bounds: Pair) -> str:
+    return outside(value, number(bounds[0]), number(bounds[1]))
 
 
 def with_outlier_flags(df: DataFrame, bounds: Bounds) -> DataFrame:
     """Outlier and business-rule flags, and whether a row is left out of analysis."""
     outlier = {f"{name}_outlier_flag": _outlier(number_of(df, name), pair) for name, pair in bounds.items()}
     invalid = {
-        "ClosePrice_invalid_flag": holds(number_of(df, "ClosePrice") <= 0),
-        "LivingArea_invalid_flag": holds(number_of(df, "LivingArea") <= 0),
-        "DaysOnMarket_invalid_flag": holds(number_of(df, "DaysOnMarket") < 0),
+        "ClosePrice_invalid_flag": holds(f"{number_of(df, 'ClosePrice')} <= 0"),
+        "LivingArea_invalid_flag": holds(f"{number_of(df, 'LivingArea')} <= 0"),
+        "DaysOnMarket_invalid_flag": holds(f"{number_of(df, 'DaysOnMarket')} < 0"),
     }
-    any_outlier, any_invalid = any_of(outlier.values()), any_of(invalid.values())
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
             **outlier,
-            "any_outlier_flag": any_outlier,
+            "any_outlier_flag": any_of(outlier.values()),
             **invalid,
-            "business_rule_invalid_flag": any_invalid,
-            "analysis_exclude_flag": any_outlier | any_invalid,
-        }
+            "business_rule_invalid_flag": any_of(invalid.values()),
+            "analysis_exclude_flag": any_of([*outlier.values(), *invalid.values()]),
+        },
     )
 
 
 def filtered(flagged: DataFrame) -> DataFrame:
     """Rows kept for analysis; missing values stay."""
-    return flagged.filter(~F.col("analysis_exclude_flag"))
+    return flagged.filter("NOT analysis_exclude_flag")
 
 
 def dataset_comparison(flagged: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> DataFrame:
@@ -104,40 +99,31 @@ def dataset_comparison(flagged: DataFrame, fields: Sequence[str] = fixed.OUTLIER
 
     Each value is counted once per set it belongs to, so both sets come from one pass.
     """
-    full, kept = F.lit("full_flagged"), F.lit("clean_filtered")
-    sets = F.when(F.col("analysis_exclude_flag"), F.array(full)).otherwise(F.array(full, kept))
-    members = flagged.select(*fields, F.explode(sets).alias("dataset"))
-    frequencies = staged(value_frequencies(members, fields, ["dataset"]), "comparison")
-    medians = (
-        quantiles(frequencies, {"median": 0.5}, ["dataset"])
-        .groupBy("dataset")
-        .agg(
-            *[F.max(F.when(F.col("field") == name, F.col("median"))).alias(f"median_{name}") for name in fields]
-        )
+    sets = (
+        "explode(CASE WHEN analysis_exclude_flag THEN array('full_flagged') "
+        "ELSE array('full_flagged', 'clean_filtered') END) AS dataset"
     )
-    sizes = (
-        frequencies.filter(F.col("field") == fields[0])
-        .groupBy("dataset")
-        .agg(F.sum("rows").alias("row_count"))
+    members = flagged.selectExpr(*[quoted(name) for name in fields], sets)
+    frequencies = staged(value_frequencies(members, fields, ["dataset"]), "comparison")
+    medians = quantiles(frequencies, {"median": 0.5}, ["dataset"]).groupBy("dataset").agg(
+        *[F.expr(f"max(CASE WHEN field = '{name}' THEN median END) AS median_{name}") for name in fields]
     )
+    sizes = frequencies.filter(f"field = '{fields[0]}'").groupBy("dataset").agg(F.expr("sum(rows) AS row_count"))
     return sizes.join(medians, "dataset", "left").select(
         "dataset", "row_count", *[f"median_{name}" for name in fields]
     )
 
 
-def with_ratio_quality(
-    df: DataFrame,
-    bounds: tuple[float | None, float | None],
-    column: str = fixed.RATIO_COLUMN,
-) -> DataFrame:
+def with_ratio_quality(df: DataFrame, bounds: Pair, column: str = fixed.RATIO_COLUMN) -> DataFrame:
     """Outlier and eligible flags of a ratio, and the ratio nulled where it is not eligible."""
     ratio = number_of(df, column)
     outlier = _outlier(ratio, bounds)
-    eligible = ratio.isNotNull() & ~outlier
-    return df.withColumns(
+    eligible = f"{ratio} IS NOT NULL AND NOT {outlier}"
+    return with_exprs(
+        df,
         {
             f"{column}OutlierFlag": outlier,
             f"{column}Eligible": eligible,
-            column: F.when(eligible, ratio),
-        }
+            column: f"CASE WHEN {eligible} THEN {ratio} END",
+        },
     )

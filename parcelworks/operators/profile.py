@@ -2,34 +2,30 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
-from parcelworks.functions.casts import missing, number_of, stacked
-from parcelworks.functions.logic import holds, percent
+from parcelworks.functions.casts import missing, number_of
+from parcelworks.functions.logic import holds, literal, percent, quoted, rows_of
 from parcelworks.operators.quantiles import quantiles, value_frequencies
 from parcelworks.sources.staging import staged
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
     """Missing count and percent of every column, from one pass over the table."""
-    counts = df.agg(
-        F.count("*").alias("rows in all"),
-        *[F.count_if(missing(df, name)).alias(name) for name in df.columns],
+    names = {name: f"missing{place}" for place, name in enumerate(df.columns)}
+    counts = df.selectExpr(
+        "count(*) AS total", *[f"count_if({missing(df, name)}) AS {count}" for name, count in names.items()]
+    )
+    rows = [(literal(name), count, percent(count, "total", 2)) for name, count in names.items()]
+    return rows_of(counts, rows, ["column", "Missing Count", "Missing %"]).orderBy(
+        F.desc("Missing %"), "column"
     )
-    return stacked(
-        counts,
-        [
-            (F.lit(name), F.col(f"`{name}`"), percent(F.col(f"`{name}`"), F.col("rows in all"), 2))
-            for name in df.columns
-        ],
-        ["column", "Missing Count", "Missing %"],
-    ).orderBy(F.desc("Missing %"), "column")
 
 
 def high_missing(summary: DataFrame, above: float = fixed.HIGH_MISSING_PERCENT) -> DataFrame:
     """Columns whose rounded missing percent lies above the limit."""
-    return summary.filter(F.col("Missing %") > above)
+    return summary.filter(f"`Missing %` > {above}")
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -46,70 +42,58 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles of the available columns."""
     names = _present(df, columns)
-    values = df.select(*[number_of(df, name).alias(name) for name in names])
-    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    moments = stacked(
-        values.agg(
-            *[use(F.col(name)).alias(f"{name} {label}") for name in names for label, use in measures.items()]
-        ),
-        [(F.lit(name), *[F.col(f"{name} {label}") for label in measures]) for name in names],
-        ["column", *measures],
-    )
-    found = quantiles(value_frequencies(values, names), percentiles).select(
-        F.col("field").alias("column"), *[F.col(f"`{label}`") for label in percentiles]
+    values = df.selectExpr(*[f"{number_of(df, name)} AS {quoted(name)}" for name in names])
+    uses = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    moments = rows_of(
+        values.selectExpr(*[f"{use}({quoted(name)}) AS {use}_{name}" for name in names for use in uses.values()]),
+        [(literal(name), *[f"{use}_{name}" for use in uses.values()]) for name in names],
+        ["column", *uses],
     )
-    return moments.join(F.broadcast(found), "column", "left").select(
-        "column",
-        "count",
-        "mean",
-        "std",
-        "min",
-        *[F.col(f"`{label}`") for label in percentiles],
-        "max",
+    found = quantiles(value_frequencies(values, names), percentiles)
+    shown = [quoted(label) for label in percentiles]
+    # one row per column on either side
+    return moments.join(F.broadcast(found), moments["column"] == found["field"], "left").selectExpr(
+        "column", "count", "mean", "std", "min", *shown, "max"
     )
 
 
-def outside(value: Column, lower: Column, upper: Column) -> Column:
+def outside(value: str, lower: str, upper: str) -> str:
     """Strictly below or above the bounds; a missing value is never outside."""
-    return holds((value < lower) | (value > upper))
+    return holds(f"{value} < {lower} OR {value} > {upper}")
 
 
 def iqr_bounds(frequencies: DataFrame, multiplier: float = fixed.IQR_MULTIPLIER) -> DataFrame:
     """Quartiles and bounds per field; fields without any value do not appear."""
     found = quantiles(frequencies, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return found.select(
+    return found.selectExpr(
         "field",
         "q1",
         "median",
         "q3",
-        (F.col("q3") - F.col("q1")).alias("iqr"),
-        (F.col("q1") - multiplier * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
-        (F.col("q3") + multiplier * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
+        "q3 - q1 AS iqr",
+        f"q1 - {multiplier}D * (q3 - q1) AS lower_bound",
+        f"q3 + {multiplier}D * (q3 - q1) AS upper_bound",
     )
 
 
+BEYOND = outside("value", "lower_bound", "upper_bound")
+
+
 def iqr_counts(frequencies: DataFrame, bounds: DataFrame) -> DataFrame:
     """Bounds per field with rows in all, present rows and rows outside.
 
     ``bounds`` has one row per profiled column, so it is broadcast.
     """
-    rows = F.col("rows")
-    present = F.col("value").isNotNull()
-    beyond = outside(F.col("value"), F.col("lower_bound"), F.col("upper_bound"))
-
-    def rows_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, rows).otherwise(0))
-
-    figures = ["q1", "median", "q3", "iqr", "lower_bound", "upper_bound"]
+    totals = {
+        "rows_total": "true",
+        "rows_non_null": "value IS NOT NULL",
+        "rows_missing": "value IS NULL",
+        "outlier_count": BEYOND,
+    }
     return (
         frequencies.join(F.broadcast(bounds), "field", "left")
-        .groupBy("field", *figures)
-        .agg(
-            F.sum("rows").alias("rows_total"),
-            rows_where(present).alias("rows_non_null"),
-            rows_where(~present).alias("rows_missing"),
-            rows_where(beyond).alias("outlier_count"),
-        )
+        .groupBy("field", "q1", "median", "q3", "iqr", "lower_bound", "upper_bound")
+        .agg(*[F.expr(f"sum(CASE WHEN {test} THEN rows ELSE 0 END) AS {name}") for name, test in totals.items()])
     )
 
 
@@ -117,17 +101,17 @@ def outlier_summary(df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMN
     """Quartiles, bounds and outliers per column; percent of the present values, 2 digits."""
     frequencies = staged(value_frequencies(df, _present(df, columns)), "profile")
     counts = iqr_counts(frequencies, iqr_bounds(frequencies))
-    return counts.filter(F.col("rows_non_null") > 0).select(
-        F.col("field").alias("Column"),
-        F.col("rows_non_null").alias("Count"),
-        F.col("q1").alias("Q1"),
-        F.col("median").alias("Median"),
-        F.col("q3").alias("Q3"),
-        F.col("iqr").alias("IQR"),
-        F.col("lower_bound").alias("Lower Bound"),
-        F.col("upper_bound").alias("Upper Bound"),
-        F.col("outlier_count").alias("Outlier Count"),
-        percent(F.col("outlier_count"), F.col("rows_non_null"), 2).alias("Outlier %"),
+    return counts.filter("rows_non_null > 0").selectExpr(
+        "field AS Column",
+        "rows_non_null AS Count",
+        "q1 AS Q1",
+        "median AS Median",
+        "q3 AS Q3",
+        "iqr AS IQR",
+        "lower_bound AS `Lower Bound`",
+        "upper_bound AS `Upper Bound`",
+        "outlier_count AS `Outlier Count`",
+        f"{percent('outlier_count', 'rows_non_null', 2)} AS `Outlier %`",
     )
 
 
@@ -137,14 +121,19 @@ def displayed(frequencies: DataFrame, between=fixed.DISPLAY_RANGE) -> DataFrame:
     Those within the two quantiles, ends included; all of them where both quantiles coincide.
     """
     ends = quantiles(frequencies, {"low": between[0], "high": between[1]})
-    value = F.col("value")
     return (
         frequencies.join(F.broadcast(ends), "field")
-        .filter(value.isNotNull() & (value.between(F.col("low"), F.col("high")) | (F.col("low") == F.col("high"))))
+        .filter("value IS NOT NULL AND (value BETWEEN low AND high OR low = high)")
         .select("field", "value", "rows")
     )
 
 
+def _shown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The displayed values, stored, as several small passes follow."""
+    counted = staged(value_frequencies(df, _present(df, columns)), "distribution")
+    return staged(displayed(counted), "displayed")
+
+
 def histogram(
     df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMNS, bins: int = fixed.HISTOGRAM_BINS
 ) -> DataFrame:
@@ -152,77 +141,51 @@ def histogram(
 
     Bins are half-open but for the last; a single displayed value gets a range of width one.
     """
-    shown = staged(
-        displayed(staged(value_frequencies(df, _present(df, columns)), "distribution")), "displayed"
-    )
-    single = F.col("least") == F.col("greatest")
-    spans = (
-        shown.groupBy("field")
-        .agg(F.min("value").alias("least"), F.max("value").alias("greatest"))
-        .select(
-            "field",
-            F.when(single, F.col("least") - 0.5).otherwise(F.col("least")).alias("low"),
-            F.when(single, F.col("greatest") + 0.5).otherwise(F.col("greatest")).alias("high"),
-        )
-        .select("field", "low", "high", ((F.col("high") - F.col("low")) / bins).alias("width"))
-    )
+    shown = _shown(df, columns)
 
-    def edge(number: Column) -> Column:
-        return F.col("low") + number * F.col("width")
+    def edge(number: str) -> str:
+        return f"(low + {number} * width)"
 
-    guess = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")), F.lit(bins - 1))
     # a value next to an edge may fall on the wrong side of it by rounding
     placed = (
-        F.when(F.col("value") < edge(F.col("guess")), F.col("guess") - 1)
-        .when(
-            (F.col("value") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), F.col("guess") + 1
-        )
-        .otherwise(F.col("guess"))
-    )
-    counts = (
-        shown.join(F.broadcast(spans), "field")
-        .select("*", guess.alias("guess"))
-        .groupBy("field", placed.cast("int").alias("bin"))
-        .agg(F.sum("rows").alias("rows"))
-    )
-    every_bin = spans.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    return every_bin.join(F.broadcast(counts), ["field", "bin"], "left").select(
-        "field",
-        "bin",
-        edge(F.col("bin")).alias("bin_start"),
-        F.when(F.col("bin") == bins - 1, F.col("high")).otherwise(edge(F.col("bin") + 1)).alias("bin_end"),
-        F.coalesce("rows", F.lit(0)).alias("rows"),
+        f"CASE WHEN value < {edge('guess')} THEN guess - 1 "
+        f"WHEN value >= {edge('(guess + 1)')} AND guess < {bins - 1} THEN guess + 1 ELSE guess END"
+    )
+    return df.sparkSession.sql(
+        f"""WITH extremes AS (SELECT field, min(value) AS least, max(value) AS most FROM {{shown}} GROUP BY field),
+        spans AS (
+          SELECT field, CASE WHEN least = most THEN least - 0.5D ELSE least END AS low,
+            CASE WHEN least = most THEN most + 0.5D ELSE most END AS high FROM extremes),
+        widths AS (SELECT *, (high - low) / {bins} AS width FROM spans),
+        guessed AS (
+          SELECT /*+ BROADCAST(w) */ s.*, low, width,
+            least(floor((value - low) / width), {bins - 1}L) AS guess
+          FROM {{shown}} s JOIN widths w ON s.field = w.field),
+        counted AS (SELECT field, int({placed}) AS bin, sum(rows) AS rows FROM guessed GROUP BY ALL),
+        every_bin AS (SELECT *, explode(sequence(0, {bins - 1})) AS bin FROM widths)
+        SELECT /*+ BROADCAST(c) */ b.field, b.bin, {edge("b.bin")} AS bin_start,
+          CASE WHEN b.bin = {bins - 1} THEN high ELSE {edge("(b.bin + 1)")} END AS bin_end,
+          coalesce(c.rows, 0L) AS rows
+        FROM every_bin b LEFT JOIN counted c ON b.field = c.field AND b.bin = c.bin""",
+        shown=shown,
     )
 
 
 def box_stats(df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMNS) -> DataFrame:
-    """Quartiles, whiskers and fliers of the displayed values per field."""
-    shown = staged(
-        displayed(staged(value_frequencies(df, _present(df, columns)), "distribution")), "displayed"
-    )
-    bounds = iqr_bounds(shown)
-    value = F.col("value")
-    beyond = outside(value, F.col("lower_bound"), F.col("upper_bound"))
+    """Quartiles, whiskers and fliers of the displayed values per field.
+
+    A whisker ends at the last value within the bounds, but never inside the box.
+    """
+    shown = _shown(df, columns)
+    totals = [
+        "sum(rows) AS rows",
+        f"least(min(CASE WHEN NOT {BEYOND} THEN value END), q1) AS whisker_low",
+        f"greatest(max(CASE WHEN NOT {BEYOND} THEN value END), q3) AS whisker_high",
+        f"sum(CASE WHEN {BEYOND} THEN rows ELSE 0 END) AS fliers",
+    ]
     return (
-        shown.join(F.broadcast(bounds), "field")
+        shown.join(F.broadcast(iqr_bounds(shown)), "field")
         .groupBy("field", "q1", "median", "q3")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.min(F.when(~beyond, value)).alias("low inside"),
-            F.max(F.when(~beyond, value)).alias("high inside"),
-            F.sum(F.when(beyond, F.col("rows")).otherwise(0)).alias("fliers"),
-        )
-        .select(
-            "field",
-            "rows",
-            "q1",
-            "median",
-            "q3",
-            # a whisker never ends inside the box
-            F.least("low inside", "q1").alias("whisker_low"),
-            F.greatest("high inside", "q3").alias("whisker_high"),
-            "fliers",
-        )
+        .agg(*[F.expr(text) for text in totals])
+        .select("field", "rows", "q1", "median", "q3", "whisker_low", "whisker_high", "fliers")
     )

@@ -10,31 +10,32 @@ that remainder is sorted.
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from parcelworks.functions.casts import number_of
-from parcelworks.functions.logic import all_equal
+from parcelworks.functions.logic import all_equal, literal, quoted
 
-LARGEST_DOUBLE = 1.7976931348623157e308
+# bins per factor e of the value, as powers of two: first coarse, then fine
 BIN_BITS = (8, 20)
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows per (by..., field, value); missing values are kept as one null value per group."""
-    numbers = df.select(*by, *[number_of(df, name).alias(name) for name in columns])
+    groups = [quoted(name) for name in by]
     if len(columns) == 1:
-        long = numbers.select(
-            *by, F.lit(columns[0]).alias("field"), F.col(columns[0]).alias("value")
+        long = df.selectExpr(
+            *groups, f"{literal(columns[0])} AS field", f"{number_of(df, columns[0])} AS value"
         )
     else:
+        numbers = df.selectExpr(*groups, *[f"{number_of(df, name)} AS {quoted(name)}" for name in columns])
         long = numbers.unpivot(list(by), list(columns), "field", "value")
-    return long.groupBy(*by, "field", "value").agg(F.count("*").alias("rows"))
+    return long.groupBy(*by, "field", "value").count().withColumnRenamed("count", "rows")
 
 
-def bin_of(value: Column, bits: int) -> Column:
-    """Number of the logarithmic bin of a value; 2**bits bins per factor e, never decreasing."""
-    size = F.log1p(F.least(F.abs(value), F.lit(LARGEST_DOUBLE)))
-    return F.floor(F.signum(value) * size * float(2**bits)).cast("bigint")
+def bin_of(value: str, bits: int) -> str:
+    """Number of the logarithmic bin of a value; never decreasing in the value."""
+    size = f"log1p(least(abs({value}), 1.7976931348623157e308D))"
+    return f"bigint(floor(signum({value}) * {size} * {2**bits}D))"
 
 
 def quantiles(
@@ -44,43 +45,42 @@ def quantiles(
 
     Groups without any non-missing value do not appear.
     """
-    keys = [*by, "field"]
-    last = F.col("n") - 1
-    ranks = [f(F.lit(p) * last).cast("bigint") for p in probabilities.values() for f in (F.floor, F.ceil)]
-    present = F.when(F.col("bin").isNotNull(), F.col("rows"))
-
-    binned = frequencies.groupBy(*keys, bin_of(F.col("value"), BIN_BITS[0]).alias("bin")).agg(
-        F.sum("rows").alias("rows")
-    )
-    located = _holding_ranks(
-        binned.select("*", F.sum(present).over(Window.partitionBy(*keys)).alias("n")).select(
-            "*",
-            F.array_distinct(F.array(*ranks)).alias("ranks"),
-            F.lit(0).cast("bigint").alias("before"),
-        ),
-        keys,
-        keys,
-        "bin",
+    names = [*by, "field"]
+    keys = ", ".join(quoted(name) for name in names)
+    ranks = ", ".join(
+        f"bigint({use}({p!r}D * (n - 1)))" for p in probabilities.values() for use in ("floor", "ceil")
     )
+    parts = [
+        f"""binned AS (
+          SELECT {keys}, {bin_of("value", BIN_BITS[0])} AS bin, sum(rows) AS rows
+          FROM {{frequencies}} GROUP BY ALL)""",
+        f"""sized AS (
+          SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n
+          FROM binned)""",
+        f"""counted AS (SELECT *, array_distinct(array({ranks})) AS ranks, 0L AS before FROM sized)""",
+        _holding_ranks("located", "counted", keys, keys, "bin"),
+    ]
+    located = "located"
     for bits, finer in zip(BIN_BITS, BIN_BITS[1:]):
-        counted = (
-            _inside(frequencies, located, keys, bits, by)
-            .groupBy(*keys, "bin", "n", "before", "ranks", bin_of(F.col("value"), finer).alias("finer"))
-            .agg(F.sum("rows").alias("rows"))
-        )
-        located = _holding_ranks(counted, keys, [*keys, "bin"], "finer")
-
-    found = _holding_ranks(
-        _inside(frequencies, located, keys, BIN_BITS[-1], by), keys, [*keys, "bin"], "value"
-    )
-    at_rank = (
-        found.select(*keys, "n", F.col("bin").alias("value"), F.explode("ranks").alias("rank"))
-        .groupBy(*keys, "n")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
-    )
-    return at_rank.select(
-        *keys, "n", *[_interpolated(p, last).alias(name) for name, p in probabilities.items()]
-    )
+        parts += [
+            _inside(f"inside_{bits}", located, names, bits, by),
+            f"""counted_{finer} AS (
+              SELECT {keys}, bin, n, before, ranks, {bin_of("value", finer)} AS finer, sum(rows) AS rows
+              FROM inside_{bits} GROUP BY ALL)""",
+            _holding_ranks(f"located_{finer}", f"counted_{finer}", keys, f"{keys}, bin", "finer"),
+        ]
+        located = f"located_{finer}"
+    results = ", ".join(f"{_interpolated(p)} AS {quoted(name)}" for name, p in probabilities.items())
+    parts += [
+        _inside("inside", located, names, BIN_BITS[-1], by),
+        _holding_ranks("found", "inside", keys, f"{keys}, bin", "value"),
+        f"exploded AS (SELECT {keys}, n, bin AS value, explode(ranks) AS rank FROM found)",
+        f"""at_ranks AS (
+          SELECT {keys}, n, map_from_entries(collect_list(struct(rank, value))) AS at
+          FROM exploded GROUP BY ALL)""",
+    ]
+    query = f"WITH {', '.join(parts)} SELECT {keys}, n, {results} FROM at_ranks"
+    return frequencies.sparkSession.sql(query, frequencies=frequencies)
 
 
 def grouped_median(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
@@ -94,70 +94,51 @@ def every_group_median(df: DataFrame, column: str, by: Sequence[str], name: str)
     The groups come from the same counted values, not from a second pass over ``df``.
     """
     frequencies = value_frequencies(df, [column], by)
-    medians = quantiles(frequencies, {name: 0.5}, by).select(
-        *[F.col(key).alias(f"{key} of") for key in by], name
+    medians = quantiles(frequencies, {name: 0.5}, by)
+    groups = frequencies.groupBy(*by).sum("rows")
+    same = all_equal([f"g.{quoted(key)}" for key in by], [f"m.{quoted(key)}" for key in by])
+    chosen = ", ".join(f"g.{quoted(key)}" for key in by)
+    return df.sparkSession.sql(
+        f"SELECT {chosen}, m.{quoted(name)} FROM {{groups}} g LEFT JOIN {{medians}} m ON {same}",
+        groups=groups,
+        medians=medians,
     )
-    groups = frequencies.groupBy(*by).agg(F.sum("rows").alias("rows in group"))
-    same = all_equal([F.col(key) for key in by], [F.col(f"{key} of") for key in by])
-    return groups.join(medians, same, "left").select(*by, name)
 
 
-def _holding_ranks(
-    counted: DataFrame, keys: Sequence[str], within: Sequence[str], order: str
-) -> DataFrame:
+def _holding_ranks(name: str, counted: str, keys: str, within: str, order: str) -> str:
     """Rows whose run of positions holds a wanted rank, with ``order`` renamed to ``bin``.
 
     ``before`` moves on to the start of the run, ``ranks`` keeps the ranks lying in it.
     """
-    running = (
-        Window.partitionBy(*within)
-        .orderBy(F.col(order).asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    start = F.col("upto") - F.col("rows")
-
-    def in_run(rank: Column) -> Column:
-        return (rank >= start) & (rank < F.col("upto"))
-
-    return (
-        counted.select("*", (F.col("before") + F.sum("rows").over(running)).alias("upto"))
-        .filter(F.exists("ranks", in_run))
-        .select(
-            *keys,
-            F.col(order).alias("bin"),
-            "n",
-            start.alias("before"),
-            F.filter("ranks", in_run).alias("ranks"),
-        )
-    )
-
-
-def _inside(
-    frequencies: DataFrame, located: DataFrame, keys: Sequence[str], bits: int, by: Sequence[str]
-) -> DataFrame:
+    in_run = "rank -> rank >= upto - rows AND rank < upto"
+    return f"""{name} AS (
+      SELECT {keys}, {order} AS bin, n, upto - rows AS before, filter(ranks, {in_run}) AS ranks
+      FROM (
+        SELECT *, before + sum(rows) OVER (
+          PARTITION BY {within} ORDER BY {order} ASC NULLS LAST
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+        FROM {counted})
+      WHERE exists(ranks, {in_run}))"""
+
+
+def _inside(name: str, located: str, names: Sequence[str], bits: int, by: Sequence[str]) -> str:
     """The counted values lying in a located bin.
 
     Null-safe equality keeps the missing group and adds no filter of its own, so every level
     reads the same shuffled counts. Without groups the located side is at most two bins per
     field and probability and is broadcast; with groups Spark decides by its size.
     """
-    wanted = located.select(
-        *[F.col(key).alias(f"{key} wanted") for key in keys], "bin", "n", "before", "ranks"
-    )
-    if not by:
-        wanted = F.broadcast(wanted)
-    same_bin = all_equal(
-        [F.col(key) for key in keys] + [bin_of(F.col("value"), bits)],
-        [F.col(f"{key} wanted") for key in keys] + [F.col("bin")],
-    )
-    return frequencies.join(wanted, same_bin).select(
-        *keys, "value", "rows", "bin", "n", "before", "ranks"
-    )
-
-
-def _interpolated(probability: float, last: Column) -> Column:
-    position = F.lit(probability) * last
-    low = F.element_at("at", F.floor(position).cast("bigint"))
-    high = F.element_at("at", F.ceil(position).cast("bigint"))
-    share = position - F.floor(position)
-    return F.when(low == high, low).otherwise(low + (high - low) * share)
+    keys = [quoted(key) for key in names]
+    same = all_equal([f"f.{key}" for key in keys], [f"l.{key}" for key in keys])
+    chosen = ", ".join(f"f.{key}" for key in keys)
+    hint = "" if by else "/*+ BROADCAST(l) */"
+    return f"""{name} AS (
+      SELECT {hint} {chosen}, f.value, f.rows, l.bin, l.n, l.before, l.ranks
+      FROM {{frequencies}} f JOIN {located} l ON {same} AND {bin_of("f.value", bits)} <=> l.bin)"""
+
+
+def _interpolated(probability: float) -> str:
+    position = f"({probability!r}D * (n - 1))"
+    low, high = (f"element_at(at, bigint({use}({position})))" for use in ("floor", "ceil"))
+    share = f"({position} - floor({position}))"
+    return f"CASE WHEN {low} = {high} THEN {low} ELSE {low} + ({high} - {low}) * {share} END"

@@ -3,10 +3,11 @@
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coercion_audit, parse_date, parse_number, strict
+from parcelworks.functions.logic import quoted, with_exprs
 from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
 from parcelworks.plans import stages
 from parcelworks.sources import manifest, rates, sinks, warehouse
@@ -28,6 +29,7 @@ RULE_COLUMNS = [
 SOLD_RULE_COLUMNS = [*RULE_COLUMNS, "PurchaseContractDate", "CloseDate", "ClosePrice"]
 LISTING_RULE_COLUMNS = [*RULE_COLUMNS, "ListPrice"]
 TIES = warehouse.SOLD_TIE_BREAKERS
+SALE_ID = events.event_id(fixed.CLOSED_SALE, "ListingKey", "CloseDate")
 EVENT_INPUTS = [
     "ListingKey",
     "ListPrice",
@@ -40,12 +42,17 @@ EVENT_INPUTS = [
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, as their last bits depend on the order of summation."""
-    return df.withColumns(
-        {name: F.round(F.col(f"`{name}`"), digits) for name, kind in df.dtypes if kind == "double"}
+    """Doubles rounded, as the last bits of sums and interpolations depend on their order."""
+    return with_exprs(
+        df, {name: f"round({quoted(name)}, {digits})" for name, kind in df.dtypes if kind == "double"}
     )
 
 
+def rounded_rate(df: DataFrame) -> DataFrame:
+    """Only the mean rate rounded; the other numbers of a row are exact in themselves."""
+    return with_exprs(df, {fixed.RATE_COLUMN: f"round({fixed.RATE_COLUMN}, 6)"})
+
+
 # ---- inputs -------------------------------------------------------------------------------
 
 
@@ -90,7 +97,7 @@ def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns))
 
 
-def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, stages.Pair]:
+def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
     """Sales kept for analysis, from a stored table, and the bounds of their ratio."""
     sale_columns = [*EVENT_INPUTS, *TIES]
     seller_columns = [
@@ -111,7 +118,7 @@ def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, stages.Pair
     return kept, stages.ratio_bounds(kept)
 
 
-def every_event(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, stages.Pair]:
+def every_event(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, outliers.Pair]:
     """All events before deduplication, the kept sales and the ratio bounds."""
     kept, bounds = kept_sales(spark, folder)
     listings = cleaned_listings(spark, folder, *EVENT_INPUTS)
@@ -136,11 +143,11 @@ def month_gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_lineage(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.sold(spark, folder, "ListingKey", "SourceFile").select(
+    return warehouse.sold(spark, folder, "ListingKey", "SourceFile").selectExpr(
         "ListingKey",
-        manifest.month_of(F.col("SourceFile")).alias("SourceMonth"),
+        f"{manifest.month_of('SourceFile')} AS SourceMonth",
         "SourceFile",
-        manifest.version_of(F.col("SourceFile")).alias("source_version"),
+        f"{manifest.version_of('SourceFile')} AS source_version",
     )
 
 
@@ -178,13 +185,11 @@ def aggregation_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def union_by_name(spark: SparkSession, folder: str) -> DataFrame:
     shared = ["ListingKey", "PropertyType", "ListPrice"]
-    return rounded(
-        combine.union_by_name(
-            [
-                warehouse.sold(spark, folder, *shared, "ClosePrice"),
-                warehouse.listings(spark, folder, *shared, "PropertySubType"),
-            ]
-        )
+    return combine.union_by_name(
+        [
+            warehouse.sold(spark, folder, *shared, "ClosePrice"),
+            warehouse.listings(spark, folder, *shared, "PropertySubType"),
+        ]
     )
 
 
@@ -212,8 +217,9 @@ def duplicate_column_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def numeric_coercion(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.sold(spark, folder, "ListingKey", "ClosePriceText").withColumn(
-        "ClosePrice", parse_number(F.col("ClosePriceText"))
+    return with_exprs(
+        warehouse.sold(spark, folder, "ListingKey", "ClosePriceText"),
+        {"ClosePrice": parse_number("ClosePriceText")},
     )
 
 
@@ -225,8 +231,9 @@ def numeric_coercion_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def date_coercion(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.sold(spark, folder, "ListingKey", "CloseDateText").withColumn(
-        "CloseDate", parse_date(F.col("CloseDateText"))
+    return with_exprs(
+        warehouse.sold(spark, folder, "ListingKey", "CloseDateText"),
+        {"CloseDate": parse_date("CloseDateText")},
     )
 
 
@@ -239,20 +246,21 @@ def date_coercion_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 def strict_cast(spark: SparkSession, folder: str) -> DataFrame:
     orders = warehouse.table(spark, folder, "orders")
-    cells = orders.select(
-        F.col("o_orderkey").cast("string").alias("key"),
-        F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
-        F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("customer"),
-        F.col("o_totalprice").cast("bigint").cast("string").alias("price"),
-        F.when(F.col("o_orderstatus") == "F", "TRUE ").otherwise("false").alias("finished"),
+    cells = orders.selectExpr(
+        "string(o_orderkey) AS key",
+        "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS day",
+        "concat(' ', o_custkey) AS customer",
+        "string(bigint(o_totalprice)) AS price",
+        "CASE WHEN o_orderstatus = 'F' THEN 'TRUE ' ELSE 'false' END AS finished",
     )
     kinds = {"key": "string", "day": "date", "customer": "integer", "price": "real", "finished": "boolean"}
-    return cells.select(*[strict(F.col(name), kind).alias(name) for name, kind in kinds.items()])
+    return cells.selectExpr(*[f"{strict(name, kind)} AS {name}" for name, kind in kinds.items()])
 
 
 def clean_string(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.sold(spark, folder, "ListingKey", "ListAgentFullName").withColumn(
-        "ListAgentFullName", clean_text(F.col("ListAgentFullName"))
+    return with_exprs(
+        warehouse.sold(spark, folder, "ListingKey", "ListAgentFullName"),
+        {"ListAgentFullName": clean_text("ListAgentFullName")},
     )
 
 
@@ -264,8 +272,8 @@ def standardize_dimensions(spark: SparkSession, folder: str) -> DataFrame:
 
 def agent_name_fallback(spark: SparkSession, folder: str) -> DataFrame:
     parts = ["ListAgentFullName", "ListAgentFirstName", "ListAgentLastName"]
-    return warehouse.sold(spark, folder, "ListingKey", *parts).select(
-        "ListingKey", events.agent_name(*[F.col(name) for name in parts]).alias("ListAgentFullName")
+    return warehouse.sold(spark, folder, "ListingKey", *parts).selectExpr(
+        "ListingKey", f"{events.agent_name(*parts)} AS ListAgentFullName"
     )
 
 
@@ -397,7 +405,7 @@ def clean_listing_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clean_columns(df: DataFrame, rules) -> DataFrame:
     kept = [rule.flag for rule in rules if not rule.removes]
-    return rounded(df.select("ListingKey", "LivingArea", "DaysOnMarket", "Latitude", "Longitude", *kept))
+    return df.select("ListingKey", "LivingArea", "DaysOnMarket", "Latitude", "Longitude", *kept)
 
 
 def flag_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,10 +435,8 @@ def cleaning_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def price_metrics(spark: SparkSession, folder: str) -> DataFrame:
     sales = residential_sold(spark, folder, "ListingKey", "ClosePrice", "OriginalListPrice", "LivingArea")
-    return rounded(
-        metrics.price_metrics(sales).select(
-            "ListingKey", "PriceRatio", "CloseToOriginalListRatio", "PricePerSqFt"
-        )
+    return metrics.price_metrics(sales).select(
+        "ListingKey", "PriceRatio", "CloseToOriginalListRatio", "PricePerSqFt"
     )
 
 
@@ -461,9 +467,7 @@ def county_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def complete_sample(spark: SparkSession, folder: str) -> DataFrame:
     order = ["SourceMonth", "ListingKey", "CloseDate", *TIES]
-    return rounded(
-        metrics.complete_sample(engineered(spark, folder, "CountyOrParish", *order), order)
-    )
+    return metrics.complete_sample(engineered(spark, folder, "CountyOrParish", *order), order)
 
 
 # ---- outliers -----------------------------------------------------------------------------
@@ -487,7 +491,7 @@ def iqr_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 def iqr_filtered(spark: SparkSession, folder: str) -> DataFrame:
     flagged = stages.flagged_sold(engineered(spark, folder, "ListingKey"))
-    return rounded(outliers.filtered(flagged).select("ListingKey", *fixed.OUTLIER_FIELDS))
+    return outliers.filtered(flagged).select("ListingKey", *fixed.OUTLIER_FIELDS)
 
 
 def dataset_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -502,10 +506,8 @@ def ratio_bounds(spark: SparkSession, folder: str) -> DataFrame:
 def ratio_quality(spark: SparkSession, folder: str) -> DataFrame:
     kept, bounds = kept_sales(spark, folder)
     ratio = fixed.RATIO_COLUMN
-    return rounded(
-        outliers.with_ratio_quality(kept, bounds).select(
-            "ListingKey", ratio, f"{ratio}OutlierFlag", f"{ratio}Eligible"
-        )
+    return outliers.with_ratio_quality(kept, bounds).select(
+        "ListingKey", ratio, f"{ratio}OutlierFlag", f"{ratio}Eligible"
     )
 
 
@@ -513,23 +515,21 @@ def ratio_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_id(spark: SparkSession, folder: str) -> DataFrame:
-    return residential_sold(spark, folder, "ListingKey", "CloseDate").select(
-        "ListingKey", events.event_id(fixed.CLOSED_SALE, F.col("ListingKey"), F.col("CloseDate")).alias("EventId")
+    return residential_sold(spark, folder, "ListingKey", "CloseDate").selectExpr(
+        "ListingKey", f"{SALE_ID} AS EventId"
     )
 
 
 def market_events(spark: SparkSession, folder: str) -> DataFrame:
     found, _, _ = every_event(spark, folder)
-    return rounded(stages.market_events(found, TIES))
+    return rounded_rate(stages.market_events(found, TIES))
 
 
 def event_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     sales = residential_sold(spark, folder, "ListingKey", "CloseDate", "ClosePrice", "SourceMonth", *TIES)
-    named = sales.withColumn(
-        "EventId", events.event_id(fixed.CLOSED_SALE, F.col("ListingKey"), F.col("CloseDate"))
-    )
+    named = with_exprs(sales, {"EventId": SALE_ID})
     first = events.first_of_each(named, ["EventId"], stages.arrival_order(TIES))
-    return rounded(first.select("EventId", "ClosePrice"))
+    return first.select("EventId", "ClosePrice")
 
 
 def dedupe_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -539,12 +539,12 @@ def dedupe_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def competitive_sales(spark: SparkSession, folder: str) -> DataFrame:
     kept, bounds = kept_sales(spark, folder)
-    return rounded(stages.sales_table(kept, bounds, TIES))
+    return rounded_rate(stages.sales_table(kept, bounds, TIES))
 
 
 def publish_extract(spark: SparkSession, folder: str) -> DataFrame:
     found, _, _ = every_event(spark, folder)
-    return rounded(sinks.publishable(stages.market_events(found, TIES)))
+    return rounded_rate(sinks.publishable(stages.market_events(found, TIES)))
 
 
 def monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -618,23 +618,17 @@ def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     )
     flagged = stages.flagged_sold(table)
     kept = outliers.filtered(flagged)
-    sales = kept.select(
-        events.event_id(fixed.CLOSED_SALE, F.col("ListingKey"), F.col("CloseDate")).alias("EventId"),
-        "SourceMonth",
-        *TIES,
-    )
+    sales = kept.selectExpr(f"{SALE_ID} AS EventId", "SourceMonth", *TIES)
     first = events.first_of_each(sales, ["EventId"], stages.arrival_order(TIES))
     summary = outliers.dataset_comparison(flagged)
-    kept_rows = summary.filter(F.col("dataset") == "clean_filtered").select("row_count")
-    sides = kept.select(F.lit(1).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("summary")).unionByName(
-        kept_rows.select(F.lit(0).cast("bigint").alias("rows"), F.col("row_count").alias("summary"))
+    kept_rows = summary.filter("dataset = 'clean_filtered'")
+    sides = kept.selectExpr("1L AS rows", "0L AS summary").unionByName(
+        kept_rows.selectExpr("0L AS rows", "row_count AS summary")
     )
     parts = [
         combine.parts_reconcile(sold, combine.source_manifest(sold, "sold"), "sold"),
         checks.same_row_count("flagged rows equal engineered rows", flagged, table),
-        checks.check_rows(
-            sides, {"filtered rows equal the summary": (F.sum("rows"), F.sum("summary"))}
-        ),
+        checks.check_rows(sides, {"filtered rows equal the summary": ("sum(rows)", "sum(summary)")}),
         checks.same_row_count(
             "market sales equal competitive sales", first, sales.select("EventId").distinct()
         ),

@@ -565,28 +565,19 @@ def _ranking(name: str) -> str:
     )
 
 
-EVENT_DOUBLES = [name for name, kind in fixed.EVENT_SCHEMA.items() if kind == "real"]
 EVENT_LIST = ", ".join(
-    _round(name) if kind == "real" or name == "DaysOnMarket" else f'"{name}"'
+    _round(name) if name == fixed.RATE_COLUMN else f'"{name}"'
     for name, kind in fixed.EVENT_SCHEMA.items()
 )
 PUBLISHED_LIST = ", ".join(
     f'CAST("{name}" AS BIGINT) AS "{name}"'
     if kind == "integer"
-    else (_round(name) if kind == "real" else f'"{name}"')
+    else (_round(name) if name == fixed.RATE_COLUMN else f'"{name}"')
     for name, kind in fixed.EVENT_SCHEMA.items()
     if name not in fixed.DIRECT_IDENTIFIERS
 )
-SALE_DOUBLES = {
-    "ClosePrice",
-    "SalesVolume",
-    "DaysOnMarket",
-    RATIO,
-    "PricePerSqFt",
-    "rate_30yr_fixed",
-}
 SALE_LIST = ", ".join(
-    _round(name) if name in SALE_DOUBLES else f'"{name}"' for name in fixed.SALE_COLUMNS
+    _round(name) if name == fixed.RATE_COLUMN else f'"{name}"' for name in fixed.SALE_COLUMNS
 )
 LISTING_PROFILE = [name for name in fixed.PROFILE_COLUMNS if name != "ClosePrice"]
 
@@ -625,10 +616,10 @@ ORACLE: dict[str, str] = {
     ),
     "union_by_name": _over(
         "both",
-        f"""SELECT "ListingKey", "PropertyType", {_round("ListPrice", "ClosePrice")},
+        """SELECT "ListingKey", "PropertyType", "ListPrice", "ClosePrice",
           CAST(NULL AS VARCHAR) AS "PropertySubType" FROM sold
         UNION ALL
-        SELECT "ListingKey", "PropertyType", {_round("ListPrice")}, CAST(NULL AS DOUBLE),
+        SELECT "ListingKey", "PropertyType", "ListPrice", CAST(NULL AS DOUBLE),
           "PropertySubType" FROM listings""",
     ),
     "duplicate_column_audit": _over("listings", COPY_AUDIT),
@@ -696,7 +687,8 @@ ORACLE: dict[str, str] = {
         CAST(count(*) FILTER (WHERE v < lower_bound OR v > upper_bound) AS BIGINT) AS "Outlier Count",
         round(round_even(count(*) FILTER (WHERE v < lower_bound OR v > upper_bound)
           / CAST(rows_non_null AS DOUBLE) * 100, 2), 6) AS "Outlier %"
-        FROM b JOIN long USING (field) GROUP BY ALL""",
+        FROM b JOIN long USING (field)
+        GROUP BY b.field, rows_non_null, q1, median, q3, iqr, lower_bound, upper_bound""",
         f"b AS ({_bounds(fixed.PROFILE_COLUMNS, 'res_sold')})",
         f"long AS ({_long('res_sold', fixed.PROFILE_COLUMNS)})",
     ),
@@ -768,12 +760,12 @@ ORACLE: dict[str, str] = {
     "geo_flags": _over("sold", f'SELECT "ListingKey", {_select(GEO)} FROM res_sold'),
     "clean_rows": _over(
         "clean",
-        f"""SELECT "ListingKey", {_round("LivingArea", "DaysOnMarket", "Latitude", "Longitude")},
+        """SELECT "ListingKey", "LivingArea", "DaysOnMarket", "Latitude", "Longitude",
         missing_close_price_flag, missing_living_area_flag, missing_coordinate_flag FROM clean_sold""",
     ),
     "clean_rows_listings": _over(
         "clean",
-        f"""SELECT "ListingKey", {_round("LivingArea", "DaysOnMarket", "Latitude", "Longitude")},
+        """SELECT "ListingKey", "LivingArea", "DaysOnMarket", "Latitude", "Longitude",
         missing_list_price_flag, missing_living_area_flag, missing_coordinate_flag FROM clean_listings""",
     ),
     "flag_counts": _over(
@@ -791,10 +783,10 @@ ORACLE: dict[str, str] = {
     "price_metrics": _over(
         "sold",
         """SELECT "ListingKey",
-        round(CASE WHEN "OriginalListPrice" > 0 THEN "ClosePrice" / "OriginalListPrice" END, 6) AS "PriceRatio",
-        round(CASE WHEN "OriginalListPrice" > 0 THEN "ClosePrice" / "OriginalListPrice" END, 6)
+        CASE WHEN "OriginalListPrice" > 0 THEN "ClosePrice" / "OriginalListPrice" END AS "PriceRatio",
+        CASE WHEN "OriginalListPrice" > 0 THEN "ClosePrice" / "OriginalListPrice" END
           AS "CloseToOriginalListRatio",
-        round(CASE WHEN "LivingArea" > 0 THEN "ClosePrice" / "LivingArea" END, 6) AS "PricePerSqFt"
+        CASE WHEN "LivingArea" > 0 THEN "ClosePrice" / "LivingArea" END AS "PricePerSqFt"
         FROM res_sold""",
     ),
     "calendar_fields": _over(
@@ -843,9 +835,9 @@ ORACLE: dict[str, str] = {
     ),
     "complete_sample": _over(
         "engineered",
-        f"""SELECT "ListingKey", "CloseDate", {_round("ClosePrice", "OriginalListPrice", "LivingArea",
-          "PriceRatio", "CloseToOriginalListRatio", "PricePerSqFt", "DaysOnMarket")}, "Year", "Month",
-        "YrMo", "ListingToContractDays", "ContractToCloseDays", "CountyOrParish" FROM engineered
+        """SELECT "ListingKey", "CloseDate", "ClosePrice", "OriginalListPrice", "LivingArea",
+        "PriceRatio", "CloseToOriginalListRatio", "PricePerSqFt", "DaysOnMarket", "Year", "Month", "YrMo",
+        "ListingToContractDays", "ContractToCloseDays", "CountyOrParish" FROM engineered
         WHERE "PriceRatio" IS NOT NULL AND "PricePerSqFt" IS NOT NULL
           AND "ListingToContractDays" IS NOT NULL AND "ContractToCloseDays" IS NOT NULL
         ORDER BY engineered."SourceMonth", engineered."ListingKey", engineered."CloseDate", l_partkey,
@@ -858,7 +850,8 @@ ORACLE: dict[str, str] = {
         CAST(count(*) FILTER (WHERE v < lower_bound OR v > upper_bound) AS BIGINT) AS outlier_count,
         round(count(*) FILTER (WHERE v < lower_bound OR v > upper_bound)
           / CAST(rows_total AS DOUBLE) * 100, 6) AS outlier_pct
-        FROM bounds b JOIN long USING (field) GROUP BY ALL""",
+        FROM bounds b JOIN long USING (field)
+        GROUP BY b.field, rows_total, rows_non_null, q1, q3, iqr, lower_bound, upper_bound""",
         f"long AS ({_long('engineered', FIELDS)})",
     ),
     "iqr_flags": _over(
@@ -867,7 +860,9 @@ ORACLE: dict[str, str] = {
         {", ".join(f'"{f}_invalid_flag"' for f in FIELDS)}, business_rule_invalid_flag,
         analysis_exclude_flag FROM flagged""",
     ),
-    "iqr_filtered": _over("flagged", f'SELECT "ListingKey", {_round(*FIELDS)} FROM kept'),
+    "iqr_filtered": _over(
+        "flagged", 'SELECT "ListingKey", "ClosePrice", "LivingArea", "DaysOnMarket" FROM kept'
+    ),
     "dataset_comparison": _over(
         "flagged", f'{_medians("full_flagged", "flagged")} UNION ALL {_medians("clean_filtered", "kept")}'
     ),
@@ -876,13 +871,13 @@ ORACLE: dict[str, str] = {
     ),
     "ratio_quality": _over(
         "flagged",
-        f"""SELECT "ListingKey", round(CASE WHEN eligible THEN raw_ratio END, 6) AS "{RATIO}",
+        f"""SELECT "ListingKey", CASE WHEN eligible THEN raw_ratio END AS "{RATIO}",
         outlier AS "{RATIO}OutlierFlag", eligible AS "{RATIO}Eligible" FROM rated""",
     ),
     "event_id": _over("sold", f'SELECT "ListingKey", {SALE_ID} AS "EventId" FROM res_sold'),
     "event_dedupe": _over(
         "sold",
-        f"""SELECT {SALE_ID} AS "EventId", {_round("ClosePrice")} FROM res_sold
+        f"""SELECT {SALE_ID} AS "EventId", "ClosePrice" FROM res_sold
         QUALIFY row_number() OVER (PARTITION BY {SALE_ID} ORDER BY {TIES}) = 1""",
     ),
     "dedupe_counts": _over(

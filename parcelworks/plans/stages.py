@@ -1,6 +1,6 @@
 """The stages from combined records to published tables, as DataFrame compositions."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from parcelworks import fixed
 from parcelworks.functions.casts import coerce
@@ -10,9 +10,7 @@ from parcelworks.operators.combine import keep_category
 from parcelworks.operators.enrich import with_rates
 from parcelworks.operators.events import DEDUPE_KEY, first_of_each, listing_events, sale_events, sale_records
 from parcelworks.operators.metrics import engineer
-from parcelworks.operators.outliers import as_bounds, bounds_table, filtered, with_outlier_flags
-
-Pair = tuple[float | None, float | None]
+from parcelworks.operators.outliers import Pair, as_bounds, bounds_table, filtered, with_outlier_flags
 
 
 def enriched_sold(sold: DataFrame, monthly: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
 from parcelworks.functions.casts import null_tokens, strict
+from parcelworks.functions.logic import quoted
 from parcelworks.operators.checks import require_header
 from parcelworks.sources.manifest import file_name, listed_files, missing_months, month_of, select_files
 
@@ -41,7 +42,7 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def text_schema(names: Sequence[str]) -> str:
-    return ", ".join(f"`{name}` string" for name in names)
+    return ", ".join(f"{quoted(name)} string" for name in names)
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -61,11 +62,11 @@ def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def _read_alike(spark: SparkSession, names: Sequence[str], paths: Sequence[str]) -> DataFrame:
     frame = spark.read.options(**DIALECT).schema(text_schema(names)).csv(list(paths))
-    name = file_name(F.col("_metadata.file_path"))
-    return frame.select(
-        *[null_tokens(F.col(f"`{column}`")).alias(column) for column in names],
-        month_of(name).alias("SourceMonth"),
-        name.alias("SourceFile"),
+    name = file_name("_metadata.file_path")
+    return frame.selectExpr(
+        *[f"{null_tokens(quoted(column))} AS {quoted(column)}" for column in names],
+        f"{month_of(name)} AS SourceMonth",
+        f"{name} AS SourceFile",
     )
 
 
@@ -91,4 +92,4 @@ def read_strict(spark: SparkSession, path: str, schema: dict[str, str]) -> DataF
     """A CSV with exactly this header, each cell cast strictly; a bad row or cell is an error."""
     require_header(header_of(spark, path), list(schema))
     frame = spark.read.options(**DIALECT, mode="FAILFAST").schema(text_schema(list(schema))).csv(path)
-    return frame.select(*[strict(F.col(f"`{name}`"), kind).alias(name) for name, kind in schema.items()])
+    return frame.selectExpr(*[f"{strict(quoted(name), kind)} AS {quoted(name)}" for name, kind in schema.items()])

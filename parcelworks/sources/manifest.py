@@ -1,25 +1,25 @@
 """Which monthly file to read: month and version from the file name, one file per month."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
+from parcelworks.functions.logic import literal
 
 
-def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+def file_name(path: str) -> str:
+    return f"element_at(split({path}, '/'), -1)"
 
 
-def month_of(name: Column) -> Column:
+def month_of(name: str) -> str:
     """``YYYYMM`` from a monthly file name; a name without one is an error."""
-    month = F.regexp_extract(name, fixed.MONTH_PATTERN, 1)
-    return F.when(month != "", month).otherwise(
-        F.raise_error(F.concat(F.lit("no YYYYMM in file name "), name))
-    )
+    month = f"regexp_extract({name}, r'{fixed.MONTH_PATTERN}', 1)"
+    complaint = f"string(raise_error(concat('no YYYYMM in file name ', {name})))"
+    return f"CASE WHEN {month} <> '' THEN {month} ELSE {complaint} END"
 
 
-def version_of(name: Column) -> Column:
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    return F.when(stem.contains(fixed.FILLED_MARK), "filled").otherwise("raw")
+def version_of(name: str) -> str:
+    stem = rf"regexp_replace({name}, r'\.[^.]*$', '')"
+    return f"CASE WHEN contains({stem}, {literal(fixed.FILLED_MARK)}) THEN 'filled' ELSE 'raw' END"
 
 
 def listed_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -34,12 +34,12 @@ def listed_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
 
 def described(paths: DataFrame) -> DataFrame:
     """Adds ``source_file``, ``source_month`` and ``source_version`` to ``path``."""
-    name = file_name(F.col("path"))
-    return paths.select(
+    name = file_name("path")
+    return paths.selectExpr(
         "path",
-        name.alias("source_file"),
-        month_of(name).alias("source_month"),
-        version_of(name).alias("source_version"),
+        f"{name} AS source_file",
+        f"{month_of(name)} AS source_month",
+        f"{version_of(name)} AS source_version",
     )
 
 
@@ -51,13 +51,14 @@ def select_files(
     Among files of the same month and version the last by path wins.
     """
     preferred = "filled" if prefer_filled else "raw"
-    choice = Window.partitionBy("source_month").orderBy(
-        F.when(F.col("source_version") == preferred, 0).otherwise(1), F.col("path").desc()
+    choice = (
+        "row_number() OVER (PARTITION BY source_month "
+        f"ORDER BY source_version = '{preferred}' DESC, path DESC) AS choice"
     )
     return (
         described(paths)
-        .filter(F.col("source_month") >= first_month)
-        .withColumn("choice", F.row_number().over(choice))
+        .filter(f"source_month >= {literal(first_month)}")
+        .selectExpr("*", choice)
         .filter("choice = 1")
         .drop("choice")
     )
@@ -65,13 +66,12 @@ def select_files(
 
 def missing_months(paths: DataFrame, first_month: str = fixed.FIRST_MONTH) -> DataFrame:
     """Months between ``first_month`` and the latest file's month that have no file."""
+    first = f"to_date({literal(first_month)}, 'yyyyMM')"
     present = described(paths).select("source_month").distinct()
-    first = F.to_date(F.lit(first_month), "yyyyMM")
-    latest = F.to_date(F.max("source_month"), "yyyyMM")
     expected = (
-        present.agg(latest.alias("latest"))
-        .filter(F.col("latest") >= first)
-        .select(F.explode(F.sequence(first, F.col("latest"), F.expr("interval 1 month"))).alias("day"))
-        .select(F.date_format("day", "yyyyMM").alias("source_month"))
+        present.selectExpr("to_date(max(source_month), 'yyyyMM') AS latest")
+        .filter(f"latest >= {first}")
+        .selectExpr(f"explode(sequence({first}, latest, interval 1 month)) AS day")
+        .selectExpr("date_format(day, 'yyyyMM') AS source_month")
     )
     return expected.join(present, "source_month", "left_anti")

@@ -1,6 +1,6 @@
 """The weekly interest-rate series, from a file the user supplies."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
 from parcelworks.functions.casts import date_of, number_of
@@ -17,7 +17,7 @@ def observations(
     value_column: str = fixed.RATE_VALUE_COLUMN,
 ) -> DataFrame:
     """(date, rate) of the weeks that have both."""
-    return weekly.select(
-        date_of(weekly, date_column).alias("date"),
-        number_of(weekly, value_column).alias(fixed.RATE_COLUMN),
+    return weekly.selectExpr(
+        f"{date_of(weekly, date_column)} AS date",
+        f"{number_of(weekly, value_column)} AS {fixed.RATE_COLUMN}",
     ).dropna()

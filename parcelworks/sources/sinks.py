@@ -1,6 +1,6 @@
 """Writers for stage tables and the published extract."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from parcelworks import fixed
 from parcelworks.functions.casts import whole_number
@@ -28,15 +28,10 @@ def publishable(events: DataFrame, identifiers=fixed.DIRECT_IDENTIFIERS) -> Data
     """The event table in its declared types, without the direct identifiers."""
     types = {"string": "string", "date": "date", "real": "double", "boolean": "boolean"}
 
-    def typed(name: str, kind: str):
-        if kind == "integer":
-            return whole_number(F.col(name))
-        return F.col(name).cast(types[kind])
-
-    return events.select(
-        *[
-            typed(name, kind).alias(name)
-            for name, kind in fixed.EVENT_SCHEMA.items()
-            if name not in identifiers
-        ]
+    def typed(name: str, kind: str) -> str:
+        value = whole_number(name) if kind == "integer" else f"CAST({name} AS {types[kind]})"
+        return f"{value} AS {name}"
+
+    return events.selectExpr(
+        *[typed(name, kind) for name, kind in fixed.EVENT_SCHEMA.items() if name not in identifiers]
     )

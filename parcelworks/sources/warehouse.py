@@ -5,258 +5,220 @@ left joins on their keys, so every line is kept, and only the lookups the reques
 are joined. Join strategies are left to Spark, which knows the table sizes.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelworks.functions.casts import parse_number
+from parcelworks.functions.logic import quoted
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
-
-
-def _days_after(date: Column, days: Column) -> Column:
-    return F.date_add(date, days.cast("int"))
-
-
-def _file_month(date: Column) -> Column:
+def _file_month(date: str) -> str:
     """``yyyyMM`` of a date 29 years on, so that months read like those of recent files."""
-    return F.date_format(F.add_months(date, 29 * 12), "yyyyMM")
-
-
-def _category() -> Column:
-    return F.when(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"), "Land").otherwise("Residential")
-
-
-def _latitude(key: str) -> Column:
-    return F.when(_every(key, 19), None).when(_every(key, 23), 0.0).otherwise(33.0 + (F.col(key) % 90) / 10.0)
-
-
-def _longitude(key: str) -> Column:
-    return (
-        F.when(_every(key, 29), 118.0)
-        .when(_every(key, 31), -200.0)
-        .otherwise(-124.0 + (F.col(key) % 90) / 10.0)
-    )
-
-
-def _postal_code() -> Column:
-    code = F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0")
-    return F.when(_every("o_custkey", 5), F.concat(code, F.lit(".0"))).otherwise(code)
-
-
-def _county() -> Column:
-    return F.when(~_every("o_custkey", 37), F.col("customer_nation"))
-
-
-def _sold_columns() -> dict[str, tuple[Column, set[str]]]:
-    part = F.col("l_partkey")
-    listed = F.to_date("o_orderdate")
-    contract = F.when(
-        part % 97 != 0,
-        _days_after(listed, F.col("l_quantity") - F.when(part % 89 == 0, 60).otherwise(0)),
-    )
-    closed = F.when(part % 83 == 0, F.to_date("l_shipdate")).otherwise(
-        _days_after(listed, F.col("l_quantity") + 10 + part % 40)
-    )
-    month = _file_month(closed)
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount") + F.col("l_tax"))
-    price = F.when(part % 71 == 0, None).when(part % 73 == 0, 0.0).otherwise(net)
-    size = F.col("p_size").cast("double")
-    no_lookup, order, customer = set(), {"orders"}, {"orders", "customer"}
-    return {
-        "ListingKey": (F.concat_ws("-", "l_orderkey", "l_linenumber"), no_lookup),
-        "PropertyType": (_category(), customer),
-        "PropertySubType": (F.col("p_type"), {"part"}),
-        "City": (F.col("p_brand"), {"part"}),
-        "CountyOrParish": (_county(), customer | {"customer_nation"}),
-        "MLSAreaMajor": (F.col("r_name"), customer | {"customer_nation", "region"}),
-        "StateOrProvince": (F.lit("CA"), no_lookup),
-        "PostalCode": (_postal_code(), order),
-        "ListingContractDate": (listed, order),
-        "PurchaseContractDate": (contract, order),
-        "CloseDate": (closed, order),
-        "ContractStatusChangeDate": (closed, order),
-        "ClosePrice": (price, no_lookup),
-        "ListPrice": (F.col("l_extendedprice"), no_lookup),
-        "OriginalListPrice": (F.when(part % 61 == 0, 0.0).otherwise(F.col("l_extendedprice")), no_lookup),
-        "LivingArea": (
-            F.when(part % 67 == 0, None).when(part % 79 == 0, -size).otherwise(size * 100),
-            {"part"},
-        ),
-        "DaysOnMarket": (F.when(part % 59 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity")), no_lookup),
-        "BedroomsTotal": (F.when(part % 101 == 0, -1.0).otherwise(size % 6), {"part"}),
-        "BathroomsTotalInteger": (F.when(part % 103 == 0, -1.0).otherwise(size % 4), {"part"}),
-        "Latitude": (_latitude("l_suppkey"), no_lookup),
-        "Longitude": (_longitude("l_suppkey"), no_lookup),
-        "LotSizeAcres": (F.when(part % 20 == 0, F.col("l_quantity") / 8), no_lookup),
-        "YearBuilt": ((F.lit(1950) + F.col("l_suppkey") % 70).cast("double"), no_lookup),
-        "ListAgentFullName": (
-            F.when(_every("l_suppkey", 7), None).when(_every("l_suppkey", 11), "  ").otherwise(F.col("s_name")),
-            {"supplier"},
-        ),
-        "ListAgentFirstName": (F.lit("Agent"), no_lookup),
-        "ListAgentLastName": (F.col("l_suppkey").cast("string"), no_lookup),
-        "ListOfficeName": (F.col("supplier_nation"), {"supplier", "supplier_nation"}),
-        "BuyerOfficeName": (F.col("customer_nation"), customer | {"customer_nation"}),
-        "SourceMonth": (month, order),
-        "SourceFile": (F.concat(F.lit("Sold"), month, F.lit(".csv")), order),
-        # tie-breakers for rows that share an event identity
-        "l_partkey": (part, no_lookup),
-        "l_suppkey": (F.col("l_suppkey"), no_lookup),
-        "l_quantity": (F.col("l_quantity"), no_lookup),
-        "l_extendedprice": (F.col("l_extendedprice"), no_lookup),
-        "l_discount": (F.col("l_discount"), no_lookup),
-        "l_tax": (F.col("l_tax"), no_lookup),
-        # text as a monthly file would carry it, with the faults a lenient cast meets
-        "ClosePriceText": (_number_text(part, F.col("l_extendedprice")), no_lookup),
-        "CloseDateText": (_date_text(part, closed), order),
-    }
-
-
+    return f"date_format(add_months({date}, 348), 'yyyyMM')"
+
+
+CATEGORY = "CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 'Land' ELSE 'Residential' END"
+COUNTY = "CASE WHEN o_custkey % 37 <> 0 THEN customer_nation END"
+POSTAL_CODE = (
+    "concat(lpad(string(o_custkey % 100000), 5, '0'), CASE WHEN o_custkey % 5 = 0 THEN '.0' ELSE '' END)"
+)
+
+
+def _latitude(key: str) -> str:
+    return f"CASE WHEN {key} % 19 = 0 THEN NULL WHEN {key} % 23 = 0 THEN 0D ELSE 33D + ({key} % 90) / 10D END"
+
+
+def _longitude(key: str) -> str:
+    return f"CASE WHEN {key} % 29 = 0 THEN 118D WHEN {key} % 31 = 0 THEN -200D ELSE -124D + ({key} % 90) / 10D END"
+
+
+LISTED = "date(o_orderdate)"
+CONTRACTED = (
+    f"CASE WHEN l_partkey % 97 <> 0 THEN date_add({LISTED}, "
+    "int(l_quantity) - CASE WHEN l_partkey % 89 = 0 THEN 60 ELSE 0 END) END"
+)
+CLOSED = (
+    "CASE WHEN l_partkey % 83 = 0 THEN date(l_shipdate) "
+    f"ELSE date_add({LISTED}, int(l_quantity + 10 + l_partkey % 40)) END"
+)
+PRICE_TEXT = """CASE
+    WHEN l_partkey % 13 = 0 THEN NULL
+    WHEN l_partkey % 17 = 0 THEN concat('1,', bigint(l_extendedprice))
+    WHEN l_partkey % 19 = 0 THEN concat(' \\t', bigint(l_extendedprice), ' ')
+    WHEN l_partkey % 23 = 0 THEN concat(bigint(l_extendedprice), 'd')
+    WHEN l_partkey % 29 = 0 THEN 'NaN'
+    WHEN l_partkey % 31 = 0 THEN concat(bigint(l_extendedprice), 'e1')
+    WHEN l_partkey % 37 = 0 THEN '0x1F'
+    ELSE string(bigint(l_extendedprice)) END"""
+DATE_TEXT = f"""CASE
+    WHEN l_partkey % 13 = 0 THEN NULL
+    WHEN l_partkey % 17 = 0 THEN date_format({CLOSED}, 'MM/dd/yyyy')
+    WHEN l_partkey % 19 = 0 THEN date_format({CLOSED}, 'yyyy-M-d')
+    WHEN l_partkey % 23 = 0 THEN date_format({CLOSED}, 'yyyy')
+    WHEN l_partkey % 29 = 0 THEN '2001-02-30'
+    ELSE date_format({CLOSED}, 'yyyy-MM-dd') END"""
+
+# column: (expression, lookups it needs)
+SOLD_COLUMNS = {
+    "ListingKey": ("concat(l_orderkey, '-', l_linenumber)", ""),
+    "PropertyType": (CATEGORY, "orders customer"),
+    "PropertySubType": ("p_type", "part"),
+    "City": ("p_brand", "part"),
+    "CountyOrParish": (COUNTY, "orders customer customer_nation"),
+    "MLSAreaMajor": ("r_name", "orders customer customer_nation region"),
+    "StateOrProvince": ("'CA'", ""),
+    "PostalCode": (POSTAL_CODE, "orders"),
+    "ListingContractDate": (LISTED, "orders"),
+    "PurchaseContractDate": (CONTRACTED, "orders"),
+    "CloseDate": (CLOSED, "orders"),
+    "ContractStatusChangeDate": (CLOSED, "orders"),
+    "ClosePrice": (
+        "CASE WHEN l_partkey % 71 = 0 THEN NULL WHEN l_partkey % 73 = 0 THEN 0D "
+        "ELSE l_extendedprice * (1 - l_discount + l_tax) END",
+        "",
+    ),
+    "ListPrice": ("l_extendedprice", ""),
+    "OriginalListPrice": ("CASE WHEN l_partkey % 61 = 0 THEN 0D ELSE l_extendedprice END", ""),
+    "LivingArea": (
+        "double(CASE WHEN l_partkey % 67 = 0 THEN NULL WHEN l_partkey % 79 = 0 THEN -p_size "
+        "ELSE p_size * 100 END)",
+        "part",
+    ),
+    "DaysOnMarket": ("CASE WHEN l_partkey % 59 = 0 THEN -l_quantity ELSE l_quantity END", ""),
+    "BedroomsTotal": ("double(CASE WHEN l_partkey % 101 = 0 THEN -1 ELSE p_size % 6 END)", "part"),
+    "BathroomsTotalInteger": ("double(CASE WHEN l_partkey % 103 = 0 THEN -1 ELSE p_size % 4 END)", "part"),
+    "Latitude": (_latitude("l_suppkey"), ""),
+    "Longitude": (_longitude("l_suppkey"), ""),
+    "LotSizeAcres": ("CASE WHEN l_partkey % 20 = 0 THEN l_quantity / 8 END", ""),
+    "YearBuilt": ("double(1950 + l_suppkey % 70)", ""),
+    "ListAgentFullName": (
+        "CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 11 = 0 THEN '  ' ELSE s_name END",
+        "supplier",
+    ),
+    "ListAgentFirstName": ("'Agent'", ""),
+    "ListAgentLastName": ("string(l_suppkey)", ""),
+    "ListOfficeName": ("supplier_nation", "supplier supplier_nation"),
+    "BuyerOfficeName": ("customer_nation", "orders customer customer_nation"),
+    "SourceMonth": (_file_month(CLOSED), "orders"),
+    "SourceFile": (f"concat('Sold', {_file_month(CLOSED)}, '.csv')", "orders"),
+    # tie-breakers for rows that share an event identity
+    "l_partkey": ("l_partkey", ""),
+    "l_suppkey": ("l_suppkey", ""),
+    "l_quantity": ("l_quantity", ""),
+    "l_extendedprice": ("l_extendedprice", ""),
+    "l_discount": ("l_discount", ""),
+    "l_tax": ("l_tax", ""),
+    # text as a monthly file would carry it, with the faults a lenient cast meets
+    "ClosePriceText": (PRICE_TEXT, ""),
+    "CloseDateText": (DATE_TEXT, "orders"),
+}
 SOLD_TIE_BREAKERS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
-
-def _number_text(key: Column, value: Column) -> Column:
-    whole = value.cast("bigint").cast("string")
-    return (
-        F.when(key % 13 == 0, None)
-        .when(key % 17 == 0, F.concat(F.lit("1,"), whole))
-        .when(key % 19 == 0, F.concat(F.lit(" \t"), whole, F.lit(" ")))
-        .when(key % 23 == 0, F.concat(whole, F.lit("d")))
-        .when(key % 29 == 0, F.lit("NaN"))
-        .when(key % 31 == 0, F.concat(whole, F.lit("e1")))
-        .when(key % 37 == 0, F.lit("0x1F"))
-        .otherwise(whole)
-    )
-
-
-def _date_text(key: Column, date: Column) -> Column:
-    return (
-        F.when(key % 13 == 0, None)
-        .when(key % 17 == 0, F.date_format(date, "MM/dd/yyyy"))
-        .when(key % 19 == 0, F.date_format(date, "yyyy-M-d"))
-        .when(key % 23 == 0, F.date_format(date, "yyyy"))
-        .when(key % 29 == 0, F.lit("2001-02-30"))
-        .otherwise(F.date_format(date, "yyyy-MM-dd"))
-    )
-
-
-def _listing_columns() -> dict[str, tuple[Column, set[str]]]:
-    key = F.col("o_orderkey")
-    listed = F.to_date("o_orderdate")
-    no_lookup, customer = set(), {"customer"}
-    price = F.when(key % 71 == 0, None).when(key % 73 == 0, 0.0).otherwise(F.col("o_totalprice"))
-    month = _file_month(listed)
-    price_text = F.col("o_totalprice").cast("bigint").cast("string")
-    whole = F.col("o_totalprice").cast("bigint")
-    return {
-        "ListingKey": (key.cast("string"), no_lookup),
-        "PropertyType": (_category(), customer),
-        "PropertySubType": (F.col("o_orderpriority"), no_lookup),
-        "City": (F.concat(F.lit("City "), (F.col("o_custkey") % 50).cast("string")), no_lookup),
-        "CountyOrParish": (_county(), customer | {"customer_nation"}),
-        "MLSAreaMajor": (F.col("r_name"), customer | {"customer_nation", "region"}),
-        "StateOrProvince": (F.lit("CA"), no_lookup),
-        "PostalCode": (_postal_code(), no_lookup),
-        "ListingContractDate": (F.when(key % 107 != 0, listed), no_lookup),
-        "ContractStatusChangeDate": (F.date_add(listed, (key % 30).cast("int")), no_lookup),
-        "ListPrice": (price, no_lookup),
-        "OriginalListPrice": (F.when(key % 61 == 0, 0.0).otherwise(F.col("o_totalprice")), no_lookup),
-        "LivingArea": (
-            F.when(key % 67 == 0, None)
-            .when(key % 79 == 0, F.lit(-1.0))
-            .otherwise(((key % 50 + 1) * 100).cast("double")),
-            no_lookup,
-        ),
-        "DaysOnMarket": (
-            F.when(key % 59 == 0, -(key % 120)).otherwise(key % 120).cast("double"),
-            no_lookup,
-        ),
-        "BedroomsTotal": (F.when(key % 101 == 0, -1).otherwise(key % 6).cast("double"), no_lookup),
-        "BathroomsTotalInteger": (F.when(key % 103 == 0, -1).otherwise(key % 4).cast("double"), no_lookup),
-        "Latitude": (_latitude("o_custkey"), no_lookup),
-        "Longitude": (_longitude("o_custkey"), no_lookup),
-        "LotSizeAcres": (F.when(key % 20 == 0, F.col("o_custkey") % 80 / 8.0), no_lookup),
-        "YearBuilt": ((F.lit(1950) + key % 70).cast("double"), no_lookup),
-        "SourceMonth": (month, no_lookup),
-        "SourceFile": (F.concat(F.lit("Listing"), month, F.lit(".csv")), no_lookup),
-        # a header repeated in the file: price as text, and its copy with typical faults
-        "ListPriceText": (F.when(key % 19 != 0, price_text), no_lookup),
-        "ListPriceText.1": (
-            F.when(key % 13 == 0, None)
-            .when(key % 17 == 0, (whole + 1).cast("string"))
-            .otherwise(F.concat(price_text, F.lit(".00"))),
-            no_lookup,
-        ),
-        "ListPriceText.2": (
-            F.when(key % 11 == 0, F.concat(F.lit(" "), price_text)).otherwise(None),
-            no_lookup,
-        ),
-        "CityText": (F.when(key % 23 != 0, F.concat(F.lit("City "), (key % 50).cast("string"))), no_lookup),
-        "CityText.1": (
-            F.when(key % 29 == 0, F.lit("elsewhere"))
-            .when(key % 31 == 0, None)
-            .otherwise(F.concat(F.lit("City "), (key % 50).cast("string"), F.lit(" "))),
-            no_lookup,
-        ),
+LISTING_COLUMNS = {
+    "ListingKey": ("string(o_orderkey)", ""),
+    "PropertyType": (CATEGORY, "customer"),
+    "PropertySubType": ("o_orderpriority", ""),
+    "City": ("concat('City ', o_custkey % 50)", ""),
+    "CountyOrParish": (COUNTY, "customer customer_nation"),
+    "MLSAreaMajor": ("r_name", "customer customer_nation region"),
+    "StateOrProvince": ("'CA'", ""),
+    "PostalCode": (POSTAL_CODE, ""),
+    "ListingContractDate": (f"CASE WHEN o_orderkey % 107 <> 0 THEN {LISTED} END", ""),
+    "ContractStatusChangeDate": (f"date_add({LISTED}, int(o_orderkey % 30))", ""),
+    "ListPrice": (
+        "CASE WHEN o_orderkey % 71 = 0 THEN NULL WHEN o_orderkey % 73 = 0 THEN 0D ELSE o_totalprice END",
+        "",
+    ),
+    "OriginalListPrice": ("CASE WHEN o_orderkey % 61 = 0 THEN 0D ELSE o_totalprice END", ""),
+    "LivingArea": (
+        "double(CASE WHEN o_orderkey % 67 = 0 THEN NULL WHEN o_orderkey % 79 = 0 THEN -1 "
+        "ELSE (o_orderkey % 50 + 1) * 100 END)",
+        "",
+    ),
+    "DaysOnMarket": (
+        "double(CASE WHEN o_orderkey % 59 = 0 THEN -(o_orderkey % 120) ELSE o_orderkey % 120 END)",
+        "",
+    ),
+    "BedroomsTotal": ("double(CASE WHEN o_orderkey % 101 = 0 THEN -1 ELSE o_orderkey % 6 END)", ""),
+    "BathroomsTotalInteger": ("double(CASE WHEN o_orderkey % 103 = 0 THEN -1 ELSE o_orderkey % 4 END)", ""),
+    "Latitude": (_latitude("o_custkey"), ""),
+    "Longitude": (_longitude("o_custkey"), ""),
+    "LotSizeAcres": ("CASE WHEN o_orderkey % 20 = 0 THEN (o_custkey % 80) / 8D END", ""),
+    "YearBuilt": ("double(1950 + o_orderkey % 70)", ""),
+    "SourceMonth": (_file_month(LISTED), ""),
+    "SourceFile": (f"concat('Listing', {_file_month(LISTED)}, '.csv')", ""),
+    # headers repeated in the file: a price and a city as text, and copies with typical faults
+    "ListPriceText": ("CASE WHEN o_orderkey % 19 <> 0 THEN string(bigint(o_totalprice)) END", ""),
+    "ListPriceText.1": (
+        "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 "
+        "THEN string(bigint(o_totalprice) + 1) ELSE concat(bigint(o_totalprice), '.00') END",
+        "",
+    ),
+    "ListPriceText.2": ("CASE WHEN o_orderkey % 11 = 0 THEN concat(' ', bigint(o_totalprice)) END", ""),
+    "CityText": ("CASE WHEN o_orderkey % 23 <> 0 THEN concat('City ', o_orderkey % 50) END", ""),
+    "CityText.1": (
+        "CASE WHEN o_orderkey % 29 = 0 THEN 'elsewhere' WHEN o_orderkey % 31 = 0 THEN NULL "
+        "ELSE concat('City ', o_orderkey % 50, ' ') END",
+        "",
+    ),
+}
+
+
+def _lookup(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, str]:
+    """A dimension and the condition that joins it."""
+    side, _, kind = name.partition("_")
+    if kind == "nation":
+        nations = table(spark, folder, "nation").selectExpr(
+            f"n_nationkey AS {side}_nationkey", f"n_regionkey AS {side}_regionkey", f"n_name AS {side}_nation"
+        )
+        return nations, f"{side[0]}_nationkey = {side}_nationkey"
+    on = {
+        "orders": "l_orderkey = o_orderkey",
+        "customer": "o_custkey = c_custkey",
+        "part": "l_partkey = p_partkey",
+        "supplier": "l_suppkey = s_suppkey",
+        "region": "customer_regionkey = r_regionkey",
     }
+    return table(spark, folder, name), on[name]
 
 
-def _lookups(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str, str]]:
-    def nation(prefix: str) -> DataFrame:
-        return table(spark, folder, "nation").select(
-            F.col("n_nationkey").alias(f"{prefix}_nationkey"),
-            F.col("n_regionkey").alias(f"{prefix}_regionkey"),
-            F.col("n_name").alias(f"{prefix}_nation"),
-        )
-
-    return {
-        "orders": (table(spark, folder, "orders"), "l_orderkey", "o_orderkey"),
-        "customer": (table(spark, folder, "customer"), "o_custkey", "c_custkey"),
-        "part": (table(spark, folder, "part"), "l_partkey", "p_partkey"),
-        "supplier": (table(spark, folder, "supplier"), "l_suppkey", "s_suppkey"),
-        "customer_nation": (nation("customer"), "c_nationkey", "customer_nationkey"),
-        "supplier_nation": (nation("supplier"), "s_nationkey", "supplier_nationkey"),
-        "region": (table(spark, folder, "region"), "customer_regionkey", "r_regionkey"),
-    }
+LOOKUP_ORDER = ["orders", "customer", "part", "supplier", "customer_nation", "supplier_nation", "region"]
 
 
-def _shaped(base: DataFrame, lookups, columns, wanted) -> DataFrame:
+def _shaped(base: DataFrame, folder: str, columns, wanted) -> DataFrame:
     names = wanted or list(columns)
-    needed = set().union(*[columns[name][1] for name in names])
-    for name, (other, left, right) in lookups.items():
+    needed = {lookup for name in names for lookup in columns[name][1].split()}
+    for name in LOOKUP_ORDER:
         if name in needed:
-            base = base.join(other, F.col(left) == F.col(right), "left")
-    return base.select(*[columns[name][0].alias(name) for name in names])
+            other, condition = _lookup(base.sparkSession, folder, name)
+            base = base.join(other, F.expr(condition), "left")
+    return base.selectExpr(*[f"{columns[name][0]} AS {quoted(name)}" for name in names])
 
 
 def sold(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
     """Sold records; only the named columns, or all of them."""
-    return _shaped(table(spark, folder, "lineitem"), _lookups(spark, folder), _sold_columns(), wanted)
+    return _shaped(table(spark, folder, "lineitem"), folder, SOLD_COLUMNS, wanted)
 
 
 def sold_from(lines: DataFrame, folder: str, *wanted: str) -> DataFrame:
     """``sold`` over other order lines, such as a stream of them."""
-    return _shaped(lines, _lookups(lines.sparkSession, folder), _sold_columns(), wanted)
+    return _shaped(lines, folder, SOLD_COLUMNS, wanted)
 
 
 def listings(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
     """Listing records; only the named columns, or all of them."""
-    return _shaped(table(spark, folder, "orders"), _lookups(spark, folder), _listing_columns(), wanted)
+    return _shaped(table(spark, folder, "orders"), folder, LISTING_COLUMNS, wanted)
 
 
 def weekly_rates(spark: SparkSession, folder: str) -> DataFrame:
     """A weekly rate series: the mean order total of each week, scaled."""
-    week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
-    return (
-        table(spark, folder, "orders")
-        .groupBy(week.alias("observation_date"))
-        .agg((F.avg("o_totalprice") / 20000).alias("MORTGAGE30US"))
+    weeks = table(spark, folder, "orders").selectExpr(
+        "date(date_trunc('week', o_orderdate)) AS observation_date", "o_totalprice"
     )
+    means = weeks.groupBy("observation_date").avg("o_totalprice")
+    return means.selectExpr("observation_date", "`avg(o_totalprice)` / 20000 AS MORTGAGE30US")
 
 
 def file_paths(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,11 +227,12 @@ def file_paths(spark: SparkSession, folder: str) -> DataFrame:
     Even orders stand for filled files. April 2027 is withheld, and odd months of 2029 have no
     raw file.
     """
-    month = _file_month(F.to_date("o_orderdate"))
-    filled = F.col("o_orderkey") % 2 == 0
-    withheld = month == "202704"
-    raw_withheld = ~filled & month.startswith("2029") & (F.substring(month, 6, 1).cast("int") % 2 == 1)
-    name = F.concat(F.lit("/data/Sold"), month, F.when(filled, "_filled").otherwise(""), F.lit(".csv"))
+    months = table(spark, folder, "orders").selectExpr(
+        f"{_file_month(LISTED)} AS month", "o_orderkey % 2 = 0 AS filled"
+    )
+    raw_withheld = "NOT filled AND month LIKE '2029%' AND int(right(month, 2)) % 2 = 1"
     return (
-        table(spark, folder, "orders").filter(~withheld & ~raw_withheld).select(name.alias("path")).distinct()
+        months.filter(f"month <> '202704' AND NOT ({raw_withheld})")
+        .distinct()
+        .selectExpr("concat('/data/Sold', month, CASE WHEN filled THEN '_filled' ELSE '' END, '.csv') AS path")
     )
