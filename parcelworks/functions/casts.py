@@ -21,7 +21,7 @@ def clean_text(column: str) -> str:
 
 def drop_nan(value: str) -> str:
     """A double with NaN turned into null, as every aggregate here expects."""
-    return f"nullif(double({value}), double('NaN'))"
+    return f"nanvl(double({value}), double(NULL))"
 
 
 def parse_number(text: str) -> str:
@@ -47,6 +47,13 @@ def number_of(df: DataFrame, name: str) -> str:
     return drop_nan(quoted(name))
 
 
+def typed_number(df: DataFrame, name: str) -> str:
+    """As ``number_of``, for a typed column that ``coerce`` has freed of NaN."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return parse_number(quoted(name))
+    return f"double({quoted(name)})"
+
+
 def date_of(df: DataFrame, name: str, formats=fixed.DATE_FORMATS) -> str:
     """Column ``name`` of ``df`` as a date, or as it is when it already carries a time."""
     kind = df.schema[name].dataType

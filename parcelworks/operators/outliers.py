@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelworks import fixed
-from parcelworks.functions.casts import number_of
+from parcelworks.functions.casts import typed_number
 from parcelworks.functions.logic import any_of, holds, in_list, number, quoted, with_exprs
 from parcelworks.operators.profile import iqr_bounds, iqr_counts, outside
 from parcelworks.operators.quantiles import quantiles, value_frequencies
@@ -71,11 +71,11 @@ def _outlier(value: str, bounds: Pair) -> str:
 
 def with_outlier_flags(df: DataFrame, bounds: Bounds) -> DataFrame:
     """Outlier and business-rule flags, and whether a row is left out of analysis."""
-    outlier = {f"{name}_outlier_flag": _outlier(number_of(df, name), pair) for name, pair in bounds.items()}
+    outlier = {f"{name}_outlier_flag": _outlier(typed_number(df, name), pair) for name, pair in bounds.items()}
     invalid = {
-        "ClosePrice_invalid_flag": holds(f"{number_of(df, 'ClosePrice')} <= 0"),
-        "LivingArea_invalid_flag": holds(f"{number_of(df, 'LivingArea')} <= 0"),
-        "DaysOnMarket_invalid_flag": holds(f"{number_of(df, 'DaysOnMarket')} < 0"),
+        "ClosePrice_invalid_flag": holds(f"{typed_number(df, 'ClosePrice')} <= 0"),
+        "LivingArea_invalid_flag": holds(f"{typed_number(df, 'LivingArea')} <= 0"),
+        "DaysOnMarket_invalid_flag": holds(f"{typed_number(df, 'DaysOnMarket')} < 0"),
     }
     return with_exprs(
         df,
@@ -116,14 +116,13 @@ def dataset_comparison(flagged: DataFrame, fields: Sequence[str] = fixed.OUTLIER
 
 def with_ratio_quality(df: DataFrame, bounds: Pair, column: str = fixed.RATIO_COLUMN) -> DataFrame:
     """Outlier and eligible flags of a ratio, and the ratio nulled where it is not eligible."""
-    ratio = number_of(df, column)
-    outlier = _outlier(ratio, bounds)
-    eligible = f"{ratio} IS NOT NULL AND NOT {outlier}"
+    ratio = typed_number(df, column)
+    eligible = f"{column}Eligible"
+    judged = with_exprs(df, {eligible: f"{ratio} IS NOT NULL AND NOT {_outlier(ratio, bounds)}"})
     return with_exprs(
-        df,
+        judged,
         {
-            f"{column}OutlierFlag": outlier,
-            f"{column}Eligible": eligible,
+            f"{column}OutlierFlag": f"{ratio} IS NOT NULL AND NOT {eligible}",
             column: f"CASE WHEN {eligible} THEN {ratio} END",
         },
     )

@@ -71,26 +71,28 @@ def monthly_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Clean sold rows; the rate is joined only where a query asks for it."""
+    """Clean sold rows over the stored typed table, as the stages hand tables on.
+
+    The rate is joined only where a query asks for it.
+    """
     names = dict.fromkeys([*SOLD_RULE_COLUMNS, *columns])
-    wanted = [name for name in names if name != fixed.RATE_COLUMN]
-    source = warehouse.sold(spark, folder, *wanted)
+    source = warehouse.sold(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
     if fixed.RATE_COLUMN in names:
         source = stages.enriched_sold(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "CloseDate")
-    return stages.clean_sold(source)
+    return stages.clean_sold(staged(stages.typed_sold(source), "sold"))
 
 
 def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Clean listing rows over the stored typed table."""
     names = dict.fromkeys([*LISTING_RULE_COLUMNS, *columns])
-    wanted = [name for name in names if name != fixed.RATE_COLUMN]
-    source = warehouse.listings(spark, folder, *wanted)
+    source = warehouse.listings(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
     if fixed.RATE_COLUMN in names:
         source = stages.enriched_listings(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "ListingContractDate")
-    return stages.clean_listings(source)
+    return stages.clean_listings(staged(stages.typed_listings(source), "listings"))
 
 
 def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -98,7 +100,7 @@ def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
-    """Sales kept for analysis, from a stored table, and the bounds of their ratio."""
+    """Sales kept for analysis and the bounds of their ratio."""
     sale_columns = [*EVENT_INPUTS, *TIES]
     seller_columns = [
         "ListAgentFullName",
@@ -107,13 +109,7 @@ def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pa
         "ListOfficeName",
         "BuyerOfficeName",
     ]
-    computed = ["CloseDate", "ClosePrice", "DaysOnMarket", "CloseToOriginalListRatio", "PricePerSqFt"]
-    table = staged(
-        engineered(spark, folder, *sale_columns, *seller_columns).select(
-            *sale_columns, *seller_columns, *computed
-        ),
-        "engineered",
-    )
+    table = engineered(spark, folder, *sale_columns, *seller_columns)
     kept = outliers.filtered(stages.flagged_sold(table))
     return kept, stages.ratio_bounds(kept)
 
@@ -570,7 +566,7 @@ def measure_filtered(spark: SparkSession, folder: str) -> DataFrame:
 
 def top_sellers(by: str, spark: SparkSession, folder: str) -> DataFrame:
     kept, bounds = kept_sales(spark, folder)
-    return rounded(market.top_sellers(stages.sales_table(kept, bounds, TIES), by))
+    return rounded(market.top_sellers(stages.sales_table(kept, bounds, TIES), by), 2)
 
 
 def publication_audit(spark: SparkSession, folder: str) -> DataFrame:

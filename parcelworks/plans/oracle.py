@@ -559,7 +559,7 @@ def _measure(expression: str, name: str, closed: bool, extra: str = "") -> str:
 def _ranking(name: str) -> str:
     return _over(
         "events",
-        f"""SELECT "{name}", round(sum("SalesVolume"), 6) AS "SalesVolume",
+        f"""SELECT "{name}", round(sum("SalesVolume"), 2) AS "SalesVolume",
         CAST(sum("UnitsSold") AS BIGINT) AS "UnitsSold" FROM sales WHERE "{name}" IS NOT NULL
         GROUP BY 1 ORDER BY sum("SalesVolume") DESC, 3 DESC, 1 LIMIT 100""",
     )

@@ -21,17 +21,29 @@ def enriched_listings(listings: DataFrame, monthly: DataFrame) -> DataFrame:
     return with_rates(keep_category(listings), "ListingContractDate", monthly)
 
 
-def clean_sold(enriched: DataFrame) -> DataFrame:
-    """Typed sold rows that break no removing rule, with all rule flags."""
+def typed_sold(enriched: DataFrame) -> DataFrame:
+    """Numbers and dates of sold rows cast leniently, free of NaN.
+
+    Store the result before cleaning: a filter on computed columns makes Spark compute them
+    once per predicate.
+    """
     require_columns(enriched, fixed.REQUIRED_SOLD_COLUMNS, "sold")
-    typed = coerce(enriched, fixed.SOLD_NUMERIC_COLUMNS, fixed.SOLD_DATE_COLUMNS)
-    return clean_rows(typed, sold_rules())
+    return coerce(enriched, fixed.SOLD_NUMERIC_COLUMNS, fixed.SOLD_DATE_COLUMNS)
 
 
-def clean_listings(enriched: DataFrame) -> DataFrame:
-    """Typed listing rows that break no removing rule, with all rule flags."""
+def typed_listings(enriched: DataFrame) -> DataFrame:
+    """As ``typed_sold``, for listing rows."""
     require_columns(enriched, fixed.REQUIRED_LISTING_COLUMNS, "listings")
-    typed = coerce(enriched, fixed.LISTING_NUMERIC_COLUMNS, fixed.LISTING_DATE_COLUMNS)
+    return coerce(enriched, fixed.LISTING_NUMERIC_COLUMNS, fixed.LISTING_DATE_COLUMNS)
+
+
+def clean_sold(typed: DataFrame) -> DataFrame:
+    """Sold rows that break no removing rule, with all rule flags."""
+    return clean_rows(typed, sold_rules())
+
+
+def clean_listings(typed: DataFrame) -> DataFrame:
+    """Listing rows that break no removing rule, with all rule flags."""
     return clean_rows(typed, listing_rules())
 
 

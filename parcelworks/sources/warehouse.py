@@ -52,13 +52,13 @@ PRICE_TEXT = """CASE
     WHEN l_partkey % 31 = 0 THEN concat(bigint(l_extendedprice), 'e1')
     WHEN l_partkey % 37 = 0 THEN '0x1F'
     ELSE string(bigint(l_extendedprice)) END"""
-DATE_TEXT = f"""CASE
+DATE_TEXT = """CASE
     WHEN l_partkey % 13 = 0 THEN NULL
-    WHEN l_partkey % 17 = 0 THEN date_format({CLOSED}, 'MM/dd/yyyy')
-    WHEN l_partkey % 19 = 0 THEN date_format({CLOSED}, 'yyyy-M-d')
-    WHEN l_partkey % 23 = 0 THEN date_format({CLOSED}, 'yyyy')
+    WHEN l_partkey % 17 = 0 THEN date_format(closed, 'MM/dd/yyyy')
+    WHEN l_partkey % 19 = 0 THEN date_format(closed, 'yyyy-M-d')
+    WHEN l_partkey % 23 = 0 THEN date_format(closed, 'yyyy')
     WHEN l_partkey % 29 = 0 THEN '2001-02-30'
-    ELSE date_format({CLOSED}, 'yyyy-MM-dd') END"""
+    ELSE date_format(closed, 'yyyy-MM-dd') END"""
 
 # column: (expression, lookups it needs)
 SOLD_COLUMNS = {
@@ -71,9 +71,9 @@ SOLD_COLUMNS = {
     "StateOrProvince": ("'CA'", ""),
     "PostalCode": (POSTAL_CODE, "orders"),
     "ListingContractDate": (LISTED, "orders"),
-    "PurchaseContractDate": (CONTRACTED, "orders"),
-    "CloseDate": (CLOSED, "orders"),
-    "ContractStatusChangeDate": (CLOSED, "orders"),
+    "PurchaseContractDate": ("contracted", "orders"),
+    "CloseDate": ("closed", "orders"),
+    "ContractStatusChangeDate": ("closed", "orders"),
     "ClosePrice": (
         "CASE WHEN l_partkey % 71 = 0 THEN NULL WHEN l_partkey % 73 = 0 THEN 0D "
         "ELSE l_extendedprice * (1 - l_discount + l_tax) END",
@@ -101,8 +101,8 @@ SOLD_COLUMNS = {
     "ListAgentLastName": ("string(l_suppkey)", ""),
     "ListOfficeName": ("supplier_nation", "supplier supplier_nation"),
     "BuyerOfficeName": ("customer_nation", "orders customer customer_nation"),
-    "SourceMonth": (_file_month(CLOSED), "orders"),
-    "SourceFile": (f"concat('Sold', {_file_month(CLOSED)}, '.csv')", "orders"),
+    "SourceMonth": (_file_month("closed"), "orders"),
+    "SourceFile": (f"concat('Sold', {_file_month('closed')}, '.csv')", "orders"),
     # tie-breakers for rows that share an event identity
     "l_partkey": ("l_partkey", ""),
     "l_suppkey": ("l_suppkey", ""),
@@ -194,6 +194,9 @@ def _shaped(base: DataFrame, folder: str, columns, wanted) -> DataFrame:
         if name in needed:
             other, condition = _lookup(base.sparkSession, folder, name)
             base = base.join(other, F.expr(condition), "left")
+        if name == "orders" and name in needed:
+            # used by several columns, so computed once below them
+            base = base.selectExpr("*", f"{CLOSED} AS closed", f"{CONTRACTED} AS contracted")
     return base.selectExpr(*[f"{columns[name][0]} AS {quoted(name)}" for name in names])
 
 
