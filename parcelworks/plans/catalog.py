@@ -11,7 +11,8 @@ from parcelworks.functions.logic import quoted, with_exprs
 from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
 from parcelworks.plans import stages
 from parcelworks.sources import manifest, rates, sinks, warehouse
-from parcelworks.sources.staging import staged
+from parcelworks.sources.staging import new_folder, staged
+from parcelworks.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -632,6 +633,53 @@ def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     return combine.union_by_name(parts)
 
 
+# ---- streams ------------------------------------------------------------------------------
+
+
+def _arriving_sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Residential sold records from order lines read as a stream."""
+    lines = (
+        spark.readStream.schema(warehouse.table(spark, folder, "lineitem").schema)
+        .option("pathGlobFilter", "lineitem.parquet")
+        .parquet(folder)
+    )
+    return combine.keep_category(warehouse.sold_from(lines, folder, "PropertyType", *columns))
+
+
+def _landed(stream: DataFrame, label: str) -> DataFrame:
+    """Everything that has arrived, appended to a table by a stream run to its end."""
+    spark, path = stream.sparkSession, new_folder(stream.sparkSession, label)
+    jobs.land(stream, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return _landed(_arriving_sales(spark, folder, "ListingKey", "SourceMonth", "SourceFile"), "ingest")
+
+
+def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    named = _arriving_sales(spark, folder, "ListingKey", "CloseDate").selectExpr(f"{SALE_ID} AS EventId")
+    return _landed(jobs.deduped(named, ["EventId"]), "dedupe")
+
+
+def stream_flags(spark: SparkSession, folder: str) -> DataFrame:
+    bounds = outliers.as_bounds(
+        outliers.bounds_table(residential_sold(spark, folder, *fixed.OUTLIER_FIELDS))
+    )
+    arriving = _arriving_sales(spark, folder, "ListingKey", *fixed.OUTLIER_FIELDS)
+    flagged = outliers.with_outlier_flags(arriving, bounds)
+    return _landed(flagged.select("ListingKey", "any_outlier_flag", "analysis_exclude_flag"), "flags")
+
+
+def stream_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["CloseDate", "ClosePrice", "OriginalListPrice", "LivingArea", "DaysOnMarket"]
+    sales = metrics.price_metrics(metrics.calendar_fields(_arriving_sales(spark, folder, *columns), "CloseDate"))
+    path = new_folder(spark, "running")
+    arriving = sales.selectExpr("*", "0 AS NewListings", "1 AS ClosedSales")
+    jobs.count_into(arriving, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    return rounded(jobs.running_summary(spark, f"{path}/counts"))
+
+
 QUERIES: dict[str, Query] = {
     "file_selection": file_selection,
     "month_gaps": month_gaps,
@@ -703,4 +751,8 @@ QUERIES: dict[str, Query] = {
     "gate_clean": gate_clean,
     "gate_event_date": gate_event_date,
     "reconciliation": reconciliation,
+    "stream_ingest": stream_ingest,
+    "stream_dedupe": stream_dedupe,
+    "stream_flags": stream_flags,
+    "stream_monthly_summary": stream_monthly_summary,
 }

@@ -1017,4 +1017,36 @@ ORACLE: dict[str, str] = {
             ]
         ),
     ),
+    "stream_ingest": _over(
+        "sold", 'SELECT "PropertyType", "ListingKey", "SourceMonth", "SourceFile" FROM res_sold'
+    ),
+    "stream_dedupe": _over("sold", f'SELECT DISTINCT {SALE_ID} AS "EventId" FROM res_sold'),
+    "stream_flags": _over(
+        "sold",
+        """SELECT "ListingKey", price_out OR area_out OR days_out AS any_outlier_flag,
+        price_out OR area_out OR days_out OR invalid AS analysis_exclude_flag FROM marked""",
+        f"bounds AS MATERIALIZED ({_bounds(FIELDS, 'res_sold')})",
+        f"""marked AS (
+          SELECT "ListingKey", {_beyond("ClosePrice")} AS price_out, {_beyond("LivingArea")} AS area_out,
+            {_beyond("DaysOnMarket")} AS days_out,
+            coalesce("ClosePrice" <= 0, false) OR coalesce("LivingArea" <= 0, false)
+              OR coalesce("DaysOnMarket" < 0, false) AS invalid
+          FROM res_sold)""",
+    ),
+    "stream_monthly_summary": _over(
+        "sold",
+        f"""SELECT "YrMo", "NewListings", "ClosedSales", {_round("AverageDaysOnMarket",
+          "AverageCloseToOriginalListRatio", "MedianClosePrice")},
+          "NewListings" < (SELECT quantile_cont("NewListings", 0.5) FROM totals) * 0.5
+            AS "NewListingsLowVolumeFlag",
+          "ClosedSales" < (SELECT quantile_cont("ClosedSales", 0.5) FROM totals) * 0.5
+            AS "ClosedSalesLowVolumeFlag" FROM totals""",
+        """totals AS (
+          SELECT strftime("CloseDate", '%Y-%m') AS "YrMo", CAST(0 AS BIGINT) AS "NewListings",
+            CAST(count(*) AS BIGINT) AS "ClosedSales", avg("DaysOnMarket") AS "AverageDaysOnMarket",
+            avg(CASE WHEN "OriginalListPrice" > 0 THEN "ClosePrice" / "OriginalListPrice" END)
+              AS "AverageCloseToOriginalListRatio",
+            quantile_cont("ClosePrice", 0.5) AS "MedianClosePrice"
+          FROM res_sold GROUP BY 1)""",
+    ),
 }

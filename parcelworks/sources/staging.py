@@ -6,21 +6,19 @@ finished files and never a recomputation of the whole lineage.
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks.session import shared_folder
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path of its own below the shared folder of the session."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/parcelworks/{application}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and return the stored table."""
-    spark = df.sparkSession
-    path = "/".join(
-        [
-            shared_folder(spark),
-            "parcelworks",
-            spark.sparkContext.applicationId,
-            f"{label}-{uuid.uuid4().hex}",
-        ]
-    )
+    path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
