@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 
 from parcelworks import fixed
 from parcelworks.functions.casts import whole_number
+from parcelworks.functions.logic import quoted
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -16,7 +17,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
         df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
