@@ -35,8 +35,9 @@ def monthly_summary(events: DataFrame) -> DataFrame:
     ]
     totals = events.groupBy("YrMo").agg(*[F.expr(text) for text in [*VOLUMES, *means]])
     medians = grouped_median(events, "ClosePrice", ["YrMo"], "MedianClosePrice")
-    summary = totals.join(medians, "YrMo", "left").select(
-        "YrMo",
+    # null-safe, as a plain equality would add a filter to one use of the counted prices only
+    summary = totals.join(medians, totals.YrMo.eqNullSafe(medians.YrMo), "left").select(
+        totals.YrMo,
         "NewListings",
         "ClosedSales",
         "MedianClosePrice",

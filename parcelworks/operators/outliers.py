@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import typed_number
-from parcelworks.functions.logic import any_of, holds, in_list, number, quoted, with_exprs
+from parcelworks.functions.logic import any_of, holds, number, quoted, with_exprs
 from parcelworks.operators.profile import iqr_bounds, iqr_counts, outside
 from parcelworks.operators.quantiles import quantiles, value_frequencies
 from parcelworks.sources.staging import staged
@@ -48,8 +48,7 @@ def bounds_table(
 
 def as_bounds(bounds: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> Bounds:
     """A bounds table as a mapping; as many rows as fields come to the driver."""
-    rows = bounds.filter(f"field IN ({in_list(fields)})").collect()
-    found = {row.field: (row.lower_bound, row.upper_bound) for row in rows}
+    found = {row.field: (row.lower_bound, row.upper_bound) for row in bounds.collect()}
     return {name: found.get(name, (None, None)) for name in fields}
 
 

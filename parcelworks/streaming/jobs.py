@@ -101,4 +101,5 @@ def running_summary(spark: SparkSession, path: str) -> DataFrame:
         counted.groupBy("YrMo", F.lit("ClosePrice").alias("field"), "value").agg(F.expr("sum(rows) AS rows"))
     )
     medians = quantiles(prices, {"MedianClosePrice": 0.5}, ["YrMo"]).select("YrMo", "MedianClosePrice")
-    return with_low_volume(sums.join(medians, "YrMo", "left")).orderBy("YrMo")
+    summary = sums.join(medians, sums.YrMo.eqNullSafe(medians.YrMo), "left").drop(medians.YrMo)
+    return with_low_volume(summary).orderBy("YrMo")
