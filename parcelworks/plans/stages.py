@@ -10,7 +10,7 @@ from parcelworks.operators.combine import keep_category
 from parcelworks.operators.enrich import with_rates
 from parcelworks.operators.events import DEDUPE_KEY, first_of_each, listing_events, sale_events, sale_records
 from parcelworks.operators.metrics import engineer
-from parcelworks.operators.outliers import Pair, as_bounds, bounds_table, filtered, with_outlier_flags
+from parcelworks.operators.outliers import Pair, as_bounds, bounds_table, with_outlier_flags
 
 
 def enriched_sold(sold: DataFrame, monthly: DataFrame) -> DataFrame:

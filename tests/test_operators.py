@@ -2,7 +2,6 @@
 
 import datetime as dt
 import math
-import statistics
 
 import numpy as np
 import pytest
@@ -10,9 +9,8 @@ from pyspark.sql import functions as F
 
 from parcelworks import fixed
 from parcelworks.functions import casts, logic
-from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
+from parcelworks.operators import checks, clean, duplicates, enrich, events, market, outliers, profile
 from parcelworks.operators.quantiles import every_group_median, quantiles, value_frequencies
-from parcelworks.plans import stages
 from parcelworks.sources import manifest, sinks
 
 D = dt.date
