@@ -3,7 +3,18 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelworks.llm import packing, token_files
+from parcelworks.llm import (
+    archive,
+    decontaminate,
+    fingerprint,
+    lines,
+    near_copies,
+    packing,
+    pii,
+    quality,
+    substrings,
+    token_files,
+)
 from parcelworks.llm.ordering import new_folder
 
 
@@ -11,10 +22,50 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"), pii.labelled_table(spark))
+    return found.selectExpr(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "sha2(base, 256) AS base_sha256", "spans"
+    )
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """The model of the labelled documents that are not held out."""
+    labels = _table(spark, sf_dir, "labels").filter(f"NOT {quality.held_out()}")
+    return quality.fit(docs, labels)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs.select("doc_id", "text"), quality_model(spark, docs, sf_dir))
+    return scored.selectExpr("doc_id", f"{quality.held_out()} AS held_out", "score", "predicted")
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.selectExpr("doc_id", "n_words", "n_removed", "sha2(kept_text, 256) AS kept_sha256")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copy_groups(_table(spark, sf_dir, "documents"))
+
+
+def op8_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.archived(_table(spark, sf_dir, "pages"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,9 +73,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.selectExpr("doc_id", "n_lines", "n_removed", "sha2(kept_text, 256) AS kept_sha256")
+
+
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_decontamination": op2_decontamination,
+    "op3_personal_data": op3_personal_data,
+    "op4_quality": op4_quality,
+    "op5_substrings": op5_substrings,
     "op6_packing": op6_packing,
+    "op7_near_copies": op7_near_copies,
+    "op8_archive": op8_archive,
     "op9_token_files": op9_token_files,
+    "op10_lines": op10_lines,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_lines": lines.ORACLE}
