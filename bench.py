@@ -2,10 +2,12 @@
 
 import json
 import os
+import tempfile
 import time
 
 from parcelworks.plans.catalog import QUERIES
 from parcelworks.session import local_session
+from parcelworks.sources import staging
 
 HEADLINE = [
     "source_manifest",
@@ -28,8 +30,9 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")
     spark = local_session(
-        cores, cores, **{"spark.python.sql.dataFrameDebugging.enabled": "false"}
+        shared, cores, cores, **{"spark.python.sql.dataFrameDebugging.enabled": "false"}
     )
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_orderstatus").count().collect()
     seconds = {}
@@ -37,6 +40,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        staging.clear(spark)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     line = {
         "metric": "headline_queries_total",

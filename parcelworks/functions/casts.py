@@ -30,8 +30,20 @@ def parse_number(text: str) -> str:
     return f"CASE WHEN {trimmed} RLIKE r'{fixed.NUMBER_PATTERN}' THEN try_cast({trimmed} AS double) END"
 
 
+def has_time(fmt: str) -> bool:
+    """Whether a datetime pattern has a time of day outside its quoted text."""
+    return any(letter in part for part in fmt.split("'")[::2] for letter in "HhKkmsSan")
+
+
 def parse_date(text: str, formats=fixed.DATE_FORMATS) -> str:
-    """Text to date by the declared formats; anything else becomes null."""
+    """Text by the declared formats; anything else becomes null.
+
+    The result is a date, or a timestamp without time zone as soon as a format has a time of day,
+    so that whole days between two times are counted as such.
+    """
+    if any(map(has_time, formats)):
+        tries = ", ".join(f"try_to_timestamp({strip(text)}, {literal(fmt)})" for fmt in formats)
+        return f"CAST(coalesce({tries}) AS timestamp_ntz)"
     tries = ", ".join(f"try_to_date({strip(text)}, {literal(fmt)})" for fmt in formats)
     return f"coalesce({tries})"
 

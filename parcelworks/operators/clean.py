@@ -63,12 +63,12 @@ def geographic_rules(
     ]
 
 
-def sold_rules() -> list[Rule]:
-    return [*numeric_rules("ClosePrice", "close_price"), *date_rules(), *geographic_rules()]
+def sold_rules(latitudes=fixed.LATITUDE_RANGE, longitudes=fixed.LONGITUDE_RANGE) -> list[Rule]:
+    return [*numeric_rules("ClosePrice", "close_price"), *date_rules(), *geographic_rules(latitudes, longitudes)]
 
 
-def listing_rules() -> list[Rule]:
-    return [*numeric_rules("ListPrice", "list_price"), *geographic_rules()]
+def listing_rules(latitudes=fixed.LATITUDE_RANGE, longitudes=fixed.LONGITUDE_RANGE) -> list[Rule]:
+    return [*numeric_rules("ListPrice", "list_price"), *geographic_rules(latitudes, longitudes)]
 
 
 def with_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

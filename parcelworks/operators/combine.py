@@ -57,22 +57,33 @@ def source_manifest(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def aggregation_summary(manifest: DataFrame) -> DataFrame:
-    """Months, files and row totals of each dataset, from its manifest."""
-    totals = [
+def aggregation_summary(manifest: DataFrame, combined: DataFrame, kept: DataFrame, dataset: str) -> DataFrame:
+    """Months, files and row totals of a dataset: files by the manifest, tables by their own rows.
+
+    ``manifest`` comes from the files, ``combined`` is the united table and ``kept`` the rows of
+    the category; each is counted for itself, so that totals that should agree can differ.
+    """
+    files = manifest.filter(f"dataset = {literal(dataset)}").selectExpr(
+        f"{literal(dataset)} AS dataset",
         "min(source_month) AS first_month",
         "max(source_month) AS last_month",
         "count(*) AS monthly_files_used",
         "sum(rows_read) AS rows_before_concat",
-        "sum(rows_read) AS rows_after_concat",
-        "sum(rows_read) AS rows_before_residential_filter",
-        "sum(residential_rows) AS rows_after_residential_filter",
-    ]
-    return manifest.groupBy("dataset").agg(*[F.expr(text) for text in totals])
+    )
+    rows = combined.selectExpr("count(*) AS rows").scalar()
+    after = kept.selectExpr("count(*) AS rows").scalar()
+    # before the filter stands the combined table with any category, a missing one included
+    before = combined.selectExpr(f"count_if({of_category()}) + count_if(NOT coalesce({of_category()}, false)) AS rows").scalar()
+    return files.select(
+        "*",
+        rows.alias("rows_after_concat"),
+        before.alias("rows_before_residential_filter"),
+        after.alias("rows_after_residential_filter"),
+    )
 
 
 def parts_reconcile(combined: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
-    """The files' row counts add up to the rows of the combined table."""
+    """The files' row counts, read from the files, add up to the rows of the combined table."""
     sides = combined.selectExpr("1L AS rows", "0L AS parts").unionByName(
         manifest.selectExpr("0L AS rows", "rows_read AS parts")
     )

@@ -1,10 +1,14 @@
 """Columns that occur twice in a file: audit of the copies, recovery and removal.
 
+Files with different headers are audited and merged apart, before they are united: a file's copies
+say nothing about a file that has none.
+
 Copies of a column ``X`` are named ``X.1``, ``X.2`` ... Reading the pairs off the header is
 schema work; the audit of all pairs is one aggregation.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -81,6 +85,18 @@ def audit(
     )
 
 
+def audit_files(frames: Sequence[DataFrame], dataset: str, numeric: Sequence[str] = fixed.NUMERIC_DUPLICATE_COLUMNS) -> DataFrame | None:
+    """``audit`` of each frame that has copies; None if none has any."""
+    audits = [audit(frame, dataset, numeric) for frame in frames if copies(frame.columns)]
+    return reduce(DataFrame.unionByName, audits) if audits else None
+
+
+def merged_files(frames: Sequence[DataFrame]) -> DataFrame:
+    """``merged`` frames, united by column name."""
+    parts = [merged(frame) if copies(frame.columns) else frame for frame in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def audit_totals(audited: DataFrame) -> DataFrame:
     """Distinct pairs, conflicts kept and values recovered over all files."""
     return audited.selectExpr(

@@ -25,19 +25,21 @@ def rate_series(monthly: DataFrame, last_month: str, first_month: str = fixed.FI
     return monthly.filter(window).selectExpr("*", f"date(concat({MONTH}, '-01')) AS date").orderBy(MONTH)
 
 
-def dated(df: DataFrame, date_column: str) -> DataFrame:
+def dated(df: DataFrame, date_column: str, formats=fixed.DATE_FORMATS) -> DataFrame:
     """Rows with a valid date, and their month as text."""
-    valid = with_exprs(df, {date_column: date_of(df, date_column)}).dropna(subset=[date_column])
+    valid = with_exprs(df, {date_column: date_of(df, date_column, formats)}).dropna(subset=[date_column])
     return with_exprs(valid, {MONTH: year_month(quoted(date_column))})
 
 
-def with_rates(df: DataFrame, date_column: str, monthly: DataFrame) -> DataFrame:
+def with_rates(
+    df: DataFrame, date_column: str, monthly: DataFrame, formats=fixed.DATE_FORMATS
+) -> DataFrame:
     """Left join of the month's rate.
 
     ``monthly`` has one row per calendar month (see ``rate_keys_unique``), at most some thousand
     rows however large the data, so it is broadcast.
     """
-    return dated(df, date_column).join(F.broadcast(monthly), MONTH, "left")
+    return dated(df, date_column, formats).join(F.broadcast(monthly), MONTH, "left")
 
 
 def rate_keys_unique(monthly: DataFrame) -> DataFrame:
@@ -53,13 +55,20 @@ def unmatched_months(df: DataFrame, date_column: str, monthly: DataFrame) -> Dat
 
 
 def all_matched(enriched: DataFrame, dataset: str) -> DataFrame:
-    """Check that every enriched row has a rate."""
-    return check_rows(enriched, {f"{dataset} rows without a rate": (f"count_if({RATE} IS NULL)", "0")})
-
-
-def join_quality(df: DataFrame, date_column: str, monthly: DataFrame, dataset: str) -> DataFrame:
+    """Check that every enriched row has a rate; one row, or one per month without a rate, named."""
+    without = enriched.filter(f"{RATE} IS NULL").groupBy(MONTH).count()
+    named = without.selectExpr(
+        f"concat({literal(dataset + ' rows without a rate in ')}, {MONTH}) AS `check`",
+        "count AS observed", "0L AS expected", "false AS passed",
+    )
+    return check_rows(enriched, {f"{dataset} rows without a rate": (f"count_if({RATE} IS NULL)", "0")}).unionByName(named)
+
+
+def join_quality(
+    df: DataFrame, date_column: str, monthly: DataFrame, dataset: str, formats=fixed.DATE_FORMATS
+) -> DataFrame:
     """Rows before and after the date check, and rows left without a rate, in one pass."""
-    keyed = df.selectExpr(f"{year_month(date_of(df, date_column))} AS {MONTH}")
+    keyed = df.selectExpr(f"{year_month(date_of(df, date_column, formats))} AS {MONTH}")
     return keyed.join(F.broadcast(monthly), MONTH, "left").selectExpr(
         f"{literal(dataset)} AS dataset",
         f"{literal(date_column)} AS date_column",

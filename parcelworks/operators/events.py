@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coerce
 from parcelworks.functions.logic import literal, quoted, with_exprs
+from parcelworks.operators.checks import only_category
 from parcelworks.operators.metrics import calendar_fields
 from parcelworks.operators.outliers import Pair, with_ratio_quality
 
@@ -117,6 +118,11 @@ def dedupe_counts(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFra
     return per_key.groupBy(*key[:-1]).agg(*[F.expr(text) for text in totals])
 
 
+def typed_dimensions(df: DataFrame, dataset: str, value: str = fixed.CATEGORY) -> DataFrame:
+    """Check that the trimmed category of every row to be published is the one kept."""
+    return only_category(df, dataset, value=value, trimmed=True)
+
+
 def not_yet_published(events: DataFrame, published: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:
     """Events whose identity an earlier run has not published; those without identity stay."""
     return events.join(published.select(*key), list(key), "left_anti")

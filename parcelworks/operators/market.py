@@ -34,7 +34,8 @@ def monthly_summary(events: DataFrame) -> DataFrame:
         "avg(CloseToOriginalListRatio) AS AverageCloseToOriginalListRatio",
     ]
     totals = events.groupBy("YrMo").agg(*[F.expr(text) for text in [*VOLUMES, *means]])
-    medians = grouped_median(events, "ClosePrice", ["YrMo"], "MedianClosePrice")
+    # a row per calendar month
+    medians = grouped_median(events, "ClosePrice", ["YrMo"], "MedianClosePrice", broadcast=True)
     # null-safe, as a plain equality would add a filter to one use of the counted prices only
     summary = totals.join(medians, totals.YrMo.eqNullSafe(medians.YrMo), "left").select(
         totals.YrMo,
@@ -68,7 +69,7 @@ def with_low_volume(monthly: DataFrame, share: float = fixed.LOW_VOLUME_SHARE) -
 
 def top_sellers(sales: DataFrame, by: str, top: int = fixed.TOP_SELLERS) -> DataFrame:
     """Names with the largest sales volume, then units, then name; missing names are left out."""
-    sums = [f"sum({name}) AS {name}" for name in ("SalesVolume", "UnitsSold")]
+    sums = [f"{sum_or_zero(name)} AS {name}" for name in ("SalesVolume", "UnitsSold")]
     return (
         sales.filter(f"{quoted(by)} IS NOT NULL")
         .groupBy(by)
@@ -98,7 +99,7 @@ def measure_series(
         chosen = chosen.filter(f"EventType = {literal(fixed.CLOSED_SALE)}")
     by_month = chosen.selectExpr("trunc(EventDate, 'month') AS EventMonth", measure)
     if aggregation == "median":
-        return every_group_median(by_month, measure, ["EventMonth"], measure)
+        return every_group_median(by_month, measure, ["EventMonth"], measure, broadcast=True)
     uses = {"sum": sum_or_zero(measure), "average": f"avg({measure})"}
     return by_month.groupBy("EventMonth").agg(F.expr(f"{uses[aggregation]} AS {measure}"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelworks import fixed
 from parcelworks.functions.casts import elapsed_days
 from parcelworks.functions.logic import guarded_ratio, literal, quoted, rows_of, with_exprs, year_month
-from parcelworks.operators.quantiles import grouped_median
+from parcelworks.operators.quantiles import few_groups, grouped_median
 
 # eligibility flag of each metric
 ELIGIBLE = {
@@ -84,7 +84,7 @@ def county_summary(engineered: DataFrame, by: str = "CountyOrParish") -> DataFra
         F.expr("count(*) AS Transactions"),
         *[F.expr(f"avg({column}) AS {name}") for name, column in means.items()],
     )
-    medians = grouped_median(engineered, "ClosePrice", [by], "MedianClosePrice")
+    medians = grouped_median(engineered, "ClosePrice", [by], "MedianClosePrice", few_groups(engineered, [by]))
     return (
         groups.join(medians, groups[by].eqNullSafe(medians[by]), "left")
         .select(groups[by], "Transactions", "MedianClosePrice", *means)

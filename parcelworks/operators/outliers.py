@@ -12,17 +12,18 @@ from parcelworks import fixed
 from parcelworks.functions.casts import typed_number
 from parcelworks.functions.logic import any_of, holds, number, quoted, with_exprs
 from parcelworks.operators.profile import iqr_bounds, iqr_counts, outside
-from parcelworks.operators.quantiles import quantiles, value_frequencies
-from parcelworks.sources.staging import staged
+from parcelworks.operators.quantiles import long_values, quantiles
 
 Pair = tuple[float | None, float | None]
 Bounds = Mapping[str, Pair]
 
 
-def iqr_summary(df: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> DataFrame:
+def iqr_summary(
+    df: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS, multiplier: float = fixed.IQR_MULTIPLIER
+) -> DataFrame:
     """Quartiles, bounds and outliers per field; percent of all rows, unrounded."""
-    frequencies = staged(value_frequencies(df, fields), "outliers")
-    return iqr_counts(frequencies, iqr_bounds(frequencies)).selectExpr(
+    values = long_values(df, fields)
+    return iqr_counts(values, iqr_bounds(values, multiplier)).selectExpr(
         "field",
         "rows_total",
         "rows_non_null",
@@ -43,7 +44,7 @@ def bounds_table(
     multiplier: float = fixed.IQR_MULTIPLIER,
 ) -> DataFrame:
     """(field, lower_bound, upper_bound), one row per field."""
-    return iqr_bounds(value_frequencies(df, fields), multiplier).select("field", "lower_bound", "upper_bound")
+    return iqr_bounds(long_values(df, fields), multiplier).select("field", "lower_bound", "upper_bound")
 
 
 def as_bounds(bounds: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> Bounds:
@@ -96,18 +97,19 @@ def filtered(flagged: DataFrame) -> DataFrame:
 def dataset_comparison(flagged: DataFrame, fields: Sequence[str] = fixed.OUTLIER_FIELDS) -> DataFrame:
     """Rows and exact medians of the full and of the filtered set.
 
-    Each value is counted once per set it belongs to, so both sets come from one pass.
+    Each row counts once per set it belongs to.
     """
     sets = (
         "explode(CASE WHEN analysis_exclude_flag THEN array('full_flagged') "
         "ELSE array('full_flagged', 'clean_filtered') END) AS dataset"
     )
     members = flagged.selectExpr(*[quoted(name) for name in fields], sets)
-    frequencies = staged(value_frequencies(members, fields, ["dataset"]), "comparison")
-    medians = quantiles(frequencies, {"median": 0.5}, ["dataset"]).groupBy("dataset").agg(
+    # two datasets, so their bins are a few rows
+    values = long_values(members, fields, ["dataset"])
+    medians = quantiles(values, {"median": 0.5}, ["dataset"], broadcast=True).groupBy("dataset").agg(
         *[F.expr(f"max(CASE WHEN field = '{name}' THEN median END) AS median_{name}") for name in fields]
     )
-    sizes = frequencies.filter(f"field = '{fields[0]}'").groupBy("dataset").agg(F.expr("sum(rows) AS row_count"))
+    sizes = members.groupBy("dataset").agg(F.expr("count(*) AS row_count"))
     return sizes.join(medians, "dataset", "left").select(
         "dataset", "row_count", *[f"median_{name}" for name in fields]
     )

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelworks import fixed
 from parcelworks.functions.casts import missing, number_of
 from parcelworks.functions.logic import holds, literal, percent, quoted, rows_of
-from parcelworks.operators.quantiles import quantiles, value_frequencies
-from parcelworks.sources.staging import staged
+from parcelworks.operators.quantiles import long_values, quantiles
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -49,7 +48,7 @@ def numeric_summary(
         [(literal(name), *[f"{use}_{name}" for use in uses.values()]) for name in names],
         ["column", *uses],
     )
-    found = quantiles(value_frequencies(values, names), percentiles)
+    found = quantiles(long_values(values, names), percentiles)
     shown = [quoted(label) for label in percentiles]
     # one row per column on either side
     return moments.join(F.broadcast(found), moments["column"] == found["field"], "left").selectExpr(
@@ -62,9 +61,9 @@ def outside(value: str, lower: str, upper: str) -> str:
     return holds(f"{value} < {lower} OR {value} > {upper}")
 
 
-def iqr_bounds(frequencies: DataFrame, multiplier: float = fixed.IQR_MULTIPLIER) -> DataFrame:
+def iqr_bounds(values: DataFrame, multiplier: float = fixed.IQR_MULTIPLIER) -> DataFrame:
     """Quartiles and bounds per field; fields without any value do not appear."""
-    found = quantiles(frequencies, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    found = quantiles(values, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     return found.selectExpr(
         "field",
         "q1",
@@ -79,7 +78,7 @@ def iqr_bounds(frequencies: DataFrame, multiplier: float = fixed.IQR_MULTIPLIER)
 BEYOND = outside("value", "lower_bound", "upper_bound")
 
 
-def iqr_counts(frequencies: DataFrame, bounds: DataFrame) -> DataFrame:
+def iqr_counts(values: DataFrame, bounds: DataFrame) -> DataFrame:
     """Bounds per field with rows in all, present rows and rows outside.
 
     ``bounds`` has one row per profiled column, so it is broadcast.
@@ -91,7 +90,7 @@ def iqr_counts(frequencies: DataFrame, bounds: DataFrame) -> DataFrame:
         "outlier_count": BEYOND,
     }
     return (
-        frequencies.join(F.broadcast(bounds), "field", "left")
+        values.join(F.broadcast(bounds), "field", "left")
         .groupBy("field", "q1", "median", "q3", "iqr", "lower_bound", "upper_bound")
         .agg(*[F.expr(f"sum(CASE WHEN {test} THEN rows ELSE 0 END) AS {name}") for name, test in totals.items()])
     )
@@ -99,8 +98,8 @@ def iqr_counts(frequencies: DataFrame, bounds: DataFrame) -> DataFrame:
 
 def outlier_summary(df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMNS) -> DataFrame:
     """Quartiles, bounds and outliers per column; percent of the present values, 2 digits."""
-    frequencies = staged(value_frequencies(df, _present(df, columns)), "profile")
-    counts = iqr_counts(frequencies, iqr_bounds(frequencies))
+    values = long_values(df, _present(df, columns))
+    counts = iqr_counts(values, iqr_bounds(values))
     return counts.filter("rows_non_null > 0").selectExpr(
         "field AS Column",
         "rows_non_null AS Count",
@@ -115,23 +114,21 @@ def outlier_summary(df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMN
     )
 
 
-def displayed(frequencies: DataFrame, between=fixed.DISPLAY_RANGE) -> DataFrame:
-    """The counted values a distribution chart shows.
+def displayed(values: DataFrame, between=fixed.DISPLAY_RANGE) -> DataFrame:
+    """The values a distribution chart shows.
 
     Those within the two quantiles, ends included; all of them where both quantiles coincide.
     """
-    ends = quantiles(frequencies, {"low": between[0], "high": between[1]})
+    ends = quantiles(values, {"low": between[0], "high": between[1]})
     return (
-        frequencies.join(F.broadcast(ends), "field")
+        values.join(F.broadcast(ends), "field")
         .filter("value IS NOT NULL AND (value BETWEEN low AND high OR low = high)")
         .select("field", "value", "rows")
     )
 
 
 def _shown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The displayed values, stored, as several small passes follow."""
-    counted = staged(value_frequencies(df, _present(df, columns)), "distribution")
-    return staged(displayed(counted), "displayed")
+    return displayed(long_values(df, _present(df, columns)))
 
 
 def histogram(

@@ -1,11 +1,11 @@
-"""Exact quantiles with linear interpolation that never put a whole column into one task.
-
-``percentile`` merges every distinct value of a group in one task. Here the values are first
-counted (one shuffle on group *and* value, combined on the map side, so neither a hot group nor
-a hot value gathers anywhere). The wanted ranks are then located by counting over bins: a value's
-bin is a fixed increasing function of the value, so the running count of the bins tells exactly
-which bin holds a rank. Two such narrowings leave about a millionth of the value range, and only
-that remainder is sorted.
+"""Exact quantiles with linear interpolation that neither sort nor shuffle the values.
+
+A double's 64 bits, with the sign taken for minus, are a whole number that grows with the value.
+Three passes over the column locate the wanted ranks in it: the first counts values by the upper
+22 bits, and each next one counts, by 21 more bits, only the values in the bins that hold a wanted
+rank. Counts are combined on the map side, so what is shuffled are bins, at most 2**22 a group and
+far fewer in practice, however many values there are and however close to each other they lie.
+After the third pass the bits are complete: the bin is the value.
 """
 
 from collections.abc import Mapping, Sequence
@@ -15,87 +15,117 @@ from pyspark.sql import DataFrame
 from parcelworks.functions.casts import number_of
 from parcelworks.functions.logic import all_equal, literal, quoted
 
-# bins per factor e of the value, as powers of two: first coarse, then fine
-BIN_BITS = (8, 20)
+#: bits still hidden after each pass
+SHIFTS = (42, 21, 0)
+#: groups whose located bins are broadcast; each is a few rows
+GROUPS_TO_BROADCAST = 100_000
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows per (by..., field, value); missing values are kept as one null value per group."""
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., field, value, rows) with one row per row and column, and ``rows`` 1."""
     groups = [quoted(name) for name in by]
     if len(columns) == 1:
-        long = df.selectExpr(
-            *groups, f"{literal(columns[0])} AS field", f"{number_of(df, columns[0])} AS value"
+        return df.selectExpr(
+            *groups, f"{literal(columns[0])} AS field", f"{number_of(df, columns[0])} AS value", "1L AS rows"
         )
-    else:
-        numbers = df.selectExpr(*groups, *[f"{number_of(df, name)} AS {quoted(name)}" for name in columns])
-        long = numbers.unpivot(list(by), list(columns), "field", "value")
-    return long.groupBy(*by, "field", "value").count().withColumnRenamed("count", "rows")
+    numbers = df.selectExpr(*groups, *[f"{number_of(df, name)} AS {quoted(name)}" for name in columns])
+    return numbers.unpivot(list(by), list(columns), "field", "value").selectExpr("*", "1L AS rows")
 
 
-def bin_of(value: str, bits: int) -> str:
-    """Number of the logarithmic bin of a value; never decreasing in the value."""
-    size = f"log1p(least(abs({value}), 1.7976931348623157e308D))"
-    return f"bigint(floor(signum({value}) * {size} * {2**bits}D))"
+def _with_bits(values: str, keys: str) -> str:
+    """SQL text of ``values`` with ``bits``, the ordered whole number of each value.
+
+    The exponent is found by a logarithm and set right by comparison with powers of two; the rest
+    of the division by a power of two is exact. Values below the smallest normal number are whole
+    multiples of 2**-1074.
+    """
+    return f"""
+      SELECT {keys}, value, rows, CASE WHEN value < 0 THEN -size ELSE size END AS bits
+      FROM (
+        SELECT *, CASE
+          WHEN value IS NULL THEN NULL
+          WHEN far = 0 THEN 0L
+          WHEN far > 1.7976931348623157E308D THEN 2047L * 4503599627370496L
+          WHEN far < 2.2250738585072014E-308D THEN bigint(far * pow(2D, 537) * pow(2D, 537))
+          ELSE (power + 1023L) * 4503599627370496L + bigint((far / pow(2D, power) - 1D) * 4503599627370496D)
+          END AS size
+        FROM (
+          SELECT *, guess + CASE WHEN pow(2D, guess) > far THEN -1 WHEN pow(2D, guess + 1) <= far THEN 1 ELSE 0 END AS power
+          FROM (
+            SELECT *, bigint(floor(log2(CASE WHEN far BETWEEN 2.2250738585072014E-308D AND 1.7976931348623157E308D
+              THEN far ELSE 1D END))) AS guess
+            FROM (SELECT {keys}, value, rows, abs(value) AS far FROM {values}))))"""
 
 
 def quantiles(
-    frequencies: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()
+    values: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = (), broadcast: bool | None = None
 ) -> DataFrame:
     """One row per (by..., field) with ``n`` non-missing rows and a column per probability.
 
-    Groups without any non-missing value do not appear.
+    ``values`` has (by..., field, value, rows), ``rows`` being how often the value counts; it may
+    hold a value many times. Groups without any non-missing value do not appear. ``broadcast``
+    says that the groups are few enough for their located bins to be broadcast; without groups
+    they are a few rows per field.
     """
     names = [*by, "field"]
     keys = ", ".join(quoted(name) for name in names)
     ranks = ", ".join(
         f"bigint({use}({p!r}D * (n - 1)))" for p in probabilities.values() for use in ("floor", "ceil")
     )
+    hint = "/*+ BROADCAST(l) */" if broadcast or not by else ""
     parts = [
+        f"bits AS ({_with_bits('{values}', keys)})",
         f"""binned AS (
-          SELECT {keys}, {bin_of("value", BIN_BITS[0])} AS bin, sum(rows) AS rows
-          FROM {{frequencies}} GROUP BY ALL)""",
+          SELECT {keys}, shiftright(bits, {SHIFTS[0]}) AS bin, sum(rows) AS rows, min(value) AS least
+          FROM bits GROUP BY ALL)""",
         f"""sized AS (
-          SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n
-          FROM binned)""",
-        f"""counted AS (SELECT *, array_distinct(array({ranks})) AS ranks, 0L AS before FROM sized)""",
-        _holding_ranks("located", "counted", keys, keys, "bin"),
+          SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n FROM binned)""",
+        f"counted AS (SELECT *, array_distinct(array({ranks})) AS ranks, 0L AS before FROM sized)",
+        _holding_ranks("located", "counted", keys, keys),
     ]
     located = "located"
-    for bits, finer in zip(BIN_BITS, BIN_BITS[1:]):
+    same = all_equal([f"f.{quoted(key)}" for key in names], [f"l.{quoted(key)}" for key in names])
+    chosen = ", ".join(f"f.{quoted(key)}" for key in names)
+    for shift, finer in zip(SHIFTS, SHIFTS[1:]):
+        # null-safe equality keeps the missing group and lets all passes read the same scan
         parts += [
-            _inside(f"inside_{bits}", located, names, bits, by),
             f"""counted_{finer} AS (
-              SELECT {keys}, bin, n, before, ranks, {bin_of("value", finer)} AS finer, sum(rows) AS rows
-              FROM inside_{bits} GROUP BY ALL)""",
-            _holding_ranks(f"located_{finer}", f"counted_{finer}", keys, f"{keys}, bin", "finer"),
+              SELECT {hint} {chosen}, l.bin AS within, shiftright(f.bits, {finer}) AS bin, l.n, l.before, l.ranks,
+                sum(f.rows) AS rows, min(f.value) AS least
+              FROM bits f JOIN {located} l ON {same} AND shiftright(f.bits, {shift}) <=> l.bin
+              GROUP BY ALL)""",
+            _holding_ranks(f"located_{finer}", f"counted_{finer}", keys, f"{keys}, within"),
         ]
         located = f"located_{finer}"
     results = ", ".join(f"{_interpolated(p)} AS {quoted(name)}" for name, p in probabilities.items())
     parts += [
-        _inside("inside", located, names, BIN_BITS[-1], by),
-        _holding_ranks("found", "inside", keys, f"{keys}, bin", "value"),
-        f"exploded AS (SELECT {keys}, n, bin AS value, explode(ranks) AS rank FROM found)",
+        f"exploded AS (SELECT {keys}, n, least AS value, explode(ranks) AS rank FROM {located})",
         f"""at_ranks AS (
           SELECT {keys}, n, map_from_entries(collect_list(struct(rank, value))) AS at
           FROM exploded GROUP BY ALL)""",
     ]
     query = f"WITH {', '.join(parts)} SELECT {keys}, n, {results} FROM at_ranks"
-    return frequencies.sparkSession.sql(query, frequencies=frequencies)
+    return values.sparkSession.sql(query, values=values)
 
 
-def grouped_median(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
-    """Exact median of one column per group, as (by..., name)."""
-    return quantiles(value_frequencies(df, [column], by), {name: 0.5}, by).select(*by, name)
+def few_groups(df: DataFrame, by: Sequence[str], limit: int = GROUPS_TO_BROADCAST) -> bool:
+    """Whether the groups are at most ``limit``; one pass over the group columns."""
+    return df.select(*map(quoted, by)).distinct().limit(limit + 1).count() <= limit
 
 
-def every_group_median(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
-    """``grouped_median`` that keeps groups without any value, with a null median.
+def grouped_median(
+    df: DataFrame, column: str, by: Sequence[str], name: str, broadcast: bool | None = None
+) -> DataFrame:
+    """Exact median of one column per group, as (by..., name)."""
+    return quantiles(long_values(df, [column], by), {name: 0.5}, by, broadcast).select(*by, name)
 
-    The groups come from the same counted values, not from a second pass over ``df``.
-    """
-    frequencies = value_frequencies(df, [column], by)
-    medians = quantiles(frequencies, {name: 0.5}, by)
-    groups = frequencies.groupBy(*by).sum("rows")
+
+def every_group_median(
+    df: DataFrame, column: str, by: Sequence[str], name: str, broadcast: bool | None = None
+) -> DataFrame:
+    """``grouped_median`` that keeps groups without any value, with a null median."""
+    medians = grouped_median(df, column, by, name, broadcast)
+    groups = df.select(*map(quoted, by)).distinct()
     same = all_equal([f"g.{quoted(key)}" for key in by], [f"m.{quoted(key)}" for key in by])
     chosen = ", ".join(f"g.{quoted(key)}" for key in by)
     return df.sparkSession.sql(
@@ -105,38 +135,22 @@ def every_group_median(df: DataFrame, column: str, by: Sequence[str], name: str)
     )
 
 
-def _holding_ranks(name: str, counted: str, keys: str, within: str, order: str) -> str:
-    """Rows whose run of positions holds a wanted rank, with ``order`` renamed to ``bin``.
+def _holding_ranks(name: str, counted: str, keys: str, within: str) -> str:
+    """Bins whose run of positions holds a wanted rank.
 
     ``before`` moves on to the start of the run, ``ranks`` keeps the ranks lying in it.
     """
     in_run = "rank -> rank >= upto - rows AND rank < upto"
     return f"""{name} AS (
-      SELECT {keys}, {order} AS bin, n, upto - rows AS before, filter(ranks, {in_run}) AS ranks
+      SELECT {keys}, bin, n, least, upto - rows AS before, filter(ranks, {in_run}) AS ranks
       FROM (
         SELECT *, before + sum(rows) OVER (
-          PARTITION BY {within} ORDER BY {order} ASC NULLS LAST
+          PARTITION BY {within} ORDER BY bin ASC NULLS LAST
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
         FROM {counted})
       WHERE exists(ranks, {in_run}))"""
 
 
-def _inside(name: str, located: str, names: Sequence[str], bits: int, by: Sequence[str]) -> str:
-    """The counted values lying in a located bin.
-
-    Null-safe equality keeps the missing group and adds no filter of its own, so every level
-    reads the same shuffled counts. Without groups the located side is at most two bins per
-    field and probability and is broadcast; with groups Spark decides by its size.
-    """
-    keys = [quoted(key) for key in names]
-    same = all_equal([f"f.{key}" for key in keys], [f"l.{key}" for key in keys])
-    chosen = ", ".join(f"f.{key}" for key in keys)
-    hint = "" if by else "/*+ BROADCAST(l) */"
-    return f"""{name} AS (
-      SELECT {hint} {chosen}, f.value, f.rows, l.bin, l.n, l.before, l.ranks
-      FROM {{frequencies}} f JOIN {located} l ON {same} AND {bin_of("f.value", bits)} <=> l.bin)"""
-
-
 def _interpolated(probability: float) -> str:
     position = f"({probability!r}D * (n - 1))"
     low, high = (f"element_at(at, bigint({use}({position})))" for use in ("floor", "ceil"))

@@ -16,19 +16,8 @@ from parcelworks.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RULE_COLUMNS = [
-    "PropertyType",
-    "ListingContractDate",
-    "LivingArea",
-    "DaysOnMarket",
-    "BedroomsTotal",
-    "BathroomsTotalInteger",
-    "Latitude",
-    "Longitude",
-    "ContractStatusChangeDate",
-]
-SOLD_RULE_COLUMNS = [*RULE_COLUMNS, "PurchaseContractDate", "CloseDate", "ClosePrice"]
-LISTING_RULE_COLUMNS = [*RULE_COLUMNS, "ListPrice"]
+SOLD_RULE_COLUMNS = list(dict.fromkeys([fixed.CATEGORY_COLUMN, *fixed.REQUIRED_SOLD_COLUMNS]))
+LISTING_RULE_COLUMNS = list(dict.fromkeys([fixed.CATEGORY_COLUMN, *fixed.REQUIRED_LISTING_COLUMNS]))
 TIES = warehouse.SOLD_TIE_BREAKERS
 SALE_ID = events.event_id(fixed.CLOSED_SALE, "ListingKey", "CloseDate")
 EVENT_INPUTS = [
@@ -41,6 +30,8 @@ EVENT_INPUTS = [
     *fixed.DIMENSION_COLUMNS,
 ]
 
+SELLER_COLUMNS = ["ListAgentFullName", "ListAgentFirstName", "ListAgentLastName", "ListOfficeName", "BuyerOfficeName"]
+
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, as the last bits of sums and interpolations depend on their order."""
@@ -102,15 +93,7 @@ def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
     """Sales kept for analysis and the bounds of their ratio."""
-    sale_columns = [*EVENT_INPUTS, *TIES]
-    seller_columns = [
-        "ListAgentFullName",
-        "ListAgentFirstName",
-        "ListAgentLastName",
-        "ListOfficeName",
-        "BuyerOfficeName",
-    ]
-    table = engineered(spark, folder, *sale_columns, *seller_columns)
+    table = engineered(spark, folder, *EVENT_INPUTS, *TIES, *SELLER_COLUMNS)
     kept = outliers.filtered(stages.flagged_sold(table))
     return kept, stages.ratio_bounds(kept)
 
@@ -118,7 +101,7 @@ def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pa
 def every_event(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, outliers.Pair]:
     """All events before deduplication, the kept sales and the ratio bounds."""
     kept, bounds = kept_sales(spark, folder)
-    listings = cleaned_listings(spark, folder, *EVENT_INPUTS)
+    listings = cleaned_listings(spark, folder, *EVENT_INPUTS, *[name for name in TIES if name in warehouse.LISTING_COLUMNS])
     return stages.all_events(kept, listings, bounds, TIES), kept, bounds
 
 
@@ -177,7 +160,12 @@ def source_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def aggregation_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return combine.aggregation_summary(_manifests(spark, folder))
+    columns = ["PropertyType", "SourceMonth", "SourceFile"]
+    manifest = _manifests(spark, folder)
+    tables = {"sold": warehouse.sold(spark, folder, *columns), "listing": warehouse.listings(spark, folder, *columns)}
+    return combine.union_by_name(
+        [combine.aggregation_summary(manifest, df, combine.keep_category(df), name) for name, df in tables.items()]
+    )
 
 
 def union_by_name(spark: SparkSession, folder: str) -> DataFrame:
@@ -611,23 +599,20 @@ def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["PropertyType", "SourceMonth", "SourceFile"]
     sold = warehouse.sold(spark, folder, *columns)
     table = staged(
-        engineered(spark, folder, "ListingKey", "SourceMonth", *TIES), "engineered"
+        engineered(spark, folder, *EVENT_INPUTS, *TIES, *SELLER_COLUMNS), "engineered"
     )
-    flagged = stages.flagged_sold(table)
+    flagged = staged(stages.flagged_sold(table), "flagged")
     kept = outliers.filtered(flagged)
-    sales = kept.selectExpr(f"{SALE_ID} AS EventId", "SourceMonth", *TIES)
-    first = events.first_of_each(sales, ["EventId"], stages.arrival_order(TIES))
-    summary = outliers.dataset_comparison(flagged)
-    kept_rows = summary.filter("dataset = 'clean_filtered'")
-    sides = kept.selectExpr("1L AS rows", "0L AS summary").unionByName(
-        kept_rows.selectExpr("0L AS rows", "row_count AS summary")
-    )
+    bounds = stages.ratio_bounds(kept)
+    published = stages.market_events(events.sale_events(kept, bounds, stages.arrival_order(TIES)), TIES)
     parts = [
         combine.parts_reconcile(sold, combine.source_manifest(sold, "sold"), "sold"),
         checks.same_row_count("flagged rows equal engineered rows", flagged, table),
-        checks.check_rows(sides, {"filtered rows equal the summary": ("sum(rows)", "sum(summary)")}),
+        stages.filtered_reconcile(kept, outliers.dataset_comparison(flagged)),
         checks.same_row_count(
-            "market sales equal competitive sales", first, sales.select("EventId").distinct()
+            "market sales equal competitive sales",
+            published.filter(f"EventType = '{fixed.CLOSED_SALE}'"),
+            stages.sales_table(kept, bounds, TIES),
         ),
     ]
     return combine.union_by_name(parts)

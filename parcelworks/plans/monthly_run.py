@@ -1,12 +1,12 @@
 """The whole batch run: monthly files in, stored stage tables and reports out."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
-from parcelworks.functions.casts import coercion_audit
-from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers
+from parcelworks.functions.casts import coerce, coercion_audit
+from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
 from parcelworks.plans import stages
 from parcelworks.sources.csv_files import read_monthly
 from parcelworks.sources.rates import observations, weekly_rates
@@ -23,70 +23,105 @@ def run(
     sold_prefix: str = "Sold",
     listing_prefix: str = "Listing",
     first_month: str = fixed.FIRST_MONTH,
+    *,
+    category: str = fixed.CATEGORY,
+    date_formats: Sequence[str] = fixed.DATE_FORMATS,
+    latitudes: tuple[float, float] = fixed.LATITUDE_RANGE,
+    longitudes: tuple[float, float] = fixed.LONGITUDE_RANGE,
+    iqr_multiplier: float = fixed.IQR_MULTIPLIER,
+    slicers: Mapping[str, Sequence[str]] = {},
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
-    """Run every stage over the monthly files of ``folder`` and return the stored tables.
+    """Run every stage over the monthly files of ``folder`` and return its tables and reports.
 
-    Each stage writes its table below ``out`` and the next reads it back column-pruned. Gates
-    are enforced between the stages; a failed one ends the run.
+    Three full-width tables are stored per dataset at most, below ``out``: the combined files, the
+    typed records and, for sales, the flagged ones. What only filters them or adds columns
+    (``..._clean``, ``sold_engineered``) is returned without being stored. Reports are stored.
+    Gates are enforced between the stages; a failed one ends the run. ``slicers`` restrict the five
+    measures; ``date_formats`` may have times of day; ``multi_line`` is for files whose quoted
+    cells hold line breaks.
     """
-    stored: dict[str, DataFrame] = {}
+    tables: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        stored[name] = write_table(df, f"{out}/{name}", partition_by)
-        return stored[name]
+        tables[name] = write_table(df, f"{out}/{name}", partition_by)
+        return tables[name]
 
     monthly = keep("monthly_rates", enrich.monthly_rates(observations(weekly_rates(spark, rates_path))))
     checks.enforce(enrich.rate_keys_unique(monthly))
 
+    boxed = {"latitudes": latitudes, "longitudes": longitudes}
     sources = {
-        "sold": (sold_prefix, True, "CloseDate", stages.typed_sold, clean.sold_rules()),
-        "listings": (listing_prefix, False, "ListingContractDate", stages.typed_listings, clean.listing_rules()),
+        "sold": (sold_prefix, True, "CloseDate", stages.typed_sold, clean.sold_rules(**boxed)),
+        "listings": (listing_prefix, False, "ListingContractDate", stages.typed_listings, clean.listing_rules(**boxed)),
     }
     for name, (prefix, prefer_filled, date_column, typed, rules) in sources.items():
-        raw = read_monthly(spark, folder, prefix, prefer_filled, first_month)
-        if duplicates.copies(raw.columns):
-            raw = keep(f"{name}_raw", raw)
-            keep(f"{name}_duplicate_columns", duplicates.audit(raw, name))
-            raw = duplicates.merged(raw)
-        combined = keep(f"{name}_combined", raw)
-        manifest = keep(f"{name}_manifest", combine.source_manifest(combined, name))
+        files = read_monthly(spark, folder, prefix, prefer_filled, first_month, multi_line)
+        copies = duplicates.audit_files(files, name)
+        if copies is not None:
+            copies = keep(f"{name}_duplicate_columns", copies)
+            keep(f"{name}_duplicate_totals", duplicates.audit_totals(copies))
+        # counted from the files, one by one, and held against the table made of them
+        read = [combine.source_manifest(frame.select("PropertyType", "SourceMonth", "SourceFile"), name) for frame in files]
+        manifest = keep(f"{name}_manifest", combine.union_by_name(read))
+        combined = keep(f"{name}_combined", duplicates.merged_files(files))
         keep(f"{name}_categories", combine.category_distribution(combined, name))
-        residential = combine.keep_category(combined)
+        residential = combine.keep_category(combined, value=category)
+        keep(f"{name}_aggregation", combine.aggregation_summary(manifest, combined, residential, name))
         checks.enforce(
-            combine.parts_reconcile(combined, manifest, name), checks.only_category(residential, name)
+            combine.parts_reconcile(combined, manifest, name),
+            checks.only_category(residential, name, value=category),
         )
-        numbers = fixed.SOLD_NUMERIC_COLUMNS if name == "sold" else fixed.LISTING_NUMERIC_COLUMNS
-        dates = fixed.SOLD_DATE_COLUMNS if name == "sold" else fixed.LISTING_DATE_COLUMNS
-        keep(f"{name}_number_audit", coercion_audit(residential, name, numbers))
-        keep(f"{name}_date_audit", coercion_audit(residential, name, dates, kind="date"))
-        keep(f"{name}_join_quality", enrich.join_quality(residential, date_column, monthly, name))
-        enriched = keep(f"{name}_typed", typed(enrich.with_rates(residential, date_column, monthly)))
-        checks.enforce(enrich.all_matched(enriched, name))
-        keep(f"{name}_flag_counts", clean.flag_counts(enriched, name, rules))
-        keep(f"{name}_cleaning_summary", clean.cleaning_summary(enriched, name, rules))
-        cleaned = keep(f"{name}_clean", clean.clean_rows(enriched, rules))
-        checks.enforce(clean.stays_clean(cleaned, name, rules))
+        keep(f"{name}_missing", profile.missing_summary(residential))
+        keep(f"{name}_high_missing", profile.high_missing(tables[f"{name}_missing"]))
+        profiled = [column for column in fixed.PROFILE_COLUMNS if column in residential.columns]
+        numbers = coerce(residential, profiled).select(*profiled)
+        keep(f"{name}_numeric", profile.numeric_summary(numbers))
+        keep(f"{name}_outliers", profile.outlier_summary(numbers))
+        keep(f"{name}_histogram", profile.histogram(numbers))
+        keep(f"{name}_box", profile.box_stats(numbers))
+        keep(f"{name}_join_quality", enrich.join_quality(residential, date_column, monthly, name, date_formats))
+        enriched = enrich.with_rates(residential, date_column, monthly, date_formats)
+        audited = (
+            (fixed.SOLD_NUMERIC_COLUMNS, fixed.SOLD_DATE_COLUMNS)
+            if name == "sold"
+            else (fixed.LISTING_NUMERIC_COLUMNS, fixed.LISTING_DATE_COLUMNS)
+        )
+        keep(f"{name}_number_audit", coercion_audit(enriched, name, audited[0]))
+        keep(f"{name}_date_audit", coercion_audit(enriched, name, audited[1], "date", date_formats))
+        records = keep(f"{name}_typed", typed(enriched, date_formats))
+        checks.enforce(enrich.all_matched(records, name))
+        keep(f"{name}_flag_counts", clean.flag_counts(records, name, rules))
+        keep(f"{name}_cleaning_summary", clean.cleaning_summary(records, name, rules))
+        tables[f"{name}_clean"] = clean.clean_rows(records, rules)
+        checks.enforce(clean.stays_clean(tables[f"{name}_clean"], name, rules))
 
-    engineered = keep("sold_engineered", stages.engineered_sold(stored["sold_clean"]))
+    engineered = tables["sold_engineered"] = stages.engineered_sold(tables["sold_clean"])
     keep("metric_coverage", metrics.metric_coverage(engineered))
     keep("county_summary", metrics.county_summary(engineered))
+    order = ["SourceMonth", "ListingKey", "CloseDate", *ARRIVAL]
+    keep("complete_sample", metrics.complete_sample(with_row_hash(engineered), order))
 
-    bounds = outliers.as_bounds(outliers.bounds_table(engineered))
+    bounds = outliers.as_bounds(outliers.bounds_table(engineered, multiplier=iqr_multiplier))
     outliers.store_bounds(bounds, spark, f"{out}/bounds")
-    keep("iqr_summary", outliers.iqr_summary(engineered))
+    keep("iqr_summary", outliers.iqr_summary(engineered, multiplier=iqr_multiplier))
     flagged = keep("sold_flagged", outliers.with_outlier_flags(engineered, bounds), "YrMo")
-    keep("dataset_comparison", outliers.dataset_comparison(flagged))
-    checks.enforce(checks.same_row_count("flagged rows equal engineered rows", flagged, engineered))
-
+    comparison = keep("dataset_comparison", outliers.dataset_comparison(flagged))
     kept = outliers.filtered(flagged)
-    ratio_bounds = stages.ratio_bounds(kept)
     checks.enforce(
-        checks.dates_present(kept, "sold", "CloseDate"),
-        checks.dates_present(stored["listings_clean"], "listings", "ListingContractDate"),
+        checks.same_row_count("flagged rows equal engineered rows", flagged, engineered),
+        stages.filtered_reconcile(kept, comparison),
     )
-    found = stages.all_events(
-        with_row_hash(kept), with_row_hash(stored["listings_clean"]), ratio_bounds, ARRIVAL
+
+    listings = tables["listings_clean"]
+    ratio_bounds = stages.ratio_bounds(kept, iqr_multiplier)
+    checks.enforce(
+        checks.dates_present(kept, "sold", "CloseDate"),
+        checks.dates_present(listings, "listings", "ListingContractDate"),
+        events.typed_dimensions(kept, "sold", category),
+        events.typed_dimensions(listings, "listings", category),
     )
+    found = stages.all_events(with_row_hash(kept), with_row_hash(listings), ratio_bounds, ARRIVAL)
     published = keep("market_events", stages.market_events(found, ARRIVAL), "YrMo")
     sales = keep("competitive_sales", stages.sales_table(with_row_hash(kept), ratio_bounds, ARRIVAL), "YrMo")
     checks.enforce(
@@ -97,6 +132,8 @@ def run(
         )
     )
     summary = keep("monthly_summary", market.monthly_summary(published))
+    for measure, (column, aggregation, closed_only) in market.MEASURES.items():
+        keep(measure, market.measure_series(published, column, aggregation, closed_only, slicers))
     keep("top_agents", market.top_sellers(sales, "ListAgentFullName"))
     keep("top_offices", market.top_sellers(sales, "ListOfficeName"))
     keep(
@@ -104,7 +141,7 @@ def run(
         market.publication_audit(events.dedupe_counts(found), published, summary, sales, ratio_bounds),
     )
     keep("market_extract", publishable(published))
-    return stored
+    return tables
 
 
 def with_row_hash(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

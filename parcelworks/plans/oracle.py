@@ -33,31 +33,34 @@ sold_dates AS (
   FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 ),
 sold AS (
-  SELECT l_orderkey || '-' || l_linenumber AS "ListingKey",
+  SELECT CASE WHEN l_partkey % 211 <> 0 THEN l_orderkey || '-' || l_linenumber END AS "ListingKey",
     {CATEGORY}
     p_type AS "PropertySubType", p_brand AS "City", {COUNTY}
     r_name AS "MLSAreaMajor", 'CA' AS "StateOrProvince", {POSTAL}
     listed AS "ListingContractDate", contracted AS "PurchaseContractDate", closed AS "CloseDate",
     closed AS "ContractStatusChangeDate",
     CASE WHEN l_partkey % 71 = 0 THEN NULL WHEN l_partkey % 73 = 0 THEN 0.0
-      ELSE l_extendedprice * (1 - l_discount + l_tax) END AS "ClosePrice",
+      ELSE l_extendedprice * (1 - l_discount + l_tax) * CASE WHEN l_partkey % 47 = 0 THEN 12 ELSE 1 END
+      END AS "ClosePrice",
     l_extendedprice AS "ListPrice",
-    CASE WHEN l_partkey % 61 = 0 THEN 0.0 ELSE l_extendedprice END AS "OriginalListPrice",
+    CASE WHEN l_partkey % 61 = 0 THEN 0.0 WHEN l_partkey % 51 = 0 THEN l_extendedprice / 4
+      ELSE l_extendedprice END AS "OriginalListPrice",
     CAST(CASE WHEN l_partkey % 67 = 0 THEN NULL WHEN l_partkey % 79 = 0 THEN -p_size
-      ELSE p_size * 100 END AS DOUBLE) AS "LivingArea",
-    CASE WHEN l_partkey % 59 = 0 THEN -l_quantity ELSE l_quantity END AS "DaysOnMarket",
+      WHEN l_partkey % 53 = 0 THEN p_size * 6000 ELSE p_size * 100 END AS DOUBLE) AS "LivingArea",
+    CASE WHEN l_partkey % 59 = 0 THEN -l_quantity WHEN l_partkey % 43 = 0 THEN l_quantity * 20
+      ELSE l_quantity END AS "DaysOnMarket",
     CAST(CASE WHEN l_partkey % 101 = 0 THEN -1 ELSE p_size % 6 END AS DOUBLE) AS "BedroomsTotal",
     CAST(CASE WHEN l_partkey % 103 = 0 THEN -1 ELSE p_size % 4 END AS DOUBLE) AS "BathroomsTotalInteger",
     {_coordinates("l_suppkey")}
     CASE WHEN l_partkey % 20 = 0 THEN l_quantity / 8 END AS "LotSizeAcres",
     CAST(1950 + l_suppkey % 70 AS DOUBLE) AS "YearBuilt",
-    CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 11 = 0 THEN '  ' ELSE s_name END
-      AS "ListAgentFullName",
+    CASE WHEN l_partkey % 71 = 0 THEN 'Seller without prices' WHEN l_suppkey % 7 = 0 THEN NULL
+      WHEN l_suppkey % 11 = 0 THEN '  ' ELSE s_name || ' ' || (l_partkey % 4) END AS "ListAgentFullName",
     'Agent' AS "ListAgentFirstName", CAST(l_suppkey AS VARCHAR) AS "ListAgentLastName",
     sn.n_name AS "ListOfficeName", cn.n_name AS "BuyerOfficeName",
     {_file_month("closed")} AS "SourceMonth",
     'Sold' || {_file_month("closed")} || '.csv' AS "SourceFile",
-    l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+    l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_orderkey,
     CAST(trunc(l_extendedprice) AS BIGINT) AS whole
   FROM sold_dates
     LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN part ON l_partkey = p_partkey
@@ -70,7 +73,8 @@ res_sold AS (SELECT * FROM sold WHERE "PropertyType" = 'Residential')"""
 
 LISTINGS = f"""
 listings AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS "ListingKey", {CATEGORY}
+  SELECT CASE WHEN o_orderkey % 199 = 0 THEN NULL WHEN o_orderkey % 50 = 0 THEN 'home'
+      ELSE CAST(o_orderkey AS VARCHAR) END AS "ListingKey", {CATEGORY}
     o_orderpriority AS "PropertySubType", 'City ' || (o_custkey % 50) AS "City", {COUNTY}
     r_name AS "MLSAreaMajor", 'CA' AS "StateOrProvince", {POSTAL}
     CASE WHEN o_orderkey % 107 <> 0 THEN CAST(o_orderdate AS DATE) END AS "ListingContractDate",
@@ -262,7 +266,7 @@ AGENT = f"""coalesce({_trim('"ListAgentFullName"')},
     nullif(trim(coalesce({_trim('"ListAgentFirstName"')}, '') || ' '
       || coalesce({_trim('"ListAgentLastName"')}, '')), ''))"""
 SALE_ID = """'Closed Sale|' || "ListingKey" || '|' || strftime("CloseDate", '%Y-%m-%d')"""
-TIES = '"SourceMonth", l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax'
+TIES = '"SourceMonth", l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_orderkey'
 
 EVENTS = f"""
 sale_events AS (
@@ -288,7 +292,9 @@ new_events AS (
     false AS "{RATIO}OutlierFlag", false AS "{RATIO}Eligible", CAST(NULL AS DOUBLE) AS "PricePerSqFt",
     rate_30yr_fixed, 1 AS "NewListings", 0 AS "ClosedSales", 1 AS "RecordCount",
     'Weeks 4-5 clean listings' AS "SourceDataset",
-    row_number() OVER (PARTITION BY "ListingKey", "ListingContractDate" ORDER BY "SourceMonth") AS place
+    row_number() OVER (
+      PARTITION BY 'New Listing|' || "ListingKey" || '|' || strftime("ListingContractDate", '%Y-%m-%d')
+      ORDER BY "SourceMonth", o_orderkey) AS place
   FROM clean_listings LEFT JOIN monthly USING (year_month)
 ),
 all_events AS (SELECT * FROM sale_events UNION ALL SELECT * FROM new_events),
@@ -345,17 +351,18 @@ def _round(*columns: str) -> str:
 # ---- one statement per query --------------------------------------------------------------
 
 FILES = """
+last_orders AS (
+  SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS last FROM orders GROUP BY 1
+),
 paths AS (
-  SELECT DISTINCT strftime(o_orderdate + INTERVAL 29 YEAR, '%Y%m') AS source_month,
-    CASE WHEN o_orderkey % 2 = 0 THEN 'filled' ELSE 'raw' END AS source_version
-  FROM orders
+  SELECT DISTINCT strftime(last + INTERVAL 29 YEAR, '%Y%m') AS source_month,
+    CASE WHEN o_custkey % 2 = 0 THEN 'filled' ELSE 'raw' END AS source_version
+  FROM last_orders
 ),
 files AS (
   SELECT *, 'Sold' || source_month || CASE source_version WHEN 'filled' THEN '_filled' ELSE '' END
       || '.csv' AS source_file
   FROM paths
-  WHERE source_month <> '202704' AND NOT (source_version = 'raw' AND source_month LIKE '2029%'
-    AND CAST(right(source_month, 2) AS INTEGER) % 2 = 1)
 )"""
 
 
@@ -559,9 +566,9 @@ def _measure(expression: str, name: str, closed: bool, extra: str = "") -> str:
 def _ranking(name: str) -> str:
     return _over(
         "events",
-        f"""SELECT "{name}", round(sum("SalesVolume"), 2) AS "SalesVolume",
+        f"""SELECT "{name}", round(coalesce(sum("SalesVolume"), 0), 2) AS "SalesVolume",
         CAST(sum("UnitsSold") AS BIGINT) AS "UnitsSold" FROM sales WHERE "{name}" IS NOT NULL
-        GROUP BY 1 ORDER BY sum("SalesVolume") DESC, 3 DESC, 1 LIMIT 100""",
+        GROUP BY 1 ORDER BY coalesce(sum("SalesVolume"), 0) DESC, 3 DESC, 1 LIMIT 100""",
     )
 
 
@@ -609,9 +616,12 @@ ORACLE: dict[str, str] = {
         "both",
         f"""SELECT dataset, min(source_month) AS first_month, max(source_month) AS last_month,
         CAST(count(*) AS BIGINT) AS monthly_files_used, CAST(sum(rows_read) AS BIGINT) AS rows_before_concat,
-        CAST(sum(rows_read) AS BIGINT) AS rows_after_concat,
-        CAST(sum(rows_read) AS BIGINT) AS rows_before_residential_filter,
-        CAST(sum(residential_rows) AS BIGINT) AS rows_after_residential_filter
+        CAST(CASE dataset WHEN 'sold' THEN (SELECT count(*) FROM sold) ELSE (SELECT count(*) FROM listings) END
+          AS BIGINT) AS rows_after_concat,
+        CAST(CASE dataset WHEN 'sold' THEN (SELECT count(*) FROM sold) ELSE (SELECT count(*) FROM listings) END
+          AS BIGINT) AS rows_before_residential_filter,
+        CAST(CASE dataset WHEN 'sold' THEN (SELECT count(*) FROM res_sold)
+          ELSE (SELECT count(*) FROM res_listings) END AS BIGINT) AS rows_after_residential_filter
         FROM ({MANIFEST}) GROUP BY dataset""",
     ),
     "union_by_name": _over(
@@ -841,7 +851,7 @@ ORACLE: dict[str, str] = {
         WHERE "PriceRatio" IS NOT NULL AND "PricePerSqFt" IS NOT NULL
           AND "ListingToContractDays" IS NOT NULL AND "ContractToCloseDays" IS NOT NULL
         ORDER BY engineered."SourceMonth", engineered."ListingKey", engineered."CloseDate", l_partkey,
-          l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax LIMIT 20""",
+          l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_orderkey LIMIT 20""",
     ),
     "iqr_summary": _over(
         "flagged",

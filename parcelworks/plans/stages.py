@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 from parcelworks import fixed
 from parcelworks.functions.casts import coerce
-from parcelworks.operators.checks import require_columns
+from parcelworks.operators.checks import check_rows, require_columns
 from parcelworks.operators.clean import clean_rows, listing_rules, sold_rules
 from parcelworks.operators.combine import keep_category
 from parcelworks.operators.enrich import with_rates
@@ -21,20 +21,20 @@ def enriched_listings(listings: DataFrame, monthly: DataFrame) -> DataFrame:
     return with_rates(keep_category(listings), "ListingContractDate", monthly)
 
 
-def typed_sold(enriched: DataFrame) -> DataFrame:
+def typed_sold(enriched: DataFrame, formats=fixed.DATE_FORMATS) -> DataFrame:
     """Numbers and dates of sold rows cast leniently, free of NaN.
 
     Store the result before cleaning: a filter on computed columns makes Spark compute them
     once per predicate.
     """
     require_columns(enriched, fixed.REQUIRED_SOLD_COLUMNS, "sold")
-    return coerce(enriched, fixed.SOLD_NUMERIC_COLUMNS, fixed.SOLD_DATE_COLUMNS)
+    return coerce(enriched, fixed.SOLD_NUMERIC_COLUMNS, fixed.SOLD_DATE_COLUMNS, formats)
 
 
-def typed_listings(enriched: DataFrame) -> DataFrame:
+def typed_listings(enriched: DataFrame, formats=fixed.DATE_FORMATS) -> DataFrame:
     """As ``typed_sold``, for listing rows."""
     require_columns(enriched, fixed.REQUIRED_LISTING_COLUMNS, "listings")
-    return coerce(enriched, fixed.LISTING_NUMERIC_COLUMNS, fixed.LISTING_DATE_COLUMNS)
+    return coerce(enriched, fixed.LISTING_NUMERIC_COLUMNS, fixed.LISTING_DATE_COLUMNS, formats)
 
 
 def clean_sold(typed: DataFrame) -> DataFrame:
@@ -56,10 +56,18 @@ def flagged_sold(engineered: DataFrame) -> DataFrame:
     return with_outlier_flags(engineered, as_bounds(bounds_table(engineered)))
 
 
-def ratio_bounds(kept: DataFrame) -> Pair:
+def ratio_bounds(kept: DataFrame, multiplier: float = fixed.IQR_MULTIPLIER) -> Pair:
     """Bounds of the price ratio over all kept sales, before any are deduplicated."""
     fields = [fixed.RATIO_COLUMN]
-    return as_bounds(bounds_table(kept, fields), fields)[fixed.RATIO_COLUMN]
+    return as_bounds(bounds_table(kept, fields, multiplier), fields)[fixed.RATIO_COLUMN]
+
+
+def filtered_reconcile(kept: DataFrame, comparison: DataFrame) -> DataFrame:
+    """Check that the rows kept are as many as the comparison of the two sets reports."""
+    sides = kept.selectExpr("1L AS rows", "0L AS summary").unionByName(
+        comparison.filter("dataset = 'clean_filtered'").selectExpr("0L AS rows", "row_count AS summary")
+    )
+    return check_rows(sides, {"filtered rows equal the summary": ("sum(rows)", "sum(summary)")})
 
 
 def arrival_order(tie_breakers) -> list[str]:

@@ -1,20 +1,19 @@
 """Session defaults for scripts and tests."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
 def local_session(
-    cores: str = "8", shuffle_partitions: str = "8", memory: str = "8g", **settings
+    shared: str, cores: str = "8", shuffle_partitions: str = "8", memory: str = "8g", **settings
 ) -> SparkSession:
-    """A local session for tests and the bench. On a cluster, bring your own."""
+    """A local session for tests and the bench, with ``shared`` for hand-off tables."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("parcelworks")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -28,15 +27,8 @@ def local_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach for hand-off tables.
 
-    It is the session's ``spark.checkpoint.dir``. Only a local master may go without it, in
-    which case a temporary folder is set once for the session.
+    It is the session's ``spark.checkpoint.dir``; a session without one keeps them below its
+    warehouse, which its executors share too. Both are the caller's to set, on any master.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelworks-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")

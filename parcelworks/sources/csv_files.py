@@ -1,9 +1,12 @@
 """CSV readers: every column as text, repeated headers kept apart, missing tokens as null."""
 
+import csv
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks import fixed
@@ -13,6 +16,7 @@ from parcelworks.operators.checks import require_header
 from parcelworks.sources.manifest import file_name, listed_files, missing_months, month_of, select_files
 
 # quoted fields may hold commas, doubled quotes and line breaks
+OPEN_COST = "spark.sql.files.openCostInBytes"
 DIALECT = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
 
 
@@ -41,27 +45,68 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return distinct_names(list(first))
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a file, from the split that begins it; no split is read on."""
+    for batch in batches:
+        if len(batch):
+            if batch.column("start")[0].as_py() == 0:
+                yield batch.slice(0, 1).select(["path", "line"])
+            return
+
+
+def headers_of(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The names in the first line of each file, in one job whatever their number.
+
+    A first line with a quote left open goes on in the next one; such a file is read by itself.
+    """
+    lines = spark.read.text(list(paths)).selectExpr(
+        "_metadata.file_path AS path", "_metadata.file_block_start AS start", "value AS line"
+    )
+    # a split holds one file at most
+    before = spark.conf.get(OPEN_COST)
+    spark.conf.set(OPEN_COST, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        found = {row["path"]: row["line"] for row in lines.mapInArrow(_first_lines, "path string, line string").collect()}
+    finally:
+        spark.conf.set(OPEN_COST, before)
+    headers = []
+    by_name = {unquote(urlsplit(path).path): line for path, line in found.items()}
+    for path in paths:
+        line = found.get(path, by_name.get(unquote(urlsplit(path).path)))
+        if line is None or line.count('"') % 2:
+            headers.append(header_of(spark, path))
+        else:
+            cells = next(csv.reader([line.removeprefix("\ufeff")]), [])
+            headers.append(distinct_names(cells))
+    return headers
+
+
 def text_schema(names: Sequence[str]) -> str:
     return ", ".join(f"{quoted(name)} string" for name in names)
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files as one DataFrame of text columns, joined by column name, plus lineage columns.
+def read_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> list[DataFrame]:
+    """A DataFrame of text columns per distinct header, with lineage columns.
 
-    Files that share a header are one scan. ``SourceFile`` is the file's name and
-    ``SourceMonth`` the month in it.
+    ``SourceFile`` is the file's name and ``SourceMonth`` the month in it. A file whose quoted
+    cells hold line breaks needs ``multi_line`` and is then one task; without it files are split.
     """
     if not paths:
         raise ValueError("no files to read")
     by_header = defaultdict(list)
-    for path in paths:
-        by_header[tuple(header_of(spark, path))].append(path)
-    parts = [_read_alike(spark, names, group) for names, group in by_header.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for path, header in zip(paths, headers_of(spark, paths)):
+        by_header[tuple(header)].append(path)
+    return [_read_alike(spark, names, group, multi_line) for names, group in by_header.items()]
+
+
+def read_csv(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The files of ``read_files`` as one DataFrame, joined by column name, copies included."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read_files(spark, paths, multi_line))
 
 
-def _read_alike(spark: SparkSession, names: Sequence[str], paths: Sequence[str]) -> DataFrame:
-    frame = spark.read.options(**DIALECT).schema(text_schema(names)).csv(list(paths))
+def _read_alike(spark: SparkSession, names: Sequence[str], paths: Sequence[str], multi_line: bool) -> DataFrame:
+    dialect = {**DIALECT, "multiLine": multi_line}
+    frame = spark.read.options(**dialect).schema(text_schema(names)).csv(list(paths))
     name = file_name("_metadata.file_path")
     return frame.selectExpr(
         *[f"{null_tokens(quoted(column))} AS {quoted(column)}" for column in names],
@@ -76,8 +121,9 @@ def read_monthly(
     prefix: str,
     prefer_filled: bool,
     first_month: str = fixed.FIRST_MONTH,
-) -> DataFrame:
-    """The selected monthly files of a folder; a month without a file is an error."""
+    multi_line: bool = True,
+) -> list[DataFrame]:
+    """``read_files`` of the selected monthly files of a folder; a month without a file is an error."""
     paths = listed_files(spark, folder, prefix)
     gaps = sorted(row.source_month for row in missing_months(paths, first_month).collect())
     if gaps:
@@ -85,7 +131,7 @@ def read_monthly(
     chosen = select_files(paths, prefer_filled, first_month).orderBy("source_month").collect()
     if not chosen:
         raise FileNotFoundError(f"no monthly files found for prefix {prefix}")
-    return read_csv(spark, [row.path for row in chosen])
+    return read_files(spark, [row.path for row in chosen], multi_line)
 
 
 def read_strict(spark: SparkSession, path: str, schema: dict[str, str]) -> DataFrame:

@@ -62,7 +62,7 @@ DATE_TEXT = """CASE
 
 # column: (expression, lookups it needs)
 SOLD_COLUMNS = {
-    "ListingKey": ("concat(l_orderkey, '-', l_linenumber)", ""),
+    "ListingKey": ("CASE WHEN l_partkey % 211 <> 0 THEN concat(l_orderkey, '-', l_linenumber) END", ""),
     "PropertyType": (CATEGORY, "orders customer"),
     "PropertySubType": ("p_type", "part"),
     "City": ("p_brand", "part"),
@@ -76,17 +76,25 @@ SOLD_COLUMNS = {
     "ContractStatusChangeDate": ("closed", "orders"),
     "ClosePrice": (
         "CASE WHEN l_partkey % 71 = 0 THEN NULL WHEN l_partkey % 73 = 0 THEN 0D "
-        "ELSE l_extendedprice * (1 - l_discount + l_tax) END",
+        "ELSE l_extendedprice * (1 - l_discount + l_tax) * CASE WHEN l_partkey % 47 = 0 THEN 12 ELSE 1 END END",
         "",
     ),
     "ListPrice": ("l_extendedprice", ""),
-    "OriginalListPrice": ("CASE WHEN l_partkey % 61 = 0 THEN 0D ELSE l_extendedprice END", ""),
+    "OriginalListPrice": (
+        "CASE WHEN l_partkey % 61 = 0 THEN 0D WHEN l_partkey % 51 = 0 THEN l_extendedprice / 4 "
+        "ELSE l_extendedprice END",
+        "",
+    ),
     "LivingArea": (
         "double(CASE WHEN l_partkey % 67 = 0 THEN NULL WHEN l_partkey % 79 = 0 THEN -p_size "
-        "ELSE p_size * 100 END)",
+        "WHEN l_partkey % 53 = 0 THEN p_size * 6000 ELSE p_size * 100 END)",
         "part",
     ),
-    "DaysOnMarket": ("CASE WHEN l_partkey % 59 = 0 THEN -l_quantity ELSE l_quantity END", ""),
+    "DaysOnMarket": (
+        "CASE WHEN l_partkey % 59 = 0 THEN -l_quantity WHEN l_partkey % 43 = 0 THEN l_quantity * 20 "
+        "ELSE l_quantity END",
+        "",
+    ),
     "BedroomsTotal": ("double(CASE WHEN l_partkey % 101 = 0 THEN -1 ELSE p_size % 6 END)", "part"),
     "BathroomsTotalInteger": ("double(CASE WHEN l_partkey % 103 = 0 THEN -1 ELSE p_size % 4 END)", "part"),
     "Latitude": (_latitude("l_suppkey"), ""),
@@ -94,7 +102,8 @@ SOLD_COLUMNS = {
     "LotSizeAcres": ("CASE WHEN l_partkey % 20 = 0 THEN l_quantity / 8 END", ""),
     "YearBuilt": ("double(1950 + l_suppkey % 70)", ""),
     "ListAgentFullName": (
-        "CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 11 = 0 THEN '  ' ELSE s_name END",
+        "CASE WHEN l_partkey % 71 = 0 THEN 'Seller without prices' WHEN l_suppkey % 7 = 0 THEN NULL "
+        "WHEN l_suppkey % 11 = 0 THEN '  ' ELSE concat(s_name, ' ', l_partkey % 4) END",
         "supplier",
     ),
     "ListAgentFirstName": ("'Agent'", ""),
@@ -110,14 +119,20 @@ SOLD_COLUMNS = {
     "l_extendedprice": ("l_extendedprice", ""),
     "l_discount": ("l_discount", ""),
     "l_tax": ("l_tax", ""),
+    "o_orderkey": ("l_orderkey", ""),
     # text as a monthly file would carry it, with the faults a lenient cast meets
     "ClosePriceText": (PRICE_TEXT, ""),
     "CloseDateText": (DATE_TEXT, "orders"),
 }
-SOLD_TIE_BREAKERS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+SOLD_TIE_BREAKERS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_orderkey"]
 
 LISTING_COLUMNS = {
-    "ListingKey": ("string(o_orderkey)", ""),
+    # some orders list the same home again, some have no key
+    "ListingKey": (
+        "CASE WHEN o_orderkey % 199 = 0 THEN NULL WHEN o_orderkey % 50 = 0 THEN 'home' "
+        "ELSE string(o_orderkey) END",
+        "",
+    ),
     "PropertyType": (CATEGORY, "customer"),
     "PropertySubType": ("o_orderpriority", ""),
     "City": ("concat('City ', o_custkey % 50)", ""),
@@ -149,6 +164,7 @@ LISTING_COLUMNS = {
     "YearBuilt": ("double(1950 + o_orderkey % 70)", ""),
     "SourceMonth": (_file_month(LISTED), ""),
     "SourceFile": (f"concat('Listing', {_file_month(LISTED)}, '.csv')", ""),
+    "o_orderkey": ("o_orderkey", ""),
     # headers repeated in the file: a price and a city as text, and copies with typical faults
     "ListPriceText": ("CASE WHEN o_orderkey % 19 <> 0 THEN string(bigint(o_totalprice)) END", ""),
     "ListPriceText.1": (
@@ -225,17 +241,10 @@ def weekly_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly file names, one per order month (29 years on) and order-key parity.
+    """Monthly file names, from the month (29 years on) of each customer's last order.
 
-    Even orders stand for filled files. April 2027 is withheld, and odd months of 2029 have no
-    raw file.
+    Even customers stand for filled files. Months in which no customer ordered last have no file.
     """
-    months = table(spark, folder, "orders").selectExpr(
-        f"{_file_month(LISTED)} AS month", "o_orderkey % 2 = 0 AS filled"
-    )
-    raw_withheld = "NOT filled AND month LIKE '2029%' AND int(right(month, 2)) % 2 = 1"
-    return (
-        months.filter(f"month <> '202704' AND NOT ({raw_withheld})")
-        .distinct()
-        .selectExpr("concat('/data/Sold', month, CASE WHEN filled THEN '_filled' ELSE '' END, '.csv') AS path")
-    )
+    last = table(spark, folder, "orders").groupBy("o_custkey").agg(F.expr(f"max({LISTED}) AS last"))
+    months = last.selectExpr(f"{_file_month('last')} AS month", "o_custkey % 2 = 0 AS filled").distinct()
+    return months.selectExpr("concat('/data/Sold', month, CASE WHEN filled THEN '_filled' ELSE '' END, '.csv') AS path")

@@ -4,36 +4,77 @@ The operators of the batch stages work unchanged on a streaming DataFrame where
 state; here are the sources, the sinks and the two operators that do keep state.
 """
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelworks.functions.casts import null_tokens
-from parcelworks.functions.logic import quoted
+from parcelworks import fixed
+from parcelworks.operators.duplicates import merged_files
 from parcelworks.operators.events import DEDUPE_KEY
 from parcelworks.operators.market import with_low_volume
 from parcelworks.operators.quantiles import quantiles
-from parcelworks.sources.csv_files import DIALECT, text_schema
-from parcelworks.sources.manifest import file_name, month_of
-
+from parcelworks.sources.csv_files import read_files
+from parcelworks.sources.manifest import select_files
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def land_files(
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    path: str,
+    checkpoint: str,
+    prefer_filled: bool,
+    first_month: str = fixed.FIRST_MONTH,
+    multi_line: bool = True,
+) -> StreamingQuery:
+    """Land the monthly files that have arrived, by the rules of the batch; then stop.
+
+    The stream is one of file names. A micro-batch reads its files by column name, whatever the
+    order of their headers, merges repeated columns, and replaces the months whose chosen file
+    has changed, so that a filled file takes the place of the raw one. A batch that is run again
+    lands the same. ``landed_rows`` reads the result.
+    """
 
-def arriving_files(spark: SparkSession, folder: str, prefix: str, names: Sequence[str]) -> DataFrame:
-    """Rows of monthly files as they appear, all columns as text, with their month and file."""
-    rows = (
-        spark.readStream.options(**DIALECT)
+    def add(batch: DataFrame, number: int) -> None:
+        arrived = [row["path"] for row in batch.select("path").collect()]
+        known = f"{path}/files"
+        spark.createDataFrame([(one,) for one in arrived], "path string").write.mode("overwrite").parquet(
+            f"{known}/batch={number}"
+        )
+        every = spark.read.schema("path string, batch long").parquet(known).filter(f"batch <= {number}")
+        chosen = select_files(every.select("path").distinct(), prefer_filled, first_month)
+        fresh = [row["path"] for row in chosen.select("path").collect() if row["path"] in set(arrived)]
+        if fresh:
+            rows = merged_files(read_files(spark, fresh, multi_line))
+            rows.withColumn("month", F.col("SourceMonth")).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("month").parquet(f"{path}/rows")
+
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", f"{prefix}20*.csv")
-        .schema(text_schema(names))
-        .csv(folder)
+        .load(folder)
+        .select("path")
     )
-    name = file_name("_metadata.file_path")
-    return rows.selectExpr(
-        *[f"{null_tokens(quoted(column))} AS {quoted(column)}" for column in names],
-        f"{month_of(name)} AS SourceMonth",
-        f"{name} AS SourceFile",
+    return (
+        names.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
+def landed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What ``land_files`` has landed; a column that a month lacks is null in its rows."""
+    return spark.read.option("mergeSchema", True).parquet(f"{path}/rows").drop("month")
+
+
 def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything that has arrived to a Parquet table, each row once; then stop."""
     return (
@@ -44,16 +85,14 @@ def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def deduped(events: DataFrame, key: Sequence[str] = DEDUPE_KEY, within: tuple[str, str] | None = None) -> DataFrame:
+def deduped(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:
     """One event per identity over the whole stream, as in batch.
 
-    The state holds every identity seen, spread over the shuffle partitions. ``within``, a time
-    column and a delay, bounds it, at the price of letting through repeats further apart.
+    Every identity seen is kept in state, spread over the shuffle partitions. The session's state
+    store is set to the one that keeps it on disk, as it grows with the stream.
     """
-    if within is None:
-        return events.dropDuplicates(list(key))
-    column, delay = within
-    return events.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(key))
+    events.sparkSession.conf.set(STATE_STORE, ROCKS_DB)
+    return events.dropDuplicates(list(key))
 
 
 MEASURE_SUMS = [
@@ -67,11 +106,17 @@ MEASURE_SUMS = [
 ]
 
 
-def count_into(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+COUNTED = "YrMo string, value double, " + ", ".join(
+    f"{text.split(' AS ')[1]} {'double' if text.split(' AS ')[1].endswith('_sum') else 'long'}" for text in MEASURE_SUMS
+)
+
+
+def count_into(events: DataFrame, path: str, checkpoint: str, fold_every: int = 20) -> StreamingQuery:
     """Keep counted prices and sums per month, one folder per micro-batch.
 
     A batch that is run again overwrites its own folder, so nothing counts twice, and no
-    aggregation state is held in the stream.
+    aggregation state is held in the stream. Every so many batches all counts so far are folded
+    into one table, which counts from when it is complete; what it holds is then not read again.
     """
 
     def add(batch: DataFrame, number: int) -> None:
@@ -79,6 +124,8 @@ def count_into(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             *[F.expr(text) for text in MEASURE_SUMS]
         )
         counted.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number and number % fold_every == 0:
+            fold(batch.sparkSession, path, number)
 
     return (
         events.writeStream.foreachBatch(add)
@@ -88,9 +135,35 @@ def count_into(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _complete(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the folders of a kind whose write has been committed."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    found = [re.search(rf"{kind}=(\d+)/_SUCCESS$", file.getPath().toString()) for file in files or []]
+    return sorted(int(one[1]) for one in found if one)
+
+
+def counted_so_far(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The latest folded table and the batches after it, up to a batch number if one is given."""
+    upto = [n for n in _complete(spark, path, "upto") if before is None or n < before]
+    last = upto[-1] if upto else -1
+    batches = [n for n in _complete(spark, path, "batch") if n > last and (before is None or n <= before)]
+    paths = [f"{path}/upto={last}"] * bool(upto) + [f"{path}/batch={n}" for n in batches]
+    return spark.read.schema(COUNTED).parquet(*paths) if paths else spark.createDataFrame([], COUNTED)
+
+
+def fold(spark: SparkSession, path: str, number: int) -> None:
+    """Counts up to and including a batch as one table; readers use it once its write is committed."""
+    names = [text.split(" AS ")[1] for text in MEASURE_SUMS]
+    folded = counted_so_far(spark, path, before=number).groupBy("YrMo", "value").agg(
+        *[F.expr(f"sum({name}) AS {name}") for name in names]
+    )
+    folded.write.mode("overwrite").parquet(f"{path}/upto={number}")
+
+
 def running_summary(spark: SparkSession, path: str) -> DataFrame:
     """The monthly summary of everything counted so far, medians exact."""
-    counted = spark.read.parquet(path)
+    counted = counted_so_far(spark, path)
     sums = counted.groupBy("YrMo").agg(
         F.expr("sum(NewListings) AS NewListings"),
         F.expr("sum(ClosedSales) AS ClosedSales"),
@@ -100,6 +173,6 @@ def running_summary(spark: SparkSession, path: str) -> DataFrame:
     prices = (
         counted.groupBy("YrMo", F.lit("ClosePrice").alias("field"), "value").agg(F.expr("sum(rows) AS rows"))
     )
-    medians = quantiles(prices, {"MedianClosePrice": 0.5}, ["YrMo"]).select("YrMo", "MedianClosePrice")
+    medians = quantiles(prices, {"MedianClosePrice": 0.5}, ["YrMo"], broadcast=True).select("YrMo", "MedianClosePrice")
     summary = sums.join(medians, sums.YrMo.eqNullSafe(medians.YrMo), "left").drop(medians.YrMo)
     return with_low_volume(summary).orderBy("YrMo")

@@ -8,7 +8,8 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from parcelworks.session import local_session
 
-    return local_session(**{"spark.python.sql.dataFrameDebugging.enabled": "false"})
+    shared = str(tmp_path_factory.mktemp("shared"))
+    return local_session(shared, **{"spark.python.sql.dataFrameDebugging.enabled": "false"})

@@ -5,7 +5,7 @@ import datetime as dt
 
 import pytest
 
-from parcelworks.operators import checks, events
+from parcelworks.operators import checks, duplicates, enrich, events
 from parcelworks.plans import monthly_run
 from parcelworks.sources import csv_files
 from parcelworks.streaming import jobs
@@ -155,12 +155,61 @@ def test_batch_run(spark, folder, tmp_path):
     assert counties == {"North": 25, None: 29}
 
 
-def test_stream_lands_every_row_once(spark, folder, tmp_path):
-    names = csv_files.header_of(spark, f"{folder}/Sold202401.csv")
-    for _ in range(2):
-        stream = jobs.arriving_files(spark, folder, "Sold", names)
-        jobs.land(stream, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 24 * 3 + 10
+def test_stream_lands_what_the_batch_reads(spark, tmp_path):
+    """Headers in another order, repeated headers, and a filled file after the raw one of its month."""
+    files, to = tmp_path / "in", str(tmp_path / "t")
+    files.mkdir()
+    write(files / "Sold202401.csv", ["A", "B"], [["a1", "b1"], ["a2", "b2"]])
+    write(files / "Sold202402.csv", ["B", "A"], [["b3", "a3"]])
+    write(files / "Sold202403.csv", ["A", "B", "A"], [["", "b4", "a4"]])
+
+    def land():
+        jobs.land_files(spark, str(files), "Sold", to, str(tmp_path / "c"), True).awaitTermination()
+        batch = duplicates.merged_files(csv_files.read_monthly(spark, str(files), "Sold", True))
+        columns = ["A", "B", "SourceMonth", "SourceFile"]
+        left = sorted(map(tuple, jobs.landed_rows(spark, to).select(*columns).collect()))
+        assert left == sorted(map(tuple, batch.select(*columns).collect()))
+        return left
+
+    assert land()[2:] == [("a3", "b3", "202402", "Sold202402.csv"), ("a4", "b4", "202403", "Sold202403.csv")]
+    write(files / "Sold202402_filled.csv", ["A", "B"], [["a5", "b5"], ["a6", "b6"]])
+    write(files / "Sold202404.csv", ["A", "B"], [["a7", "b7"]])
+    assert [row[0] for row in land()] == ["a1", "a2", "a4", "a5", "a6", "a7"]
+    land()
+
+
+def test_headers_take_one_job_whatever_the_number_of_files(spark, tmp_path):
+    paths = []
+    for number in range(12):
+        path = tmp_path / f"Sold2024{number + 1:02d}.csv"
+        write(path, ["A", f"B {number}", 'C "x", y'], [[1, 2, 3]])
+        paths.append(str(path))
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs_of(some):
+        group = f"headers of {len(some)}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = csv_files.headers_of(spark, some)
+        return found, len(tracker.getJobIdsForGroup(group))
+
+    few, many = jobs_of(paths[:2]), jobs_of(paths)
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert few[1] == many[1]
+    assert many[0] == [["A", f"B {number}", 'C "x", y'] for number in range(12)]
+    quoted = tmp_path / "Sold202512.csv"
+    quoted.write_text('"A\nB",C\n1,2\n', encoding="utf-8")
+    assert csv_files.headers_of(spark, [str(quoted)]) == [["A\nB", "C"]]
+
+
+def test_duplicate_columns_are_audited_and_merged_file_by_file(spark, tmp_path):
+    write(tmp_path / "Sold202401.csv", ["A", "B", "A"], [["1", "x", "1"], ["", "y", "2"]])
+    write(tmp_path / "Sold202402.csv", ["A", "B"], [["3", "z"], ["4", "w"]])
+    write(tmp_path / "Sold202403.csv", ["A.1", "B"], [["5", "v"]])
+    files = csv_files.read_files(spark, [str(tmp_path / f"Sold20240{n}.csv") for n in (1, 2, 3)], multi_line=False)
+    audited = duplicates.audit_files(files, "sold").collect()
+    assert [(r.source_file, r.equivalent_rows, r.duplicate_only_rows_recovered) for r in audited] == [("Sold202401.csv", 1, 1)]
+    rows = {r.B: (r.A, r["A.1"]) for r in duplicates.merged_files(files).collect()}
+    assert rows == {"x": ("1", None), "y": ("2", None), "z": ("3", None), "w": ("4", None), "v": (None, "5")}
 
 
 def test_stream_dedupe_over_several_runs(spark, tmp_path):
@@ -194,8 +243,52 @@ def test_running_summary_equals_batch(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(source)
         jobs.count_into(stream, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     batch = market.monthly_summary(spark.read.parquet(source)).collect()
+    expected = jobs.running_summary(spark, str(tmp_path / "t")).select(*batch[0].asDict()).collect()
+    jobs.fold(spark, str(tmp_path / "t"), 1)
+    assert jobs._complete(spark, str(tmp_path / "t"), "upto") == [1]
     running = jobs.running_summary(spark, str(tmp_path / "t")).select(*batch[0].asDict()).collect()
+    assert [r[0] for r in expected] == [r[0] for r in running]
     assert len(batch) == 3
     for left, right in zip(batch, running):
         for a, b in zip(left, right):
             assert a == (pytest.approx(b) if isinstance(b, float) else b)
+
+
+REPORTS = (
+    "manifest categories aggregation missing high_missing numeric outliers histogram box join_quality "
+    "number_audit date_audit flag_counts cleaning_summary"
+).split()
+
+
+def test_batch_run_stores_every_report(spark, folder, tmp_path):
+    stored = monthly_run.run(spark, folder, f"{folder}/rates.csv", str(tmp_path / "out"))
+    for name in ("sold", "listings"):
+        for report in REPORTS:
+            assert stored[f"{name}_{report}"].count() > 0 or report == "high_missing", (name, report)
+    for name in ("complete_sample", "dataset_comparison", "monthly_summary", "measure_median_close_price", "measure_new_listings"):
+        assert stored[name].count() > 0
+    totals = stored["sold_aggregation"].first()
+    assert (totals.monthly_files_used, totals.rows_before_concat, totals.rows_after_concat) == (3, 58, 58)
+    assert (totals.rows_before_residential_filter, totals.rows_after_residential_filter) == (58, 56)
+    assert stored["listings_duplicate_totals"].first().values_recovered == 3
+    # audited after enrichment: the rate is there
+    assert "rate_30yr_fixed" in {r.column for r in stored["sold_number_audit"].collect()}
+    wide = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("sold_") and len(spark.read.parquet(str(p)).columns) > 26]
+    assert sorted(wide) == ["sold_combined", "sold_flagged", "sold_typed"]
+
+
+def test_times_of_day_are_kept(spark):
+    from parcelworks.functions import casts
+
+    df = spark.createDataFrame([("2024-01-05 10:00:00",), ("2024-01-06",), ("x",)], "d string")
+    formats = ("yyyy-M-d H:m:s", "yyyy-M-d")
+    found = enrich.dated(df, "d", formats)
+    assert sorted(str(r.d) for r in found.collect()) == ["2024-01-05 10:00:00", "2024-01-06 00:00:00"]
+    assert {r.year_month for r in found.collect()} == {"2024-01"}
+    assert not casts.has_time("yyyy-M-d") and casts.has_time("yyyy-M-d'T'H:m:s") and not casts.has_time("d'of'MM")
+
+
+def test_the_run_names_months_without_a_rate(spark):
+    rows = spark.createDataFrame([("2024-01", 6.0), ("2024-02", None), ("2024-02", None)], "year_month string, rate_30yr_fixed double")
+    with pytest.raises(checks.CheckFailed, match="in 2024-02: observed 2"):
+        checks.enforce(enrich.all_matched(rows, "sold"))

@@ -2,15 +2,18 @@
 
 import datetime as dt
 import math
+import struct
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from parcelworks import fixed
 from parcelworks.functions import casts, logic
 from parcelworks.operators import checks, clean, duplicates, enrich, events, market, outliers, profile
-from parcelworks.operators.quantiles import every_group_median, quantiles, value_frequencies
+from parcelworks.operators import quantiles as quantile_operators
+from parcelworks.operators.quantiles import every_group_median, long_values, quantiles
 from parcelworks.sources import manifest, sinks
 
 D = dt.date
@@ -98,6 +101,12 @@ SAMPLES = {
     "signs": [-1e9, -2.5, -0.0, 0.0, 1e-12, 3.25, 1e12],
     "third": [0.0] * 400 + [float(i) * 1.37 for i in range(800)],
     "close": [1.0 + i * 1e-13 for i in range(50)],
+    "closest": [1.0 + i * 2.0**-52 for i in range(300)],
+    "tiny": [i * 1e-12 for i in range(3000)],
+    "epoch": [1.7e9 + i * 1e-3 for i in range(3000)],
+    "subnormal": [5e-324 * i for i in range(9)] + [2.3e-308, -1e-310],
+    "infinite": [float("-inf"), -1.0, 2.0, 2.0, float("inf")],
+    "powers": [2.0**e for e in range(-1074, 1024, 7)] + [-(2.0**e) for e in range(-1022, 1024, 9)],
     "random": np.random.default_rng(3).lognormal(12, 1, 3000).tolist(),
 }
 
@@ -107,16 +116,20 @@ def test_quantiles_match_numpy(spark, name):
     values = SAMPLES[name]
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     wanted = {"a": 0.0, "b": 0.01, "c": 0.25, "d": 0.5, "e": 0.99, "f": 1.0}
-    row = quantiles(value_frequencies(df, ["x"]), wanted).first()
+    row = quantiles(long_values(df, ["x"]), wanted).first()
     present = [v for v in values if v is not None]
     assert row.n == len(present)
+    ordered = sorted(present)
     for label, p in wanted.items():
-        assert row[label] == pytest.approx(np.quantile(present, p), rel=1e-12, abs=1e-12)
+        place = p * (len(ordered) - 1)
+        low, high = ordered[int(np.floor(place))], ordered[int(np.ceil(place))]
+        expected = low if low == high else low + (high - low) * (place - np.floor(place))
+        assert row[label] == pytest.approx(expected, rel=1e-15, abs=0, nan_ok=True)
 
 
 def test_quantiles_match_percentile(spark):
     df = spark.range(5000).selectExpr("id % 7 AS g", "pmod(hash(id), 100000) / 7 AS x", "double(id % 5) AS y")
-    found = quantiles(value_frequencies(df, ["x", "y"], ["g"]), {"m": 0.5, "u": 0.9}, ["g"])
+    found = quantiles(long_values(df, ["x", "y"], ["g"]), {"m": 0.5, "u": 0.9}, ["g"])
     ours = {(r.g, r.field): (r.m, r.u) for r in found.collect()}
     for row in df.groupBy("g").agg(
         *[F.expr(f"percentile({c}, array(0.5, 0.9)) AS {c}") for c in "xy"]
@@ -127,18 +140,36 @@ def test_quantiles_match_percentile(spark):
 
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None, "a"), (None, "b")], "x double, g string")
-    assert quantiles(value_frequencies(df, ["x"]), {"m": 0.5}).count() == 0
+    assert quantiles(long_values(df, ["x"]), {"m": 0.5}).count() == 0
     medians = every_group_median(df.union(spark.sql("SELECT 4D, string(NULL)")), "x", ["g"], "m")
     assert {row.g: row.m for row in medians.collect()} == {"a": None, "b": None, None: 4.0}
 
 
-def test_counts_are_shuffled_once_and_reused(spark):
-    df = spark.range(1000).selectExpr("sqrt(id) AS x", "double(id % 10) AS y")
-    found = quantiles(value_frequencies(df, ["x", "y"]), {"m": 0.5})
-    found.collect()
+@given(st.lists(st.floats(allow_nan=False), min_size=2, max_size=200))
+@settings(max_examples=5, deadline=None)
+def test_bits_grow_with_the_value(spark, values):
+    df = spark.createDataFrame([("x", v, 1) for v in values], "field string, value double, rows long")
+    text = quantile_operators._with_bits("{df}", "field")
+    for row in spark.sql(text, df=df).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(row.value)))[0]
+        assert row.bits == (-bits if row.value < 0 else bits)
+
+
+def test_no_value_is_shuffled_and_every_step_is_bounded(spark):
+    """Values next to each other share all bins but the last, which counts whole values."""
+    df = spark.range(20000).selectExpr("id * 1e-12 AS x", "1.7e9 + id / 1000 AS y")
+    found = quantiles(long_values(df, ["x", "y"]), {"m": 0.5})
+    rows = {row.field: row.m for row in found.collect()}
+    assert rows["x"] == pytest.approx(9999.5e-12, rel=1e-12) and rows["y"] == pytest.approx(1.7e9 + 9.9995)
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") == 2
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
+    # what is dealt out are partial counts of bins, never rows of the table
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "value" not in line
+    assert quantile_operators.SHIFTS[-1] == 0
+    hidden = (64, *quantile_operators.SHIFTS)
+    assert max(a - b for a, b in zip(hidden, hidden[1:])) <= 22
 
 
 # ---- cleaning -----------------------------------------------------------------------------

@@ -5,6 +5,9 @@ import importlib
 import pytest
 from compare import database, differences
 
+from parcelworks import fixed
+from parcelworks.plans import catalog, oracle
+
 FOLDER = "/root/testdata/sf0.001"
 entry = importlib.import_module("__spark_entry__")
 
@@ -14,13 +17,36 @@ def connection():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
-    assert differences(entry.queries()[name](spark, FOLDER), connection, entry.oracle_sql()[name]) == []
+    assert differences(catalog.QUERIES[name](spark, FOLDER), connection, oracle.ORACLE[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.ORACLE)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_data_exercises_the_filters(spark):
+    """At the correctness scale each outlier, gap, missing key, repeat and cut occurs."""
+    folder = "/root/testdata/sf0.01"
+    flags = catalog.iqr_flags(spark, folder).selectExpr(
+        *[f"count_if({name}_outlier_flag) AS {name}" for name in fixed.OUTLIER_FIELDS],
+        "count_if(analysis_exclude_flag) AS excluded",
+        "count(*) AS rows",
+    ).first()
+    assert all(flags[name] > 0 for name in fixed.OUTLIER_FIELDS) and 0 < flags.excluded < flags.rows
+    assert catalog.iqr_filtered(spark, folder).count() == flags.rows - flags.excluded
+    comparison = {row.dataset: row for row in catalog.dataset_comparison(spark, folder).collect()}
+    assert comparison["clean_filtered"].row_count < comparison["full_flagged"].row_count
+    audit = catalog.publication_audit(spark, folder).first()
+    assert audit.ratio_outlier_rows > 0
+    assert audit.listing_exact_duplicates_removed > 0 and audit.sold_exact_duplicates_removed > 0
+    counts = catalog.dedupe_counts(spark, folder).collect()
+    assert len(counts) == 2 and all(row.rows_without_id > 0 for row in counts)
+    sellers = catalog.residential_sold(spark, folder, "ListAgentFullName").distinct().count()
+    assert sellers > fixed.TOP_SELLERS and catalog.top_sellers("ListAgentFullName", spark, folder).count() == fixed.TOP_SELLERS
+    assert catalog.month_gaps(spark, folder).count() > 0
 
 
 def test_entry_has_rows(spark):
