@@ -3,8 +3,8 @@
 Each distinct run of five words is hashed once; the hash's high bits name a bin, and a bin keeps
 its smallest hash. An empty bin takes the value of a bin drawn by a hash of its own number and the
 attempt, drawn again until that bin is not empty, so that two sets with the same filled bins fill
-the others alike and each filled bin is as likely to be drawn. Four low-order bits of each bin are
-kept, as base64. Different values agree in them once in sixteen times, which the likeness takes
+the others alike and each filled bin is as likely to be drawn. Four low-order bits of each bin's
+value, hashed once more with the bin's number, are kept, as base64. Different values agree in them once in sixteen times, which the likeness takes
 out again: (agreeing - 1/16) / (1 - 1/16), between 0 and 1.
 """
 
@@ -26,6 +26,7 @@ BINS = 512
 BITS = 4
 BATCH_BYTES = 500_000
 EMPTY = np.uint64(2**64 - 1)
+_BIN = mixed(np.arange(BINS, dtype=np.uint64))
 _targets: list[np.ndarray] = []
 
 
@@ -58,7 +59,8 @@ def sketches(shingles: list[np.ndarray]) -> list[bytes]:
         values[row[found], column[found]] = bins[row[found], drawn[found]]
         row, column = row[~found], column[~found]
         attempt += 1
-    low = (mixed(values) & np.uint64(2**BITS - 1)).astype(np.uint8)
+    # other bits of a value in each bin, so that bins filled alike do not agree by chance together
+    low = (mixed(values ^ _BIN) & np.uint64(2**BITS - 1)).astype(np.uint8)
     packed = low[:, 0::2] << BITS | low[:, 1::2]
     return [one.tobytes() if size else b"" for one, size in zip(packed, sizes.tolist())]
 
