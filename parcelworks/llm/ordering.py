@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelworks.functions.logic import quoted
+from parcelworks.session import shared_folder
 
 
 def partitions(spark: SparkSession) -> int:
@@ -16,14 +17,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder that does not exist yet, below the one that all executors share.
-
-    ``spark.checkpoint.dir`` names it; without a cluster manager's setting the caller sets it.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder that does not exist yet, below the one that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cuts(df: DataFrame, key: str, parts: int) -> list[int]:

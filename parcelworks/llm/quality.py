@@ -141,6 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
     Labels other than 0 and 1, null ones, and documents that are not labelled are left out. A
     class without documents has the other's mean and covariance, and a prior as of one document.
+    Without any labelled document every text is accepted with a score of 1.
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     vectors = narrow.mapInArrow(_statistic_rows, "doc_id long, vector array<double>")
@@ -162,7 +163,8 @@ def model_of(moments: np.ndarray, to_pooled: float = SHRINK_TO_POOLED, to_sphere
     counts = moments[:, 0, 0]
     width = moments.shape[1] - 1
     if not counts.sum():
-        raise ValueError("no labelled documents to learn from")
+        nothing = np.zeros((2, width))
+        return Model(nothing, np.zeros((2, width, width)), nothing[:, 0], np.array([-1000.0 * width, 0.0]))
     means, spreads = [], []
     for one, other in ((0, 1), (1, 0)):
         use = moments[one] if counts[one] else moments[other]
