@@ -7,10 +7,10 @@ shingle gives two values of the signature. Four values make a band, minima and m
 of their own. Sets that share a band are candidates.
 
 Documents with equal sets are one class, and only its smallest key goes on. In a band's bucket the
-smallest key is compared with all others first, which is as many pairs as members. Then, as long
-as a bucket holds documents of different groups, the pairs across the groups that were not yet
-compared are looked up too, block by block where a bucket is large, so no link found by a band is
-lost for want of a common partner. Signatures sort out the pairs far below the threshold; all
+smallest key is compared with all others first, which is as many pairs as members. Buckets that
+still hold documents of different groups are then gone through once more: all pairs across their
+groups are compared where they lie, large buckets block by block, and only the links found leave
+the task. So no link found by a band is lost for want of a common partner. Signatures sort out the pairs far below the threshold; all
 others are compared on their sets. At a similarity of 0.75 a pair shares none of the 40 bands
 with a probability of 2.5e-7.
 """
@@ -32,7 +32,9 @@ BAND_VALUES = 4
 PERCENT = 75
 #: pairs whose signatures agree in a smaller share cannot be links: nearly six deviations below 0.75
 LEAST_AGREEMENT = 0.55
-BLOCK = 256
+#: most documents and shingles of a block
+BLOCK = 4096
+BLOCK_SHINGLES = 4_000_000
 
 _random = np.random.Generator(np.random.PCG64(7))
 _FLIP = _random.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)[:, None]
@@ -101,58 +103,81 @@ def _agreeing(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
-def _across_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different groups within a bucket (or two of its blocks) whose signatures agree enough.
+@lru_cache(maxsize=64)
+def _unpacked_set(packed: bytes) -> np.ndarray:
+    text = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd"), dtype=np.uint8)
+    return Words(text, np.array([0, len(text)]), lower=True).shingles(SHINGLE)[0]
 
-    Rows come ordered by bucket and blocks; two blocks at most are held.
+
+def _linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets are similar enough to ``one``; all are ascending and not empty."""
+    sizes = np.array([len(other) for other in others])
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    common = np.add.reduceat((one[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
+def _links_across(percent: int) -> Callable:
+    """Links between groups within a bucket or two of its blocks, one per pair of groups and block.
+
+    A pair is compared in the bucket of the first band that it shares, and nowhere else, so in all
+    buckets together once. Rows come ordered by bucket and blocks; two blocks at most are held.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    held, name = [], None
 
-    def pairs() -> pa.RecordBatch:
+    def links(held: list[dict]) -> pa.RecordBatch:
         ids = np.array([row["id"] for row in held])
         groups = np.array([row["component"] for row in held])
         blocks = np.array([row["block"] for row in held])
+        sizes = np.array([row["n_shingles"] for row in held])
         values = np.frombuffer(b"".join(row["signature"] for row in held), dtype=np.uint16).reshape(len(held), -1)
-        out_a, out_b = [], []
+        earlier = values.view(np.uint64)[:, : held[0]["band"]]
+        same_block = held[0]["low"] == held[0]["high"]
+        sets: dict[int, np.ndarray] = {}
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def set_of(at: int) -> np.ndarray:
+            if at not in sets:
+                sets[at] = _unpacked_set(held[at]["packed"])
+            return sets[at]
+
         for at in range(len(held)):
             may = (groups != groups[at]) & (ids > ids[at])
-            if name[1] != name[2]:
+            may &= 100 * np.minimum(sizes, sizes[at]) >= percent * np.maximum(sizes, sizes[at])
+            if not same_block:
                 may &= blocks != blocks[at]
             others = np.flatnonzero(may)
-            near = others[(values[others] == values[at]).mean(axis=1) >= LEAST_AGREEMENT]
-            out_a.append(np.full(len(near), ids[at]))
-            out_b.append(ids[near])
-        return batch_of(schema, a=np.concatenate(out_a), b=np.concatenate(out_b))
+            others = others[~(earlier[others] == earlier[at]).any(axis=1)]
+            others = others[(values[others] == values[at]).mean(axis=1) >= LEAST_AGREEMENT]
+            if len(others):
+                for other in others[_linked(set_of(at), [set_of(one) for one in others.tolist()], percent)].tolist():
+                    found.setdefault((int(groups[at]), int(groups[other])), (int(ids[at]), int(ids[other])))
+        pairs = list(found.values())
+        return batch_of(schema, a=[a for a, _ in pairs], b=[b for _, b in pairs])
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            now = (row["bucket"], row["low"], row["high"])
-            if now != name and held:
-                yield pairs()
-                held = []
-            name = now
-            held.append(row)
-    if held:
-        yield pairs()
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name = [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = (row["bucket"], row["low"], row["high"])
+                if now != name and held:
+                    yield links(held)
+                    held = []
+                name = now
+                held.append(row)
+        if held:
+            yield links(held)
+
+    return rows
 
 
 def _confirmed(percent: int) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=64)
-        def shingles(packed: bytes) -> np.ndarray:
-            text = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd"), dtype=np.uint8)
-            return Words(text, np.array([0, len(text)]), lower=True).shingles(SHINGLE)[0]
-
         for batch in batches:
-            links = []
-            for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
-                one, two = shingles(one), shingles(two)
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                links.append(100 * common >= percent * (len(one) + len(two) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(links, pa.bool_())], ["a", "b", "linked"]
-            )
+            pairs = zip(batch.column("one").to_pylist(), batch.column("two").to_pylist())
+            links = [bool(_linked(_unpacked_set(one), [_unpacked_set(two)], percent)[0]) for one, two in pairs]
+            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
     return rows
 
@@ -188,52 +213,43 @@ def near_copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     classes = stored(
         usable.groupBy("class_key").agg(
             F.expr("min(doc_id) AS id"), F.expr("count(*) AS copies"),
-            F.expr("min_by(struct(signature, buckets), doc_id) AS first"),
-        ).selectExpr("class_key", "id", "copies", "first.signature", "first.buckets"),
+            F.expr("min_by(struct(n_shingles, signature, buckets), doc_id) AS first"),
+        ).selectExpr("class_key", "id", "copies", "first.n_shingles", "first.signature", "first.buckets"),
         "classes",
     )
-    signatures = classes.select("id", "signature")
-    members = classes.select("id", F.explode("buckets").alias("bucket"))
-    shared = stored(
-        members.groupBy("bucket").agg(F.expr("min(id) AS leader"), F.expr("count(*) AS members")).filter("members > 1"),
-        "buckets",
-    )
+    signatures = classes.select("id", "n_shingles", "signature")
+    members = classes.select("id", "n_shingles", F.posexplode("buckets").alias("band", "bucket"))
+    shared = members.groupBy("bucket").agg(F.expr("min(id) AS leader"), F.expr("count(*) AS members")).filter("members > 1")
     members = stored(members.join(shared, "bucket"), "members")
-    candidates = members.select("id").distinct()
     packed = narrow.withColumnRenamed("doc_id", "id").mapInArrow(_packed_texts, "id long, packed binary")
-    texts = stored(packed.join(candidates, "id", "left_semi"), "candidate-texts")
+    texts = stored(packed.join(members.select("id").distinct(), "id", "left_semi"), "candidate-texts")
 
     pairs = members.filter("id > leader").selectExpr("leader AS a", "id AS b").distinct()
     pairs = _with(pairs, signatures, "signature").mapInArrow(_agreeing, "a long, b long")
-    confirmed = _confirmed(percent)
-    compared = stored(_with(pairs, texts, "packed").mapInArrow(confirmed, "a long, b long, linked boolean"), "compared")
-    while True:
-        groups = components(compared.filter("linked"))
-        grouped = members.join(groups, "id", "left").selectExpr(
-            "bucket", "id", "members", "coalesce(component, id) AS component"
-        )
-        unlike = grouped.groupBy("bucket").agg(F.expr("min(component) < max(component) AS unlike")).filter("unlike")
-        # a block of a large bucket meets every other block once
-        blocks = f"int(ceil(members / {BLOCK}))"
-        open_rows = (
-            grouped.join(unlike.select("bucket"), "bucket")
-            .selectExpr("*", f"pmod(hash(id), {blocks}) AS block", f"sequence(0, {blocks} - 1) AS others")
-            .selectExpr("bucket", "id", "component", "block", "explode(others) AS other")
-            .selectExpr("bucket", "id", "component", "block", "least(block, other) AS low", "greatest(block, other) AS high")
-            .join(signatures, "id")
-        )
-        across = (
-            open_rows.repartition(F.col("bucket"), F.col("low"), F.col("high"))
-            .sortWithinPartitions("bucket", "low", "high")
-            .mapInArrow(_across_groups, "a long, b long")
-            .distinct()
-            .join(compared, ["a", "b"], "left_anti")
-        )
-        across = stored(across, "across")
-        if across.isEmpty():
-            break
-        fresh = _with(across, texts, "packed").mapInArrow(confirmed, "a long, b long, linked boolean")
-        compared = compared.union(stored(fresh, "compared"))
+    links = stored(_with(pairs, texts, "packed").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    groups = components(links)
+    grouped = members.join(groups, "id", "left").selectExpr(
+        "bucket", "band", "id", "n_shingles", "coalesce(component, id) AS component"
+    )
+    unlike = grouped.groupBy("bucket").agg(
+        F.expr("min(component) < max(component) AS unlike"),
+        F.expr(f"int(ceil(greatest(count(*) / {BLOCK}, sum(n_shingles) / {BLOCK_SHINGLES}))) AS blocks"),
+    )
+    # a block of a large bucket meets every other block once
+    open_rows = (
+        grouped.join(unlike.filter("unlike").select("bucket", "blocks"), "bucket")
+        .selectExpr("*", "pmod(hash(id), blocks) AS block")
+        .selectExpr("*", "explode(sequence(0, blocks - 1)) AS other")
+        .selectExpr("bucket", "band", "id", "component", "block", "least(block, other) AS low", "greatest(block, other) AS high")
+        .join(signatures, "id")
+        .join(texts, "id")
+    )
+    across = (
+        open_rows.repartition(F.col("bucket"), F.col("low"), F.col("high"))
+        .sortWithinPartitions("bucket", "low", "high")
+        .mapInArrow(_links_across(percent), "a long, b long")
+    )
+    groups = components(links.union(stored(across, "links-across")))
 
     copies = classes.filter("copies > 1").selectExpr("class_key", "id AS class_id")
     documents = signed.select("doc_id", "n_shingles", "class_key").join(copies, "class_key", "left")
