@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coerce
-from parcelworks.functions.logic import literal, quoted, with_exprs
+from parcelworks.functions.logic import all_equal, literal, quoted, with_exprs
 from parcelworks.operators.checks import only_category
 from parcelworks.operators.metrics import calendar_fields
 from parcelworks.operators.outliers import Pair, with_ratio_quality
@@ -95,15 +95,38 @@ def sale_records(sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = ())
     ).select(*fixed.SALE_COLUMNS, *carry)
 
 
-def first_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+REPEATS_TO_BROADCAST = 100_000
+
+
+def first_of_each(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast: int = REPEATS_TO_BROADCAST
+) -> DataFrame:
     """The first row of every key in the given total order; a missing key is one key.
 
-    Spark keeps one row per key in each task before it shuffles (window group limit), so a key
-    that repeats very often sends one row per task.
+    Repeated keys are counted over the key columns alone. Where they are few, only their rows are
+    ordered and the others stay where they are; else all rows are, of which Spark keeps one per key
+    in each task before it shuffles (window group limit), so a key that repeats very often sends
+    one row per task either way.
     """
     keys, by = ", ".join(map(quoted, key)), ", ".join(map(quoted, order))
-    placed = df.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS place")
-    return placed.filter("place = 1").drop("place")
+
+    def first(rows: DataFrame) -> DataFrame:
+        placed = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS place")
+        return placed.filter("place = 1").drop("place")
+
+    repeated = df.select(*map(quoted, key)).groupBy(*map(quoted, key)).count().filter("count > 1").drop("count").limit(broadcast + 1)
+    few = repeated.collect()
+    if len(few) > broadcast:
+        return first(df)
+    if not few:
+        return df
+    # at most ``broadcast`` keys, as counted
+    listed = df.sparkSession.createDataFrame(few, repeated.schema)
+    same = all_equal([f"d.{quoted(name)}" for name in key], [f"r.{quoted(name)}" for name in key])
+    query = "SELECT /*+ BROADCAST(r) */ d.* FROM {df} d LEFT {kind} JOIN {listed} r ON " + same
+    once = df.sparkSession.sql(query.replace("{kind}", "ANTI"), df=df, listed=listed)
+    often = df.sparkSession.sql(query.replace("{kind}", "SEMI"), df=df, listed=listed)
+    return once.union(first(often))
 
 
 def dedupe_counts(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:

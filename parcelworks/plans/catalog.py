@@ -62,10 +62,10 @@ def monthly_rates(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.monthly_rates(rates.observations(warehouse.weekly_rates(spark, folder)))
 
 
-def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def cleaned_sold(spark: SparkSession, folder: str, *columns: str, store: bool = True) -> DataFrame:
     """Clean sold rows over the stored typed table, as the stages hand tables on.
 
-    The rate is joined only where a query asks for it.
+    The rate is joined only where a query asks for it. What is stored itself needs no stored table.
     """
     names = dict.fromkeys([*SOLD_RULE_COLUMNS, *columns])
     source = warehouse.sold(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
@@ -73,7 +73,8 @@ def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         source = stages.enriched_sold(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "CloseDate")
-    return stages.clean_sold(staged(stages.typed_sold(source), "sold"))
+    typed = stages.typed_sold(source)
+    return stages.clean_sold(staged(typed, "sold") if store else typed)
 
 
 def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -88,7 +89,9 @@ def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFra
 
 
 def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns))
+    """The stored table of metrics, which the passes for bounds, flags and events read column-pruned."""
+    clean_rows = cleaned_sold(spark, folder, "OriginalListPrice", *columns, store=False)
+    return staged(stages.engineered_sold(clean_rows), "engineered")
 
 
 def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
@@ -598,9 +601,7 @@ def gate_event_date(spark: SparkSession, folder: str) -> DataFrame:
 def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["PropertyType", "SourceMonth", "SourceFile"]
     sold = warehouse.sold(spark, folder, *columns)
-    table = staged(
-        engineered(spark, folder, *EVENT_INPUTS, *TIES, *SELLER_COLUMNS), "engineered"
-    )
+    table = engineered(spark, folder, *EVENT_INPUTS, *TIES, *SELLER_COLUMNS)
     flagged = staged(stages.flagged_sold(table), "flagged")
     kept = outliers.filtered(flagged)
     bounds = stages.ratio_bounds(kept)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from parcelworks import fixed
 from parcelworks.functions import casts, logic
-from parcelworks.operators import checks, clean, duplicates, enrich, events, market, outliers, profile
+from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, outliers, profile
 from parcelworks.operators import quantiles as quantile_operators
 from parcelworks.operators.quantiles import every_group_median, long_values, quantiles
+from parcelworks.plans import stages
 from parcelworks.sources import manifest, sinks
 
 D = dt.date
@@ -393,3 +394,45 @@ def test_rate_join(spark):
         checks.enforce(enrich.all_matched(joined, "sold"))
     with pytest.raises(checks.CheckFailed):
         checks.enforce(enrich.rate_keys_unique(monthly.union(monthly)))
+
+
+# ---- reconciliations ----------------------------------------------------------------------
+
+
+def failing(*rows):
+    with pytest.raises(checks.CheckFailed):
+        checks.enforce(*rows)
+
+
+def test_every_reconciliation_can_fail(spark):
+    rows = [("Residential", "202401", "Sold202401.csv"), ("Land", "202401", "Sold202401.csv"), (None, "202402", "Sold202402.csv")]
+    combined = spark.createDataFrame(rows, "PropertyType string, SourceMonth string, SourceFile string")
+    manifest = combine.source_manifest(combined, "sold")
+    checks.enforce(combine.parts_reconcile(combined, manifest, "sold"))
+    failing(combine.parts_reconcile(combined.limit(2), manifest, "sold"))
+    failing(checks.only_category(combined, "sold"))
+    failing(events.typed_dimensions(combined, "sold"))
+    trimmed = spark.createDataFrame([(" Residential ",)], "PropertyType string")
+    checks.enforce(events.typed_dimensions(trimmed, "sold"))
+    failing(checks.only_category(trimmed, "sold"))
+    comparison = spark.createDataFrame([("full_flagged", 9), ("clean_filtered", 3)], "dataset string, row_count long")
+    checks.enforce(stages.filtered_reconcile(combined, comparison))
+    failing(stages.filtered_reconcile(combined.limit(2), comparison))
+    failing(checks.same_row_count("n", combined, combined.limit(1)))
+    totals = combine.aggregation_summary(manifest, combined.limit(2), combine.keep_category(combined), "sold").first()
+    assert (totals.rows_before_concat, totals.rows_after_concat, totals.rows_after_residential_filter) == (3, 2, 1)
+
+
+@pytest.mark.parametrize("broadcast", [100, 1])
+def test_first_of_each_with_few_and_many_repeats(spark, broadcast):
+    rows = [("a", 2), ("a", 1), ("b", 5), (None, 9), (None, 3), ("c", 4), ("c", 7)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    found = events.first_of_each(df, ["k"], ["n"], broadcast).collect()
+    assert sorted((r.k or "", r.n) for r in found) == [("", 3), ("a", 1), ("b", 5), ("c", 4)]
+    alone = df.filter("k = 'b'")
+    assert [tuple(r) for r in events.first_of_each(alone, ["k"], ["n"], broadcast).collect()] == [("b", 5)]
+
+
+def test_a_seller_without_prices_has_no_volume_but_units(spark):
+    df = spark.createDataFrame([("x", None, 1), ("y", 5.0, 1), ("x", None, 1)], "name string, SalesVolume double, UnitsSold int")
+    assert [tuple(r) for r in market.top_sellers(df, "name").collect()] == [("y", 5.0, 1), ("x", 0.0, 2)]
