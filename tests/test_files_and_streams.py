@@ -292,3 +292,15 @@ def test_the_run_names_months_without_a_rate(spark):
     rows = spark.createDataFrame([("2024-01", 6.0), ("2024-02", None), ("2024-02", None)], "year_month string, rate_30yr_fixed double")
     with pytest.raises(checks.CheckFailed, match="in 2024-02: observed 2"):
         checks.enforce(enrich.all_matched(rows, "sold"))
+
+
+def test_csv_sink_can_be_read_back(spark, tmp_path):
+    from parcelworks.sources import sinks
+
+    rows = [("a,b", 'x "y"', 1.5), ("line\nbreak", None, None)]
+    sinks.write_csv(spark.createDataFrame(rows, "a string, b string, c double").coalesce(1), str(tmp_path / "out"))
+    path = next((tmp_path / "out").glob("part-*.csv"))
+    named = tmp_path / "Sold202401.csv"
+    named.write_bytes(path.read_bytes())
+    found = csv_files.read_csv(spark, [str(named)]).select("a", "b", "c").collect()
+    assert [tuple(r) for r in found] == [("a,b", 'x "y"', "1.5"), ("line\nbreak", None, None)]
