@@ -160,8 +160,8 @@ def _unplaned(data: memoryview, count: int, width: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(bytes_.T).view(f"<i{width}").ravel().astype(np.int64))
 
 
-def _suffix_rows(routes: Routes) -> Callable:
-    """Suffixes by group, packed: (group, block), and windows decided at once: (-1, documents and places)."""
+def _suffix_rows(routes: Routes, buckets: int) -> Callable:
+    """Suffixes by group, packed: (group, 0, block), and windows decided at once: (-1, bucket, block)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +186,15 @@ def _suffix_rows(routes: Routes) -> Callable:
                     at = np.searchsorted(routes.heavy_digests, digests[heavy])
                     owner = np.searchsorted(words.bounds, starts[heavy], "right") - 1
                     later = documents[owner] > routes.heavy_documents[at]
-                    yield from _found(documents[owner[later]], (starts[heavy] - words.bounds[owner])[later], "group")
+                    decided = list(_found(documents[owner[later]], (starts[heavy] - words.bounds[owner])[later], buckets))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([-1] * len(decided), pa.int32()),
+                            pa.array([bucket for bucket, _ in decided], pa.int32()),
+                            pa.array([packed for _, packed in decided], pa.binary()),
+                        ],
+                        ["group", "bucket", "block"],
+                    )
                     group[heavy] = -2
                 order = np.argsort(group, kind="stable")
                 edges = np.flatnonzero(np.diff(group[order], prepend=-3))
@@ -202,29 +210,31 @@ def _suffix_rows(routes: Routes) -> Callable:
                         + digests[some].tobytes()
                     )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int32()), pa.array(blocks, pa.binary())], ["group", "block"]
+                    [pa.array(names, pa.int32()), pa.array([0] * len(names), pa.int32()), pa.array(blocks, pa.binary())],
+                    ["group", "bucket", "block"],
                 )
 
     return rows
 
 
-def _found(documents: np.ndarray, places: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
-    """Windows to go, a row per document; ``kind`` is the name of the first column."""
-    if not len(documents):
-        return
-    order = np.lexsort((places, documents))
-    documents, places = documents[order], places[order]
-    edges = np.flatnonzero(np.append(True, documents[1:] != documents[:-1]))
-    keys, packed = [], []
-    for a, b in zip(edges.tolist(), np.append(edges[1:], len(documents)).tolist()):
-        keys.append(int(documents[a]))
-        packed.append(struct.pack("<q", b - a) + _planes(places[a:b], 4))
-    if kind == "group":
-        packed = [struct.pack("<q", key) + one for key, one in zip(keys, packed)]
-        keys = [-1] * len(keys)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(packed, pa.binary())], ["group", "block"])
-    else:
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "places"])
+def bucket_of(documents: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket in which a document's text meets its windows."""
+    return (mixed(documents.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _found(documents: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Windows to go, packed for each bucket of documents that has any."""
+    bucket = bucket_of(documents, buckets)
+    order = np.lexsort((places, documents, bucket))
+    bucket, documents, places = bucket[order], documents[order], places[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for a, b in zip(edges.tolist(), np.append(edges[1:], len(bucket)).tolist()):
+        yield int(bucket[a]), struct.pack("<q", b - a) + _planes(documents[a:b], 8) + _planes(places[a:b], 4)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    count, view = struct.unpack_from("<q", packed)[0], memoryview(packed)[8:]
+    return _unplaned(view, count, 8), _unplaned(view[8 * count :], count, 4)
 
 
 def repeat_nodes(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,11 +244,10 @@ def repeat_nodes(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
 
 
-def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The subtree of each group, and the leaves whose document is not their node's smallest."""
-    name, held = None, []
+def _later_windows(buckets: int) -> Callable:
+    """The subtree of each group, and the leaves whose document is not their node's smallest, by bucket."""
 
-    def subtree() -> Iterator[pa.RecordBatch]:
+    def subtree(held: list[bytes]) -> pa.RecordBatch:
         documents, places, digests = [], [], []
         for block in held:
             n_documents, n = struct.unpack_from("<qq", block)
@@ -251,42 +260,53 @@ def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             owner = np.searchsorted(bounds, starts, "right") - 1
             documents.append(keys[owner])
             places.append((starts - bounds[owner]).astype(np.int32))
-        held.clear()
         documents, places, digests = map(np.concatenate, (documents, places, digests))
         order, first = repeat_nodes(digests)
         ordered = documents[order]
         least = np.repeat(np.minimum.reduceat(ordered, first), np.diff(np.append(first, len(order))))
         later = order[ordered > least]
-        yield from _found(documents[later], places[later], "doc_id")
+        return packed_rows(list(_found(documents[later], places[later], buckets)))
 
-    for batch in batches:
-        for group, block in zip(batch.column("group").to_pylist(), batch.column("block").to_pylist()):
-            if group == -1:
-                key = struct.unpack_from("<q", block)[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.int64()), pa.array([block[8:]], pa.binary())], ["doc_id", "places"]
-                )
-                continue
-            if group != name and held:
-                yield from subtree()
-            name = group
-            held.append(block)
-    if held:
-        yield from subtree()
+    def packed_rows(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([one for one, _ in found], pa.int32()), pa.array([one for _, one in found], pa.binary())],
+            ["bucket", "windows"],
+        )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, []
+        for batch in batches:
+            for group, bucket, block in zip(*[batch.column(n).to_pylist() for n in ("group", "bucket", "block")]):
+                if group == -1:
+                    yield packed_rows([(bucket, block)])
+                    continue
+                if group != name and held:
+                    yield subtree(held)
+                    held = []
+                name = group
+                held.append(block)
+        if held:
+            yield subtree(held)
+
+    return rows
 
 
 def repeated_windows(
-    docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES, depths: tuple[int, ...] = DEPTHS
+    docs: DataFrame,
+    buckets: int,
+    window: int = WINDOW,
+    group_suffixes: int = GROUP_SUFFIXES,
+    depths: tuple[int, ...] = DEPTHS,
 ) -> DataFrame:
-    """(doc_id, places): first words of windows that also start in a document with a smaller key.
+    """(bucket, windows): windows that also start in a document with a smaller key, by bucket of documents.
 
-    A document may have several rows; ``places`` is packed, see ``_found``.
+    A bucket has a row per group that found any; ``windows`` holds keys and first words, packed.
     """
     routes = plan_groups(docs, window, group_suffixes, depths)
-    suffixes = docs.mapInArrow(_suffix_rows(routes), "group int, block binary")
-    salted = suffixes.selectExpr("group", "block", "CASE WHEN group < 0 THEN xxhash64(block) ELSE group END AS dealt")
+    suffixes = docs.mapInArrow(_suffix_rows(routes, buckets), "group int, bucket int, block binary")
+    salted = suffixes.selectExpr("*", "CASE WHEN group < 0 THEN xxhash64(block) ELSE group END AS dealt")
     grouped = salted.repartition(routes.groups + routes.rest, F.col("dealt")).sortWithinPartitions("group")
-    return grouped.select("group", "block").mapInArrow(_later_windows, "doc_id long, places binary")
+    return grouped.drop("dealt").mapInArrow(_later_windows(buckets), "bucket int, windows binary")
 
 
 KEPT = pa.schema(
@@ -294,49 +314,63 @@ KEPT = pa.schema(
 )
 
 
-def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, limit=SLICE_BYTES):
-            packed = []
-            for text in part.column("text").to_pylist():
-                text = (text or "").encode("utf-8")
-                packed.append(struct.pack("<q", len(text)) + pa.compress(text, "zstd", asbytes=True))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "data"])
+def _packed_texts(buckets: int) -> Callable:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, limit=SLICE_BYTES):
+                packed = []
+                for text in part.column("text").to_pylist():
+                    text = (text or "").encode("utf-8")
+                    packed.append(struct.pack("<q", len(text)) + pa.compress(text, "zstd", asbytes=True))
+                # documents without a key are spread out
+                keys = part.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
+                spread = np.where(keys == -(2**63), np.arange(len(keys)), keys)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket_of(spread, buckets)), part.column("doc_id"), pa.array(packed, pa.binary())],
+                    ["bucket", "doc_id", "data"],
+                )
+
+    return rows
 
 
 def _kept_rows(window: int) -> Callable:
-    def kept(key: int | None, packed: bytes, places: list[bytes]) -> tuple:
+    def kept(key: int | None, packed: bytes, starts: np.ndarray) -> tuple:
         size = struct.unpack_from("<q", packed)[0]
         words = pa.decompress(packed[8:], size, "zstd", asbytes=True).split()
-        if not places:
+        starts = starts[starts + window <= len(words)]
+        if not len(starts):
             return key, len(words), 0, b" ".join(words).decode("utf-8")
         gone = np.zeros(len(words) + 1, dtype=np.int32)
-        for one in places:
-            starts = _unplaned(memoryview(one)[8:], struct.unpack_from("<q", one)[0], 4)
-            starts = starts[starts + window <= len(words)]
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, starts + window, -1)
+        np.add.at(gone, starts, 1)
+        np.add.at(gone, starts + window, -1)
         keep = np.cumsum(gone[:-1]) == 0
         return key, len(words), int(len(words) - keep.sum()), b" ".join(compress(words, keep.tolist())).decode("utf-8")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, texts, places, out, held = None, [], [], [], 0
+        """A bucket: first all its windows, then its texts one after another."""
+        found, documents, places = [], None, None
+        nothing = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for doc, kind, data in zip(*[batch.column(name).to_pylist() for name in ("doc_id", "kind", "data")]):
-                if doc != key or doc is None:
-                    out += [kept(key, text, places) for text in texts]
-                    key, texts, places = doc, [], []
-                if kind:
-                    places.append(data)
-                else:
-                    texts.append(data)
+            out, held = [], 0
+            for doc, data, windows in zip(*[batch.column(name).to_pylist() for name in ("doc_id", "data", "windows")]):
+                if windows is not None:
+                    found.append(_unpacked(windows))
+                    continue
+                if documents is None:
+                    documents = np.concatenate([one for one, _ in found] or [nothing])
+                    places = np.concatenate([one for _, one in found] or [nothing])
+                    order = np.argsort(documents, kind="stable")
+                    documents, places, found = documents[order], places[order], []
+                starts = nothing
+                if doc is not None:
+                    starts = places[np.searchsorted(documents, doc) : np.searchsorted(documents, doc, "right")]
+                out.append(kept(doc, data, starts))
                 held += len(data)
-                if held > SLICE_BYTES and out:
+                if held > SLICE_BYTES:
                     yield batch_of(KEPT, **dict(zip(KEPT.names, zip(*out))))
                     out, held = [], 0
-        out += [kept(key, text, places) for text in texts]
-        if out:
-            yield batch_of(KEPT, **dict(zip(KEPT.names, zip(*out))))
+            if out:
+                yield batch_of(KEPT, **dict(zip(KEPT.names, zip(*out))))
 
     return rows
 
@@ -358,11 +392,11 @@ def remove_repeats(
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     named = narrow.filter("doc_id IS NOT NULL")
-    found = repeated_windows(named, window, group_suffixes, depths)
-    texts = narrow.mapInArrow(_packed_texts, "doc_id long, data binary")
-    both = texts.selectExpr("doc_id", "0 AS kind", "data").union(found.selectExpr("doc_id", "1 AS kind", "places"))
-    # documents without a key are spread out
-    met = both.repartition(partitions(docs.sparkSession), F.expr("coalesce(doc_id, xxhash64(data))"))
-    return met.sortWithinPartitions("doc_id", "kind").mapInArrow(
-        _kept_rows(window), "doc_id long, n_words long, n_removed long, kept_text string"
+    buckets = partitions(docs.sparkSession)
+    found = repeated_windows(named, buckets, window, group_suffixes, depths)
+    texts = narrow.mapInArrow(_packed_texts(buckets), "bucket int, doc_id long, data binary")
+    both = texts.selectExpr("bucket", "doc_id", "data", "CAST(NULL AS binary) AS windows").union(
+        found.selectExpr("bucket", "CAST(NULL AS long)", "CAST(NULL AS binary)", "windows")
     )
+    met = both.repartitionById(buckets, F.col("bucket")).sortWithinPartitions(F.expr("windows IS NULL"))
+    return met.mapInArrow(_kept_rows(window), "doc_id long, n_words long, n_removed long, kept_text string")
