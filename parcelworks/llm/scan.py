@@ -127,6 +127,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    # workers live on between tasks, and share an executor's memory
+    pa.default_memory_pool().release_unused()
 
 
 def text_list(column: pa.Array) -> list[bytes]:

@@ -17,7 +17,7 @@ from array import array
 # whose lower case is no letter alone), and the marks that follow words most often
 ASCII = re.compile(rb"([A-Za-z]+)([.,]?)")
 LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
-KEPT_WORDS = 700_000
+KEPT_WORDS = 200_000
 
 
 def byte_letters() -> list[str]:
@@ -42,15 +42,24 @@ class _Odd(Exception):
 
 
 class _Words(dict):
-    """Ids of words by the word's bytes; a missing word is encoded, with ``before`` in front."""
+    """Ids of words by the word's bytes; a missing word is encoded, with ``before`` in front.
+
+    When ``kept`` words are held they become the older half, out of which a word that comes again
+    is taken over; the half before that is forgotten, which leaves the frequent words.
+    """
 
     def __init__(self, encode, before: bytes, kept: int):
         self.encode, self.before, self.kept = encode, before, kept
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word, self)
         if len(self) >= self.kept:
+            self.older = dict(self)
             self.clear()
-        ids = self[word] = self.encode(word, self)
+        self[word] = ids
         return ids
 
 
