@@ -1,7 +1,7 @@
 """Words of whole texts, found and hashed with numpy over the bytes of Arrow batches.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage
-return. All arrays are made for a slice of a batch, about a megabyte of text, so a task's memory
+return. All arrays are made for a slice of a batch, about half a megabyte of text, so a task's memory
 follows neither the batch nor the table; a longer text is a slice of its own.
 """
 
@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 WORD = np.ones(256, dtype=bool)
 WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 LOWER = np.arange(256, dtype=np.uint8)
