@@ -7,9 +7,10 @@ cue words, so a word has one row of weights per neighbour and nothing depends on
 trained on a small labelled table by gradient ascent on the penalised likelihood (forward-backward
 on padded sentences), and decoded by Viterbi over many sequences of words at a time.
 
-A sequence is a stretch of words around those that hold anything but letters and common marks,
-with three words on either side; all words outside are "other" by definition. A found span must
-pass the checks of its kind, and must not meet a base span.
+Every word of a text is decoded, as one sequence. Where a word's scores favour "other" by more
+than any transitions could make good, the best path surely goes through "other" there; such words
+part a text into short sequences, with the same states as the whole text's. A found span must pass
+the checks of its kind, and must not meet a base span.
 """
 
 import hashlib
@@ -205,11 +206,16 @@ class Field:
         return sum(self.emission[k][padded[:, k : k + ids.shape[1]]] for k in range(2 * REACH + 1))
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The likeliest states of padded sequences, longest first, by Viterbi."""
+        """The likeliest states of padded sequences of shape numbers, longest first."""
         scores = self.emissions(ids)
+        scores[:, 0] += self.begin
+        return self.paths(scores, sizes)
+
+    def paths(self, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The best paths by Viterbi over padded sequences of scores, longest first."""
         count, length, states = scores.shape
         back = np.zeros((length, count, states), dtype=np.int8)
-        best = self.begin + scores[:, 0]
+        best = scores[:, 0]
         final = np.zeros((count, states))
         open_ = np.searchsorted(-sizes, -np.arange(1, length + 1), "right")
         for place in range(1, length):
@@ -229,6 +235,12 @@ class Field:
                 state = np.where(inside, back[place, rows, state], state)
         return found
 
+    def surely_other(self, scores: np.ndarray) -> np.ndarray:
+        """Which words are "other" on the best path whatever stands before and behind them."""
+        into = np.maximum((self.transition - self.transition[:, :1]).max(axis=0), self.begin - self.begin[0])
+        onward = np.maximum((self.transition - self.transition[0]).max(axis=1), 0)
+        return (scores[:, :1] - scores[:, 1:] > (into + onward)[1:]).all(axis=1)
+
 
 def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     top = values.max(axis=axis, keepdims=True)
@@ -293,70 +305,83 @@ def fit(rows: list[tuple[int, list[str], list[str]]], rounds: int = 80, penalty:
 
 # --- spans of whole texts -----------------------------------------------------------------------
 
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
-_MARK = np.zeros(256, dtype=bool)
-_MARK[[ord(c) for c in ".,;:!?"]] = True
-MARGIN = 3
-LONGEST = 512
-
-
-def _stretches(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last words of the sequences to decode, and which words are plain."""
-    other = np.concatenate([[0], np.cumsum(~(_LETTER | _MARK)[words.data])])
-    odd = other[words.ends] > other[words.starts]
-    # plain words have letters, and marks only at their end, or else are looked at
-    letters = np.concatenate([[0], np.cumsum(_LETTER[words.data])])
-    lone = letters[words.ends] == letters[words.starts]
-    chosen = np.flatnonzero(odd | lone)
-    text = np.searchsorted(words.bounds, chosen, "right") - 1
-    begin = np.maximum(chosen - MARGIN, words.bounds[text])
-    end = np.minimum(chosen + MARGIN + 1, words.bounds[text + 1])
-    if not len(chosen):
-        return begin, end, odd
-    apart = np.append(True, (begin[1:] > end[:-1]) | (text[1:] != text[:-1]))
-    begin, end = begin[apart], end[np.append(np.flatnonzero(apart)[1:] - 1, len(end) - 1)]
-    cut = [np.arange(a, b, LONGEST) for a, b in zip(begin.tolist(), end.tolist())]
-    ends = [np.append(c[1:], b) for c, b in zip(cut, end.tolist())]
-    return np.concatenate(cut), np.concatenate(ends), odd
-
-
-def added_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[str, int, int]]]:
-    """Per text the field's spans (kind, first byte, byte behind) in the slice."""
-    words = Words(data, offsets, hashes=False)
-    begin, end, odd = _stretches(words)
-    if not len(begin):
-        return {}
-    raw = data.tobytes()
-    chosen = np.concatenate([np.arange(a, b) for a, b in zip(begin.tolist(), end.tolist())])
-    starts, ends = words.starts[chosen].tolist(), words.ends[chosen].tolist()
-    spelled = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts, ends)]
-    flat = np.array(field.ids(spelled))
+KEPT_WORDS = 50_000
+KEPT_BYTES = 40
+BATCH_WORDS = 200_000
+
+
+class ShapeNumbers(dict):
+    """Shape numbers of words given as bytes; a bounded number of short words is kept."""
+
+    def __init__(self, field: Field):
+        self.field = field
+
+    def __missing__(self, word: bytes) -> int:
+        found = self.field.ids([word.decode("utf-8", "replace")])[0]
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
+def _scores(field: Field, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(words, states) of a slice's texts one after another; 0 stands outside a text."""
+    places = np.arange(len(ids)) + REACH * np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    padded = np.zeros(len(ids) + REACH * len(bounds), dtype=np.int64)
+    padded[places + REACH] = ids
+    return sum(field.emission[k][padded[places + k]] for k in range(2 * REACH + 1))
+
+
+def states_of(field: Field, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The likeliest states of all words of texts, given their shape numbers; text i has those from bounds[i] on."""
+    states = np.zeros(len(ids), dtype=np.int8)
+    scores = _scores(field, ids, bounds)
+    undecided = np.flatnonzero(~field.surely_other(scores))
+    if not len(undecided):
+        return states
+    text = np.searchsorted(bounds, undecided, "right") - 1
+    apart = np.append(True, (np.diff(undecided) > 1) | (np.diff(text) > 0))
+    begin, text = undecided[apart], text[apart]
+    end = undecided[np.append(np.flatnonzero(apart)[1:] - 1, len(undecided) - 1)] + 1
+    # a sequence begins its text or follows an "other", and ends its text or precedes one
+    scores[begin] += np.where((begin == bounds[text])[:, None], field.begin, field.transition[0])
+    scores[end - 1] += np.where((end == bounds[text + 1])[:, None], 0.0, field.transition[:, 0])
     sizes = end - begin
-    before = np.cumsum(sizes) - sizes
     order = np.argsort(-sizes, kind="stable")
-    states = np.zeros(len(flat), dtype=np.int8)
     at = 0
     while at < len(order):
         width = int(sizes[order[at]])
-        some = order[at : at + max(1, 200_000 // max(1, width))]
-        ids = np.zeros((len(some), width), dtype=np.int64)
+        some = order[at : at + max(1, BATCH_WORDS // width)]
         inside = np.arange(width) < sizes[some][:, None]
-        places = before[some][:, None] + np.arange(width)
-        ids[inside] = flat[places[inside]]
-        states[places[inside]] = field.decode(ids, sizes[some])[inside]
+        places = (begin[some][:, None] + np.arange(width))[inside]
+        padded = np.zeros((len(some), width, len(STATES)))
+        padded[inside] = scores[places]
+        states[places] = field.paths(padded, sizes[some])[inside]
         at += len(some)
+    return states
+
+
+def added_spans(
+    field: Field, data: np.ndarray, offsets: np.ndarray, numbers: ShapeNumbers | None = None
+) -> dict[int, list[tuple[str, int, int]]]:
+    """Per text the field's spans (kind, first byte, byte behind) in the slice."""
+    numbers = ShapeNumbers(field) if numbers is None else numbers
+    words = Words(data, offsets, hashes=False)
+    raw, edges = data.tobytes(), offsets.tolist()
+    spelled = (word for a, b in zip(edges, edges[1:]) for word in raw[a:b].split())
+    ids = np.fromiter(map(numbers.__getitem__, spelled), dtype=np.int64, count=len(words.starts))
+    states = states_of(field, ids, words.bounds)
     found: dict[int, list[tuple[str, int, int]]] = {}
     hits = np.flatnonzero(states)
     if not len(hits):
         return found
-    sequence = np.searchsorted(before, hits, "right") - 1
-    joined = (np.diff(hits) == 1) & (states[hits[1:]] == states[hits[:-1]]) & (sequence[1:] == sequence[:-1])
+    owner = np.searchsorted(words.bounds, hits, "right") - 1
+    joined = (np.diff(hits) == 1) & (np.diff(states[hits]) == 0) & (np.diff(owner) == 0)
     firsts = np.flatnonzero(np.append(True, ~joined))
     lasts = np.append(firsts[1:] - 1, len(hits) - 1)
-    for a, b in zip(hits[firsts].tolist(), hits[lasts].tolist()):
-        text = int(np.searchsorted(words.bounds, chosen[a], "right") - 1)
-        found.setdefault(text, []).append((STATES[states[a]], starts[a], ends[b]))
+    for text, a, b in zip(owner[firsts].tolist(), hits[firsts].tolist(), hits[lasts].tolist()):
+        found.setdefault(text, []).append((STATES[states[a]], int(words.starts[a]), int(words.ends[b])))
     return found
 
 
@@ -392,10 +417,11 @@ def _joined(spans: list[Span]) -> str:
 
 def _span_rows(field: Field) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = ShapeNumbers(field)
         for batch in batches:
             for part in slices(batch):
                 data, offsets = text_bytes(part.column("text"))
-                added = added_spans(field, data, offsets)
+                added = added_spans(field, data, offsets, numbers)
                 raw = data.tobytes()
                 out = []
                 for number, (key, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())):

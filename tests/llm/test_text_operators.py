@@ -255,6 +255,34 @@ def test_personal_data(spark, rows, docs, nothing, keyless):
     assert pii.find_personal_data(keyless, labelled.limit(0)).count() == 8
 
 
+def test_addresses_spelled_in_plain_words(spark):
+    """Wherever they stand, as most of their texts hold no digit and no mark."""
+    addresses = [
+        words[n : n + 5] for _, words, states in pii.labelled_rows(300, seed=77)
+        for n in range(len(words) - 4) if states[n] == "email" and words[n + 1] == "at"
+    ]
+    assert len(addresses) > 20
+    addresses += [f"{name} at example dot com".split() for name in ("jane", "jane7", "jane.doe")]
+    prose = "some plain words of prose that stand around it "
+    texts, expected = {}, {}
+    for number, address in enumerate(addresses):
+        before, spelled = prose * (number % 3), " ".join(address)
+        texts[number] = before + spelled + (" " + prose if number % 2 else "")
+        expected[number] = (f"email:{len(before)}:{len(before) + len(spelled)}",)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert by_key(pii.find_personal_data(df, pii.labelled_table(spark)), "doc_id", "spans") == expected
+
+
+@given(st.lists(st.lists(st.integers(1, 40), max_size=60), min_size=1, max_size=6), st.integers(0, 2**32))
+@settings(max_examples=100, deadline=None)
+def test_parted_texts_are_decoded_as_whole_ones(field, texts, seed):
+    random_ = np.random.default_rng(seed)
+    texts = [np.where(random_.random(len(t)) < 0.7, field.shapes["plain"], np.array(t, dtype=int)) for t in texts]
+    found = pii.states_of(field, np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    whole = [field.decode(t[None], np.array([len(t)]))[0] for t in texts if len(t)]
+    assert found.tolist() == [state for states in whole for state in states.tolist()]
+
+
 # ---- 4 quality ------------------------------------------------------------------------------
 
 
