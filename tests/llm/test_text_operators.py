@@ -283,6 +283,12 @@ def test_parted_texts_are_decoded_as_whole_ones(field, texts, seed):
     assert found.tolist() == [state for states in whole for state in states.tolist()]
 
 
+@pytest.mark.parametrize("before", [3, 511, 512, 1023, 5000])
+def test_spans_in_long_runs_of_numbers(field, before):
+    text = "12 " * before + "(555) 010-1234" + " 12" * 40
+    assert pii.added_spans(field, *scan.text_bytes(pa.array([text]))) == {0: [("phone", 3 * before, 3 * before + 14)]}
+
+
 # ---- 4 quality ------------------------------------------------------------------------------
 
 
