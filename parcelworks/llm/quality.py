@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
-from parcelworks.llm.scan import Words, slices, text_bytes
+from parcelworks.llm.scan import Words, runs_hash, slices, text_bytes
 
 THRESHOLD = 0.7
 SHRINK_TO_POOLED = 0.2
@@ -74,11 +74,13 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             top[text] = some.max()
     line_starts = np.union1d(line_feeds + 1, offsets[:-1][size > 0])
     line_starts = line_starts[line_starts < len(data)]
-    line_hash = words.hash[np.minimum(np.searchsorted(words.starts, line_starts), max(len(words.hash) - 1, 0))] if len(words.hash) else np.zeros(0, dtype=np.uint64)
+    # a line without words has the hash of none
+    line_words = np.searchsorted(words.starts, np.append(line_starts, len(data)))
+    line_hash = runs_hash(words.hash, line_words[:-1], line_words[1:])
     repeated_lines = np.zeros(len(size))
     edges = np.searchsorted(line_starts, offsets)
     for text, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-        if b - a > 1 and len(line_hash):
+        if b - a > 1:
             repeated_lines[text] = 1 - len(np.unique(line_hash[a:b])) / (b - a)
     root = lambda share: np.arcsin(np.sqrt(np.clip(share, 0, 1)))
     columns = [

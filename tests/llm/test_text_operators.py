@@ -314,6 +314,17 @@ def test_quality_of_odd_texts(spark, docs, rows, nothing, keyless):
     assert quality.fit(nothing, labels).scores(np.ones((3, len(quality.STATISTICS)))) == pytest.approx([1, 1, 1])
 
 
+def test_repeated_lines():
+    texts = ["the cat\nthe dog\nthe end", "a b\n\nc d", "a b\nc d\na  b\na b c", "end\n\n", "\n\n\n", "", "x"]
+    place = quality.STATISTICS.index("repeated_lines")
+    vectors = quality.statistics(*scan.text_bytes(pa.array(texts)))
+    assert np.sin(vectors[:, place]) ** 2 == pytest.approx([0, 0, 1 / 4, 0, 2 / 3, 0, 0])
+    for text, vector in zip(texts, vectors):
+        for others in ([], ["end of another"], ["x\n", "", "\n"]):
+            found = quality.statistics(*scan.text_bytes(pa.array([text, *others])))
+            assert found[0].tolist() == vector.tolist()
+
+
 def test_distances_are_those_of_the_covariances():
     random_ = np.random.default_rng(4)
     width = len(quality.STATISTICS)
