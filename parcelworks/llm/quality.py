@@ -4,24 +4,27 @@ Each whole text gives a vector of transformed statistics (shares of kinds of cha
 of words and lines, repetition). Per class the labelled vectors' mean and covariance are summed up
 where they lie; only the sums come together. Covariances shrink towards the pooled one and towards
 its mean variance, and their Cholesky factors are kept. A score is the logistic of the difference
-of the classes' log densities, from the Mahalanobis distances, and log priors, over the number of
-statistics, as the statistics are far from independent.
+of the classes' log densities, from the Mahalanobis distances, and log priors, times a scale. As the
+statistics are far from independent, the scale is at most 1, and the likeliest by all labelled rows.
 """
 
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
+from parcelworks.llm.ordering import new_folder
 from parcelworks.llm.scan import Words, runs_hash, slices, text_bytes
 
 THRESHOLD = 0.7
 SHRINK_TO_POOLED = 0.2
 SHRINK_TO_SPHERE = 0.05
+#: scales of the log odds to choose from
+SCALES = np.geomspace(1 / 1024, 1, 200)
 STATISTICS = (
     "log_chars", "upper", "digit", "symbol", "punctuation", "space", "other_byte", "word_length",
     "word_length_spread", "log_line_words", "one_kind_words", "stops", "repeated_words", "repeated_lines",
@@ -94,21 +97,24 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Means, Cholesky factors, log determinants and log priors of the classes 0 and 1."""
+    """Means, Cholesky factors, log determinants and log priors of the classes 0 and 1; scale of the log odds."""
 
     means: np.ndarray
     factors: np.ndarray
     log_dets: np.ndarray
     log_priors: np.ndarray
+    scale: float = 1.0
 
-    def scores(self, vectors: np.ndarray) -> np.ndarray:
+    def log_odds(self, vectors: np.ndarray) -> np.ndarray:
         density = []
         for mean, factor, log_det, prior in zip(self.means, self.factors, self.log_dets, self.log_priors):
             # the factors' inverses are cached, so a distance is one product
             white = (vectors - mean) @ factor
             density.append(prior - 0.5 * (log_det + (white**2).sum(axis=1)))
-        gap = np.clip((density[1] - density[0]) / vectors.shape[1], -50, 50)
-        return 1 / (1 + np.exp(-gap))
+        return density[1] - density[0]
+
+    def scores(self, vectors: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * self.log_odds(vectors), -50, 50)))
 
 
 def _statistic_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,17 +144,47 @@ def _class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _losses(model: Model) -> Callable:
+    """Per scale the sum of a task's losses, the negative log likelihoods of its labels."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        losses = np.zeros(len(SCALES))
+        for batch in batches:
+            if not len(batch):
+                continue
+            odds = model.log_odds(np.array(batch.column("vector").to_pylist()))
+            against = np.where(batch.column("label").to_numpy(zero_copy_only=False) == 1, -odds, odds)
+            losses += [np.logaddexp(0, scale * against).sum() for scale in SCALES]
+        yield pa.RecordBatch.from_arrays([pa.array([losses.tolist()], pa.list_(pa.float64()))], ["losses"])
+
+    return rows
+
+
+def scaled(model: Model, known: DataFrame) -> Model:
+    """The model with the likeliest scale by all rows of (vector, label); only sums come to the driver."""
+    sums = known.mapInArrow(_losses(model), "losses array<double>")
+    losses = np.zeros(len(SCALES))
+    for row in sums.selectExpr("posexplode(losses) AS (place, loss)").groupBy("place").agg(F.sum("loss").alias("loss")).collect():
+        losses[row["place"]] = row["loss"]
+    return replace(model, scale=float(SCALES[np.argmin(losses)]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> Model:
-    """The model of all labelled documents; of their statistics two matrices come to the driver.
+    """The model of all labelled documents; of their statistics two matrices and the losses by scale come to the driver.
 
     Labels other than 0 and 1, null ones, and documents that are not labelled are left out. A
-    class without documents has the other's mean and covariance, and a prior as of one document.
+    class without documents has the other's mean and covariance, a prior as of one document, and
+    leaves the scale at 1.
     Without any labelled document every text is accepted with a score of 1.
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     vectors = narrow.mapInArrow(_statistic_rows, "doc_id long, vector array<double>")
     marks = labels.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(label)).cast("int").alias("label"))
     known = vectors.join(marks.filter("label IN (0, 1)"), "doc_id").select("vector", "label")
+    # read twice, so kept; as large as the labelled rows times the statistics
+    folder = new_folder(docs.sparkSession, "quality-vectors")
+    known.write.parquet(folder)
+    known = docs.sparkSession.read.schema("vector array<double>, label int").parquet(folder)
     size = len(STATISTICS) + 1
     sums = known.mapInArrow(_class_sums, "label int, moments array<double>")
     total = (
@@ -157,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     moments = np.zeros((2, size * size))
     for row in total.collect():
         moments[row["label"], row["place"]] = row["value"]
-    return model_of(moments.reshape(2, size, size))
+    model = model_of(moments.reshape(2, size, size))
+    return scaled(model, known) if moments[:, 0].all() else model
 
 
 def model_of(moments: np.ndarray, to_pooled: float = SHRINK_TO_POOLED, to_sphere: float = SHRINK_TO_SPHERE) -> Model:

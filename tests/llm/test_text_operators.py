@@ -314,6 +314,37 @@ def test_quality_of_odd_texts(spark, docs, rows, nothing, keyless):
     assert quality.fit(nothing, labels).scores(np.ones((3, len(quality.STATISTICS)))) == pytest.approx([1, 1, 1])
 
 
+def test_recall_of_good_documents_by_length(spark):
+    folder = "/root/testdata/sf0.01"
+    found = by_key(queries.op4_quality(spark, folder).filter("held_out"), "doc_id", "predicted")
+    good = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1").select("doc_id")
+    sizes = spark.read.parquet(f"{folder}/documents.parquet").join(good, "doc_id").selectExpr("doc_id", "char_length(text) AS size")
+    taken = [found[row.doc_id][0] for row in sizes.orderBy("size").collect() if row.doc_id in found]
+    assert len(taken) > 50 and all(np.mean(some) > 0.95 for some in np.array_split(taken, 4))
+
+
+def test_scores_are_as_sure_as_the_labels_allow(spark):
+    """Classes that overlap: independent statistics keep their odds, and copies of one share them."""
+    random_ = np.random.default_rng(12)
+    width = len(quality.STATISTICS)
+    labels = np.arange(2000) % 2
+    alone = random_.normal(labels[:, None], 1, (2000, width))
+    copies = np.repeat(random_.normal(2 * labels[:, None], 1, (2000, 1)), width, axis=1) + random_.normal(0, 0.1, (2000, width))
+    scales = []
+    for vectors in (alone, copies):
+        ones = np.hstack([np.ones((2000, 1)), vectors])
+        model = quality.model_of(np.stack([ones[labels == c].T @ ones[labels == c] for c in (0, 1)]))
+        known = spark.createDataFrame(list(zip(vectors.tolist(), labels.tolist())), "vector array<double>, label int")
+        model = quality.scaled(model, known)
+        scores = model.scores(vectors)
+        scales.append(model.scale)
+        sure = scores >= 0.7
+        assert np.mean(labels[sure]) == pytest.approx(np.mean(scores[sure]), abs=0.03)
+        # at best 0.98 and 0.72
+        assert np.mean(sure[labels == 1]) > (0.95, 0.65)[len(scales) - 1]
+    assert scales[0] > 0.8
+
+
 def test_repeated_lines():
     texts = ["the cat\nthe dog\nthe end", "a b\n\nc d", "a b\nc d\na  b\na b c", "end\n\n", "\n\n\n", "", "x"]
     place = quality.STATISTICS.index("repeated_lines")
