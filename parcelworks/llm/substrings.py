@@ -1,15 +1,13 @@
-"""Repeated passages of thirteen words by prefix-partitioned suffix trees.
+"""Repeated passages of thirteen words by digests of windows, partitioned by prefixes.
 
-The suffixes are the runs of words from each word of each document to its end. A suffix's subtree
-is named by a prefix of its words: one word, or two, four or all thirteen where a shorter prefix
+No suffix trees are built: a 64-bit digest of a suffix's first thirteen words, its window, stands
+for the suffix, and equal digests are taken for equal windows. A suffix's group is named by a prefix of its words: one word, or two, four or all thirteen where a shorter prefix
 begins too many suffixes for one task. Counts of prefixes, in 65,536 classes a depth, are all
 that comes to the driver; from them each class of prefixes gets its group of suffixes.
 
-A task holds one group. In its tree, cut off at the depth of thirteen words, suffixes in the order
-of the digests of their paths lie side by side where they share a path, so each run of equal
-digests is an internal node at that depth: a repeat, and its leaves are the occurrences. A leaf
-whose document is not the node's smallest begins a window that is to go. Deeper nodes lie below
-and add no leaf, so they are not made.
+A task holds one group and sorts its digests. Each run of equal ones is a repeat, a "node", and its
+places, the "leaves", are the occurrences. A leaf whose document is not the node's smallest begins
+a window that is to go. Longer repeats add no such window, so maximal repeats are not made.
 
 A window that alone fills a group, such as a notice in a third of all documents, would not fit a
 task however deep its prefix. Those few are found by counting (combined on the map side), and with
