@@ -162,11 +162,15 @@ def _free_rows(items: list[tuple[int, str]], error_share: float) -> Callable:
     return rows
 
 
-def blocks_of(benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of items in the order of their keys; items without a key or without letters are left out."""
+def blocks_of(
+    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS, keyless: bool = False
+) -> Iterator[list[tuple[int | None, str]]]:
+    """Blocks of items in the order of their keys; items without letters, or a key if not ``keyless``, are left out."""
     named = benchmark.select(F.col(quoted(key)).cast("long").alias("key"), F.col(quoted(text)).alias("text"))
     block = []
-    for row in named.filter("key IS NOT NULL AND text IS NOT NULL").orderBy("key", "text").toLocalIterator():
+    if not keyless:
+        named = named.filter("key IS NOT NULL")
+    for row in named.filter("text IS NOT NULL").orderBy("key", "text").toLocalIterator():
         item = normalised(row["text"])
         if item:
             block.append((row["key"], item))
@@ -185,7 +189,8 @@ def find_items(
     ``distance`` is that of the best occurrence found and ``end`` its end in the text with case
     and white space made alike. Null and empty texts hold nothing; documents without a key are
     reported without one; equal documents are reported each. Without documents or items there
-    are no rows. Columns other than key and text are not read.
+    are no rows. Items without a key cannot be reported. Columns other than key and text are not
+    read.
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     schema = "doc_id long, item_id long, distance long, end long, item_chars long"
@@ -194,9 +199,9 @@ def find_items(
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", error_share: float = ERROR_SHARE) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
+    """The documents that hold no item, with a key or without, with all their columns."""
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
-    for block in blocks_of(benchmark):
+    for block in blocks_of(benchmark, keyless=True):
         given = docs.select("*", F.col(quoted(text)).alias("_text"))
         docs = given.mapInArrow(_free_rows(block, error_share), fields)
     return docs

@@ -192,6 +192,13 @@ def test_decontamination(spark, nothing, keyless):
     assert decontaminate.find_items(keyless, benchmark).count() == 0
 
 
+def test_items_without_a_key_are_kept_out(spark):
+    passages = [" ".join(f"{letter}{n}" for n in range(30)) for letter in "abc"]
+    docs = spark.createDataFrame(list(enumerate(f"x {p} y" for p in passages)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (None, None)], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.without_items(docs, benchmark).collect()] == [2]
+
+
 # ---- 3 personal data ------------------------------------------------------------------------
 
 
