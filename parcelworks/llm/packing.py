@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
 from parcelworks.llm.ordering import cuts, new_folder, part_of, partitions
-from parcelworks.llm.scan import batch_of, slices, text_list
+from parcelworks.llm.scan import batch_of, slices
 from parcelworks.llm.tokens import encoder
 
 LONGEST = 4096
@@ -35,12 +35,13 @@ def _piece_rows(vocabulary: str, longest: int) -> Callable:
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary).encode_all
         for batch in batches:
             for part in slices(batch):
                 out = []
-                for doc, text in zip(part.column("doc_id").to_pylist(), text_list(part.column("text"))):
-                    ids, start = memoryview(encode(text) + end), 0
+                encoded = encode(part.column("text"))
+                for doc, own in zip(part.column("doc_id").to_pylist(), encoded):
+                    ids, start = memoryview(own + end), 0
                     for length in lengths_of(len(ids) // 4, longest):
                         crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                         out.append((doc, start, length, crc, len(ids) // 4))

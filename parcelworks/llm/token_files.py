@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelworks.functions.logic import quoted
 from parcelworks.llm import ans
 from parcelworks.llm.ordering import cuts, part_of, partitions
-from parcelworks.llm.scan import batch_of, slices, text_list
+from parcelworks.llm.scan import batch_of, slices
 from parcelworks.llm.tokens import encoder
 
 END_ID = 2
@@ -27,7 +27,7 @@ def _segment_rows(vocabulary: str, segment_ids: int) -> Callable:
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary).encode_all
         keys, lengths, flags, parts, held = [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -41,8 +41,9 @@ def _segment_rows(vocabulary: str, segment_ids: int) -> Callable:
 
         for batch in batches:
             for part in slices(batch):
-                for key, text in zip(part.column("key").to_pylist(), text_list(part.column("text"))):
-                    ids, at, flag = encode(text) + end, 0, 0 if key is not None else 2
+                encoded = encode(part.column("text"))
+                for key, ids in zip(part.column("key").to_pylist(), encoded):
+                    ids, at, flag = ids + end, 0, 0 if key is not None else 2
                     while at < len(ids):
                         piece = ids[at : at + 4 * (segment_ids - held)]
                         keys.append(key or 0)
