@@ -4,14 +4,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelworks.llm import (
+    align,
     archive,
     decontaminate,
     fingerprint,
+    hard_negatives,
     lines,
     near_copies,
     packing,
     pii,
     quality,
+    simhash,
     substrings,
     token_files,
 )
@@ -78,6 +81,22 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.selectExpr("doc_id", "n_lines", "n_removed", "sha2(kept_text, 256) AS kept_sha256")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte, piece = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align_documents(_table(spark, sf_dir, "documents"), byte, piece)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "embedding", "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label"
+    )
+    return hard_negatives.mine(table, "vec_id % 100 = 0")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +108,9 @@ QUERIES = {
     "op8_archive": op8_archive,
     "op9_token_files": op9_token_files,
     "op10_lines": op10_lines,
+    "op11_simhash": op11_simhash,
+    "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE: dict[str, str] = {"op10_lines": lines.ORACLE}
+ORACLE: dict[str, str] = {"op10_lines": lines.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
