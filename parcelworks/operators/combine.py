@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelworks import fixed
 from parcelworks.functions.logic import literal, percent, quoted
 from parcelworks.operators.checks import check_rows
-from parcelworks.sources.manifest import version_of
+from parcelworks.sources.manifest import file_name, month_of, version_of
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -57,6 +57,25 @@ def source_manifest(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def file_manifest(counted: DataFrame, read: DataFrame, dataset: str) -> DataFrame:
+    """``source_manifest`` with ``rows_read`` counted in the files themselves, not in what was read of them.
+
+    ``counted`` has (path, rows) for every file, ``read`` the rows that were read; a file of which
+    none was read is listed too.
+    """
+    name = file_name("path")
+    files = counted.selectExpr(f"{name} AS source_file", f"{month_of(name)} AS source_month", "rows AS rows_read")
+    kept = source_manifest(read, dataset).select("source_file", "residential_rows")
+    return files.join(kept, "source_file", "left").selectExpr(
+        f"{literal(dataset)} AS dataset",
+        "source_month",
+        "source_file",
+        f"{version_of('source_file')} AS source_version",
+        "rows_read",
+        "coalesce(residential_rows, 0L) AS residential_rows",
+    )
+
+
 def aggregation_summary(manifest: DataFrame, combined: DataFrame, kept: DataFrame, dataset: str) -> DataFrame:
     """Months, files and row totals of a dataset: files by the manifest, tables by their own rows.
 

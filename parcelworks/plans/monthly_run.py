@@ -1,16 +1,18 @@
 """The whole batch run: monthly files in, stored stage tables and reports out."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import coerce, coercion_audit
 from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
 from parcelworks.plans import stages
-from parcelworks.sources.csv_files import read_monthly
+from parcelworks.sources import versions
+from parcelworks.sources.csv_files import monthly_paths, read_files
 from parcelworks.sources.rates import observations, weekly_rates
 from parcelworks.sources.sinks import publishable, write_table
+from parcelworks.sources.split_csv import records_per_file
 
 ARRIVAL = ["SourceFile", "row_hash"]
 
@@ -37,7 +39,9 @@ def run(
     Three full-width tables are stored per dataset at most, below ``out``: the combined files, the
     typed records and, for sales, the flagged ones. What only filters them or adds columns
     (``..._clean``, ``sold_engineered``) is returned without being stored. Reports are stored.
-    Gates are enforced between the stages; a failed one ends the run. ``slicers`` restrict the five
+    Published events and their extract are versions below ``out/published``: a run over files of
+    which one month has changed writes that month alone, and readers keep the version before until
+    all gates have passed. Gates are enforced between the stages; a failed one ends the run. ``slicers`` restrict the five
     measures; ``date_formats`` may have times of day; ``multi_line`` is for files whose quoted
     cells hold line breaks.
     """
@@ -56,15 +60,15 @@ def run(
         "listings": (listing_prefix, False, "ListingContractDate", stages.typed_listings, clean.listing_rules(**boxed)),
     }
     for name, (prefix, prefer_filled, date_column, typed, rules) in sources.items():
-        files = read_monthly(spark, folder, prefix, prefer_filled, first_month, multi_line)
+        paths = monthly_paths(spark, folder, prefix, prefer_filled, first_month)
+        files = read_files(spark, paths, multi_line)
         copies = duplicates.audit_files(files, name)
         if copies is not None:
             copies = keep(f"{name}_duplicate_columns", copies)
             keep(f"{name}_duplicate_totals", duplicates.audit_totals(copies))
-        # counted from the files, one by one, and held against the table made of them
-        read = [combine.source_manifest(frame.select("PropertyType", "SourceMonth", "SourceFile"), name) for frame in files]
-        manifest = keep(f"{name}_manifest", combine.union_by_name(read))
         combined = keep(f"{name}_combined", duplicates.merged_files(files))
+        # records are counted in the files, by their quotes and line ends, and held against the table made of them
+        manifest = keep(f"{name}_manifest", combine.file_manifest(records_per_file(spark, paths), combined, name))
         keep(f"{name}_categories", combine.category_distribution(combined, name))
         residential = combine.keep_category(combined, value=category)
         keep(f"{name}_aggregation", combine.aggregation_summary(manifest, combined, residential, name))
@@ -140,10 +144,31 @@ def run(
         "publication_audit",
         market.publication_audit(events.dedupe_counts(found), published, summary, sales, ratio_bounds),
     )
-    keep("market_extract", publishable(published))
+    extract = keep("market_extract", publishable(published))
+    publish_events(spark, published, extract, f"{out}/published", keep)
     return tables
 
 
+def publish_events(spark: SparkSession, events_table: DataFrame, extract: DataFrame, root: str, keep: Callable) -> None:
+    """Publish events and extract as versions, and report which events the version before did not have.
+
+    Only months whose rows have changed are written, and only they are compared with the version
+    before, by identity; events without one count as new whenever their month has changed.
+    """
+    known = versions.versions(spark, f"{root}/market_events")
+    number = versions.publish(events_table, f"{root}/market_events", "YrMo")
+    versions.publish(extract, f"{root}/market_extract", "YrMo")
+    changed = [
+        row["month"] for row in versions.manifest(spark, f"{root}/market_events", number).filter(f"version = {number}").collect()
+    ]
+    if known and number == known[-1]:
+        changed = []
+    fresh = versions.read_version(spark, f"{root}/market_events", number, changed)
+    if known:
+        fresh = events.not_yet_published(fresh, versions.read_version(spark, f"{root}/market_events", known[-1], changed))
+    keep("newly_published", fresh.groupBy("YrMo", "SourceDataset").agg(F.expr("count(*) AS new_events")))
+
+
 def with_row_hash(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Adds a hash of the row, the last tie-breaker among rows of one file."""
     return df.selectExpr("*", f"xxhash64({', '.join(f'`{name}`' for name in columns or df.columns)}) AS row_hash")

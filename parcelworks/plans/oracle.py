@@ -899,6 +899,7 @@ ORACLE: dict[str, str] = {
         FROM all_events GROUP BY 1""",
     ),
     "market_events": _over("events", f"SELECT {EVENT_LIST} FROM events_kept"),
+    "republished_events": _over("events", f"SELECT {EVENT_LIST} FROM events_kept"),
     "competitive_sales": _over("events", f"SELECT {SALE_LIST} FROM sales"),
     "publish_extract": _over("events", f"SELECT {PUBLISHED_LIST} FROM events_kept"),
     "monthly_summary": _over(
@@ -1022,7 +1023,8 @@ ORACLE: dict[str, str] = {
                     "market sales equal competitive sales",
                     f"SELECT count(*) FROM (SELECT 1 FROM kept QUALIFY row_number() OVER "
                     f"(PARTITION BY {SALE_ID} ORDER BY {TIES}) = 1)",
-                    f"SELECT count(DISTINCT {SALE_ID}) FROM kept",
+                    # a missing identity is one identity, so it counts once
+                    f"SELECT count(*) FROM (SELECT DISTINCT {SALE_ID} FROM kept)",
                 ),
             ]
         ),

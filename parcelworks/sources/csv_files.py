@@ -14,6 +14,7 @@ from parcelworks.functions.casts import null_tokens, strict
 from parcelworks.functions.logic import quoted
 from parcelworks.operators.checks import require_header
 from parcelworks.sources.manifest import file_name, listed_files, missing_months, month_of, select_files
+from parcelworks.sources.split_csv import read_split
 
 # quoted fields may hold commas, doubled quotes and line breaks
 OPEN_COST = "spark.sql.files.openCostInBytes"
@@ -88,8 +89,8 @@ def text_schema(names: Sequence[str]) -> str:
 def read_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> list[DataFrame]:
     """A DataFrame of text columns per distinct header, with lineage columns.
 
-    ``SourceFile`` is the file's name and ``SourceMonth`` the month in it. A file whose quoted
-    cells hold line breaks needs ``multi_line`` and is then one task; without it files are split.
+    ``SourceFile`` is the file's name and ``SourceMonth`` the month in it. Quoted cells may hold line
+    breaks with ``multi_line``, for which files are gone through twice; they are split either way.
     """
     if not paths:
         raise ValueError("no files to read")
@@ -105,9 +106,11 @@ def read_csv(spark: SparkSession, paths: Sequence[str], multi_line: bool = True)
 
 
 def _read_alike(spark: SparkSession, names: Sequence[str], paths: Sequence[str], multi_line: bool) -> DataFrame:
-    dialect = {**DIALECT, "multiLine": multi_line}
-    frame = spark.read.options(**dialect).schema(text_schema(names)).csv(list(paths))
-    name = file_name("_metadata.file_path")
+    frame, name = read_split(spark, names, paths, DIALECT) if multi_line else None, file_name("path")
+    if frame is None:
+        # without line breaks in cells; or with so many open ranges that each file is one task
+        frame = spark.read.options(**{**DIALECT, "multiLine": multi_line}).schema(text_schema(names)).csv(list(paths))
+        name = file_name("_metadata.file_path")
     return frame.selectExpr(
         *[f"{null_tokens(quoted(column))} AS {quoted(column)}" for column in names],
         f"{month_of(name)} AS SourceMonth",
@@ -115,6 +118,20 @@ def _read_alike(spark: SparkSession, names: Sequence[str], paths: Sequence[str],
     )
 
 
+def monthly_paths(
+    spark: SparkSession, folder: str, prefix: str, prefer_filled: bool, first_month: str = fixed.FIRST_MONTH
+) -> list[str]:
+    """The selected monthly files of a folder, by month; a month without a file is an error."""
+    paths = listed_files(spark, folder, prefix)
+    gaps = sorted(row.source_month for row in missing_months(paths, first_month).collect())
+    if gaps:
+        raise ValueError(f"{prefix} is missing monthly files: {', '.join(gaps)}")
+    chosen = select_files(paths, prefer_filled, first_month).orderBy("source_month").collect()
+    if not chosen:
+        raise FileNotFoundError(f"no monthly files found for prefix {prefix}")
+    return [row.path for row in chosen]
+
+
 def read_monthly(
     spark: SparkSession,
     folder: str,
@@ -123,15 +140,8 @@ def read_monthly(
     first_month: str = fixed.FIRST_MONTH,
     multi_line: bool = True,
 ) -> list[DataFrame]:
-    """``read_files`` of the selected monthly files of a folder; a month without a file is an error."""
-    paths = listed_files(spark, folder, prefix)
-    gaps = sorted(row.source_month for row in missing_months(paths, first_month).collect())
-    if gaps:
-        raise ValueError(f"{prefix} is missing monthly files: {', '.join(gaps)}")
-    chosen = select_files(paths, prefer_filled, first_month).orderBy("source_month").collect()
-    if not chosen:
-        raise FileNotFoundError(f"no monthly files found for prefix {prefix}")
-    return read_files(spark, [row.path for row in chosen], multi_line)
+    """``read_files`` of the ``monthly_paths`` of a folder."""
+    return read_files(spark, monthly_paths(spark, folder, prefix, prefer_filled, first_month), multi_line)
 
 
 def read_strict(spark: SparkSession, path: str, schema: dict[str, str]) -> DataFrame:

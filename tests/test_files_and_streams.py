@@ -7,7 +7,7 @@ import pytest
 
 from parcelworks.operators import checks, duplicates, enrich, events
 from parcelworks.plans import monthly_run
-from parcelworks.sources import csv_files
+from parcelworks.sources import csv_files, versions
 from parcelworks.streaming import jobs
 
 SOLD_HEADER = (
@@ -155,6 +155,38 @@ def test_batch_run(spark, folder, tmp_path):
     assert counties == {"North": 25, None: 29}
 
 
+def test_a_redelivered_month_is_all_that_is_published_again(spark, tmp_path):
+    root, stored = str(tmp_path), {}
+
+    def published(*rows):
+        table = spark.createDataFrame(rows, "EventId string, SourceDataset string, YrMo string, ClosePrice double")
+        monthly_run.publish_events(spark, table, table.drop("EventId"), root, stored.__setitem__)
+        latest = versions.read_version(spark, f"{root}/market_events")
+        assert sorted(map(repr, latest.select(*table.columns).collect())) == sorted(map(repr, table.collect()))
+        return sorted((r.YrMo, r.new_events) for r in stored["newly_published"].collect())
+
+    first = [("a", "sold", "2024-01", 1.0), ("b", "sold", "2024-02", 2.0), (None, "sold", "2024-02", 3.0)]
+    assert published(*first) == [("2024-01", 1), ("2024-02", 2)]
+    assert published(*first[::-1]) == [] and versions.versions(spark, f"{root}/market_events") == [0]
+    # b is the same event at another price; the event without identity counts again with its month
+    assert published(first[0], ("b", "sold", "2024-02", 2.5), first[2], ("c", "sold", "2024-02", 4.0)) == [("2024-02", 2)]
+    written = {r.month: r.version for r in versions.manifest(spark, f"{root}/market_events", 1).collect()}
+    assert written == {"2024-01": 0, "2024-02": 1}
+
+
+def test_a_lost_row_is_seen_by_the_run(spark, folder, tmp_path, monkeypatch):
+    """Records are counted apart from the table, so a reader that drops one fails the gate."""
+    monkeypatch.setattr(
+        monthly_run, "read_files", lambda *given: [f.filter("NOT ListingKey <=> '1-3'") for f in csv_files.read_files(*given)]
+    )
+    with pytest.raises(checks.CheckFailed, match="sold combined rows equal the files' rows: observed 57, expected 58"):
+        monthly_run.run(spark, folder, f"{folder}/rates.csv", str(tmp_path / "out"))
+    manifest = spark.read.parquet(str(tmp_path / "out/sold_manifest"))
+    totals = spark.read.parquet(str(tmp_path / "out/sold_aggregation")).first()
+    assert manifest.filter("source_month = '202401'").first().rows_read == 24
+    assert (totals.rows_before_concat, totals.rows_after_concat) == (58, 57)
+
+
 def test_stream_lands_what_the_batch_reads(spark, tmp_path):
     """Headers in another order, repeated headers, and a filled file after the raw one of its month."""
     files, to = tmp_path / "in", str(tmp_path / "t")

@@ -22,6 +22,16 @@ def test_query_agrees_with_sql(spark, connection, name):
     assert differences(catalog.QUERIES[name](spark, FOLDER), connection, oracle.ORACLE[name]) == []
 
 
+#: keys whose odd cases (missing keys among kept sales) do not occur at the smallest scale
+LARGER = ["reconciliation", "dedupe_counts", "publication_audit"]
+
+
+@pytest.mark.parametrize("name", LARGER)
+def test_query_agrees_with_sql_where_odd_cases_occur(spark, name):
+    folder = "/root/testdata/sf0.01"
+    assert differences(catalog.QUERIES[name](spark, folder), database(folder), oracle.ORACLE[name]) == []
+
+
 def test_every_query_has_sql():
     assert set(catalog.QUERIES) == set(oracle.ORACLE)
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
