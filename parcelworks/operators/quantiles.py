@@ -57,27 +57,74 @@ def _with_bits(values: str, keys: str) -> str:
             FROM (SELECT {keys}, value, rows, abs(value) AS far FROM {values}))))"""
 
 
+def bins_of(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., field, bin, rows, least, most): how often values have each setting of their upper 22 bits.
+
+    Bins of several tables add up to those of their union, see ``added``. Missing values have a
+    null bin.
+    """
+    keys = ", ".join(quoted(name) for name in [*by, "field"])
+    return values.sparkSession.sql(
+        f"""SELECT {keys}, shiftright(bits, {SHIFTS[0]}) AS bin, sum(rows) AS rows, min(value) AS least, max(value) AS most
+        FROM ({_with_bits('{values}', keys)}) GROUP BY ALL""",
+        values=values,
+    )
+
+
+def added(bins: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``bins_of`` by fewer columns, from those by more."""
+    keys = ", ".join(quoted(name) for name in [*by, "field"])
+    return bins.sparkSession.sql(
+        f"SELECT {keys}, bin, sum(rows) AS rows, min(least) AS least, max(most) AS most FROM {{bins}} GROUP BY ALL", bins=bins
+    )
+
+
+def holding(bins: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., field, least, most) of the bins that hold a wanted rank: a few per group and field."""
+    keys = ", ".join(quoted(name) for name in [*by, "field"])
+    parts = [
+        f"sized AS (SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n FROM {{bins}})",
+        f"counted AS (SELECT *, array_distinct(array({_ranks(probabilities)})) AS ranks, 0L AS before FROM sized)",
+        _holding_ranks("located", "counted", keys, keys),
+    ]
+    query = f"WITH {', '.join(parts)} SELECT {keys}, l.least, b.most FROM located l JOIN {{bins}} b USING ({keys}, bin)"
+    if by:
+        same = " AND ".join(f"l.{quoted(name)} <=> b.{quoted(name)}" for name in [*by, "field", "bin"])
+        chosen = ", ".join(f"l.{quoted(name)}" for name in [*by, "field"])
+        query = f"WITH {', '.join(parts)} SELECT {chosen}, l.least, b.most FROM located l JOIN {{bins}} b ON {same}"
+    return bins.sparkSession.sql(query, bins=bins)
+
+
+def _ranks(probabilities: Mapping[str, float]) -> str:
+    return ", ".join(f"bigint({use}({p!r}D * (n - 1)))" for p in probabilities.values() for use in ("floor", "ceil"))
+
+
 def quantiles(
-    values: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = (), broadcast: bool | None = None
+    values: DataFrame,
+    probabilities: Mapping[str, float],
+    by: Sequence[str] = (),
+    broadcast: bool | None = None,
+    bins: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (by..., field) with ``n`` non-missing rows and a column per probability.
 
     ``values`` has (by..., field, value, rows), ``rows`` being how often the value counts; it may
     hold a value many times. Groups without any non-missing value do not appear. ``broadcast``
     says that the groups are few enough for their located bins to be broadcast; without groups
-    they are a few rows per field.
+    they are a few rows per field. ``bins`` are the ``bins_of`` the values, if they are known; then
+    ``values`` need hold no more than those of the bins with a wanted rank.
     """
     names = [*by, "field"]
     keys = ", ".join(quoted(name) for name in names)
-    ranks = ", ".join(
-        f"bigint({use}({p!r}D * (n - 1)))" for p in probabilities.values() for use in ("floor", "ceil")
-    )
+    ranks = _ranks(probabilities)
     hint = "/*+ BROADCAST(l) */" if broadcast or not by else ""
     parts = [
         f"bits AS ({_with_bits('{values}', keys)})",
         f"""binned AS (
           SELECT {keys}, shiftright(bits, {SHIFTS[0]}) AS bin, sum(rows) AS rows, min(value) AS least
-          FROM bits GROUP BY ALL)""",
+          FROM bits GROUP BY ALL)"""
+        if bins is None
+        else f"binned AS (SELECT {keys}, bin, rows, least FROM {{bins}})",
         f"""sized AS (
           SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n FROM binned)""",
         f"counted AS (SELECT *, array_distinct(array({ranks})) AS ranks, 0L AS before FROM sized)",
@@ -105,7 +152,8 @@ def quantiles(
           FROM exploded GROUP BY ALL)""",
     ]
     query = f"WITH {', '.join(parts)} SELECT {keys}, n, {results} FROM at_ranks"
-    return values.sparkSession.sql(query, values=values)
+    given = {"values": values} if bins is None else {"values": values, "bins": bins}
+    return values.sparkSession.sql(query, **given)
 
 
 def few_groups(df: DataFrame, by: Sequence[str], limit: int = GROUPS_TO_BROADCAST) -> bool:

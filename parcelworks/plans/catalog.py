@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coercion_audit, parse_date, parse_number, strict
 from parcelworks.functions.logic import quoted, with_exprs
-from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
+from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile, rank_index
 from parcelworks.plans import stages
 from parcelworks.sources import manifest, rates, sinks, versions, warehouse
 from parcelworks.sources.split_csv import records_per_file
 from parcelworks.sources.staging import new_folder, staged
-from parcelworks.streaming import jobs
+from parcelworks.streaming import firsts, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -661,6 +661,26 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return _landed(jobs.deduped(named, ["EventId"]), "dedupe")
 
 
+def stream_first_events(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["ListingKey", "CloseDate", "ClosePrice", "SourceMonth", *TIES]
+    named = with_exprs(_arriving_sales(spark, folder, *columns), {"EventId": SALE_ID}).select(
+        "EventId", "ClosePrice", "SourceMonth", *[name for name in TIES if name not in ("EventId", "ClosePrice", "SourceMonth")]
+    )
+    path = new_folder(spark, "firsts")
+    order = stages.arrival_order(TIES)
+    firsts.land_first(named, f"{path}/table", f"{path}/checkpoint", ["EventId"], order).awaitTermination()
+    return firsts.landed_first(spark, f"{path}/table", named.schema, ["EventId"]).select("EventId", "ClosePrice")
+
+
+def indexed_quartiles(spark: SparkSession, folder: str) -> DataFrame:
+    sales = residential_sold(spark, folder, "SourceMonth", *fixed.OUTLIER_FIELDS)
+    path = new_folder(spark, "rank-index")
+    rank_index.index_months(sales, path, fixed.OUTLIER_FIELDS, "SourceMonth")
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    index = rank_index.stored_index(spark, path)
+    return rank_index.indexed_quantiles(index, sales, fixed.OUTLIER_FIELDS, quartiles, "SourceMonth").select("field", "n", *quartiles)
+
+
 def stream_flags(spark: SparkSession, folder: str) -> DataFrame:
     bounds = outliers.as_bounds(
         outliers.bounds_table(residential_sold(spark, folder, *fixed.OUTLIER_FIELDS))
@@ -735,6 +755,7 @@ QUERIES: dict[str, Query] = {
     "ratio_quality": ratio_quality,
     "event_id": event_id,
     "event_dedupe": event_dedupe,
+    "indexed_quartiles": indexed_quartiles,
     "dedupe_counts": dedupe_counts,
     "market_events": market_events,
     "republished_events": republished_events,
@@ -753,6 +774,7 @@ QUERIES: dict[str, Query] = {
     "reconciliation": reconciliation,
     "stream_ingest": stream_ingest,
     "stream_dedupe": stream_dedupe,
+    "stream_first_events": stream_first_events,
     "stream_flags": stream_flags,
     "stream_monthly_summary": stream_monthly_summary,
 }

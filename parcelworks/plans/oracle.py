@@ -1062,3 +1062,13 @@ ORACLE: dict[str, str] = {
           FROM res_sold GROUP BY 1)""",
     ),
 }
+
+ORACLE["stream_first_events"] = ORACLE["event_dedupe"]
+ORACLE["indexed_quartiles"] = _over(
+    "sold",
+    " UNION ALL ".join(
+        f"""SELECT '{field}' AS field, CAST(count("{field}") AS BIGINT) AS n, quantile_cont("{field}", 0.25) AS q1,
+        quantile_cont("{field}", 0.5) AS median, quantile_cont("{field}", 0.75) AS q3 FROM res_sold"""
+        for field in FIELDS
+    ),
+)

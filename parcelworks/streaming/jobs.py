@@ -17,9 +17,7 @@ from parcelworks.operators.market import with_low_volume
 from parcelworks.operators.quantiles import quantiles
 from parcelworks.sources.csv_files import read_files
 from parcelworks.sources.manifest import select_files
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from parcelworks.streaming.firsts import state_on_disk
 
 
 def land_files(
@@ -76,22 +74,25 @@ def landed_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything that has arrived to a Parquet table, each row once; then stop."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    """Append everything that has arrived to a Parquet table, each row once; then stop.
+
+    State that the stream keeps is kept on disk.
+    """
+    with state_on_disk(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
 
 
 def deduped(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:
-    """One event per identity over the whole stream, as in batch.
+    """One event per identity over the whole stream, the first to arrive; see ``firsts`` for the batch's choice.
 
-    Every identity seen is kept in state, spread over the shuffle partitions. The session's state
-    store is set to the one that keeps it on disk, as it grows with the stream.
+    Every identity seen is kept in state, spread over the shuffle partitions; start the stream with
+    ``land`` or within ``state_on_disk``, as that state grows with it.
     """
-    events.sparkSession.conf.set(STATE_STORE, ROCKS_DB)
     return events.dropDuplicates(list(key))
 
 
