@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +37,11 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# the same, said so that no run of digits or letters is gone through from each of its places
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+WHOLE_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+
 Span = tuple[str, int, int]
 
 
@@ -64,24 +70,27 @@ def passes(kind: str, text: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of the email pattern, which hold no white space, in the words that hold its sign."""
+    """Matches of the email pattern, in one go: each sign has its own run of letters before it.
+
+    A match that does not begin at the first letter of that run, or right behind the last match,
+    would go on from the same sign, so it fails where that one fails.
+    """
     done, at = 0, text.find("@")
     while at >= 0:
         begin = at
-        while begin > done and not text[begin - 1].isspace():
+        while begin > done and text[begin - 1] in LOCAL:
             begin -= 1
-        end = at
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        for match in EMAIL.finditer(text[begin:end]):
-            yield begin + match.start(), begin + match.end()
-        done, at = end, text.find("@", end)
+        domain = DOMAIN.match(text, at + 1) if begin < at else None
+        if domain:
+            done = domain.end()
+            yield begin, done
+        at = text.find("@", at + 1)
 
 
 def base_spans(text: str) -> list[Span]:
     """Leftmost, non-overlapping matches of each kind that pass its checks, by kind and start."""
     found = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
-    for kind, pattern in (("ip", IP), ("card", CARD), ("phone", PHONE)):
+    for kind, pattern in (("ip", WHOLE_IP), ("card", CARD), ("phone", PHONE)):
         if kind == "phone" and "+" not in text or kind == "ip" and "." not in text:
             continue
         for match in pattern.finditer(text):
@@ -96,9 +105,17 @@ CUES = ("token", "key", "secret", "password", "api_key", "phone", "tel", "call",
 _PLAIN = re.compile(r"[^\W\d_]+[.,;:!?]*")
 
 
-@lru_cache(maxsize=100_000)
 def shape(word: str) -> str:
     """A word's shape: cue words as they are, else runs of letters and digits with their lengths."""
+    return _known_shape(word) if len(word) <= 64 else _shape(word)
+
+
+@lru_cache(maxsize=100_000)
+def _known_shape(word: str) -> str:
+    return _shape(word)
+
+
+def _shape(word: str) -> str:
     bare = word.strip("\"'()[]{}<>,;").rstrip(".:!?").lower()
     if bare in CUES:
         return f"cue {bare}"
@@ -111,18 +128,18 @@ def shape(word: str) -> str:
     if len(bare) >= 20 and re.fullmatch(r"[\w+/=-]+", bare) and len(re.findall(r"[0-9]", bare)) >= 4 and re.search(r"[a-z]", bare):
         return "long mixed"
     runs = []
-    for run in re.finditer(r"[0-9]+|[^\W\d_]+|.", bare[:40]):
+    for run in re.finditer(r"[0-9]+|[^\W\d_]+|.", bare):
         text = run[0]
         if text.isdigit():
             size = len(text)
-            runs.append("9" * size if size <= 4 else f"9<{next(n for n in (8, 12, 19, 40) if size <= n)}>")
+            runs.append("9" * size if size <= 4 else f"9<{next((n for n in (8, 12, 19, 40) if size <= n), 'more')}>")
         elif text.isalpha():
             runs.append("a")
         else:
             runs.append(text)
     if not any(run[0] == "9" for run in runs) and "@" not in runs:
         return "marks"
-    return "".join(runs)[:32]
+    return "".join(runs)
 
 
 # --- the small labelled table -------------------------------------------------------------------
@@ -406,7 +423,7 @@ def acceptable(kind: str, text: str) -> bool:
 
 
 RESULT = pa.schema(
-    [("doc_id", pa.int64()), *[(f"n_{kind}", pa.int64()) for kind in KINDS], ("base", pa.string()), ("spans", pa.string())]
+    [("doc_id", pa.int64()), *[(f"n_{kind}", pa.int64()) for kind in KINDS], ("n_spans", pa.int64()), ("base", pa.string()), ("spans", pa.string())]
 )
 
 
@@ -415,6 +432,24 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in ordered)
 
 
+def _united(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the places that spans cover, disjoint and ascending."""
+    begins, ends = [], []
+    for _, a, b in sorted(spans, key=lambda span: span[1:]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+    return begins, ends
+
+
+def _is_free(taken: tuple[list[int], list[int]], begin: int, end: int) -> bool:
+    """Whether no taken place lies between."""
+    at = bisect_right(taken[1], begin)
+    return at == len(taken[0]) or taken[0][at] >= end
+
+
 def _span_rows(field: Field) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = ShapeNumbers(field)
@@ -427,23 +462,26 @@ def _span_rows(field: Field) -> Callable:
                 for number, (key, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())):
                     base = base_spans(text or "")
                     spans = list(base)
-                    first = int(offsets[number])
-                    for kind, a, b in added.get(number, ()):
+                    taken = _united(base)
+                    at, place = int(offsets[number]), 0
+                    for kind, a, b in sorted(added.get(number, ()), key=lambda span: span[1:]):
+                        # code points up to the span, counted on from the span before
+                        place += len(raw[at:a].decode("utf-8", "replace"))
+                        at = a
                         piece = raw[a:b].decode("utf-8", "replace")
                         left, right = _trimmed(kind, piece)
-                        begin = len(raw[first:a].decode("utf-8")) + left
-                        end = begin + right - left
-                        if left < right and acceptable(kind, piece[left:right]) and all(end <= x or begin >= y for _, x, y in base):
+                        begin, end = place + left, place + right
+                        if left < right and acceptable(kind, piece[left:right]) and _is_free(taken, begin, end):
                             spans.append((kind, begin, end))
                     counts = [sum(kind == one[0] for one in base) for kind in KINDS]
-                    out.append((key, *counts, _joined(base), _joined(spans)))
+                    out.append((key, *counts, len(spans), _joined(base), _joined(spans)))
                 yield batch_of(RESULT, **dict(zip(RESULT.names, zip(*out))))
 
     return rows
 
 
 def find_personal_data(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, number of base spans of each kind, the base spans and all spans as text.
+    """Per document: key, numbers of base spans of each kind and of all spans, the base spans and all as text.
 
     A span is ``kind:start:end`` in code points, end exclusive; spans are ordered by kind, then
     start, and joined by commas. ``labelled`` is the small table to train on, with columns words
@@ -452,7 +490,7 @@ def find_personal_data(docs: DataFrame, labelled: DataFrame, key: str = "doc_id"
     """
     rows = [(n, row["words"], row["states"]) for n, row in enumerate(labelled.select("words", "states").collect())]
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_spans long, base string, spans string"
     return narrow.mapInArrow(_span_rows(fit(rows)), schema)
 
 

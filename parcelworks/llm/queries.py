@@ -36,7 +36,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"), pii.labelled_table(spark))
     return found.selectExpr(
-        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "sha2(base, 256) AS base_sha256", "spans"
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "sha2(base, 256) AS base_sha256", "spans", "n_spans"
     )
 
 
