@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
-from parcelworks.llm.scan import batch_of, slices
+from parcelworks.llm.scan import batch_of, free_name, slices
 
 ERROR_SHARE = 0.08
 BLOCK_ITEMS = 20_000
@@ -114,7 +114,7 @@ class Matcher:
                     if number not in best or distance < best[number][0]:
                         best[number] = (distance, begin + stop)
         for number, (distance, end) in sorted(best.items()):
-            yield self.items[number][0], distance, end
+            yield number, distance, end
 
 
 _matchers: dict[int, Matcher] = {}
@@ -133,43 +133,40 @@ FOUND = pa.schema([(name, pa.int64()) for name in ("doc_id", "item_id", "distanc
 
 
 def _found_rows(items: list[tuple[int, str]], error_share: float) -> Callable:
-    sizes = {key: len(text) for key, text in items}
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(items, error_share)
         for batch in batches:
             for part in slices(batch):
                 out = []
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    for item, distance, end in matcher.matches(normalised(text or "")):
-                        out.append((doc, item, distance, end, sizes[item]))
+                    for number, distance, end in matcher.matches(normalised(text or "")):
+                        key, item = items[number]
+                        out.append((doc, key, distance, end, len(item)))
                 if out:
                     yield batch_of(FOUND, **dict(zip(FOUND.names, zip(*out))))
 
     return rows
 
 
-def _free_rows(items: list[tuple[int, str]], error_share: float) -> Callable:
+def _free_rows(items: list[tuple[int | None, str]], error_share: float, text_name: str) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(items, error_share)
         for batch in batches:
-            for part in slices(batch, "_text"):
-                texts = part.column("_text").to_pylist()
+            for part in slices(batch, text_name):
+                texts = part.column(text_name).to_pylist()
                 free = [next(matcher.matches(normalised(text or "")), None) is None for text in texts]
                 kept = part.filter(pa.array(free, pa.bool_()))
-                yield kept.drop_columns(["_text"])
+                yield kept.drop_columns([text_name])
 
     return rows
 
 
 def blocks_of(
-    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS, keyless: bool = False
+    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS
 ) -> Iterator[list[tuple[int | None, str]]]:
-    """Blocks of items in the order of their keys; items without letters, or a key if not ``keyless``, are left out."""
+    """Blocks of items in the order of their keys, those without a key first; items without letters are left out."""
     named = benchmark.select(F.col(quoted(key)).cast("long").alias("key"), F.col(quoted(text)).alias("text"))
     block = []
-    if not keyless:
-        named = named.filter("key IS NOT NULL")
     for row in named.filter("text IS NOT NULL").orderBy("key", "text").toLocalIterator():
         item = normalised(row["text"])
         if item:
@@ -189,8 +186,9 @@ def find_items(
     ``distance`` is that of the best occurrence found and ``end`` its end in the text with case
     and white space made alike. Null and empty texts hold nothing; documents without a key are
     reported without one; equal documents are reported each. Without documents or items there
-    are no rows. Items without a key cannot be reported. Columns other than key and text are not
-    read.
+    are no rows. An item without a key is reported with a null one, and items with one key each for
+    themselves. An item so short that its budget is zero is found wherever it stands, in as many
+    documents as hold it. Columns other than key and text are not read.
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     schema = "doc_id long, item_id long, distance long, end long, item_chars long"
@@ -199,9 +197,14 @@ def find_items(
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", error_share: float = ERROR_SHARE) -> DataFrame:
-    """The documents that hold no item, with a key or without, with all their columns."""
+    """The documents that hold no item, with a key or without, with all their columns, whatever their names.
+
+    Null and empty texts hold nothing and stay; rows without a key and repeated rows are judged each
+    by its text, whole however long. Without items all stay, without documents there are no rows.
+    """
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
-    for block in blocks_of(benchmark, keyless=True):
-        given = docs.select("*", F.col(quoted(text)).alias("_text"))
-        docs = given.mapInArrow(_free_rows(block, error_share), fields)
+    given_text = free_name(docs.columns, "given_text")
+    for block in blocks_of(benchmark):
+        given = docs.select("*", F.col(quoted(text)).alias(given_text))
+        docs = given.mapInArrow(_free_rows(block, error_share, given_text), fields)
     return docs

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
-from parcelworks.llm.scan import batch_of, slices, text_list
+from parcelworks.llm.scan import batch_of, free_name, slices, text_list
 
 WINDOW = 3
 ADDED = ("n_lines", "n_removed", "kept_text")
@@ -42,12 +42,12 @@ def _window_rows(window: int) -> Callable:
     return rows
 
 
-def _kept_rows(window: int, names: list[str]) -> Callable:
+def _kept_rows(window: int, names: list[str], text_name: str, places_name: str) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, text_name):
                 out = []
-                for text, places in zip(text_list(part.column("_text")), part.column("_places").to_pylist()):
+                for text, places in zip(text_list(part.column(text_name)), part.column(places_name).to_pylist()):
                     lines = text.split(b"\n") if text else []
                     covered = np.zeros(len(lines), dtype=bool)
                     for place in places or ():
@@ -83,18 +83,18 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window:
     Keys are unique where they are not null. Lines are parted by line feeds. A null or empty text
     has no lines, one of fewer than three lines no window. A document without a key keeps all its
     lines, and no other document's are removed for its sake. An empty table gives no row. Columns
-    that already have the added names are replaced.
+    that already have the added names, in any case, are replaced; any others are carried.
     """
-    names = [name for name in docs.columns if name not in (text, *ADDED)]
+    names = [name for name in docs.columns if name != text and name.lower() not in ADDED]
+    given_text, doc, places = (free_name(docs.columns, name) for name in ("given_text", "found_doc", "places"))
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     found = repeated_windows(narrow.filter("doc_id IS NOT NULL"), window)
-    given = docs.select(*[F.col(quoted(name)) for name in names], F.col(quoted(text)).alias("_text"))
-    marked = given.join(
-        found.selectExpr("doc_id AS _doc", "places AS _places"), F.col(quoted(key)) == F.col("_doc"), "left"
-    ).drop("_doc")
+    given = docs.select(*[F.col(quoted(name)) for name in names], F.col(quoted(text)).alias(given_text))
+    named = found.select(F.col("doc_id").alias(doc), F.col("places").alias(places))
+    marked = given.join(named, given[quoted(key)].cast("long") == named[quoted(doc)], "left").drop(doc)
     return marked.mapInArrow(
-        _kept_rows(window, names), f"{fields}, n_lines long, n_removed long, kept_text string"
+        _kept_rows(window, names, given_text, places), f"{fields}, n_lines long, n_removed long, kept_text string"
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
 from parcelworks.llm.ordering import new_folder
-from parcelworks.llm.scan import Words, runs_hash, slices, text_bytes
+from parcelworks.llm.scan import Words, free_name, runs_hash, slices, text_bytes
 
 THRESHOLD = 0.7
 SHRINK_TO_POOLED = 0.2
@@ -224,11 +224,11 @@ def model_of(moments: np.ndarray, to_pooled: float = SHRINK_TO_POOLED, to_sphere
     return Model(np.array(means), np.array(factors), np.array(log_dets), priors)
 
 
-def _score_rows(model: Model, threshold: float, names: list[str]) -> Callable:
+def _score_rows(model: Model, threshold: float, names: list[str], text: str) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                scores = model.scores(statistics(*text_bytes(part.column("_text"))))
+            for part in slices(batch, text):
+                scores = model.scores(statistics(*text_bytes(part.column(text))))
                 arrays = [part.column(name) for name in names] + [
                     pa.array(scores), pa.array((scores >= threshold).astype(np.int32))
                 ]
@@ -241,12 +241,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """All rows and columns with ``score`` (0 to 1, higher: label 1 likelier) and ``predicted``.
 
     Only the text goes into a score. A null text is scored as an empty one. Columns of these
-    names that the table already has are replaced.
+    names, in any case, that the table already has are replaced; any others are carried.
     """
-    names = [name for name in docs.columns if name not in ("score", "predicted")]
+    names = [name for name in docs.columns if name.lower() not in ("score", "predicted")]
+    given_text = free_name(names, "given_text")
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
-    given = docs.select(*[F.col(quoted(name)) for name in names], F.col(quoted(text)).alias("_text"))
-    return given.mapInArrow(_score_rows(model, threshold, names), f"{fields}, score double, predicted int")
+    given = docs.select(*[F.col(quoted(name)) for name in names], F.col(quoted(text)).alias(given_text))
+    return given.mapInArrow(_score_rows(model, threshold, names, given_text), f"{fields}, score double, predicted int")
 
 
 def held_out(key: str = "doc_id") -> str:

@@ -131,6 +131,14 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
     pa.default_memory_pool().release_unused()
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be no column's, whatever its case."""
+    known = {one.lower() for one in taken}
+    while name.lower() in known:
+        name = "_" + name
+    return name
+
+
 def text_list(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()
 

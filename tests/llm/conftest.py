@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 #: columns that the operators use by themselves, to be carried or ignored
-CLASHES = "part long, key long, score double, kept_text string, n_lines long, signature string, bucket int, file int"
+CLASHES = "part long, key long, score double, kept_text string, n_lines long, signature string, bucket int, file int, _text string, _doc long, _places string, given_text int, Places int"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
 
 
@@ -44,7 +44,7 @@ def rows():
 
 @pytest.fixture(scope="session")
 def docs(spark, rows):
-    full = [(k, t, "en", "src", len(t or ""), k, None, 0.5, "x", 3, "y", 1, None) for k, t in rows]
+    full = [(k, t, "en", "src", len(t or ""), k, None, 0.5, "x", 3, "y", 1, None, "t", 7, "p", 4, 5) for k, t in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(5)
 
 
@@ -58,4 +58,4 @@ def keyless(spark):
     """No keys, repeated rows, nulls in every column."""
     some = [(None, text) for text in ("a b c d e f", "a b c d e f", None, "", "l\nm\nn\no", "l\nm\nn\no")]
     some += [(1, "a b c d e f"), (2, None)]
-    return spark.createDataFrame([(k, t, *[None] * 11) for k, t in some], SCHEMA)
+    return spark.createDataFrame([(k, t, *[None] * 16) for k, t in some], SCHEMA)
