@@ -678,7 +678,8 @@ def indexed_quartiles(spark: SparkSession, folder: str) -> DataFrame:
     rank_index.index_months(sales, path, fixed.OUTLIER_FIELDS, "SourceMonth")
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     index = rank_index.stored_index(spark, path)
-    return rank_index.indexed_quantiles(index, sales, fixed.OUTLIER_FIELDS, quartiles, "SourceMonth").select("field", "n", *quartiles)
+    found = rank_index.indexed_quantiles(index, sales, fixed.OUTLIER_FIELDS, quartiles, "SourceMonth")
+    return rounded(found.select("field", "n", *quartiles))
 
 
 def stream_flags(spark: SparkSession, folder: str) -> DataFrame:

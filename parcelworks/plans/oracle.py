@@ -1067,8 +1067,8 @@ ORACLE["stream_first_events"] = ORACLE["event_dedupe"]
 ORACLE["indexed_quartiles"] = _over(
     "sold",
     " UNION ALL ".join(
-        f"""SELECT '{field}' AS field, CAST(count("{field}") AS BIGINT) AS n, quantile_cont("{field}", 0.25) AS q1,
-        quantile_cont("{field}", 0.5) AS median, quantile_cont("{field}", 0.75) AS q3 FROM res_sold"""
+        f"""SELECT '{field}' AS field, CAST(count("{field}") AS BIGINT) AS n, round(quantile_cont("{field}", 0.25), 6) AS q1,
+        round(quantile_cont("{field}", 0.5), 6) AS median, round(quantile_cont("{field}", 0.75), 6) AS q3 FROM res_sold"""
         for field in FIELDS
     ),
 )
