@@ -142,6 +142,7 @@ DIMENSION_COLUMNS = [
     "MLSAreaMajor",
     "StateOrProvince",
 ]
+SLICER_COLUMNS = ["City", "CountyOrParish", "PostalCode", "PropertySubType"]
 EVENT_SCHEMA = {
     "EventId": "string",
     "EventType": "string",

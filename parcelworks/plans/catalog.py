@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coercion_audit, parse_date, parse_number, strict
 from parcelworks.functions.logic import quoted, with_exprs
-from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile, rank_index
+from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, lattice, market, metrics, outliers, profile, rank_index
 from parcelworks.plans import stages
 from parcelworks.sources import manifest, rates, sinks, versions, warehouse
 from parcelworks.sources.split_csv import records_per_file
 from parcelworks.sources.staging import new_folder, staged
-from parcelworks.streaming import firsts, jobs
+from parcelworks.streaming import firsts, flagging, jobs, running
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -565,6 +565,25 @@ def measure_filtered(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def slicer_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """All five measures for three choices of slicers, from the stored counts alone."""
+    path = new_folder(spark, "lattice")
+    lattice.store_lattice(published_events(spark, folder), path)
+    choices = {
+        "all": {},
+        "city": {"City": ["Brand#1", "Brand#2", "Brand#3"]},
+        "city and kind": {"City": ["Brand#1", "Brand#2", "Brand#3"], "PropertySubType": ["ECONOMY", "SMALL"]},
+    }
+    parts = [
+        lattice.lattice_measure(spark, path, name, chosen).selectExpr(
+            f"'{label}' AS choice", f"'{name}' AS measure", "EventMonth", f"double({market.MEASURES[name][0]}) AS value"
+        )
+        for label, chosen in choices.items()
+        for name in market.MEASURES
+    ]
+    return rounded(combine.union_by_name(parts))
+
+
 def top_sellers(by: str, spark: SparkSession, folder: str) -> DataFrame:
     kept, bounds = kept_sales(spark, folder)
     return rounded(market.top_sellers(stages.sales_table(kept, bounds, TIES), by), 2)
@@ -691,15 +710,39 @@ def stream_flags(spark: SparkSession, folder: str) -> DataFrame:
     return _landed(flagged.select("ListingKey", "any_outlier_flag", "analysis_exclude_flag"), "flags")
 
 
-def stream_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
+def stream_refreshed_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries of months, each flagged by the bounds of what has come until then."""
+    path = new_folder(spark, "refreshed")
+    sales = residential_sold(spark, folder, "ListingKey", "SourceMonth", *fixed.OUTLIER_FIELDS)
+    early = "coalesce(SourceMonth < '202407', false)"
+    for delivery in (early, f"NOT {early}"):
+        sales.filter(delivery).write.mode("append").parquet(f"{path}/arrived")
+        so_far = spark.read.schema(sales.schema).parquet(f"{path}/arrived")
+        bounds = outliers.as_bounds(outliers.bounds_table(so_far))
+        flagging.publish_bounds(bounds, spark, f"{path}/bounds")
+        arriving = spark.readStream.schema(sales.schema).parquet(f"{path}/arrived")
+        flagging.flag_arriving(arriving, f"{path}/bounds", f"{path}/flags", f"{path}/checkpoint").awaitTermination()
+    return flagging.flagged_rows(spark, f"{path}/flags").select("ListingKey", "any_outlier_flag", "analysis_exclude_flag")
+
+
+def _arriving_closings(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["CloseDate", "ClosePrice", "OriginalListPrice", "LivingArea", "DaysOnMarket"]
     sales = metrics.price_metrics(metrics.calendar_fields(_arriving_sales(spark, folder, *columns), "CloseDate"))
+    return sales.selectExpr("*", "0 AS NewListings", "1 AS ClosedSales")
+
+
+def stream_monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "running")
-    arriving = sales.selectExpr("*", "0 AS NewListings", "1 AS ClosedSales")
-    jobs.count_into(arriving, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    jobs.count_into(_arriving_closings(spark, folder), f"{path}/counts", f"{path}/checkpoint").awaitTermination()
     return rounded(jobs.running_summary(spark, f"{path}/counts"))
 
 
+def stream_state_summary(spark: SparkSession, folder: str) -> DataFrame:
+    checkpoint = new_folder(spark, "running-state")
+    running.run_counts(_arriving_closings(spark, folder), checkpoint).awaitTermination()
+    return rounded(running.running_measures(spark, checkpoint))
+
+
 QUERIES: dict[str, Query] = {
     "file_selection": file_selection,
     "month_gaps": month_gaps,
@@ -766,6 +809,7 @@ QUERIES: dict[str, Query] = {
     "low_volume_months": low_volume_months,
     **{name: partial(measure, name) for name in market.MEASURES},
     "measure_filtered": measure_filtered,
+    "slicer_lattice": slicer_lattice,
     "top_agents": partial(top_sellers, "ListAgentFullName"),
     "top_offices": partial(top_sellers, "ListOfficeName"),
     "publication_audit": publication_audit,
@@ -777,5 +821,7 @@ QUERIES: dict[str, Query] = {
     "stream_dedupe": stream_dedupe,
     "stream_first_events": stream_first_events,
     "stream_flags": stream_flags,
+    "stream_refreshed_flags": stream_refreshed_flags,
     "stream_monthly_summary": stream_monthly_summary,
+    "stream_state_summary": stream_state_summary,
 }

@@ -1072,3 +1072,43 @@ ORACLE["indexed_quartiles"] = _over(
         for field in FIELDS
     ),
 )
+ORACLE["stream_state_summary"] = ORACLE["stream_monthly_summary"]
+
+
+def _flagged_by(bounds: str, rows: str) -> str:
+    out = " OR ".join(_beyond(field, bounds) for field in FIELDS)
+    return f"""SELECT "ListingKey", {out} AS any_outlier_flag, {out} OR coalesce("ClosePrice" <= 0, false)
+      OR coalesce("LivingArea" <= 0, false) OR coalesce("DaysOnMarket" < 0, false) AS analysis_exclude_flag FROM {rows}"""
+
+
+ORACLE["stream_refreshed_flags"] = _over(
+    "sold",
+    f"{_flagged_by('early_bounds', 'early')} UNION ALL {_flagged_by('bounds', 'late')}",
+    """early AS (SELECT * FROM res_sold WHERE "SourceMonth" < '202407')""",
+    """late AS (SELECT * FROM res_sold WHERE NOT coalesce("SourceMonth" < '202407', false))""",
+    f"early_bounds AS MATERIALIZED ({_bounds(FIELDS, 'early')})",
+    f"bounds AS MATERIALIZED ({_bounds(FIELDS, 'res_sold')})",
+)
+
+_MEASURED = {
+    "measure_median_close_price": ('quantile_cont("ClosePrice", 0.5)', True),
+    "measure_average_days_on_market": ('avg("DaysOnMarket")', True),
+    "measure_average_ratio": (f'avg("{RATIO}")', True),
+    "measure_new_listings": ('CAST(sum("NewListings") AS DOUBLE)', False),
+    "measure_closed_sales": ('CAST(sum("ClosedSales") AS DOUBLE)', False),
+}
+_BRANDS = """"City" IN ('Brand#1', 'Brand#2', 'Brand#3')"""
+ORACLE["slicer_lattice"] = _over(
+    "events",
+    " UNION ALL ".join(
+        f"""SELECT '{label}' AS choice, '{name}' AS measure, CAST(date_trunc('month', "EventDate") AS DATE) AS "EventMonth",
+        round({expression}, 6) AS "value" FROM events_kept
+        WHERE {where} AND {"\"EventType\" = 'Closed Sale'" if closed else "true"} GROUP BY 3"""
+        for label, where in {
+            "all": "true",
+            "city": _BRANDS,
+            "city and kind": f"""{_BRANDS} AND "PropertySubType" IN ('ECONOMY', 'SMALL')""",
+        }.items()
+        for name, (expression, closed) in _MEASURED.items()
+    ),
+)
