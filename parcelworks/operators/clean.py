@@ -104,6 +104,11 @@ def cleaning_summary(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> Data
     )
 
 
+def removing(rules: Sequence[Rule]) -> list[str]:
+    """The flags of the removing rules."""
+    return [rule.flag for rule in rules if rule.removes]
+
+
 def stays_clean(cleaned: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """Check that no removing rule is broken any more."""
     return no_rule_broken(cleaned, dataset, [rule.holds for rule in rules if rule.removes])

@@ -11,7 +11,7 @@ from parcelworks.plans import stages
 from parcelworks.sources import versions
 from parcelworks.sources.csv_files import monthly_paths, read_files
 from parcelworks.sources.rates import observations, weekly_rates
-from parcelworks.sources.sinks import publishable, write_table
+from parcelworks.sources.sinks import publishable, write_observed, write_table
 from parcelworks.sources.split_csv import records_per_file
 
 ARRIVAL = ["SourceFile", "row_hash"]
@@ -41,7 +41,9 @@ def run(
     (``..._clean``, ``sold_engineered``) is returned without being stored. Reports are stored.
     Published events and their extract are versions below ``out/published``: a run over files of
     which one month has changed writes that month alone, and readers keep the version before until
-    all gates have passed. Gates are enforced between the stages; a failed one ends the run. ``slicers`` restrict the five
+    all gates have passed. Gates are enforced between the stages; a failed one ends the run. Their
+    numbers are observed while the tables are written, so that no gate reads one again, but for the
+    rules on clean listings, which no stage stores. ``slicers`` restrict the five
     measures; ``date_formats`` may have times of day; ``multi_line`` is for files whose quoted
     cells hold line breaks.
     """
@@ -51,6 +53,15 @@ def run(
         tables[name] = write_table(df, f"{out}/{name}", partition_by)
         return tables[name]
 
+    def keep_checked(
+        name: str, df: DataFrame, gates: checks.Checks = {}, partition_by: str | None = None, **totals: str
+    ) -> dict[str, int | None]:
+        """Keep a table, enforce checks of its rows as seen in the write, and return the totals."""
+        asked = {f"{side}{place}": text for place, pair in enumerate(gates.values()) for side, text in zip("oe", pair)}
+        tables[name], seen = write_observed(df, f"{out}/{name}", {**asked, **totals}, partition_by)
+        checks.enforce_observed({gate: (seen[f"o{place}"], seen[f"e{place}"]) for place, gate in enumerate(gates)})
+        return {total: seen[total] for total in totals}
+
     monthly = keep("monthly_rates", enrich.monthly_rates(observations(weekly_rates(spark, rates_path))))
     checks.enforce(enrich.rate_keys_unique(monthly))
 
@@ -66,16 +77,16 @@ def run(
         if copies is not None:
             copies = keep(f"{name}_duplicate_columns", copies)
             keep(f"{name}_duplicate_totals", duplicates.audit_totals(copies))
-        combined = keep(f"{name}_combined", duplicates.merged_files(files))
+        in_table = keep_checked(f"{name}_combined", duplicates.merged_files(files), rows="count(*)")
+        combined = tables[f"{name}_combined"]
         # records are counted in the files, by their quotes and line ends, and held against the table made of them
-        manifest = keep(f"{name}_manifest", combine.file_manifest(records_per_file(spark, paths), combined, name))
+        counted = combine.file_manifest(records_per_file(spark, paths), combined, name)
+        in_files = keep_checked(f"{name}_manifest", counted, rows="sum(rows_read)")
+        manifest = tables[f"{name}_manifest"]
         keep(f"{name}_categories", combine.category_distribution(combined, name))
         residential = combine.keep_category(combined, value=category)
         keep(f"{name}_aggregation", combine.aggregation_summary(manifest, combined, residential, name))
-        checks.enforce(
-            combine.parts_reconcile(combined, manifest, name),
-            checks.only_category(residential, name, value=category),
-        )
+        checks.enforce_observed({f"{name} combined rows equal the files' rows": (in_table["rows"], in_files["rows"])})
         keep(f"{name}_missing", profile.missing_summary(residential))
         keep(f"{name}_high_missing", profile.high_missing(tables[f"{name}_missing"]))
         profiled = [column for column in fixed.PROFILE_COLUMNS if column in residential.columns]
@@ -93,12 +104,25 @@ def run(
         )
         keep(f"{name}_number_audit", coercion_audit(enriched, name, audited[0]))
         keep(f"{name}_date_audit", coercion_audit(enriched, name, audited[1], "date", date_formats))
-        records = keep(f"{name}_typed", typed(enriched, date_formats))
-        checks.enforce(enrich.all_matched(records, name))
+        clean_row = f"NOT ({clean.breaks_rules(rules)})"
+        gates = checks.category_checks(name, value=category)
+        if name == "listings":
+            # of the rows that will be published
+            gates |= checks.date_checks(name, date_column, clean_row)
+            gates |= checks.category_checks(f"clean {name}", value=category, trimmed=True, among=clean_row)
+        matched = keep_checked(
+            f"{name}_typed", typed(enriched, date_formats), gates, unmatched=f"count_if({fixed.RATE_COLUMN} IS NULL)"
+        )
+        records = tables[f"{name}_typed"]
+        if matched["unmatched"]:
+            # names the months
+            checks.enforce(enrich.all_matched(records, name))
         keep(f"{name}_flag_counts", clean.flag_counts(records, name, rules))
         keep(f"{name}_cleaning_summary", clean.cleaning_summary(records, name, rules))
         tables[f"{name}_clean"] = clean.clean_rows(records, rules)
-        checks.enforce(clean.stays_clean(tables[f"{name}_clean"], name, rules))
+        if name == "listings":
+            # sold rows are judged when they are stored with their flags
+            checks.enforce(clean.stays_clean(tables["listings_clean"], name, rules))
 
     engineered = tables["sold_engineered"] = stages.engineered_sold(tables["sold_clean"])
     keep("metric_coverage", metrics.metric_coverage(engineered))
@@ -109,32 +133,50 @@ def run(
     bounds = outliers.as_bounds(outliers.bounds_table(engineered, multiplier=iqr_multiplier))
     outliers.store_bounds(bounds, spark, f"{out}/bounds")
     keep("iqr_summary", outliers.iqr_summary(engineered, multiplier=iqr_multiplier))
-    flagged = keep("sold_flagged", outliers.with_outlier_flags(engineered, bounds), "YrMo")
-    comparison = keep("dataset_comparison", outliers.dataset_comparison(flagged))
+    kept_row = "NOT analysis_exclude_flag"
+    of_flagged = keep_checked(
+        "sold_flagged",
+        outliers.with_outlier_flags(engineered, bounds),
+        checks.rule_checks("sold", clean.removing(sources["sold"][-1]))
+        | checks.date_checks("sold", "CloseDate", kept_row)
+        | checks.category_checks("kept sold", value=category, trimmed=True, among=kept_row),
+        "YrMo",
+        rows="count(*)",
+        kept=f"count_if({kept_row})",
+    )
+    flagged = tables["sold_flagged"]
+    of_sets = keep_checked(
+        "dataset_comparison",
+        outliers.dataset_comparison(flagged),
+        kept="coalesce(sum(CASE WHEN dataset = 'clean_filtered' THEN row_count END), 0)",
+    )
     kept = outliers.filtered(flagged)
-    checks.enforce(
-        checks.same_row_count("flagged rows equal engineered rows", flagged, engineered),
-        stages.filtered_reconcile(kept, comparison),
+    # one row
+    cleaned = tables["sold_cleaning_summary"].first().rows_after
+    checks.enforce_observed(
+        {
+            "flagged rows equal engineered rows": (of_flagged["rows"], cleaned),
+            "filtered rows equal the summary": (of_flagged["kept"], of_sets["kept"]),
+        }
     )
 
     listings = tables["listings_clean"]
     ratio_bounds = stages.ratio_bounds(kept, iqr_multiplier)
-    checks.enforce(
-        checks.dates_present(kept, "sold", "CloseDate"),
-        checks.dates_present(listings, "listings", "ListingContractDate"),
-        events.typed_dimensions(kept, "sold", category),
-        events.typed_dimensions(listings, "listings", category),
-    )
     found = stages.all_events(with_row_hash(kept), with_row_hash(listings), ratio_bounds, ARRIVAL)
-    published = keep("market_events", stages.market_events(found, ARRIVAL), "YrMo")
-    sales = keep("competitive_sales", stages.sales_table(with_row_hash(kept), ratio_bounds, ARRIVAL), "YrMo")
-    checks.enforce(
-        checks.same_row_count(
-            "market sales equal competitive sales",
-            published.filter(f"EventType = '{fixed.CLOSED_SALE}'"),
-            sales,
-        )
+    of_events = keep_checked(
+        "market_events",
+        stages.market_events(found, ARRIVAL),
+        partition_by="YrMo",
+        sales=f"count_if(EventType = '{fixed.CLOSED_SALE}')",
+    )
+    of_sales = keep_checked(
+        "competitive_sales",
+        stages.sales_table(with_row_hash(kept), ratio_bounds, ARRIVAL),
+        partition_by="YrMo",
+        rows="count(*)",
     )
+    published, sales = tables["market_events"], tables["competitive_sales"]
+    checks.enforce_observed({"market sales equal competitive sales": (of_events["sales"], of_sales["rows"])})
     summary = keep("monthly_summary", market.monthly_summary(published))
     for measure, (column, aggregation, closed_only) in market.MEASURES.items():
         keep(measure, market.measure_series(published, column, aggregation, closed_only, slicers))

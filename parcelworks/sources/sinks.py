@@ -1,6 +1,8 @@
 """Writers for stage tables and the published extract."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import whole_number
@@ -20,6 +22,26 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
+def write_observed(
+    df: DataFrame, path: str, totals: Mapping[str, str], partition_by: str | None = None
+) -> tuple[DataFrame, dict[str, int | None]]:
+    """``write_table`` that also returns aggregates of the rows, taken while they are written.
+
+    They are observed in the tasks that write, each of which counts once however often it is tried.
+    A plan that is found empty before it runs observes nothing; then the stored table is asked.
+    """
+    seen = Observation()
+    chosen = [F.expr(f"bigint({text})").alias(name) for name, text in totals.items()]
+    rows = df.hint("rebalance", partition_by) if partition_by else df
+    writer = rows.observe(seen, *chosen).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
+    found = seen.get
+    if set(found) != set(totals):
+        found = stored.select(*chosen).first().asDict()
+    return stored, {name: found[name] for name in totals}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite ``path`` with CSV part files, each with a header."""
     df.write.mode("overwrite").options(header=True, escape='"').csv(path)

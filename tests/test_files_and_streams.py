@@ -292,8 +292,12 @@ REPORTS = (
 ).split()
 
 
-def test_batch_run_stores_every_report(spark, folder, tmp_path):
+def test_batch_run_stores_every_report(spark, folder, tmp_path, monkeypatch):
+    scanned, enforce = [], checks.enforce
+    monkeypatch.setattr(checks, "enforce", lambda *given: (scanned.extend(given), enforce(*given)))
     stored = monthly_run.run(spark, folder, f"{folder}/rates.csv", str(tmp_path / "out"))
+    # the keys of the rate table and the rules on clean listings; all other gates are observed in writes
+    assert len(scanned) == 2
     for name in ("sold", "listings"):
         for report in REPORTS:
             assert stored[f"{name}_{report}"].count() > 0 or report == "high_missing", (name, report)
