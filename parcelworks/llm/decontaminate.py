@@ -6,22 +6,26 @@ occurrence must be free of errors. So the pieces of all items are searched for e
 automaton over a block of items), and around each hit Myers' bit-parallel distance decides whether
 the whole item is there within its budget. Letter case and runs of white space make no difference.
 
-Items are the query set: they go to the tasks in blocks of bounded size, each block read against
-all documents; documents stay where they are, and no two of them meet.
+Items are the query set: they go to the tasks in blocks bounded by count and by letters, each block
+read against all documents; documents stay where they are, and no two of them meet. Where there is
+more than one block, what a block has given is stored in the shared folder before the next one is
+told to the tasks, so that no plan and no process holds more than two blocks.
 """
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks.functions.logic import quoted
 from parcelworks.llm.scan import batch_of, free_name, slices
+from parcelworks.sources.staging import new_folder, staged
 
 ERROR_SHARE = 0.08
+#: a block of items ends with whichever is reached first
 BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 8_000_000
 
 
 def normalised(text: str) -> str:
@@ -91,30 +95,40 @@ class Matcher:
             self.automaton.add_word(piece, (len(piece), of))
         self.automaton.make_automaton()
 
-    def matches(self, text: str) -> Iterator[tuple[int, int, int]]:
-        """(item id, distance, end) of each item's best occurrence within its budget, in a normalised text."""
-        looked: dict[int, int] = {}
-        best: dict[int, tuple[int, int]] = {}
+    def regions(self, text: str) -> dict[int, list[list[int]]]:
+        """Per item the stretches of a normalised text in which an occurrence can lie, by the hits of its pieces.
+
+        Stretches that overlap the one before are one, so a piece that hits again and again is
+        looked into once, in time proportional to the text.
+        """
+        found: dict[int, list[list[int]]] = {}
         for at, (length, of) in self.automaton.iter(text):
             for number, place in of:
-                item, errors = self.items[number][1], self.budgets[number]
-                begin = max(0, at + 1 - length - place - errors)
-                end = at + 1 - length - place + len(item) + errors
-                # a hit of the next piece of an occurrence that has been looked at
-                if looked.get(number, -1) >= end - 2 * errors or (number in best and best[number][0] == 0):
-                    continue
-                region = text[begin:end]
-                exact = region.find(item)
-                if exact >= 0:
-                    distance, stop = 0, exact + len(item)
+                errors = self.budgets[number]
+                start = at + 1 - length - place
+                begin, end = max(0, start - errors), start + len(self.items[number][1]) + errors
+                known = found.setdefault(number, [])
+                if known and begin <= known[-1][1]:
+                    known[-1] = [min(begin, known[-1][0]), max(end, known[-1][1])]
                 else:
-                    distance, stop = nearest(item, region, self.masks[number])
-                if distance <= errors:
-                    looked[number] = end
-                    if number not in best or distance < best[number][0]:
-                        best[number] = (distance, begin + stop)
-        for number, (distance, end) in sorted(best.items()):
-            yield number, distance, end
+                    known.append([begin, end])
+        return found
+
+    def matches(self, text: str) -> Iterator[tuple[int, int, int]]:
+        """(item number, distance, end) of each item's best occurrence within its budget, in a normalised text."""
+        for number, stretches in sorted(self.regions(text).items()):
+            item, errors = self.items[number][1], self.budgets[number]
+            best = None
+            for begin, end in stretches:
+                exact = text.find(item, begin, end)
+                if exact >= 0:
+                    best = 0, exact + len(item)
+                    break
+                distance, stop = nearest(item, text[begin:end], self.masks[number])
+                if distance <= errors and (best is None or distance < best[0]):
+                    best = distance, begin + stop
+            if best is not None:
+                yield number, *best
 
 
 _matchers: dict[int, Matcher] = {}
@@ -162,24 +176,43 @@ def _free_rows(items: list[tuple[int | None, str]], error_share: float, text_nam
 
 
 def blocks_of(
-    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS
+    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS, chars: int = BLOCK_CHARS
 ) -> Iterator[list[tuple[int | None, str]]]:
-    """Blocks of items in the order of their keys, those without a key first; items without letters are left out."""
+    """Blocks of items in the order of their keys, those without a key first; items without letters are left out.
+
+    A block has at most ``size`` items and ``chars`` letters, or one item that is longer.
+    """
     named = benchmark.select(F.col(quoted(key)).cast("long").alias("key"), F.col(quoted(text)).alias("text"))
-    block = []
+    block, held = [], 0
     for row in named.filter("text IS NOT NULL").orderBy("key", "text").toLocalIterator():
         item = normalised(row["text"])
-        if item:
-            block.append((row["key"], item))
-        if len(block) == size:
+        if not item:
+            continue
+        if block and (len(block) == size or held + len(item) > chars):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row["key"], item))
+        held += len(item)
     if block:
         yield block
 
 
+def _with_last(blocks: Iterator[list]) -> Iterator[tuple[list, bool]]:
+    """Each block and whether it is the last."""
+    block = next(blocks, None)
+    while block is not None:
+        following = next(blocks, None)
+        yield block, following is None
+        block = following
+
+
 def find_items(
-    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", error_share: float = ERROR_SHARE
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    error_share: float = ERROR_SHARE,
+    **limits: int,
 ) -> DataFrame:
     """(doc_id, item_id, distance, end, item_chars) per document and item that it holds.
 
@@ -188,15 +221,27 @@ def find_items(
     reported without one; equal documents are reported each. Without documents or items there
     are no rows. An item without a key is reported with a null one, and items with one key each for
     themselves. An item so short that its budget is zero is found wherever it stands, in as many
-    documents as hold it. Columns other than key and text are not read.
+    documents as hold it. Columns other than key and text are not read. ``limits`` are those of
+    ``blocks_of``.
     """
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     schema = "doc_id long, item_id long, distance long, end long, item_chars long"
-    parts = [narrow.mapInArrow(_found_rows(block, error_share), schema) for block in blocks_of(benchmark)]
-    return reduce(DataFrame.union, parts) if parts else docs.sparkSession.createDataFrame([], schema)
-
-
-def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", error_share: float = ERROR_SHARE) -> DataFrame:
+    path = new_folder(docs.sparkSession, "items-found")
+    stored = 0
+    for block, last in _with_last(blocks_of(benchmark, **limits)):
+        found = narrow.mapInArrow(_found_rows(block, error_share), schema)
+        if last and not stored:
+            return found
+        found.write.parquet(f"{path}/block={stored}")
+        stored += 1
+    if not stored:
+        return docs.sparkSession.createDataFrame([], schema)
+    return docs.sparkSession.read.schema(schema + ", block int").parquet(path).drop("block")
+
+
+def without_items(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", error_share: float = ERROR_SHARE, **limits: int
+) -> DataFrame:
     """The documents that hold no item, with a key or without, with all their columns, whatever their names.
 
     Null and empty texts hold nothing and stay; rows without a key and repeated rows are judged each
@@ -204,7 +249,11 @@ def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", err
     """
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
     given_text = free_name(docs.columns, "given_text")
-    for block in blocks_of(benchmark):
+    for block, last in _with_last(blocks_of(benchmark, **limits)):
         given = docs.select("*", F.col(quoted(text)).alias(given_text))
         docs = given.mapInArrow(_free_rows(block, error_share, given_text), fields)
+        if not last:
+            # stored by place, as names may differ in case only
+            names = docs.columns
+            docs = staged(docs.toDF(*[f"c{place}" for place in range(len(names))]), "free-of-items").toDF(*names)
     return docs

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers
-from hypothesis import given, settings, strategies as st
+from hypothesis import assume, given, settings, strategies as st
 
 from parcelworks.llm import (
     ans,
@@ -201,6 +201,48 @@ def test_items_without_a_key_are_kept_out(spark):
     assert [r.doc_id for r in decontaminate.without_items(docs, benchmark).collect()] == [2]
 
 
+@given(st.lists(st.text("ab c", min_size=1, max_size=40), min_size=1, max_size=4), st.text("ab c", max_size=120))
+@settings(max_examples=200, deadline=None)
+def test_matcher_gives_each_item_its_least_distance(items, text):
+    items = [(n, decontaminate.normalised(i)) for n, i in enumerate(items) if decontaminate.normalised(i)]
+    assume(items)
+    text = decontaminate.normalised(text)
+    found = {n: d for n, d, _ in decontaminate.Matcher(items, 0.2).matches(text)}
+    nearest = {place: _distance(item, text) for place, (_, item) in enumerate(items)}
+    assert found == {n: d for n, d in nearest.items() if d <= decontaminate.budget_of(items[n][1], 0.2)}
+
+
+def test_a_piece_that_hits_everywhere_is_looked_into_once():
+    """A megabyte in which one piece of an item stands again and again, and the item never."""
+    item = "abcdefghijklm" + "".join(chr(97 + n * 7 % 26) for n in range(60))
+    matcher = decontaminate.Matcher([(1, item)])
+    piece = decontaminate.pieces_of(item, decontaminate.budget_of(item))[0][1]
+    text = f"{piece} " * (1_000_000 // (len(piece) + 1))
+    assert [end - begin >= len(text) - 200 for begin, end in matcher.regions(text)[0]] == [True]
+    assert list(matcher.matches(text)) == []
+
+
+def test_many_blocks_give_what_one_gives(spark):
+    r = random.Random(5)
+    items = [" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(12 + 5 * (n % 4))) for n in range(9)]
+    texts = [f"x {items[n % 9]} y {items[n * 2 % 9]}" if n % 3 else f"clean {n}" for n in range(30)] + [None, ""]
+    rows = [(n, t, f"c{n}", f"d{n}") for n, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, block string, `Given_text x` string")
+    benchmark = spark.createDataFrame([*enumerate(items), (3, items[0]), (None, items[1])], "item_id long, text string")
+    sizes = [len(block) for block in decontaminate.blocks_of(benchmark, size=4)]
+    assert sizes == [4, 4, 3]
+    chars = [sum(len(i) for _, i in block) for block in decontaminate.blocks_of(benchmark, chars=200)]
+    assert len(chars) > 3 and all(c <= 200 for c in chars)
+    assert [len(b) for b in decontaminate.blocks_of(benchmark, chars=1)] == [1] * 11
+    one = sorted(map(str, decontaminate.find_items(docs, benchmark).collect()))
+    free = sorted(map(str, decontaminate.without_items(docs, benchmark).collect()))
+    assert len(one) > 30 and len(free) == 12
+    for limits in ({"size": 4}, {"chars": 200}):
+        assert sorted(map(str, decontaminate.find_items(docs, benchmark, **limits).collect())) == one
+        kept = decontaminate.without_items(docs, benchmark, **limits)
+        assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == free
+
+
 # ---- 3 personal data ------------------------------------------------------------------------
 
 
