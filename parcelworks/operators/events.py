@@ -95,18 +95,15 @@ def sale_records(sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = ())
     ).select(*fixed.SALE_COLUMNS, *carry)
 
 
-REPEATS_TO_BROADCAST = 100_000
-
-
-def first_of_each(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast: int = REPEATS_TO_BROADCAST
-) -> DataFrame:
+def first_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast: int = 0) -> DataFrame:
     """The first row of every key in the given total order; a missing key is one key.
 
-    Repeated keys are counted over the key columns alone. Where they are few, only their rows are
-    ordered and the others stay where they are; else all rows are, of which Spark keeps one per key
-    in each task before it shuffles (window group limit), so a key that repeats very often sends
-    one row per task either way.
+    Rows are gone through once. Spark keeps one row per key in each task before it shuffles (window
+    group limit), so a key that repeats very often sends one row per task.
+
+    With ``broadcast``, for stored tables that are far wider than their key: repeated keys are
+    counted over the key columns alone, and where they are at most as many, only their rows are
+    ordered and all others stay where they are, unshuffled.
     """
     keys, by = ", ".join(map(quoted, key)), ", ".join(map(quoted, order))
 
@@ -114,6 +111,8 @@ def first_of_each(
         placed = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS place")
         return placed.filter("place = 1").drop("place")
 
+    if not broadcast:
+        return first(df)
     repeated = df.select(*map(quoted, key)).groupBy(*map(quoted, key)).count().filter("count > 1").drop("count").limit(broadcast + 1)
     few = repeated.collect()
     if len(few) > broadcast:

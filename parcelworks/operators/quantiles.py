@@ -3,7 +3,7 @@
 A double's 64 bits, with the sign taken for minus, are a whole number that grows with the value.
 Three passes over the column locate the wanted ranks in it: the first counts values by the upper
 22 bits, and each next one counts, by 21 more bits, only the values in the bins that hold a wanted
-rank. Counts are combined on the map side, so what is shuffled are bins, at most 2**22 a group and
+rank; where located bins are broadcast, the others are left out by comparison with the bins' ends. Counts are combined on the map side, so what is shuffled are bins, at most 2**22 a group and
 far fewer in practice, however many values there are and however close to each other they lie.
 After the third pass the bits are complete: the bin is the value.
 """
@@ -117,14 +117,14 @@ def quantiles(
     names = [*by, "field"]
     keys = ", ".join(quoted(name) for name in names)
     ranks = _ranks(probabilities)
-    hint = "/*+ BROADCAST(l) */" if broadcast or not by else ""
+    few = broadcast or not by
     parts = [
         f"bits AS ({_with_bits('{values}', keys)})",
         f"""binned AS (
-          SELECT {keys}, shiftright(bits, {SHIFTS[0]}) AS bin, sum(rows) AS rows, min(value) AS least
+          SELECT {keys}, shiftright(bits, {SHIFTS[0]}) AS bin, sum(rows) AS rows, min(value) AS least, max(value) AS most
           FROM bits GROUP BY ALL)"""
         if bins is None
-        else f"binned AS (SELECT {keys}, bin, rows, least FROM {{bins}})",
+        else f"binned AS (SELECT {keys}, bin, rows, least, most FROM {{bins}})",
         f"""sized AS (
           SELECT *, sum(CASE WHEN bin IS NOT NULL THEN rows END) OVER (PARTITION BY {keys}) AS n FROM binned)""",
         f"counted AS (SELECT *, array_distinct(array({ranks})) AS ranks, 0L AS before FROM sized)",
@@ -135,12 +135,27 @@ def quantiles(
     chosen = ", ".join(f"f.{quoted(key)}" for key in names)
     for shift, finer in zip(SHIFTS, SHIFTS[1:]):
         # null-safe equality keeps the missing group and lets all passes read the same scan
+        of_bin = "l.bin AS within, l.n, l.before, l.ranks, f.rows, f.value"
+        if few:
+            # a bin is a range of values, so only values within a located one need their bits
+            parts += [
+                f"""near_{finer} AS (
+                  SELECT /*+ BROADCAST(l) */ {chosen}, {of_bin}
+                  FROM {{values}} f JOIN {located} l ON {same} AND f.value BETWEEN l.least AND l.most)""",
+                f"within_{finer} AS ({_with_bits(f'near_{finer}', f'{keys}, within, n, before, ranks')})",
+            ]
+        else:
+            # the bin is a key of the join, so that a group with many rows is spread over tasks
+            parts.append(
+                f"""within_{finer} AS (
+                  SELECT {chosen}, {of_bin}, f.bits
+                  FROM bits f JOIN {located} l ON {same} AND shiftright(f.bits, {shift}) <=> l.bin)"""
+            )
         parts += [
             f"""counted_{finer} AS (
-              SELECT {hint} {chosen}, l.bin AS within, shiftright(f.bits, {finer}) AS bin, l.n, l.before, l.ranks,
-                sum(f.rows) AS rows, min(f.value) AS least
-              FROM bits f JOIN {located} l ON {same} AND shiftright(f.bits, {shift}) <=> l.bin
-              GROUP BY ALL)""",
+              SELECT {keys}, within, shiftright(bits, {finer}) AS bin, n, before, ranks,
+                sum(rows) AS rows, min(value) AS least, max(value) AS most
+              FROM within_{finer} GROUP BY ALL)""",
             _holding_ranks(f"located_{finer}", f"counted_{finer}", keys, f"{keys}, within"),
         ]
         located = f"located_{finer}"
@@ -190,7 +205,7 @@ def _holding_ranks(name: str, counted: str, keys: str, within: str) -> str:
     """
     in_run = "rank -> rank >= upto - rows AND rank < upto"
     return f"""{name} AS (
-      SELECT {keys}, bin, n, least, upto - rows AS before, filter(ranks, {in_run}) AS ranks
+      SELECT {keys}, bin, n, least, most, upto - rows AS before, filter(ranks, {in_run}) AS ranks
       FROM (
         SELECT *, before + sum(rows) OVER (
           PARTITION BY {within} ORDER BY bin ASC NULLS LAST

@@ -63,10 +63,10 @@ def monthly_rates(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.monthly_rates(rates.observations(warehouse.weekly_rates(spark, folder)))
 
 
-def cleaned_sold(spark: SparkSession, folder: str, *columns: str, store: bool = True) -> DataFrame:
+def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Clean sold rows over the stored typed table, as the stages hand tables on.
 
-    The rate is joined only where a query asks for it. What is stored itself needs no stored table.
+    The rate is joined only where a query asks for it.
     """
     names = dict.fromkeys([*SOLD_RULE_COLUMNS, *columns])
     source = warehouse.sold(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
@@ -74,8 +74,7 @@ def cleaned_sold(spark: SparkSession, folder: str, *columns: str, store: bool =
         source = stages.enriched_sold(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "CloseDate")
-    typed = stages.typed_sold(source)
-    return stages.clean_sold(staged(typed, "sold") if store else typed)
+    return stages.clean_sold(staged(stages.typed_sold(source), "sold"))
 
 
 def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -90,9 +89,8 @@ def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFra
 
 
 def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """The stored table of metrics, which the passes for bounds, flags and events read column-pruned."""
-    clean_rows = cleaned_sold(spark, folder, "OriginalListPrice", *columns, store=False)
-    return staged(stages.engineered_sold(clean_rows), "engineered")
+    """Metrics of the clean sold rows, a view on the stored typed table that passes read column-pruned."""
+    return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns))
 
 
 def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
