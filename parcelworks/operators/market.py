@@ -2,12 +2,13 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.logic import in_list, literal, number, quoted
 from parcelworks.operators.outliers import Pair
 from parcelworks.operators.quantiles import every_group_median, grouped_median
+from parcelworks.sources import versions
 
 # name: (column, aggregation, closed sales only)
 MEASURES = {
@@ -104,6 +105,29 @@ def measure_series(
     return by_month.groupBy("EventMonth").agg(F.expr(f"{uses[aggregation]} AS {measure}"))
 
 
+def published_measure(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    slicers: Mapping[str, Sequence[str]] = {},
+    first: str | None = None,
+    last: str | None = None,
+    version: int | None = None,
+) -> DataFrame:
+    """A measure of published events between two months, ``yyyy-MM``, both included; open where not given.
+
+    A version keeps a folder per month, so only the folders within the window are read, and of them
+    the columns of the slicers and the measure. Events without a month lie in no window. Slicers
+    and months that match nothing give no row.
+    """
+    events = versions.read_version(spark, root, version)
+    if first is not None:
+        events = events.filter(f"_month >= {literal(first)}")
+    if last is not None:
+        events = events.filter(f"_month <= {literal(last)}")
+    return measure_series(events, *MEASURES[name], slicers)
+
+
 def publication_audit(
     counts: DataFrame,
     events: DataFrame,

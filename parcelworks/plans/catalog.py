@@ -10,7 +10,7 @@ from parcelworks.functions.casts import clean_text, coercion_audit, parse_date,
 from parcelworks.functions.logic import quoted, with_exprs
 from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, lattice, market, metrics, outliers, profile, rank_index
 from parcelworks.plans import stages
-from parcelworks.sources import manifest, rates, sinks, versions, warehouse
+from parcelworks.sources import identities, manifest, rates, sinks, versions, warehouse
 from parcelworks.sources.split_csv import records_per_file
 from parcelworks.sources.staging import new_folder, staged
 from parcelworks.streaming import firsts, flagging, jobs, running
@@ -563,6 +563,23 @@ def measure_filtered(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def measure_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Four months of a measure for two slicers, from the month folders of a published version."""
+    root = new_folder(spark, "published")
+    versions.publish(published_events(spark, folder), root, "YrMo")
+    chosen = {"City": ["Brand#1", "Brand#2", "Brand#3"], "PropertySubType": ["ECONOMY", "SMALL"]}
+    return rounded(
+        market.published_measure(spark, root, "measure_median_close_price", chosen, "1995-03", "1995-06")
+    )
+
+
+def new_identities(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of a full delivery whose identity an earlier one, of the first halves of months, did not have."""
+    root, events_table = new_folder(spark, "identities"), published_events(spark, folder)
+    identities.add(events_table.filter("day(EventDate) < 15"), root)
+    return identities.fresh(events_table, root).select("SourceDataset", "EventId", "YrMo")
+
+
 def slicer_lattice(spark: SparkSession, folder: str) -> DataFrame:
     """All five measures for three choices of slicers, from the stored counts alone."""
     path = new_folder(spark, "lattice")
@@ -807,6 +824,8 @@ QUERIES: dict[str, Query] = {
     "low_volume_months": low_volume_months,
     **{name: partial(measure, name) for name in market.MEASURES},
     "measure_filtered": measure_filtered,
+    "measure_window": measure_window,
+    "new_identities": new_identities,
     "slicer_lattice": slicer_lattice,
     "top_agents": partial(top_sellers, "ListAgentFullName"),
     "top_offices": partial(top_sellers, "ListOfficeName"),

@@ -8,7 +8,7 @@ from parcelworks import fixed
 from parcelworks.functions.casts import coerce, coercion_audit
 from parcelworks.operators import checks, clean, combine, duplicates, enrich, events, market, metrics, outliers, profile
 from parcelworks.plans import stages
-from parcelworks.sources import versions
+from parcelworks.sources import identities, versions
 from parcelworks.sources.csv_files import monthly_paths, read_files
 from parcelworks.sources.rates import observations, weekly_rates
 from parcelworks.sources.sinks import publishable, write_observed, write_table
@@ -192,25 +192,31 @@ def run(
 
 
 def publish_events(spark: SparkSession, events_table: DataFrame, extract: DataFrame, root: str, keep: Callable) -> None:
-    """Publish events and extract as versions, and report which events the version before did not have.
+    """Publish events and extract as versions, and report which events no version before had.
 
-    Only months whose rows have changed are written, and only they are compared with the version
-    before, by identity; events without one count as new whenever their month has changed.
+    Only months whose rows have changed are written, and only they are compared, by identity, with
+    the events ever published; events without one count as new whenever their month has changed.
+    Each run first stores the identities of the version it finds, so one that stops after its
+    version is out loses none.
     """
-    known = versions.versions(spark, f"{root}/market_events")
-    number = versions.publish(events_table, f"{root}/market_events", "YrMo")
-    versions.publish(extract, f"{root}/market_extract", "YrMo")
-    changed = [
-        row["month"] for row in versions.manifest(spark, f"{root}/market_events", number).filter(f"version = {number}").collect()
-    ]
-    if known and number == known[-1]:
-        changed = []
-    fresh = versions.read_version(spark, f"{root}/market_events", number, changed)
+    table, stored = f"{root}/market_events", f"{root}/identities"
+    known = versions.versions(spark, table)
     if known:
-        fresh = events.not_yet_published(fresh, versions.read_version(spark, f"{root}/market_events", known[-1], changed))
+        first = identities.known(spark, stored).isEmpty()
+        latest = versions.read_version(spark, table, known[-1], None if first else _written(spark, table, known[-1]))
+        identities.add(latest, stored)
+    number = versions.publish(events_table, table, "YrMo")
+    versions.publish(extract, f"{root}/market_extract", "YrMo")
+    changed = [] if known and number == known[-1] else _written(spark, table, number)
+    fresh = identities.fresh(versions.read_version(spark, table, number, changed), stored)
     keep("newly_published", fresh.groupBy("YrMo", "SourceDataset").agg(F.expr("count(*) AS new_events")))
 
 
+def _written(spark: SparkSession, root: str, version: int) -> list[str | None]:
+    """The months that a version wrote itself."""
+    return [row["month"] for row in versions.manifest(spark, root, version).filter(f"version = {version}").collect()]
+
+
 def with_row_hash(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Adds a hash of the row, the last tie-breaker among rows of one file."""
     return df.selectExpr("*", f"xxhash64({', '.join(f'`{name}`' for name in columns or df.columns)}) AS row_hash")

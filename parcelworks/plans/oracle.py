@@ -926,6 +926,19 @@ ORACLE: dict[str, str] = {
         True,
         """"City" IN ('Brand#1', 'Brand#2', 'Brand#3') AND "PropertySubType" IN ('ECONOMY', 'SMALL')""",
     ),
+    "measure_window": _measure(
+        'round(quantile_cont("ClosePrice", 0.5), 6)',
+        "ClosePrice",
+        True,
+        """"City" IN ('Brand#1', 'Brand#2', 'Brand#3') AND "PropertySubType" IN ('ECONOMY', 'SMALL')
+        AND "EventDate" >= DATE '1995-03-01' AND "EventDate" < DATE '1995-07-01'""",
+    ),
+    "new_identities": _over(
+        "events",
+        """SELECT "SourceDataset", "EventId", "YrMo" FROM events_kept k
+        WHERE NOT EXISTS (SELECT 1 FROM events_kept e WHERE e."SourceDataset" = k."SourceDataset"
+          AND e."EventId" = k."EventId" AND day(e."EventDate") < 15)""",
+    ),
     "top_agents": _ranking("ListAgentFullName"),
     "top_offices": _ranking("ListOfficeName"),
     "publication_audit": _over(
