@@ -1,27 +1,25 @@
 """The first row of every identity on a stream, as the batch keeps it, whatever order rows arrive in.
 
-State holds, per identity, the place of the first row so far in the total order. A row that comes
-before it takes its place and goes out as a correction, numbered above what it corrects; all others
-go no further. The table of what went out has, per identity, its highest correction as the row of
-the batch.
+State holds, per identity, the first row so far in the total order, as a streaming aggregation. A row
+that comes before it takes its place and goes out as a correction, numbered above what it corrects;
+all others go no further. The table of what went out has, per identity, its highest correction as
+the row of the batch.
 """
 
-import struct
 import threading
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from parcelworks.functions.logic import literal, quoted
 from parcelworks.operators.events import DEDUPE_KEY
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-REAL = ("float", "double")
+ORDERED = ("tinyint", "smallint", "int", "bigint", "string", "date", "timestamp", "float", "double")
 _setting = threading.Lock()
 
 
@@ -38,70 +36,44 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
 
 
 def place_in_order(df: DataFrame, order: Sequence[str]) -> str:
-    """SQL text of a string that sorts as the columns do, missing values first, as in the batch.
-
-    Reals stand in it as they are written, see ``_sortable``.
-    """
-    parts = []
+    """SQL text of a struct that sorts as the columns do, missing values first, as in the batch."""
     for name in order:
-        column, kind = quoted(name), df.schema[name].dataType.simpleString()
-        if kind in ("tinyint", "smallint", "int", "bigint"):
-            text = f"lpad(string(CAST({column} AS decimal(20, 0)) + 9223372036854775808), 20, '0')"
-        elif kind in ("string", "date"):
-            text = f"string({column})"
-        elif kind == "timestamp":
-            text = f"lpad(string(CAST(unix_micros({column}) AS decimal(20, 0)) + 9223372036854775808), 20, '0')"
-        elif kind in REAL:
-            text = f"string({column} + 0)"
-        else:
+        kind = df.schema[name].dataType.simpleString()
+        if kind not in ORDERED:
             raise ValueError(f"rows cannot be put in order by {name}, which is {kind}")
-        parts.append(f"coalesce(concat('1', {text}), '0')")
-    # the separator sorts before every other character
-    return f"concat_ws('\\u0000', {', '.join(parts)})"
-
-
-def _sortable(place: str, reals: Sequence[int]) -> str:
-    """A place in which each written real has become the ordered bits of its double."""
-    parts = place.split("\0")
-    for part in reals:
-        if parts[part] != "0":
-            (bits,) = struct.unpack(">Q", struct.pack(">d", float(parts[part][1:])))
-            bits = bits ^ (1 << 64) - 1 if bits >> 63 else bits | 1 << 63
-            parts[part] = f"1{bits:016x}"
-    return "\0".join(parts)
-
-
-def _first_rows(reals: Sequence[int]) -> Callable:
-    def rows(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        place, correction = state.get if state.exists else (None, -1)
-        found = None
-        for batch in batches:
-            for given, payload in zip(batch["place"], batch["payload"]):
-                now = _sortable(given, reals)
-                if place is None or now < place:
-                    place, found = now, payload
-        if found is not None:
-            state.update((place, correction + 1))
-            yield pd.DataFrame({"payload": [found], "correction": [correction + 1]})
-
-    return rows
+    return _struct({f"p{i}": quoted(name) for i, name in enumerate(order)})
+
+
+def _struct(fields: Mapping[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"{literal(name)}, {value}" for name, value in fields.items()) + ")"
 
 
 def first_on_stream(events: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(payload, correction) of each row that is the first of its identity when it arrives.
+    """(event, is_new) of each row that is the first of its identity when it arrives.
 
-    ``payload`` is the row as JSON. A missing identity is one identity. A micro-batch sends one row
-    per identity at most; an identity with very many rows is one group of one task, of which an
-    Arrow batch at a time is held.
+    ``event`` is the row as a struct, ``is_new`` says that its identity has not been seen before. A
+    missing identity is one identity. A micro-batch sends one row per identity at most, and each task
+    sends one row per identity to the state. A place ends with the time of its micro-batch, so a row
+    has changed if that is the time of this one, and of equal places the one that came before stays.
     """
-    packed = events.selectExpr(
+    groups = [f"k{i}" for i in range(len(key))]
+    rest = [name for name in events.columns if name not in key and name not in order]
+    placed = events.selectExpr(
+        # rows are sorted by their identity, and hashes are faster to compare
+        f"xxhash64({', '.join(map(quoted, key))}) AS h",
         *[f"{quoted(name)} AS k{i}" for i, name in enumerate(key)],
-        f"{place_in_order(events, order)} AS place",
-        "to_json(struct(*), map('timestampFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")) AS payload",
+        f"named_struct('place', {place_in_order(events, order)}, 'arrived', current_timestamp()) AS place",
+        f"{_struct({'r': 'true'} | {f'r{i}': quoted(name) for i, name in enumerate(rest)})} AS rest",
+        "current_timestamp() AS arrived",
+    )
+    first = placed.groupBy("h", *groups).agg(
+        F.expr("min(place) AS place"), F.expr("min_by(rest, place) AS rest"), F.expr("min(arrived) AS seen")
     )
-    reals = [place for place, name in enumerate(order) if events.schema[name].dataType.simpleString() in REAL]
-    return packed.groupBy(*[f"k{i}" for i in range(len(key))]).applyInPandasWithState(
-        _first_rows(reals), "payload string, correction long", "place string, correction long", "update", GroupStateTimeout.NoTimeout
+    found = {name: f"k{i}" for i, name in enumerate(key)}
+    found = {name: f"place.place.p{i}" for i, name in enumerate(order)} | found | {name: f"rest.r{i}" for i, name in enumerate(rest)}
+    event = _struct({name: found[name] for name in events.columns})
+    return first.filter("place.arrived = current_timestamp()").selectExpr(
+        f"{event} AS event", "seen = current_timestamp() AS is_new"
     )
 
 
@@ -110,11 +82,13 @@ def land_first(
 ) -> StreamingQuery:
     """Land the first rows of everything that has arrived; then stop. ``landed_first`` reads them.
 
-    A batch that is run again overwrites its own folder with the same rows.
+    The first row of an identity is correction 0, each later one has the number of its batch. A batch
+    that is run again overwrites its own folder with the same rows.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        numbered = batch.selectExpr("event", f"CASE WHEN is_new THEN 0L ELSE {number}L END AS correction")
+        numbered.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     with state_on_disk(events.sparkSession):
         return (
@@ -129,12 +103,11 @@ def land_first(
 
 def landed_first(spark: SparkSession, path: str, schema, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:
     """The first row of every identity so far, in the columns of ``schema``."""
-    kinds = schema if isinstance(schema, str) else ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
-    landed = spark.read.schema("payload string, correction long, batch long").parquet(path)
-    parsed = landed.selectExpr(
-        f"from_json(payload, {literal(kinds)}, map('timestampFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")) AS event", "correction"
-    )
-    latest = parsed.groupBy(*[F.col(f"event.{quoted(name)}").alias(f"k{i}") for i, name in enumerate(key)]).agg(
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    stored = T.StructType().add("event", kinds).add("correction", "long").add("batch", "long")
+    landed = spark.read.schema(stored).parquet(path)
+    keys = [f"event.{quoted(name)}" for name in key]
+    latest = landed.groupBy(F.expr(f"xxhash64({', '.join(keys)})").alias("h"), *[F.col(one).alias(f"k{i}") for i, one in enumerate(keys)]).agg(
         F.expr("max_by(event, correction) AS event")
     )
     return latest.select("event.*")
