@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from parcelworks import fixed
 from parcelworks.functions.casts import missing, number_of
 from parcelworks.functions.logic import holds, literal, percent, quoted, rows_of
-from parcelworks.operators.quantiles import long_values, quantiles
+from parcelworks.operators.quantiles import long_values, quantiles, with_field
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def iqr_counts(values: DataFrame, bounds: DataFrame) -> DataFrame:
         "outlier_count": BEYOND,
     }
     return (
-        values.join(F.broadcast(bounds), "field", "left")
+        with_field(values, bounds, "LEFT")
         .groupBy("field", "q1", "median", "q3", "iqr", "lower_bound", "upper_bound")
         .agg(*[F.expr(f"sum(CASE WHEN {test} THEN rows ELSE 0 END) AS {name}") for name, test in totals.items()])
     )
@@ -121,7 +121,7 @@ def displayed(values: DataFrame, between=fixed.DISPLAY_RANGE) -> DataFrame:
     """
     ends = quantiles(values, {"low": between[0], "high": between[1]})
     return (
-        values.join(F.broadcast(ends), "field")
+        with_field(values, ends)
         .filter("value IS NOT NULL AND (value BETWEEN low AND high OR low = high)")
         .select("field", "value", "rows")
     )
@@ -181,7 +181,7 @@ def box_stats(df: DataFrame, columns: Sequence[str] = fixed.PROFILE_COLUMNS) ->
         f"sum(CASE WHEN {BEYOND} THEN rows ELSE 0 END) AS fliers",
     ]
     return (
-        shown.join(F.broadcast(iqr_bounds(shown)), "field")
+        with_field(shown, iqr_bounds(shown))
         .groupBy("field", "q1", "median", "q3")
         .agg(*[F.expr(text) for text in totals])
         .select("field", "rows", "q1", "median", "q3", "whisker_low", "whisker_high", "fliers")

@@ -36,21 +36,29 @@ def _with_bits(values: str, keys: str) -> str:
     """SQL text of ``values`` with ``bits``, the ordered whole number of each value.
 
     The exponent is found by a logarithm and set right by comparison with powers of two; the rest
-    of the division by a power of two is exact. Values below the smallest normal number are whole
-    multiples of 2**-1074.
+    of the division by a power of two is exact. From 2**-19 up to 2**41 the powers are shifted ones,
+    far cheaper than ``pow``, and values are compared times 2**20. Values below the smallest normal
+    number are whole multiples of 2**-1074.
     """
+    usual = "far >= 1.9073486328125E-6D AND far < 2199023255552D"
     return f"""
       SELECT {keys}, value, rows, CASE WHEN value < 0 THEN -size ELSE size END AS bits
       FROM (
         SELECT *, CASE
           WHEN value IS NULL THEN NULL
+          WHEN {usual} THEN (power + 1023L) * 4503599627370496L
+            + bigint((far * 1048576D / shiftleft(1L, int(power + 20L)) - 1D) * 4503599627370496D)
           WHEN far = 0 THEN 0L
           WHEN far > 1.7976931348623157E308D THEN 2047L * 4503599627370496L
           WHEN far < 2.2250738585072014E-308D THEN bigint(far * pow(2D, 537) * pow(2D, 537))
           ELSE (power + 1023L) * 4503599627370496L + bigint((far / pow(2D, power) - 1D) * 4503599627370496D)
           END AS size
         FROM (
-          SELECT *, guess + CASE WHEN pow(2D, guess) > far THEN -1 WHEN pow(2D, guess + 1) <= far THEN 1 ELSE 0 END AS power
+          SELECT *, guess + CASE
+            WHEN {usual} THEN CASE
+              WHEN shiftleft(1L, int(guess + 20L)) > far * 1048576D THEN -1
+              WHEN shiftleft(1L, int(guess + 21L)) <= far * 1048576D THEN 1 ELSE 0 END
+            WHEN pow(2D, guess) > far THEN -1 WHEN pow(2D, guess + 1) <= far THEN 1 ELSE 0 END AS power
           FROM (
             SELECT *, bigint(floor(log2(CASE WHEN far BETWEEN 2.2250738585072014E-308D AND 1.7976931348623157E308D
               THEN far ELSE 1D END))) AS guess
@@ -133,6 +141,14 @@ def quantiles(
     located = "located"
     same = all_equal([f"f.{quoted(key)}" for key in names], [f"l.{quoted(key)}" for key in names])
     chosen = ", ".join(f"f.{quoted(key)}" for key in names)
+    if few:
+        # both finer passes read what one scan leaves: the values of the located bins, each once a group
+        parts.append(
+            f"""near AS (
+              SELECT /*+ BROADCAST(l) */ {chosen}, f.value, sum(f.rows) AS rows
+              FROM {{values}} f JOIN located l ON {_met("f", "l", names)} AND f.value BETWEEN l.least AND l.most
+              GROUP BY ALL)"""
+        )
     for shift, finer in zip(SHIFTS, SHIFTS[1:]):
         # null-safe equality keeps the missing group and lets all passes read the same scan
         of_bin = "l.bin AS within, l.n, l.before, l.ranks, f.rows, f.value"
@@ -141,7 +157,7 @@ def quantiles(
             parts += [
                 f"""near_{finer} AS (
                   SELECT /*+ BROADCAST(l) */ {chosen}, {of_bin}
-                  FROM {{values}} f JOIN {located} l ON {same} AND f.value BETWEEN l.least AND l.most)""",
+                  FROM near f JOIN {located} l ON {same} AND f.value BETWEEN l.least AND l.most)""",
                 f"within_{finer} AS ({_with_bits(f'near_{finer}', f'{keys}, within, n, before, ranks')})",
             ]
         else:
@@ -171,6 +187,30 @@ def quantiles(
     return values.sparkSession.sql(query, **given)
 
 
+def _met(left: str, right: str, names: Sequence[str]) -> str:
+    """SQL text of null-safe equality of columns, for a join of all values with a few broadcast rows.
+
+    The hash alone is the join's key: a number is looked up several times faster than texts are. The
+    equality is written as two comparisons, which are no keys.
+    """
+    hashes = " = ".join(f"xxhash64({', '.join(f'{side}.{quoted(name)}' for name in names)})" for side in (left, right))
+    same = [
+        f"({a} >= {b} AND {a} <= {b} OR {a} IS NULL AND {b} IS NULL)"
+        for a, b in ((f"{left}.{quoted(name)}", f"{right}.{quoted(name)}") for name in names)
+    ]
+    return " AND ".join([hashes, *same])
+
+
+def with_field(values: DataFrame, per_field: DataFrame, kind: str = "INNER") -> DataFrame:
+    """``values`` with the other columns of ``per_field``, which has a row per field and is broadcast."""
+    others = ", ".join(f"p.{quoted(name)}" for name in per_field.columns if name != "field")
+    return values.sparkSession.sql(
+        f"SELECT /*+ BROADCAST(p) */ v.*, {others} FROM {{values}} v {kind} JOIN {{per_field}} p ON {_met('v', 'p', ['field'])}",
+        values=values,
+        per_field=per_field,
+    )
+
+
 def few_groups(df: DataFrame, by: Sequence[str], limit: int = GROUPS_TO_BROADCAST) -> bool:
     """Whether the groups are at most ``limit``; one pass over the group columns."""
     return df.select(*map(quoted, by)).distinct().limit(limit + 1).count() <= limit

@@ -1,7 +1,9 @@
 """Steps that grow with the tables: what they send, sort and read, and that they give the rows of before."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from parcelworks.operators.quantiles import long_values, quantiles, with_field
 from parcelworks.streaming import firsts
 
 SALES = "EventId string, SourceMonth string, price double, note string"
@@ -26,3 +28,21 @@ def test_first_rows_on_a_stream_are_an_aggregation(spark, tmp_path):
     # rows that change nothing go no further, nor do equal ones
     sent = spark.read.parquet(path).filter("batch = 1").select(F.col("event.note"), "correction").collect()
     assert [tuple(row) for row in sent] == [("early", 1)]
+
+
+def test_quartiles_scan_the_values_twice(spark, tmp_path):
+    """Three scans before; both finer passes read what the second one leaves."""
+    rows = [(float(n % 97) * 1.7 ** (n % 5), float(n)) for n in range(2000)] + [(None, -0.0), (-3.5, 1e300), (5e-324, 1e-7)]
+    spark.createDataFrame(rows, "a double, b double").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    found = quantiles(long_values(table, ["a", "b"]), {"q1": 0.25, "q3": 0.75})
+    for row in found.collect():
+        values = [one for one in (r["ab".index(row.field)] for r in rows) if one is not None]
+        assert row.n == len(values) and [row.q1, row.q3] == [float(np.quantile(values, p)) for p in (0.25, 0.75)]
+    # passes that aggregate the same values alike share one exchange
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("keys=[field") and "xxhash64" in plan
+    with_fields = long_values(table, ["a", "b"])
+    ends = spark.createDataFrame([("a", 1.0)], "field string, low double")
+    assert {row.low for row in with_field(with_fields, ends).collect()} == {1.0}
+    assert {(row.field, row.low) for row in with_field(with_fields, ends, "LEFT").collect()} == {("a", 1.0), ("b", None)}
