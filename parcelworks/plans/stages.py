@@ -8,7 +8,7 @@ from parcelworks.operators.checks import check_rows, require_columns
 from parcelworks.operators.clean import clean_rows, listing_rules, sold_rules
 from parcelworks.operators.combine import keep_category
 from parcelworks.operators.enrich import with_rates
-from parcelworks.operators.events import DEDUPE_KEY, first_of_each, listing_events, sale_events, sale_records
+from parcelworks.operators.events import DEDUPE_KEY, first_of_each, identified_sales, listing_events, sale_events, with_sellers
 from parcelworks.operators.metrics import engineer
 from parcelworks.operators.outliers import Pair, as_bounds, bounds_table, with_outlier_flags
 
@@ -92,7 +92,11 @@ def market_events(events: DataFrame, tie_breakers=()) -> DataFrame:
 
 
 def sales_table(kept: DataFrame, bounds: Pair, tie_breakers=()) -> DataFrame:
-    """One sales record per closed-sale identity, chosen as for the events."""
+    """One sales record per closed-sale identity, chosen as for the events.
+
+    Names are made after the choice: all columns at once are more code than the JVM compiles.
+    """
     order = arrival_order(tie_breakers)
-    records = sale_records(kept, bounds, order)
-    return first_of_each(records, ["EventId"], order).select(*fixed.SALE_COLUMNS)
+    names = ["ListAgentFirstName", "ListAgentLastName"]
+    sales = identified_sales(kept, bounds).select(*dict.fromkeys([*fixed.SALE_COLUMNS, *names, *order]))
+    return with_sellers(first_of_each(sales, ["EventId"], order)).select(*fixed.SALE_COLUMNS)
