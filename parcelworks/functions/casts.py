@@ -8,6 +8,8 @@ from parcelworks.functions.logic import in_list, literal, quoted, rows_of, with_
 
 SPACES = "'" + "".join(f"\\u{ord(space):04x}" for space in fixed.WHITESPACE) + "'"
 
+BARE_TEXT = r"^[!-~](?s:.*[!-~])?\z"
+
 
 def strip(text: str) -> str:
     """Trim every kind of white space, not only blanks."""
@@ -15,8 +17,13 @@ def strip(text: str) -> str:
 
 
 def clean_text(column: str) -> str:
-    """Trim; text that is then empty becomes null."""
-    return f"nullif({strip(f'string({column})')}, '')"
+    """Trim; text that is then empty becomes null.
+
+    Text that begins and ends with a visible ASCII character has nothing to trim; a pattern sees that
+    in less than half the time of trying, and in so little code that wide rows are still compiled.
+    """
+    text = f"string({column})"
+    return f"nullif(CASE WHEN {text} RLIKE r'{BARE_TEXT}' THEN {text} ELSE {strip(text)} END, '')"
 
 
 def drop_nan(value: str) -> str:

@@ -66,7 +66,7 @@ def monthly_rates(spark: SparkSession, folder: str) -> DataFrame:
 def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Clean sold rows over the stored typed table, as the stages hand tables on.
 
-    The rate is joined only where a query asks for it.
+    The rate is joined only where a query asks for it, and only columns it asks for are stored.
     """
     names = dict.fromkeys([*SOLD_RULE_COLUMNS, *columns])
     source = warehouse.sold(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
@@ -74,7 +74,7 @@ def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         source = stages.enriched_sold(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "CloseDate")
-    return stages.clean_sold(staged(stages.typed_sold(source), "sold"))
+    return stages.clean_sold(staged(stages.typed_sold(source).select(*names), "sold"))
 
 
 def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -85,7 +85,7 @@ def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFra
         source = stages.enriched_listings(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "ListingContractDate")
-    return stages.clean_listings(staged(stages.typed_listings(source), "listings"))
+    return stages.clean_listings(staged(stages.typed_listings(source).select(*names), "listings"))
 
 
 def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -93,16 +93,16 @@ def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns))
 
 
-def kept_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, outliers.Pair]:
-    """Sales kept for analysis and the bounds of their ratio."""
-    table = engineered(spark, folder, *EVENT_INPUTS, *TIES, *SELLER_COLUMNS)
+def kept_sales(spark: SparkSession, folder: str, *columns: str) -> tuple[DataFrame, outliers.Pair]:
+    """Sales kept for analysis, with the inputs of events and ``columns``, and the bounds of their ratio."""
+    table = engineered(spark, folder, *EVENT_INPUTS, *TIES, *columns)
     kept = outliers.filtered(stages.flagged_sold(table))
     return kept, stages.ratio_bounds(kept)
 
 
-def every_event(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, outliers.Pair]:
-    """All events before deduplication, the kept sales and the ratio bounds."""
-    kept, bounds = kept_sales(spark, folder)
+def every_event(spark: SparkSession, folder: str, *columns: str) -> tuple[DataFrame, DataFrame, outliers.Pair]:
+    """All events before deduplication, the kept sales, with ``columns`` besides, and the ratio bounds."""
+    kept, bounds = kept_sales(spark, folder, *columns)
     listings = cleaned_listings(spark, folder, *EVENT_INPUTS, *[name for name in TIES if name in warehouse.LISTING_COLUMNS])
     return stages.all_events(kept, listings, bounds, TIES), kept, bounds
 
@@ -533,7 +533,7 @@ def dedupe_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def competitive_sales(spark: SparkSession, folder: str) -> DataFrame:
-    kept, bounds = kept_sales(spark, folder)
+    kept, bounds = kept_sales(spark, folder, *SELLER_COLUMNS)
     return rounded_rate(stages.sales_table(kept, bounds, TIES))
 
 
@@ -600,12 +600,12 @@ def slicer_lattice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_sellers(by: str, spark: SparkSession, folder: str) -> DataFrame:
-    kept, bounds = kept_sales(spark, folder)
+    kept, bounds = kept_sales(spark, folder, *SELLER_COLUMNS)
     return rounded(market.top_sellers(stages.sales_table(kept, bounds, TIES), by), 2)
 
 
 def publication_audit(spark: SparkSession, folder: str) -> DataFrame:
-    found, kept, bounds = every_event(spark, folder)
+    found, kept, bounds = every_event(spark, folder, *SELLER_COLUMNS)
     published = staged(stages.market_events(found, TIES), "events")
     return rounded(
         market.publication_audit(
