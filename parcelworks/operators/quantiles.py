@@ -141,14 +141,6 @@ def quantiles(
     located = "located"
     same = all_equal([f"f.{quoted(key)}" for key in names], [f"l.{quoted(key)}" for key in names])
     chosen = ", ".join(f"f.{quoted(key)}" for key in names)
-    if few:
-        # both finer passes read what one scan leaves: the values of the located bins, each once a group
-        parts.append(
-            f"""near AS (
-              SELECT /*+ BROADCAST(l) */ {chosen}, f.value, sum(f.rows) AS rows
-              FROM {{values}} f JOIN located l ON {_met("f", "l", names)} AND f.value BETWEEN l.least AND l.most
-              GROUP BY ALL)"""
-        )
     for shift, finer in zip(SHIFTS, SHIFTS[1:]):
         # null-safe equality keeps the missing group and lets all passes read the same scan
         of_bin = "l.bin AS within, l.n, l.before, l.ranks, f.rows, f.value"
@@ -157,7 +149,7 @@ def quantiles(
             parts += [
                 f"""near_{finer} AS (
                   SELECT /*+ BROADCAST(l) */ {chosen}, {of_bin}
-                  FROM near f JOIN {located} l ON {same} AND f.value BETWEEN l.least AND l.most)""",
+                  FROM {{values}} f JOIN {located} l ON {_met("f", "l", names)} AND f.value BETWEEN l.least AND l.most)""",
                 f"within_{finer} AS ({_with_bits(f'near_{finer}', f'{keys}, within, n, before, ranks')})",
             ]
         else:
