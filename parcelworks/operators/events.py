@@ -1,18 +1,21 @@
 """Market events and sales records, and their deduplication."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from parcelworks import fixed
 from parcelworks.functions.casts import clean_text, coerce
-from parcelworks.functions.logic import all_equal, literal, quoted, with_exprs
+from parcelworks.functions.logic import literal, quoted, with_exprs
 from parcelworks.operators.checks import only_category
 from parcelworks.operators.metrics import calendar_fields
 from parcelworks.operators.outliers import Pair, with_ratio_quality
+from parcelworks.sources.staging import staged
 
 EVENT_COLUMNS = list(fixed.EVENT_SCHEMA)
 DEDUPE_KEY = ["SourceDataset", "EventId"]
+#: hashes of repeated keys that are broadcast, some tens of megabytes
+REPEATED_TO_BROADCAST = 1_000_000
 
 
 def standardize_dimensions(df: DataFrame, columns: Sequence[str] = fixed.DIMENSION_COLUMNS) -> DataFrame:
@@ -41,7 +44,9 @@ def with_event_date(df: DataFrame, date_column: str) -> DataFrame:
     return calendar_fields(with_exprs(dated, {"EventDate": f"date({quoted(date_column)})"}), "EventDate")
 
 
-def _as_event(df: DataFrame, event_type: str, source: str, carry: Sequence[str]) -> DataFrame:
+def _as_event(
+    df: DataFrame, event_type: str, source: str, carry: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
     is_sale = int(event_type == fixed.CLOSED_SALE)
     return with_exprs(
         df,
@@ -53,31 +58,53 @@ def _as_event(df: DataFrame, event_type: str, source: str, carry: Sequence[str])
             "RecordCount": "1",
             "SourceDataset": literal(source),
         },
-    ).select(*EVENT_COLUMNS, *carry)
+    ).select(*columns, *carry)
+
+
+def _dimensions(columns: Sequence[str]) -> list[str]:
+    return [name for name in fixed.DIMENSION_COLUMNS if name in columns]
 
 
-def _prepared_sales(sold: DataFrame, ratio_bounds: Pair) -> DataFrame:
-    return with_ratio_quality(with_event_date(standardize_dimensions(sold), "CloseDate"), ratio_bounds)
+def _prepared_sales(
+    sold: DataFrame, ratio_bounds: Pair, dimensions: Sequence[str] = fixed.DIMENSION_COLUMNS
+) -> DataFrame:
+    dated = with_event_date(standardize_dimensions(sold, dimensions), "CloseDate")
+    return with_ratio_quality(dated, ratio_bounds)
+
+
+def repeated_inputs(
+    df: DataFrame, event_type: str, date: str, source: str, hashes: DataFrame
+) -> DataFrame:
+    """Rows whose event's ``DEDUPE_KEY`` has one of the hashes, before their events are made."""
+    return with_hash_among(df, [literal(source), event_id(event_type, "ListingKey", quoted(date))], hashes)
 
 
 def sale_events(
-    sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = (), source: str = fixed.SOLD_SOURCE
+    sold: DataFrame,
+    ratio_bounds: Pair,
+    carry: Sequence[str] = (),
+    source: str = fixed.SOLD_SOURCE,
+    columns: Sequence[str] = EVENT_COLUMNS,
 ) -> DataFrame:
-    """A closed-sale event per sold row; ``carry`` keeps columns that order duplicates."""
-    return _as_event(_prepared_sales(sold, ratio_bounds), fixed.CLOSED_SALE, source, carry)
+    """A closed-sale event per sold row, with ``columns`` of the event table; ``carry`` keeps columns that order duplicates."""
+    prepared = _prepared_sales(sold, ratio_bounds, _dimensions(columns))
+    return _as_event(prepared, fixed.CLOSED_SALE, source, carry, columns)
 
 
 def listing_events(
-    listings: DataFrame, carry: Sequence[str] = (), source: str = fixed.LISTING_SOURCE
+    listings: DataFrame,
+    carry: Sequence[str] = (),
+    source: str = fixed.LISTING_SOURCE,
+    columns: Sequence[str] = EVENT_COLUMNS,
 ) -> DataFrame:
     """A new-listing event per listing row, without any sale measure."""
     measures = ["ClosePrice", "DaysOnMarket", "CloseToOriginalListRatio", "PricePerSqFt"]
     flags = ["CloseToOriginalListRatioOutlierFlag", "CloseToOriginalListRatioEligible"]
     prepared = with_exprs(
-        with_event_date(standardize_dimensions(listings), "ListingContractDate"),
+        with_event_date(standardize_dimensions(listings, _dimensions(columns)), "ListingContractDate"),
         {name: "double(NULL)" for name in measures} | {name: "false" for name in flags},
     )
-    return _as_event(prepared, fixed.NEW_LISTING, source, carry)
+    return _as_event(prepared, fixed.NEW_LISTING, source, carry, columns)
 
 
 def sale_records(sold: DataFrame, ratio_bounds: Pair, carry: Sequence[str] = ()) -> DataFrame:
@@ -110,39 +137,54 @@ def with_sellers(sales: DataFrame) -> DataFrame:
     )
 
 
-def first_of_each(df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast: int = 0) -> DataFrame:
+def with_hash_among(df: DataFrame, key: Sequence[str], hashes: DataFrame, kind: str = "SEMI") -> DataFrame:
+    """Rows the hash of whose key expressions is among ``hashes``, which are broadcast; with ANTI, all others."""
+    return df.sparkSession.sql(
+        f"SELECT /*+ BROADCAST(h) */ d.* FROM {{df}} d LEFT {kind} JOIN {{hashes}} h ON xxhash64({', '.join(key)}) = h.hash",
+        df=df,
+        hashes=hashes,
+    )
+
+
+def first_of_each(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    broadcast: int = 0,
+    repeats: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The first row of every key in the given total order; a missing key is one key.
 
     Rows are gone through once. Spark keeps one row per key in each task before it shuffles (window
     group limit), so a key that repeats very often sends one row per task.
 
-    With ``broadcast``, for stored tables that are far wider than their key: repeated keys are
-    counted over the key columns alone, and where they are at most as many, only their rows are
-    ordered and all others stay where they are, unshuffled.
+    With ``broadcast``, hashes of keys that repeat are counted first, from the key columns alone, and
+    stored; where they are at most as many, only rows with such a hash are ordered, and all others
+    stay where they are, unshuffled. ``df`` is then gone through three times; give a stored table or
+    a view on one. ``repeats`` makes the rows of ``df`` for some hashes (see ``with_hash_among``), for
+    views that are costly to compute for all rows only to choose a few.
     """
     keys, by = ", ".join(map(quoted, key)), ", ".join(map(quoted, order))
+    # hashes are faster to compare than texts that begin alike
+    hashed = f"xxhash64({keys})"
 
     def first(rows: DataFrame) -> DataFrame:
-        # rows are sorted by their key, and hashes are faster to compare than texts that begin alike
-        within = f"xxhash64({keys}), {keys}"
-        placed = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {within} ORDER BY {by}) AS place")
+        placed = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {hashed}, {keys} ORDER BY {by}) AS place")
         return placed.filter("place = 1").drop("place")
 
     if not broadcast:
         return first(df)
-    repeated = df.select(*map(quoted, key)).groupBy(*map(quoted, key)).count().filter("count > 1").drop("count").limit(broadcast + 1)
-    few = repeated.collect()
-    if len(few) > broadcast:
+    counted = df.selectExpr(f"{hashed} AS hash").groupBy("hash").count()
+    repeated = staged(counted.filter("count > 1").select("hash"), "repeated")
+    found = repeated.count()
+    if found > broadcast:
         return first(df)
-    if not few:
+    if not found:
         return df
-    # at most ``broadcast`` keys, as counted
-    listed = df.sparkSession.createDataFrame(few, repeated.schema)
-    same = all_equal([f"d.{quoted(name)}" for name in key], [f"r.{quoted(name)}" for name in key])
-    query = "SELECT /*+ BROADCAST(r) */ d.* FROM {df} d LEFT {kind} JOIN {listed} r ON " + same
-    once = df.sparkSession.sql(query.replace("{kind}", "ANTI"), df=df, listed=listed)
-    often = df.sparkSession.sql(query.replace("{kind}", "SEMI"), df=df, listed=listed)
-    return once.union(first(often))
+    # at most ``broadcast`` hashes, as counted; keys that share a hash are told apart by ``first``
+    parts = [quoted(name) for name in key]
+    often = repeats(repeated).select(*map(quoted, df.columns)) if repeats else with_hash_among(df, parts, repeated)
+    return with_hash_among(df, parts, repeated, "ANTI").union(first(often))
 
 
 def dedupe_counts(events: DataFrame, key: Sequence[str] = DEDUPE_KEY) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries: each operator over domain data derived from a warehouse folder."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +31,17 @@ EVENT_INPUTS = [
     *fixed.DIMENSION_COLUMNS,
 ]
 
+#: the month and the kind of an event, by which measures choose
+MEASURED_EVENTS = ["EventDate", "EventType"]
+#: what the audit counts in the published events
+AUDITED_EVENTS = [
+    "EventType",
+    "YrMo",
+    "NewListings",
+    "ClosedSales",
+    "CloseToOriginalListRatioOutlierFlag",
+    "CloseToOriginalListRatioEligible",
+]
 SELLER_COLUMNS = ["ListAgentFullName", "ListAgentFirstName", "ListAgentLastName", "ListOfficeName", "BuyerOfficeName"]
 
 
@@ -63,54 +74,71 @@ def monthly_rates(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.monthly_rates(rates.observations(warehouse.weekly_rates(spark, folder)))
 
 
-def cleaned_sold(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def cleaned_sold(spark: SparkSession, folder: str, *columns: str, rated: bool = False) -> DataFrame:
     """Clean sold rows over the stored typed table, as the stages hand tables on.
 
-    The rate is joined only where a query asks for it, and only columns it asks for are stored.
+    The rate is joined only where a query asks for it or has it as a stage (``rated``), and only
+    columns it asks for are stored; a rate that is not stored is one that Spark need not look up.
     """
     names = dict.fromkeys([*SOLD_RULE_COLUMNS, *columns])
     source = warehouse.sold(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
-    if fixed.RATE_COLUMN in names:
+    if rated or fixed.RATE_COLUMN in names:
         source = stages.enriched_sold(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "CloseDate")
     return stages.clean_sold(staged(stages.typed_sold(source).select(*names), "sold"))
 
 
-def cleaned_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def cleaned_listings(spark: SparkSession, folder: str, *columns: str, rated: bool = False) -> DataFrame:
     """Clean listing rows over the stored typed table."""
     names = dict.fromkeys([*LISTING_RULE_COLUMNS, *columns])
     source = warehouse.listings(spark, folder, *[name for name in names if name != fixed.RATE_COLUMN])
-    if fixed.RATE_COLUMN in names:
+    if rated or fixed.RATE_COLUMN in names:
         source = stages.enriched_listings(source, monthly_rates(spark, folder))
     else:
         source = enrich.dated(combine.keep_category(source), "ListingContractDate")
     return stages.clean_listings(staged(stages.typed_listings(source).select(*names), "listings"))
 
 
-def engineered(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def engineered(spark: SparkSession, folder: str, *columns: str, rated: bool = False) -> DataFrame:
     """Metrics of the clean sold rows, a view on the stored typed table that passes read column-pruned."""
-    return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns))
+    return stages.engineered_sold(cleaned_sold(spark, folder, "OriginalListPrice", *columns, rated=rated))
+
+
+def event_inputs(wanted: Sequence[str]) -> list[str]:
+    """The inputs of events with the ``wanted`` columns."""
+    return [name for name in EVENT_INPUTS if name in ("ListingKey", "SourceMonth", *wanted)]
 
 
-def kept_sales(spark: SparkSession, folder: str, *columns: str) -> tuple[DataFrame, outliers.Pair]:
-    """Sales kept for analysis, with the inputs of events and ``columns``, and the bounds of their ratio."""
-    table = engineered(spark, folder, *EVENT_INPUTS, *TIES, *columns)
+def kept_sales(
+    spark: SparkSession, folder: str, *columns: str, wanted: Sequence[str] = events.EVENT_COLUMNS
+) -> tuple[DataFrame, outliers.Pair]:
+    """Sales kept for analysis, with the inputs of ``wanted`` event columns and ``columns``, and the bounds of their ratio."""
+    table = engineered(spark, folder, *event_inputs(wanted), *TIES, *columns, rated=True)
     kept = outliers.filtered(stages.flagged_sold(table))
     return kept, stages.ratio_bounds(kept)
 
 
-def every_event(spark: SparkSession, folder: str, *columns: str) -> tuple[DataFrame, DataFrame, outliers.Pair]:
-    """All events before deduplication, the kept sales, with ``columns`` besides, and the ratio bounds."""
-    kept, bounds = kept_sales(spark, folder, *columns)
-    listings = cleaned_listings(spark, folder, *EVENT_INPUTS, *[name for name in TIES if name in warehouse.LISTING_COLUMNS])
-    return stages.all_events(kept, listings, bounds, TIES), kept, bounds
+def every_event(
+    spark: SparkSession, folder: str, *columns: str, wanted: Sequence[str] = events.EVENT_COLUMNS
+) -> tuple[DataFrame, Callable[[], DataFrame], DataFrame, outliers.Pair]:
+    """All events before deduplication with the ``wanted`` columns, a maker of those kept, the kept sales, with
+    ``columns`` besides, and the ratio bounds."""
+    wanted = [*events.DEDUPE_KEY, *[name for name in wanted if name not in events.DEDUPE_KEY]]
+    kept, bounds = kept_sales(spark, folder, *columns, wanted=wanted)
+    ties = [name for name in TIES if name in warehouse.LISTING_COLUMNS]
+    listings = cleaned_listings(spark, folder, *event_inputs(wanted), *ties, rated=True)
+    found = stages.all_events(kept, listings, bounds, TIES, wanted)
+    among = stages.events_among(kept, listings, bounds, TIES, wanted)
+    return found, lambda: stages.market_events(found, TIES, among), kept, bounds
 
 
-def published_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored event table the market measures read."""
-    found, _, _ = every_event(spark, folder)
-    return staged(stages.market_events(found, TIES), "events")
+def published_events(
+    spark: SparkSession, folder: str, wanted: Sequence[str] = events.EVENT_COLUMNS
+) -> DataFrame:
+    """The stored event table the market measures read: the ``wanted`` columns of all events."""
+    _, firsts_of, _, _ = every_event(spark, folder, wanted=wanted)
+    return staged(firsts_of().select(*wanted), "events")
 
 
 # ---- combining files ----------------------------------------------------------------------
@@ -508,8 +536,8 @@ def event_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def market_events(spark: SparkSession, folder: str) -> DataFrame:
-    found, _, _ = every_event(spark, folder)
-    return rounded_rate(stages.market_events(found, TIES))
+    _, firsts_of, _, _ = every_event(spark, folder)
+    return rounded_rate(firsts_of())
 
 
 def republished_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -528,7 +556,7 @@ def event_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedupe_counts(spark: SparkSession, folder: str) -> DataFrame:
-    found, _, _ = every_event(spark, folder)
+    found, _, _, _ = every_event(spark, folder)
     return events.dedupe_counts(found)
 
 
@@ -538,29 +566,30 @@ def competitive_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish_extract(spark: SparkSession, folder: str) -> DataFrame:
-    found, _, _ = every_event(spark, folder)
-    return rounded_rate(sinks.publishable(stages.market_events(found, TIES)))
+    _, firsts_of, _, _ = every_event(spark, folder)
+    return rounded_rate(sinks.publishable(firsts_of()))
 
 
 def monthly_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(market.monthly_summary(published_events(spark, folder)))
+    wanted = ["YrMo", "NewListings", "ClosedSales", "ClosePrice", "DaysOnMarket", fixed.RATIO_COLUMN]
+    return rounded(market.monthly_summary(published_events(spark, folder, wanted)))
 
 
 def low_volume_months(spark: SparkSession, folder: str) -> DataFrame:
-    found, _, _ = every_event(spark, folder)
-    return market.with_low_volume(market.monthly_volumes(stages.market_events(found, TIES)))
+    _, firsts_of, _, _ = every_event(spark, folder)
+    return market.with_low_volume(market.monthly_volumes(firsts_of()))
 
 
 def measure(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(market.measure_series(published_events(spark, folder), *market.MEASURES[name]))
+    wanted = [*MEASURED_EVENTS, market.MEASURES[name][0]]
+    return rounded(market.measure_series(published_events(spark, folder, wanted), *market.MEASURES[name]))
 
 
 def measure_filtered(spark: SparkSession, folder: str) -> DataFrame:
     chosen = {"City": ["Brand#1", "Brand#2", "Brand#3"], "PropertySubType": ["ECONOMY", "SMALL"]}
     column, aggregation, closed_only = market.MEASURES["measure_median_close_price"]
-    return rounded(
-        market.measure_series(published_events(spark, folder), column, aggregation, closed_only, chosen)
-    )
+    found = published_events(spark, folder, [*MEASURED_EVENTS, *chosen, column])
+    return rounded(market.measure_series(found, column, aggregation, closed_only, chosen))
 
 
 def measure_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -575,7 +604,8 @@ def measure_window(spark: SparkSession, folder: str) -> DataFrame:
 
 def new_identities(spark: SparkSession, folder: str) -> DataFrame:
     """Events of a full delivery whose identity an earlier one, of the first halves of months, did not have."""
-    root, events_table = new_folder(spark, "identities"), published_events(spark, folder)
+    wanted = [*events.DEDUPE_KEY, "EventDate", "YrMo"]
+    root, events_table = new_folder(spark, "identities"), published_events(spark, folder, wanted)
     identities.add(events_table.filter("day(EventDate) < 15"), root)
     return identities.fresh(events_table, root).select("SourceDataset", "EventId", "YrMo")
 
@@ -583,7 +613,8 @@ def new_identities(spark: SparkSession, folder: str) -> DataFrame:
 def slicer_lattice(spark: SparkSession, folder: str) -> DataFrame:
     """All five measures for three choices of slicers, from the stored counts alone."""
     path = new_folder(spark, "lattice")
-    lattice.store_lattice(published_events(spark, folder), path)
+    measured = [column for column, _, _ in market.MEASURES.values()]
+    lattice.store_lattice(published_events(spark, folder, [*MEASURED_EVENTS, *fixed.SLICER_COLUMNS, *measured]), path)
     choices = {
         "all": {},
         "city": {"City": ["Brand#1", "Brand#2", "Brand#3"]},
@@ -605,8 +636,8 @@ def top_sellers(by: str, spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publication_audit(spark: SparkSession, folder: str) -> DataFrame:
-    found, kept, bounds = every_event(spark, folder, *SELLER_COLUMNS)
-    published = staged(stages.market_events(found, TIES), "events")
+    found, firsts_of, kept, bounds = every_event(spark, folder, *SELLER_COLUMNS)
+    published = staged(firsts_of().select(*AUDITED_EVENTS), "events")
     return rounded(
         market.publication_audit(
             events.dedupe_counts(found),

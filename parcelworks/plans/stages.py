@@ -1,5 +1,7 @@
 """The stages from combined records to published tables, as DataFrame compositions."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from parcelworks import fixed
@@ -8,9 +10,20 @@ from parcelworks.operators.checks import check_rows, require_columns
 from parcelworks.operators.clean import clean_rows, listing_rules, sold_rules
 from parcelworks.operators.combine import keep_category
 from parcelworks.operators.enrich import with_rates
-from parcelworks.operators.events import DEDUPE_KEY, first_of_each, identified_sales, listing_events, sale_events, with_sellers
+from parcelworks.operators.events import (
+    DEDUPE_KEY,
+    EVENT_COLUMNS,
+    REPEATED_TO_BROADCAST,
+    first_of_each,
+    identified_sales,
+    listing_events,
+    repeated_inputs,
+    sale_events,
+    with_sellers,
+)
 from parcelworks.operators.metrics import engineer
 from parcelworks.operators.outliers import Pair, as_bounds, bounds_table, with_outlier_flags
+from parcelworks.sources.staging import staged
 
 
 def enriched_sold(sold: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -75,20 +88,48 @@ def arrival_order(tie_breakers) -> list[str]:
     return ["SourceMonth", *tie_breakers]
 
 
-def all_events(kept: DataFrame, listings: DataFrame, bounds: Pair, tie_breakers=()) -> DataFrame:
-    """Sale and listing events of every input row, duplicates included."""
+def all_events(
+    kept: DataFrame, listings: DataFrame, bounds: Pair, tie_breakers=(), columns=EVENT_COLUMNS
+) -> DataFrame:
+    """Sale and listing events of every input row, duplicates included, with ``columns`` of the event table."""
     order = arrival_order(tie_breakers)
-    sales = sale_events(kept, bounds, order)
+    sales = sale_events(kept, bounds, order, columns=columns)
     return sales.unionByName(
-        listing_events(listings, [name for name in order if name in listings.columns]),
+        listing_events(listings, [name for name in order if name in listings.columns], columns=columns),
         allowMissingColumns=True,
     )
 
 
-def market_events(events: DataFrame, tie_breakers=()) -> DataFrame:
-    """One row per event identity and source."""
-    kept = first_of_each(events, DEDUPE_KEY, arrival_order(tie_breakers))
-    return kept.select(*fixed.EVENT_SCHEMA)
+def events_among(
+    kept: DataFrame, listings: DataFrame, bounds: Pair, tie_breakers=(), columns=EVENT_COLUMNS
+) -> Callable[[DataFrame], DataFrame]:
+    """``all_events`` whose identities have given hashes, for typed dates: rows are chosen before events are made.
+
+    The chosen rows are stored: choosing and making events at once is more code than the JVM compiles.
+    """
+
+    def rows_of(df: DataFrame, event_type: str, date: str, source: str, hashes: DataFrame) -> DataFrame:
+        names = {date, "ListingKey", fixed.RATIO_COLUMN, *arrival_order(tie_breakers), *columns}
+        needed = df.select(*[name for name in df.columns if name in names])
+        return staged(repeated_inputs(needed, event_type, date, source, hashes), "repeated-inputs")
+
+    def chosen(hashes: DataFrame) -> DataFrame:
+        sales = rows_of(kept, fixed.CLOSED_SALE, "CloseDate", fixed.SOLD_SOURCE, hashes)
+        listed = rows_of(listings, fixed.NEW_LISTING, "ListingContractDate", fixed.LISTING_SOURCE, hashes)
+        return all_events(sales, listed, bounds, tie_breakers, columns)
+
+    return chosen
+
+
+def market_events(
+    events: DataFrame, tie_breakers=(), among: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """One row per event identity and source, with the columns of the event table that ``events`` has.
+
+    ``among`` are the ``events_among`` the same inputs, which spare making all events to choose repeated ones.
+    """
+    kept = first_of_each(events, DEDUPE_KEY, arrival_order(tie_breakers), REPEATED_TO_BROADCAST, among)
+    return kept.select(*[name for name in fixed.EVENT_SCHEMA if name in events.columns])
 
 
 def sales_table(kept: DataFrame, bounds: Pair, tie_breakers=()) -> DataFrame:
