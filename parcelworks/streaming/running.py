@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parcelworks.operators.market import with_low_volume
 from parcelworks.operators.quantiles import quantiles
+from parcelworks.sources.staging import staged
 from parcelworks.streaming.firsts import state_on_disk
 
 # name: (sum, type), in the order of the state's values
@@ -61,8 +62,12 @@ def running_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def running_measures(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """``market.monthly_summary`` of everything counted so far, medians exact."""
-    counted = running_counts(spark, checkpoint)
+    """``market.monthly_summary`` of everything counted so far, medians exact.
+
+    The state is read once and its counts are stored as a hand-off table: the four passes of the
+    sums and the quantiles would each load all of it again.
+    """
+    counted = staged(running_counts(spark, checkpoint), "running-counts")
     sums = counted.groupBy("YrMo").agg(
         F.expr("coalesce(sum(NewListings), 0L) AS NewListings"),
         F.expr("coalesce(sum(ClosedSales), 0L) AS ClosedSales"),

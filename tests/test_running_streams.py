@@ -117,3 +117,14 @@ def test_flags_equal_the_batch_of_the_same_bounds(spark, tmp_path):
     flagging.flag_arriving(spark.readStream.schema(SALES).parquet(source), root, path, str(tmp_path / "c")).awaitTermination()
     found = flagging.flagged_rows(spark, path).drop("bounds_version")
     assert sorted(map(str, found.collect())) == sorted(map(str, outliers.with_outlier_flags(table, pairs).collect()))
+
+
+def test_the_state_is_read_once_for_all_measures(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    arrive(spark, source, 0)
+    running.run_counts(spark.readStream.schema(EVENTS).parquet(source), checkpoint).awaitTermination()
+    measures = running.running_measures(spark, checkpoint)
+    files = measures.inputFiles()
+    assert files and all("/running-counts-" in one for one in files)
+    whole = market.monthly_summary(spark.read.schema(EVENTS).parquet(source))
+    assert [row.MedianClosePrice for row in measures.collect()] == [row.MedianClosePrice for row in whole.collect()]
