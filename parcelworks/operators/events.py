@@ -16,6 +16,8 @@ EVENT_COLUMNS = list(fixed.EVENT_SCHEMA)
 DEDUPE_KEY = ["SourceDataset", "EventId"]
 #: hashes of repeated keys that are broadcast, some tens of megabytes
 REPEATED_TO_BROADCAST = 1_000_000
+#: rows that are ordered at once without a look at which keys repeat
+ROWS_ORDERED_AT_ONCE = 1_000_000
 
 
 def standardize_dimensions(df: DataFrame, columns: Sequence[str] = fixed.DIMENSION_COLUMNS) -> DataFrame:
@@ -159,7 +161,7 @@ def first_of_each(
     group limit), so a key that repeats very often sends one row per task.
 
     With ``broadcast``, hashes of keys that repeat are counted first, from the key columns alone, and
-    stored; where they are at most as many, only rows with such a hash are ordered, and all others
+    stored, unless there are few rows in all; where they are at most as many, only rows with such a hash are ordered, and all others
     stay where they are, unshuffled. ``df`` is then gone through three times; give a stored table or
     a view on one. ``repeats`` makes the rows of ``df`` for some hashes (see ``with_hash_among``), for
     views that are costly to compute for all rows only to choose a few.
@@ -172,7 +174,7 @@ def first_of_each(
         placed = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {hashed}, {keys} ORDER BY {by}) AS place")
         return placed.filter("place = 1").drop("place")
 
-    if not broadcast:
+    if not broadcast or df.limit(ROWS_ORDERED_AT_ONCE + 1).count() <= ROWS_ORDERED_AT_ONCE:
         return first(df)
     counted = df.selectExpr(f"{hashed} AS hash").groupBy("hash").count()
     repeated = staged(counted.filter("count > 1").select("hash"), "repeated")

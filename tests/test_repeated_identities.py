@@ -19,7 +19,8 @@ WANTED = ["SourceDataset", "EventId", "EventDate", "EventType", "City", "ClosePr
 
 
 @pytest.fixture
-def inputs(spark):
+def inputs(spark, monkeypatch):
+    monkeypatch.setattr(events, "ROWS_ORDERED_AT_ONCE", 0)
     sales = [
         ("a", DAY, 5.0, 5.0, " X ", "202403", 2, 1.0),
         ("a", DAY, 4.0, 5.0, "Y", "202403", 1, 0.8),
